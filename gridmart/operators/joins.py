@@ -31,18 +31,14 @@ def lookup(
     and broadcasts them; every other size is left to the statistics Spark has at run
     time, and a fact key that holds a large share of the rows to its skew split.
     """
-    expression = facts[on] if isinstance(on, str) else on
+    expression = F.col(on) if isinstance(on, str) else on
     keyed = dim.select(
         F.col(key).alias("_lookup_key"),
         *[F.col(c) if c == n else F.col(c).alias(n) for c, n in take.items()],
     )
     if small:
         keyed = F.broadcast(keyed)
-    return (
-        facts.withColumn("_fact_key", expression)
-        .join(keyed, F.col("_fact_key") == F.col("_lookup_key"), "left")
-        .drop("_fact_key", "_lookup_key")
-    )
+    return facts.join(keyed, expression == F.col("_lookup_key"), "left").drop("_lookup_key")
 
 
 def full_outer(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import boundaries_between
 from .joins import not_in
@@ -215,8 +216,7 @@ class Mismatch:
 
 def schema_mismatches(df: DataFrame, declared: str) -> list[Mismatch]:
     """Columns whose name or type differs from the declared DDL (D13). Order does not matter."""
-    spark = df.sparkSession
-    wanted = {f.name: f.dataType.simpleString() for f in spark.createDataFrame([], declared).schema}
+    wanted = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(declared)}
     found = {f.name: f.dataType.simpleString() for f in df.schema}
     return [
         Mismatch(name, wanted.get(name), found.get(name))
@@ -231,8 +231,7 @@ def enforce_contract(df: DataFrame, declared: str) -> DataFrame:
     if wrong:
         text = "; ".join(f"{m.column}: declared {m.expected}, found {m.actual}" for m in wrong)
         raise ValueError(f"schema contract broken: {text}")
-    names = [f.name for f in df.sparkSession.createDataFrame([], declared).schema]
-    return df.select(*names)
+    return df.select(*StructType.fromDDL(declared).names)
 
 
 def tag_pii(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import title_case
 from ..operators.current import (
@@ -50,7 +51,7 @@ TELEMETRY_MODELS = {
 
 def typed(df: DataFrame, table: str, drop: tuple[str, ...] = ()) -> DataFrame:
     """Cast every column the raw schema declares to its declared type."""
-    declared = df.sparkSession.createDataFrame([], raw_tables()[table]).schema
+    declared = StructType.fromDDL(raw_tables()[table])
     found = df.schema
 
     def column(field) -> Column:

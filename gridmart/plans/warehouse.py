@@ -34,6 +34,9 @@ class Warehouse:
 
     ``as_of`` stands for the wall clock, so that results can be repeated.
     ``snapshots`` may replace the snapshot tables, by default a first run over staging.
+    ``store`` is a folder in the shared file system; with it, models that others share
+    (`STORED`) are written there when first needed and read back, so a mart over many of
+    them computes none twice.
     """
 
     def __init__(
@@ -44,16 +47,21 @@ class Warehouse:
         first_day: str = calendar.FIRST_DAY,
         last_day: str = calendar.LAST_DAY,
         snapshots: Mapping[str, DataFrame] | None = None,
+        store: str | None = None,
     ):
         self.spark = spark
         self.raw = raw
         self.as_of = as_of if as_of is not None else F.localtimestamp()
         self.days = (first_day, last_day)
+        self.store = store
         self._models: dict[str, DataFrame] = dict(snapshots or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._models:
-            self._models[name] = self._build(name)
+            model = self._build(name)
+            if self.store and name in STORED:
+                model = write_table(model, layer_path(self.store, "shared", name))
+            self._models[name] = model
         return self._models[name]
 
     def replace(self, name: str, df: DataFrame) -> None:
@@ -96,15 +104,10 @@ class Warehouse:
         return write_table(scd2_merge(before, self[source], key), f"{path}/run={last + 1}")
 
     def build(self, root: str) -> dict[str, DataFrame]:
-        """Write snapshots, shared intermediates and marts; later models read the files.
-
-        What is stored is what several models share, so nothing is computed twice and no
-        lineage spans more than one layer.
-        """
+        """Write snapshots, shared models and all marts; later models read the files."""
+        self.store = self.store or root
         for name in SNAPSHOTS:
             self.replace(name, self.snapshot(name, root))
-        for name in STORED_INTERMEDIATE:
-            self.replace(name, write_table(self[name], layer_path(root, "intermediate", name)))
         written = {}
         for name in MART_SCHEMAS:
             path = layer_path(root, "marts", name)
@@ -118,11 +121,18 @@ class Warehouse:
         return written
 
 
-STORED_INTERMEDIATE = (
+# Models that several others read.
+STORED = {
+    "stg_oltp__customers",
+    "stg_oltp__households",
+    "stg_oltp__contracts",
+    "stg_oltp__invoices",
+    "stg_crm__contacts",
     "int_customer__unified_profile",
     "int_device__lifecycle",
     "int_device__telemetry_daily",
-)
+    "int_service__ticket_enriched",
+}
 
 # Model -> how it is built and from which models.
 _MODELS = {

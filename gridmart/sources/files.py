@@ -19,8 +19,8 @@ class FileFormatError(ValueError):
     """A table DDL that a CSV file cannot carry."""
 
 
-def _csv_schema(spark: SparkSession, ddl: str) -> T.StructType:
-    schema = spark.createDataFrame([], ddl).schema
+def _csv_schema(ddl: str) -> T.StructType:
+    schema = T.StructType.fromDDL(ddl)
     nested = [f.name for f in schema if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]
     if nested:
         raise FileFormatError(f"nested columns in CSV: {nested}")
@@ -57,7 +57,7 @@ def read_csv(
     spark: SparkSession, path: str | list[str], ddl: str, multi_line: bool = False
 ) -> DataFrame:
     """Typed CSV scan that fails on the first bad row."""
-    schema = _csv_schema(spark, ddl)
+    schema = _csv_schema(ddl)
     rows = _scan(spark, path, schema, "FAILFAST", multi_line)
     typed = []
     for field in schema:
@@ -125,7 +125,7 @@ def load_csv_tolerant(
     have its type (``parse_error``). Row numbers count bad rows too.
     """
     stamp = loaded_at if loaded_at is not None else F.localtimestamp()
-    schema = _csv_schema(spark, ddl)
+    schema = _csv_schema(ddl)
     rows = file_rows(_scan(spark, path, schema, "PERMISSIVE", multi_line))
 
     typed, unparsed = [], []

@@ -11,6 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridmart.plans.warehouse import Warehouse
 from gridmart.sources.schemas import raw_tables
@@ -68,8 +69,8 @@ _CONTRACT = "CAST(o_custkey + 300000000 AS BIGINT)"
 
 _LINE_KEY = "CAST(l_orderkey * 10 + l_linenumber AS BIGINT)"
 _LINE_BATCH = (
-    f"concat({_pad('l_partkey')}, '-', {_pad('l_suppkey')}, '-', "
-    "CAST(CAST(l_quantity AS DECIMAL(12,2)) AS STRING), '-', "
+    "concat(CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING), '-', "
+    "CAST(CAST(l_quantity AS BIGINT) AS STRING), '-', "
     "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING))"
 )
 _PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
@@ -313,18 +314,25 @@ SELECT CAST(user_id AS STRING) AS device_id,
     CASE event_type WHEN 'purchase' THEN 'energy_reading' WHEN 'view' THEN 'temperature_reading'
         WHEN 'error' THEN 'alert_event' ELSE 'device_status' END AS event_type,
     ts AS event_timestamp, ts + INTERVAL 5 MINUTE AS _loaded_at, event_type AS cause,
-    value, props, CAST(value AS DECIMAL(12,2)) AS reading
+    event_id, props, CAST(value AS DECIMAL(12,2)) AS reading
 FROM {events}
 UNION ALL
-SELECT CAST(user_id AS STRING), 'energy_reading', ts, ts + INTERVAL 65 MINUTE, event_type, value, props,
+SELECT CAST(user_id AS STRING), 'energy_reading', ts, ts + INTERVAL 65 MINUTE, event_type, event_id, props,
     CAST(value AS DECIMAL(12,2)) + 1
 FROM {events} WHERE event_type = 'purchase'
 """,
 }
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the file once per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
@@ -405,11 +413,12 @@ class RawFeeds(dict):
         return df
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+def warehouse(spark: SparkSession, sf_dir: str, store: str | None = None) -> Warehouse:
     return Warehouse(
         spark,
         RawFeeds(spark, sf_dir),
         as_of=F.lit(AS_OF).cast("timestamp_ntz"),
         first_day=FIRST_DAY,
         last_day=LAST_DAY,
+        store=store,
     )

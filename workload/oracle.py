@@ -324,6 +324,8 @@ LEFT JOIN dim_date d ON f.payment_date_key = d.date_key""",
 SELECT *, lead(_source_ts) OVER (PARTITION BY contract_id ORDER BY _source_ts) AS valid_to, _source_ts AS valid_from
 FROM (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY contract_id, _source_ts
     ORDER BY _loaded_at DESC, _connector_batch_id DESC) AS rn FROM raw_contracts WHERE _op <> 'DELETE') WHERE rn = 1)""",
+    "late_versions": """
+SELECT contract_id, valid_from, valid_to + INTERVAL 30 DAY AS valid_to FROM versions""",
     "broken_versions": """
 SELECT contract_id, valid_from, valid_from + INTERVAL 400 DAY AS valid_to FROM versions""",
 }

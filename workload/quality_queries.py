@@ -47,9 +47,8 @@ add("d7_scd2_no_overlap", lambda s, d: Q.scd2_no_overlap(
             "contract_id", "valid_from",
             F.when(F.col("valid_to").isNotNull(), F.col("valid_to") + F.expr("INTERVAL '30' DAY")).alias("valid_to")),
         "contract_id"),
-    """WITH late AS (SELECT contract_id, valid_from, valid_to + INTERVAL 30 DAY AS valid_to FROM versions)
-SELECT a.contract_id, a.valid_from AS a_valid_from, a.valid_to AS a_valid_to, b.valid_from AS b_valid_from, b.valid_to AS b_valid_to
-FROM late a JOIN late b ON a.contract_id = b.contract_id AND a.valid_from < b.valid_from
+    """SELECT a.contract_id, a.valid_from AS a_valid_from, a.valid_to AS a_valid_to, b.valid_from AS b_valid_from, b.valid_to AS b_valid_to
+FROM late_versions a JOIN late_versions b ON a.contract_id = b.contract_id AND a.valid_from < b.valid_from
     AND (a.valid_to IS NULL OR a.valid_to > b.valid_from)""")
 add("d7_versions_are_clean", lambda s, d: Q.scd2_no_overlap(
         scd2_from_log(raw(s, d, "contracts"), "contract_id"), "contract_id"),

@@ -422,7 +422,7 @@ add("sn2_version_at_event", lambda s, d: scd2.as_of_version(
     ON p.customer_id = v.customer_id AND v.valid_from <= p.payment_date AND (v.valid_to IS NULL OR p.payment_date < v.valid_to)""")
 add("x1_chunk_documents", lambda s, d: chunks.chunk_documents(tab("documents")(s, d)).withColumn(
         "chunk_md5", F.md5("chunk_text")).drop("chunk_text"),
-    """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), x -> x <> '') AS words FROM documents),
+    """WITH w AS (SELECT doc_id, [x for x in regexp_split_to_array(text, '\\s+') if x <> ''] AS words FROM documents),
 c AS (SELECT doc_id, words, unnest(range(0, greatest(len(words) - 50, 1), 462)) AS s FROM w WHERE len(words) > 0)
 SELECT doc_id, CAST(s // 462 AS INTEGER) AS chunk_index, least(len(words) - s, 512) AS word_count,
     md5(array_to_string(words[s + 1:s + 512], ' ')) AS chunk_md5 FROM c""")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridmart.operators.scd2 import scd2_merge
 from gridmart.plans import staging
@@ -14,6 +15,7 @@ from . import domain
 from .oracle import sk
 from .registry import add
 
+ARRAY_EVENTS = 2000
 LOADED = "2024-02-01 00:00:00"
 
 
@@ -24,7 +26,7 @@ def loaded():
 def csv_feed(spark, sf, table):
     """The feed as CSV text: NULL as one of its markers, text quoted where needed."""
     path = scratch_path(spark, f"csv-{table}")
-    names = [f.name for f in spark.createDataFrame([], schemas.file_columns(table)).schema]
+    names = StructType.fromDDL(schemas.file_columns(table)).names
     feed = domain.RawFeeds(spark, sf)[table]
     feed.select(*[F.col(c).cast("string") for c in names]).write.option("header", True).option(
         "nullValue", "\\N"
@@ -141,12 +143,12 @@ add("s4_file_lineage", s4,
 def s5(spark, sf):
     path = scratch_path(spark, "json-arrays")
     readings = domain.run_sql(spark, sf, domain.RAW_SQL["telemetry_readings"])
-    # One file per hour of one kind of event, so an array stays small at any volume.
+    # Arrays of consecutive events, so that one holds at most ARRAY_EVENTS at any volume.
     events = domain.event_json(readings).filter("event_type = 'alert_event'")
-    arrays = events.groupBy(F.date_format("event_timestamp", "yyyyMMddHH").alias("hour")).agg(
+    arrays = events.groupBy(F.floor(F.col("event_id") / ARRAY_EVENTS).alias("part")).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list("event_json"), ","), F.lit("]")).alias("value")
     )
-    arrays.write.partitionBy("hour").text(path)
+    arrays.write.partitionBy("part").text(path)
     rows = files.read_json_array(spark, path)
     return rows.select(
         F.try_variant_get("event_data", "$.device_id", "string").alias("device_id"),

@@ -15,19 +15,27 @@ from .model_queries import STATUS_AS_OF, STATUS_SQL
 from .oracle import sk
 from .registry import add
 
-BATCH_FILES = 4
+BATCHES = 3
 # Buckets of the stream-kept tables here; a cluster keeps the default.
 BUCKETS = 8
 
 
 def stream(spark, sf, feed, order):
-    """A feed as a folder of files, read as a stream of several batches."""
+    """A feed as a stream of several batches, written one after the other in its own order."""
     path = scratch_path(spark, f"stream-{feed}")
     rows = domain.RawFeeds(spark, sf)[feed]
+    schema = rows.schema
     if feed == "telemetry_events":
         rows = rows.withColumn("event_data", F.to_json("event_data"))
-    rows.repartitionByRange(BATCH_FILES, order).write.parquet(path)
-    incoming = sources.table_stream(spark, path, rows.schema, files_per_trigger=1)
+        schema = rows.schema
+    first, last = rows.agg(F.min(order), F.max(order)).first()
+    cuts = [first + (last - first) * i / BATCHES for i in range(1, BATCHES)]
+    moment = F.col(order)
+    part = sum((moment > F.lit(c).cast("timestamp_ntz")).cast("int") for c in cuts)
+    for i in range(BATCHES):
+        rows.filter(part == i).write.mode("append").parquet(path)
+    # Each write leaves a few files; older files are read first.
+    incoming = sources.table_stream(spark, path, schema, files_per_trigger=2)
     if feed == "telemetry_events":
         incoming = incoming.withColumn("event_data", F.parse_json("event_data"))
     return incoming
@@ -144,11 +152,11 @@ def t5(spark, sf):
 
 
 add("t5_versions_stream", t5, f"""
-WITH runs AS (SELECT _source_ts <= TIMESTAMP '{SPLIT}' AS early, * FROM raw_customers WHERE _op <> 'DELETE'),
-latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, early
-    ORDER BY _source_ts DESC, _loaded_at DESC, _connector_batch_id DESC) AS rn FROM runs) WHERE rn = 1)
 SELECT customer_id, status, {sk('customer_id', 'updated_at')} AS dbt_scd_id, updated_at AS dbt_valid_from,
-    lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) AS dbt_valid_to FROM latest""")
+    lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) AS dbt_valid_to
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, _source_ts <= TIMESTAMP '{SPLIT}'
+    ORDER BY _source_ts DESC, _loaded_at DESC, _connector_batch_id DESC) AS rn
+    FROM raw_customers WHERE _op <> 'DELETE') WHERE rn = 1""")
 
 
 def t6(spark, sf):
