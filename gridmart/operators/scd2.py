@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import surrogate_key
 from .current import latest_per_key, newest_first
-from .slices import HOT_ROWS, sliced_lead, sliced_max_before, with_slices
+from .slices import HOT_ROWS, PART, SLICE, sliced_lead, sliced_max_before, with_slices
 
 META = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
 
@@ -86,14 +86,17 @@ def scd2_from_log(
     worked off in time slices.
     """
     live = log.filter(F.col(op) != "DELETE") if op else log
+    live = with_slices(
+        live.filter(F.col(ts).isNotNull()), [key], F.date_trunc(slice_unit, F.col(ts)), hot_rows
+    )
     order = newest_first(*[c for c in tie_break if c in live.columns])
     if order:
         versions = latest_per_key(live, [key, ts], order)
     else:
         versions = live.dropDuplicates([key, ts])
-    versions = versions.filter(F.col(ts).isNotNull())
-    sliced = with_slices(versions, [key], F.date_trunc(slice_unit, F.col(ts)), hot_rows)
-    return sliced_lead(sliced, [key], ts, valid_to).withColumn(valid_from, F.col(ts))
+    return sliced_lead(versions, [key], ts, valid_to, source=live).withColumn(
+        valid_from, F.col(ts)
+    )
 
 
 def as_of_version(
@@ -104,19 +107,32 @@ def as_of_version(
     take: Sequence[str],
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
+    hot_rows: int = HOT_ROWS,
+    slice_unit: str = "hour",
 ) -> DataFrame:
-    """Option to the current-version lookup: the version valid at the time of the fact."""
-    v = versions.select(
-        F.col(on).alias("_v_key"),
-        F.col(valid_from).alias("_v_from"),
-        F.col(valid_to).alias("_v_to"),
-        *take,
+    """Option to the current-version lookup: the version valid at the time of the fact.
+
+    Versions of a key must not overlap. Facts and versions of a key are put on one time
+    line and every fact takes the last version that started before it, so the work is
+    linear however many facts and versions a key has.
+    """
+    version = F.struct(F.col(valid_from), F.col(valid_to), *take)
+    starts = versions.filter(F.col(on).isNotNull() & F.col(valid_from).isNotNull()).select(
+        F.col(on).alias("_k"),
+        F.struct(F.col(valid_from).alias("at"), F.lit(0).alias("is_fact")).alias("_order"),
+        version.alias("_version"),
     )
-    inside = (F.col("_v_from") <= F.col(moment)) & (
-        F.col("_v_to").isNull() | (F.col(moment) < F.col("_v_to"))
+    moments = facts.select(
+        F.col(on).alias("_k"),
+        F.struct(F.col(moment).alias("at"), F.lit(1).alias("is_fact")).alias("_order"),
+        F.struct(*facts.columns).alias("_fact"),
     )
-    return facts.join(v, (F.col(on) == F.col("_v_key")) & inside, "left").drop(
-        "_v_key", "_v_from", "_v_to"
+    line = starts.unionByName(moments, allowMissingColumns=True)
+    cut = with_slices(line, ["_k"], F.date_trunc(slice_unit, F.col("_order.at")), hot_rows)
+    found = sliced_max_before(cut, ["_k"], "_order", "_version", "_found")
+    valid = F.col(f"_found.{valid_to}").isNull() | (F.col("_order.at") < F.col(f"_found.{valid_to}"))
+    return found.filter("_order.is_fact = 1").select(
+        "_fact.*", *[F.when(valid, F.col(f"_found.{c}")).alias(c) for c in take]
     )
 
 
@@ -128,16 +144,14 @@ def _reach(
     versions: DataFrame, key: str, valid_from: str, valid_to: str, hot_rows: int, slice_unit: str
 ) -> DataFrame:
     """Per key and start: how far its versions reach, how far earlier ones reach, next start."""
-    starts = (
-        versions.filter(F.col(key).isNotNull() & F.col(valid_from).isNotNull())
-        .groupBy(F.col(key).alias("_k"), F.col(valid_from).alias("_from"))
-        .agg(
-            F.max(F.coalesce(F.col(valid_to), _far_future(versions, valid_to))).alias("_reach")
-        )
-    )
-    cut = with_slices(starts, ["_k"], F.date_trunc(slice_unit, F.col("_from")), hot_rows)
-    earlier = sliced_max_before(cut, ["_k"], "_from", "_reach", "_earlier_reach")
-    return sliced_lead(earlier, ["_k"], "_from", "_next_from")
+    end = F.coalesce(F.col(valid_to), _far_future(versions, valid_to))
+    rows = versions.select(
+        F.col(key).alias("_k"), F.col(valid_from).alias("_from"), end.alias("_reach")
+    ).filter(F.col("_k").isNotNull() & F.col("_from").isNotNull())
+    cut = with_slices(rows, ["_k"], F.date_trunc(slice_unit, F.col("_from")), hot_rows)
+    starts = cut.groupBy("_k", "_from", SLICE, PART).agg(F.max("_reach").alias("_reach"))
+    earlier = sliced_max_before(starts, ["_k"], "_from", "_reach", "_earlier_reach", source=cut)
+    return sliced_lead(earlier, ["_k"], "_from", "_next_from", source=cut)
 
 
 def scd2_overlapping_versions(

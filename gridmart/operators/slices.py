@@ -18,15 +18,10 @@ from pyspark.sql import functions as F
 # qualify, which bounds the broadcast in `with_slices`: 10^12 rows allow 10^6 of them.
 HOT_ROWS = 1_000_000
 
-SLICE = "_slice"
-
-
-def null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    """Join condition that also matches NULL with NULL."""
-    condition = F.lit(True)
-    for name in columns:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+# `_slice` is NULL in ordinary groups. `_part` is the group with its slice, as one struct:
+# unlike its members a struct is never NULL, so it serves windows and equi-joins alike and
+# both find the rows where one shuffle on it has put them.
+SLICE, PART = "_slice", "_part"
 
 
 def with_slices(
@@ -34,99 +29,97 @@ def with_slices(
 ) -> DataFrame:
     """Add ``_slice``: NULL in ordinary groups, ``slice_by`` in groups above ``hot_rows``.
 
-    ``slice_by`` must not decrease along the order of the later window.
+    ``slice_by`` must not decrease along the order of the later window. Groups are counted
+    on the key columns alone, combined before they are shuffled.
     """
+    group = F.struct(*keys)
     hot = (
-        df.groupBy(*keys)
+        df.groupBy(group.alias("_hot_group"))
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > hot_rows)
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
+        .select("_hot_group", F.lit(True).alias("_hot"))
     )
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
     return (
-        df.join(F.broadcast(hot), condition, "left")
+        df.join(F.broadcast(hot), group == F.col("_hot_group"), "left")
         .withColumn(SLICE, F.when(F.col("_hot"), slice_by))
-        .drop("_hot", *[f"_hot_{k}" for k in keys])
+        .withColumn(PART, F.struct(*keys, SLICE))
+        .drop("_hot", "_hot_group")
     )
 
 
-def _join_summary(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    on = [*keys, SLICE]
-    renamed = summary.select(
-        *[F.col(c).alias(f"_s_{c}") for c in on], *[c for c in summary.columns if c not in on]
-    )
-    condition = F.lit(True)
-    for c in on:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
-    return df.join(renamed, condition, "left").drop(*[f"_s_{c}" for c in on])
+def _per_part(df: DataFrame, aggregate: Column) -> DataFrame:
+    """One row per slice of the hot groups; empty if there are none."""
+    hot = df.filter(F.col(SLICE).isNotNull())
+    return hot.groupBy(F.col(PART).alias("_p")).agg(aggregate.alias("_value"))
+
+
+def _carry(df: DataFrame, carried: DataFrame) -> DataFrame:
+    return df.join(carried, F.col(PART) == F.col("_p"), "left").drop("_p")
+
+
+def _slices_of(keys: Sequence[str]):
+    return Window.partitionBy(*[f"_p.{k}" for k in keys]).orderBy(f"_p.{SLICE}")
+
+
+def _earlier_slices(keys: Sequence[str]):
+    return _slices_of(keys).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _carried(per_part: DataFrame, value: Column) -> DataFrame:
+    return per_part.select("_p", value.alias("_carried")).filter(F.col("_carried").isNotNull())
 
 
 def sliced_row_number(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], name: str
 ) -> DataFrame:
     """``row_number()`` per group of a frame that went through `with_slices`."""
-    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        df.groupBy(*keys, SLICE)
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_offset", F.sum("_size").over(earlier))
-        .filter(F.col("_offset").isNotNull())
-        .drop("_size")
-    )
-    local = F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*order_by))
+    sizes = _per_part(df, F.count(F.lit(1)))
+    offsets = _carried(sizes, F.sum("_value").over(_earlier_slices(keys)))
+    local = F.row_number().over(Window.partitionBy(PART).orderBy(*order_by))
     return (
-        _join_summary(df.withColumn(name, local), offsets, keys)
-        .withColumn(name, F.col(name) + F.coalesce("_offset", F.lit(0)))
-        .drop("_offset", SLICE)
+        _carry(df.withColumn(name, local), offsets)
+        .withColumn(name, F.col(name) + F.coalesce("_carried", F.lit(0)))
+        .drop("_carried", SLICE, PART)
     )
 
 
-def sliced_lead(df: DataFrame, keys: Sequence[str], order: str, name: str) -> DataFrame:
-    """The next value of ``order`` in the group; ``order`` is unique per group and not NULL."""
-    by_slice = Window.partitionBy(*keys).orderBy(SLICE)
-    following = (
-        df.filter(F.col(SLICE).isNotNull())
-        .groupBy(*keys, SLICE)
-        .agg(F.min(order).alias("_first"))
-        .withColumn("_following", F.lead("_first").over(by_slice))
-        .filter(F.col("_following").isNotNull())
-        .drop("_first")
-    )
-    local = F.lead(order).over(Window.partitionBy(*keys, SLICE).orderBy(order))
+def sliced_lead(
+    df: DataFrame, keys: Sequence[str], order: str, name: str, source: DataFrame | None = None
+) -> DataFrame:
+    """The next value of ``order`` in the group; ``order`` is unique per group and not NULL.
+
+    ``source`` may hold the same values of ``order``, repeated or not, at a lower price
+    than ``df``; the summary of slices is then made from it.
+    """
+    firsts = _per_part(df if source is None else source, F.min(order))
+    following = _carried(firsts, F.lead("_value").over(_slices_of(keys)))
+    local = F.lead(order).over(Window.partitionBy(PART).orderBy(order))
     return (
-        _join_summary(df.withColumn(name, local), following, keys)
-        .withColumn(name, F.coalesce(name, "_following"))
-        .drop("_following", SLICE)
+        _carry(df.withColumn(name, local), following)
+        .withColumn(name, F.coalesce(name, "_carried"))
+        .drop("_carried", SLICE, PART)
     )
 
 
 def sliced_max_before(
-    df: DataFrame, keys: Sequence[str], order: str, value: str, name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    value: str,
+    name: str,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Largest ``value`` among the rows of the group ordered before this one.
 
-    Keeps ``_slice``, so that `sliced_lead` can follow on the same cut.
+    Keeps the slices, so that `sliced_lead` can follow on the same cut.
     """
-    earlier_slices = (
-        Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
-        df.filter(F.col(SLICE).isNotNull())
-        .groupBy(*keys, SLICE)
-        .agg(F.max(value).alias("_slice_max"))
-        .withColumn("_carried", F.max("_slice_max").over(earlier_slices))
-        .filter(F.col("_carried").isNotNull())
-        .drop("_slice_max")
-    )
+    highest = _per_part(df if source is None else source, F.max(value))
+    carried = _carried(highest, F.max("_value").over(_earlier_slices(keys)))
     earlier_rows = (
-        Window.partitionBy(*keys, SLICE)
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(PART).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        _join_summary(df.withColumn(name, F.max(value).over(earlier_rows)), carried, keys)
+        _carry(df.withColumn(name, F.max(value).over(earlier_rows)), carried)
         .withColumn(name, F.greatest(name, "_carried"))
         .drop("_carried")
     )
