@@ -125,39 +125,56 @@ def sliced_max_before(
     )
 
 
-def value_slices(df: DataFrame, value: str, slices: int = 256) -> Column:
-    """A slice number that grows with the numeric column ``value``.
-
-    The cut points are quantiles over the whole frame, so no slice of any group holds
-    much more than 1/``slices`` of all rows unless a single value does. Runs one job;
-    brings ``slices`` numbers to the driver.
-    """
+def _cut_points(df: DataFrame, value: str, slices: int) -> list[float]:
+    """Quantiles of a numeric column: one job, ``slices`` numbers to the driver."""
     steps = [i / slices for i in range(1, slices)]
     numeric = df.select(F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
-    cuts = sorted(set(numeric.approxQuantile("v", steps, 1 / (2 * slices)))) if steps else []
-    if not cuts:
-        return F.lit(0)
-    points = F.array(*[F.lit(float(c)) for c in cuts])
-    # A cut point shared by many rows is a slice of its own: 2i for the open gap below
-    # cut i, 2i + 1 for the cut value itself.
+    return sorted(set(numeric.approxQuantile("v", steps, 1 / (2 * slices))))
+
+
+def _value_slice(value: str, cuts: list[float]) -> tuple[Column, Column]:
+    """A slice number that does not decrease with ``value``, and whether it holds one value.
+
+    Numbers are -1 for NULL, 2i for the gap below cut i, and 2i + 1 for cut i itself, so
+    that a value shared by many rows is a slice of its own.
+    """
     v = F.col(value).cast("double")
+    points = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
     below = F.size(F.filter(points, lambda p: p < v))
-    return F.when(v.isNull(), -1).otherwise(
+    number = F.when(v.isNull(), -1).otherwise(
         below * 2 + F.array_contains(points, v).cast("int")
     )
+    return number, number % 2 != 0
 
 
 def occurrence_ordinal(
     df: DataFrame,
     keys: Sequence[str],
-    value: str,
-    order_by: Sequence[Column],
+    order: Sequence[str],
     name: str = "occurrence",
     hot_rows: int = HOT_ROWS,
+    slices: int = 256,
 ) -> DataFrame:
-    """Number the rows of each group by ``value``, then by ``order_by``.
-
-    ``order_by`` must not contain ``value``, which leads the order, NULL first.
+    """Number the rows of each group by the numeric columns ``order``, NULL first.
+
+    Without a hot group, known after one count per group, this is a plain window. With
+    one, rows are cut by quantiles of the first column; where a slice holds one value
+    only, by the next column; and rows equal in all of them, which may be numbered in any
+    order, by a hash of the whole row. Quantiles are taken over all rows, so a slice of
+    any group holds about 1/``slices`` of them at most. Rows equal in *every* column stay
+    together; remove such copies first, as staging does.
     """
-    sliced = with_slices(df, keys, value_slices(df, value), hot_rows)
-    return sliced_row_number(sliced, keys, [F.col(value).asc_nulls_first(), *order_by], name)
+    by_order = [F.col(c).asc_nulls_first() for c in order]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    if counts.filter(F.col("_rows") > hot_rows).isEmpty():
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*by_order)))
+
+    parts, single = [], F.lit(True)
+    for position, column in enumerate(order):
+        number, one_value = _value_slice(column, _cut_points(df, column, slices))
+        parts.append(F.when(single, number).otherwise(0).alias(f"s{position}"))
+        single = single & one_value
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(slices))
+    parts.append(F.when(single, spread).otherwise(0).alias("spread"))
+    cut = with_slices(df, keys, F.struct(*parts), hot_rows)
+    return sliced_row_number(cut, keys, by_order, name)

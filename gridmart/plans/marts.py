@@ -221,7 +221,7 @@ def fct_device_telemetry(
     else:
         events = occurrence_ordinal(
             events.withColumn("_order", value_order),
-            ["device_id", "event_timestamp", "event_type"], "_order", [], "_ordinal",
+            ["device_id", "event_timestamp", "event_type"], ["_order"], "_ordinal",
         ).drop("_order")
     facts = lookup(
         events,

@@ -53,6 +53,8 @@ def typed(df: DataFrame, table: str, drop: tuple[str, ...] = ()) -> DataFrame:
     """Cast every column the raw schema declares to its declared type."""
     declared = StructType.fromDDL(raw_tables()[table])
     found = df.schema
+    if {(f.name, f.dataType) for f in declared} == {(f.name, f.dataType) for f in found}:
+        return df.drop(*drop)
 
     def column(field) -> Column:
         same = found[field.name].dataType == field.dataType

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Wide models name many columns; looking up the call site of each costs more than they do.
+    "spark.python.sql.dataFrameQueryContext.enabled": "false",
 }
 
 

@@ -52,7 +52,7 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 def high_water_mark(spark: SparkSession, path: str, column: str = "_loaded_at"):
     """Largest ``column`` of the table at ``path`` (A10), None without table or rows.
 
-    One value, answered from Parquet footers where they hold statistics.
+    Reads one column and brings one value to the driver.
     """
     table = read_if_exists(spark, path)
     return None if table is None else table.agg(F.max(column)).first()[0]

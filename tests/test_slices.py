@@ -48,16 +48,28 @@ def test_max_before(points, rows, hot_rows):
     assert rows(sliced_max_before(cut, ["k"], "ts", "v", "m"), "k", "ts", "m") == rows(plain, "k", "ts", "m")
 
 
+@pytest.mark.parametrize("slices", [4, 64])
 @pytest.mark.parametrize("hot_rows", HOT)
-def test_occurrence_ordinal(points, rows, hot_rows):
-    order = [F.col("ts").asc()]
-    plain = points.withColumn(
-        "n", F.row_number().over(Window.partitionBy("k").orderBy(F.col("v").asc_nulls_first(), *order))
-    )
-    numbered = occurrence_ordinal(points, ["k"], "v", order, "n", hot_rows)
+def test_occurrence_ordinal(points, rows, hot_rows, slices):
+    timed = points.withColumn("t", F.unix_micros(F.col("ts").cast("timestamp")))
+    order = [F.col("v").asc_nulls_first(), F.col("t").asc_nulls_first()]
+    plain = timed.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+    numbered = occurrence_ordinal(timed, ["k"], ["v", "t"], "n", hot_rows, slices)
     assert rows(numbered, "k", "ts", "v", "n") == rows(plain, "k", "ts", "v", "n")
 
 
+@pytest.mark.parametrize("hot_rows", HOT)
+def test_ordinals_of_equal_values_are_all_used(points, hot_rows):
+    numbered = occurrence_ordinal(points, ["k"], ["v"], "n", hot_rows, 16)
+    per_group = numbered.groupBy("k").agg(
+        F.count("*").alias("c"), F.count_distinct("n").alias("d"), F.min("n").alias("a"), F.max("n").alias("b"))
+    assert per_group.filter("c <> d OR a <> 1 OR b <> c").count() == 0
+    # Larger values never come before smaller ones.
+    spans = numbered.groupBy("k", "v").agg(F.min("n").alias("a"), F.max("n").alias("b"))
+    after = Window.partitionBy("k").orderBy(F.col("v").asc_nulls_first())
+    assert spans.withColumn("next", F.lead("a").over(after)).filter("next <= b").count() == 0
+
+
 @pytest.mark.parametrize("hot_rows", HOT)
 def test_versions_from_log(spark, rows, hot_rows):
     rng = random.Random(3)

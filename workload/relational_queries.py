@@ -284,7 +284,7 @@ FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)""")
 def w7(s, d):
     rows = lineitem(s, d).select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     return slices.occurrence_ordinal(
-        rows, ["l_orderkey", "l_linenumber"], "l_quantity", [F.col("l_extendedprice").asc_nulls_first()])
+        rows, ["l_orderkey", "l_linenumber"], ["l_quantity", "l_extendedprice"])
 
 
 add("w7_occurrence_ordinal", w7, """
