@@ -24,6 +24,22 @@ def sk(*parts: str) -> str:
     return f"md5(concat_ws('-', {texts}))"
 
 
+def star(source: str, dims: str, days: str) -> str:
+    """``source`` with the surrogate keys of ``dims`` and a ``<day>_key`` per date column."""
+    keys = "".join(f", {d}_sk" for d in dims.split()) + "".join(f", {d}_key" for d in days.split())
+    joins = "".join(
+        f" LEFT JOIN (SELECT {d}_id, {d}_sk FROM dim_{d}"
+        + (" WHERE is_current" if d in ("customer", "contract") else "")
+        + f") USING ({d}_id)"
+        for d in dims.split()
+    )
+    joins += "".join(
+        f" LEFT JOIN (SELECT full_date AS {d}_day, date_key AS {d}_key FROM dim_date) ON source.{d} = {d}_day"
+        for d in days.split()
+    )
+    return f"SELECT source.*{keys} FROM {source} source{joins}"
+
+
 def latest(source: str, keys: str, order: str, where: str = "TRUE") -> str:
     ordering = ", ".join(f"{c} DESC NULLS LAST" for c in order.split(", "))
     return (
@@ -102,42 +118,32 @@ MODELS |= {
         "effective_date, _loaded_at, _source_file_name, _source_file_row_number",
     ),
     "int_billing__invoice_enriched": """
-SELECT li.line_item_id, li.invoice_id, li.product_id, li.description AS line_description, li.quantity,
-    li.unit_price, li.amount, li.tax_amount, inv.customer_id, inv.household_id, inv.contract_id,
-    inv.invoice_date, inv.due_date, inv.status AS invoice_status, p.product_name,
-    p.category AS product_category, p.pricing_tier, c.contract_type, c.tariff_plan_id,
-    CASE p.category WHEN 'device' THEN 'hardware_revenue' WHEN 'service' THEN 'service_revenue'
-        WHEN 'bundle' THEN 'bundle_revenue' ELSE 'other_revenue' END AS revenue_classification,
-    li.amount - coalesce(li.tax_amount, 0) AS net_amount
-FROM stg_oltp__invoice_line_items li
-JOIN stg_oltp__invoices inv USING (invoice_id)
-LEFT JOIN stg_oltp__products p ON li.product_id = p.product_id
-LEFT JOIN stg_oltp__contracts c ON inv.contract_id = c.contract_id""",
+SELECT li.* EXCLUDE (description, created_at, updated_at, _source_ts, _loaded_at, _connector_batch_id),
+    li.description AS line_description, i.customer_id, i.household_id, i.contract_id, i.invoice_date, i.due_date,
+    i.status AS invoice_status, p.product_name, p.category AS product_category, p.pricing_tier, k.contract_type,
+    k.tariff_plan_id, amount - coalesce(li.tax_amount, 0) AS net_amount,
+    coalesce(map {'device': 'hardware_revenue', 'service': 'service_revenue', 'bundle': 'bundle_revenue'}[p.category],
+        'other_revenue') AS revenue_classification
+FROM stg_oltp__invoice_line_items li JOIN stg_oltp__invoices i USING (invoice_id)
+LEFT JOIN stg_oltp__products p USING (product_id) LEFT JOIN stg_oltp__contracts k USING (contract_id)""",
     "int_customer__unified_profile": """
-SELECT * EXCLUDE (rn) FROM (
-    SELECT o.customer_id, o.email AS oltp_email, o.first_name, o.last_name, o.phone, o.address,
-        o.postal_code, o.municipality, o.region, o.country, o.segment, o.status, o.created_at, o.updated_at,
-        c.contact_id AS crm_contact_id, c.account_id AS crm_account_id, c.title AS crm_title,
-        c.department AS crm_department, a.account_name AS crm_account_name,
-        CASE WHEN c.contact_id IS NOT NULL THEN 'matched' ELSE 'oltp_only' END AS match_status,
-        row_number() OVER (PARTITION BY o.customer_id ORDER BY (c.contact_id IS NULL),
-            c.last_modified_date DESC NULLS LAST, c.created_date DESC NULLS LAST,
-            c.contact_id DESC NULLS LAST) AS rn
-    FROM stg_oltp__customers o
-    LEFT JOIN stg_crm__contacts c ON lower(o.email) = lower(c.email)
-    LEFT JOIN stg_crm__accounts a ON c.account_id = a.account_id
-) WHERE rn = 1""",
+SELECT DISTINCT ON (o.customer_id) o.* EXCLUDE (email, _source_ts, _loaded_at, _connector_batch_id),
+    o.email AS oltp_email, c.contact_id AS crm_contact_id, c.account_id AS crm_account_id, c.title AS crm_title,
+    c.department AS crm_department, a.account_name AS crm_account_name,
+    if(c.contact_id IS NULL, 'oltp_only', 'matched') AS match_status
+FROM stg_oltp__customers o
+LEFT JOIN stg_crm__contacts c ON lower(o.email) = lower(c.email)
+LEFT JOIN stg_crm__accounts a USING (account_id)
+ORDER BY o.customer_id, c.contact_id IS NULL, c.last_modified_date DESC NULLS LAST,
+    c.created_date DESC NULLS LAST, c.contact_id DESC NULLS LAST""",
     "int_device__lifecycle": f"""
-SELECT d.device_id, d.device_serial, d.household_id, d.device_type, d.manufacturer, d.model,
-    d.firmware_version, d.installed_at, d.status AS source_status, s.status AS latest_telemetry_status,
-    s.event_timestamp AS last_status_timestamp,
-    CASE WHEN d.status = 'decommissioned' THEN 'decommissioned'
-        WHEN s.status = 'offline' AND date_diff('hour', s.event_timestamp, {NOW}) > 72 THEN 'decommissioned'
-        WHEN s.status = 'degraded' THEN 'degraded' WHEN s.status = 'offline' THEN 'inactive'
-        WHEN s.status = 'online' THEN 'active'
-        WHEN d.installed_at IS NOT NULL AND d.status = 'active' THEN 'active'
-        ELSE 'provisioned' END AS lifecycle_state,
-    d.created_at, d.updated_at
+SELECT d.* EXCLUDE (status, _source_ts, _loaded_at, _connector_batch_id), d.status AS source_status,
+    s.status AS latest_telemetry_status, s.event_timestamp AS last_status_timestamp,
+    coalesce(
+        if(d.status = 'decommissioned' OR (s.status = 'offline'
+            AND date_diff('hour', s.event_timestamp, {NOW}) > 72), 'decommissioned', NULL),
+        CASE s.status WHEN 'degraded' THEN 'degraded' WHEN 'offline' THEN 'inactive' WHEN 'online' THEN 'active' END,
+        if(d.status = 'active' AND d.installed_at IS NOT NULL, 'active', 'provisioned')) AS lifecycle_state
 FROM stg_oltp__devices d LEFT JOIN (
     {latest("stg_iot__device_status", "device_id", "event_timestamp")}
 ) s ON CAST(d.device_id AS VARCHAR) = s.device_id""",
@@ -151,18 +157,15 @@ FULL JOIN (SELECT device_id, CAST(event_timestamp AS DATE) AS reading_date,
         FROM stg_iot__temperature_readings GROUP BY 1, 2) t
     ON e.device_id = t.device_id AND e.reading_date = t.reading_date""",
     "int_service__ticket_enriched": """
-SELECT c.case_id AS ticket_id, c.account_id, c.contact_id, ct.email AS contact_email, c.subject, c.description,
-    c.status AS ticket_status, c.priority, c.severity, c.origin, c.created_date AS opened_at,
-    CAST(c.created_date + INTERVAL 1 DAY AS DATE) AS assigned_at, cc.first_response_at,
-    CASE WHEN c.status = 'closed' THEN c.closed_date END AS resolved_at, c.closed_date AS closed_at,
-    CAST(24 AS BIGINT) AS time_to_assign_hours,
-    date_diff('hour', c.created_date, cc.first_response_at) AS time_to_first_response_hours,
-    date_diff('hour', c.created_date, c.closed_date) AS time_to_resolve_hours,
-    cc.comment_count, c.last_modified_date
-FROM stg_crm__cases c
-LEFT JOIN (SELECT case_id, min(created_date) AS first_response_at, count(*) AS comment_count
-    FROM stg_crm__case_comments GROUP BY 1) cc ON c.case_id = cc.case_id
-LEFT JOIN stg_crm__contacts ct ON c.contact_id = ct.contact_id""",
+SELECT t.* EXCLUDE (_loaded_at, _sync_id, first_response_at, comment_count), t.first_response_at, t.comment_count,
+    p.email AS contact_email, CAST(opened_at + INTERVAL 1 DAY AS DATE) AS assigned_at,
+    if(ticket_status = 'closed', closed_at, NULL) AS resolved_at, CAST(24 AS BIGINT) AS time_to_assign_hours,
+    date_diff('hour', opened_at, first_response_at) AS time_to_first_response_hours,
+    date_diff('hour', opened_at, closed_at) AS time_to_resolve_hours
+FROM (SELECT * RENAME (case_id AS ticket_id, status AS ticket_status, created_date AS opened_at, closed_date AS closed_at)
+    FROM stg_crm__cases LEFT JOIN (SELECT case_id, min(created_date) AS first_response_at, count(*) AS comment_count
+        FROM stg_crm__case_comments GROUP BY case_id) USING (case_id)) t
+LEFT JOIN stg_crm__contacts p USING (contact_id)""",
     "dim_customer": f"""
 SELECT {sk('customer_id', 'updated_at')} AS customer_sk, customer_id, email, first_name, last_name, phone,
     address, postal_code, municipality, region, country, segment, status, updated_at AS valid_from,
@@ -198,51 +201,34 @@ SELECT h * 100 + m AS time_key, h AS hour, m AS minute,
         AS time_of_day_band, h BETWEEN 8 AND 16 AS is_business_hour
 FROM (SELECT i // 60 AS h, i % 60 AS m FROM range(1440) r(i))""",
     "dim_geography": f"""
-SELECT {sk('postal_code', 'municipality', 'country')} AS geography_sk, postal_code, municipality,
-    min(region) AS region, country
-FROM (SELECT postal_code, municipality, region, country FROM stg_oltp__customers
-    UNION ALL SELECT postal_code, municipality, NULL, country FROM stg_oltp__households)
-WHERE postal_code IS NOT NULL GROUP BY postal_code, municipality, country""",
+SELECT {sk('postal_code', 'municipality', 'country')} AS geography_sk, * FROM (
+    SELECT postal_code, municipality, country, min(region) AS region FROM (
+        SELECT postal_code, municipality, country, region FROM stg_oltp__customers
+        UNION ALL BY NAME SELECT postal_code, municipality, country FROM stg_oltp__households)
+    WHERE postal_code IS NOT NULL GROUP BY ALL)""",
     "bridge_household_device": """
-SELECT h.household_sk, d.device_sk, l.device_id, l.household_id, l.installed_at AS effective_from,
-    CASE WHEN l.lifecycle_state = 'decommissioned' THEN l.updated_at END AS effective_to
-FROM int_device__lifecycle l JOIN dim_household h USING (household_id) JOIN dim_device d ON l.device_id = d.device_id""",
+SELECT household_sk, device_sk, device_id, household_id, installed_at AS effective_from,
+    if(lifecycle_state = 'decommissioned', updated_at, NULL) AS effective_to
+FROM dim_device JOIN (SELECT household_sk, household_id FROM dim_household) USING (household_id)""",
     "fct_invoices": f"""
-SELECT {sk('e.line_item_id')} AS invoice_line_sk, e.line_item_id, e.invoice_id, dc.customer_sk, dh.household_sk,
-    dp.product_sk, dk.contract_sk, dd.date_key AS invoice_date_key, e.line_description, e.quantity, e.unit_price,
-    e.amount, e.tax_amount, e.net_amount, e.invoice_status, e.product_category, e.revenue_classification
-FROM int_billing__invoice_enriched e
-LEFT JOIN dim_customer dc ON e.customer_id = dc.customer_id AND dc.is_current
-LEFT JOIN dim_household dh ON e.household_id = dh.household_id
-LEFT JOIN dim_product dp ON e.product_id = dp.product_id
-LEFT JOIN dim_contract dk ON e.contract_id = dk.contract_id AND dk.is_current
-LEFT JOIN dim_date dd ON e.invoice_date = dd.full_date""",
+SELECT {sk('line_item_id')} AS invoice_line_sk, customer_sk, household_sk, product_sk, contract_sk,
+    invoice_date_key, line_item_id, invoice_id, line_description, quantity, unit_price, amount, tax_amount,
+    net_amount, invoice_status, product_category, revenue_classification
+FROM ({star("int_billing__invoice_enriched", "customer household product contract", "invoice_date")})""",
     "fct_payments": f"""
-SELECT {sk('p.payment_id')} AS payment_sk, p.payment_id, p.invoice_id, dc.customer_sk, dh.household_sk,
-    dk.contract_sk, dd.date_key AS payment_date_key, p.payment_amount, p.payment_method,
-    p.status AS payment_status, coalesce(p.payment_date > i.due_date, FALSE) AS is_late_payment
-FROM stg_oltp__payments p
-LEFT JOIN stg_oltp__invoices i ON p.invoice_id = i.invoice_id
-LEFT JOIN dim_customer dc ON p.customer_id = dc.customer_id AND dc.is_current
-LEFT JOIN dim_household dh ON i.household_id = dh.household_id
-LEFT JOIN dim_contract dk ON i.contract_id = dk.contract_id AND dk.is_current
-LEFT JOIN dim_date dd ON p.payment_date = dd.full_date""",
+SELECT {sk('payment_id')} AS payment_sk, customer_sk, household_sk, contract_sk, payment_date_key, payment_id,
+    invoice_id, payment_amount, payment_method, status AS payment_status,
+    coalesce(payment_date > due_date, FALSE) AS is_late_payment
+FROM ({star("(SELECT p.*, i.household_id, i.contract_id, i.due_date FROM stg_oltp__payments p "
+            "LEFT JOIN stg_oltp__invoices i USING (invoice_id))", "customer household contract", "payment_date")})""",
     "fct_contract_lifecycle": f"""
-SELECT {sk('c.contract_id')} AS contract_lifecycle_sk, c.contract_id, dc.customer_sk, dh.household_sk, dp.product_sk,
-    dk.contract_sk, ds.date_key AS start_date_key, de.date_key AS end_date_key, c.contract_type, c.status,
-    c.created_at, c.created_at AS created_at_milestone,
-    CASE WHEN c.status IN ('active', 'renewed', 'cancelled', 'expired') THEN c.start_date END AS activated_at,
-    CASE WHEN c.status = 'renewed' THEN c.updated_at END AS renewed_at,
-    CASE WHEN c.status = 'cancelled' THEN c.updated_at END AS cancelled_at,
-    date_diff('day', c.start_date, coalesce(c.end_date, CAST({NOW} AS DATE))) AS contract_duration_days,
-    c.monthly_amount
-FROM stg_oltp__contracts c
-LEFT JOIN dim_customer dc ON c.customer_id = dc.customer_id AND dc.is_current
-LEFT JOIN dim_household dh ON c.household_id = dh.household_id
-LEFT JOIN dim_product dp ON c.product_id = dp.product_id
-LEFT JOIN dim_contract dk ON c.contract_id = dk.contract_id AND dk.is_current
-LEFT JOIN dim_date ds ON c.start_date = ds.full_date
-LEFT JOIN dim_date de ON c.end_date = de.full_date""",
+SELECT {sk('contract_id')} AS contract_lifecycle_sk, customer_sk, household_sk, product_sk, contract_sk,
+    start_date_key, end_date_key, contract_id, contract_type, status, created_at,
+    created_at AS created_at_milestone, monthly_amount,
+    if(status IN ('active', 'renewed', 'cancelled', 'expired'), start_date, NULL) AS activated_at,
+    if(status = 'renewed', updated_at, NULL) AS renewed_at, if(status = 'cancelled', updated_at, NULL) AS cancelled_at,
+    coalesce(end_date, CAST({NOW} AS DATE)) - start_date AS contract_duration_days
+FROM ({star("stg_oltp__contracts", "customer household product contract", "start_date end_date")})""",
     "all_events": """
 SELECT device_id, event_timestamp, 'energy_reading' AS event_type, CAST(kwh_reading AS DECIMAL(12,4)) AS reading_value
 FROM stg_iot__energy_readings
@@ -251,33 +237,27 @@ FROM stg_iot__temperature_readings
 UNION ALL SELECT device_id, event_timestamp, 'device_status', CAST(NULL AS DECIMAL(12,4)) FROM stg_iot__device_status
 UNION ALL SELECT device_id, event_timestamp, 'alert_event', actual_value FROM stg_iot__alert_events""",
     "fct_device_telemetry": f"""
-SELECT {sk("device_id", "event_timestamp", "event_type", "coalesce(CAST(reading_value AS VARCHAR), '__NULL__')", "rn")}
-    AS telemetry_sk, device_sk, household_sk, date_key, time_key, device_id, event_timestamp, event_type, reading_value
-FROM (SELECT e.*, d.device_sk, h.household_sk, dd.date_key, dt.time_key,
-        row_number() OVER (PARTITION BY e.device_id, e.event_timestamp, e.event_type
-            ORDER BY coalesce(e.reading_value, -999999999), coalesce(d.device_sk, ''), coalesce(h.household_sk, ''))
-            AS rn
-    FROM all_events e
-    LEFT JOIN dim_device d ON e.device_id = CAST(d.device_id AS VARCHAR)
-    LEFT JOIN dim_household h ON d.household_id = h.household_id
-    LEFT JOIN dim_date dd ON CAST(e.event_timestamp AS DATE) = dd.full_date
-    LEFT JOIN dim_time dt ON hour(e.event_timestamp) * 100 + minute(e.event_timestamp) = dt.time_key)""",
+SELECT {sk("device_id", "event_timestamp", "event_type", "coalesce(CAST(reading_value AS VARCHAR), '__NULL__')", "n")}
+    AS telemetry_sk, device_sk, household_sk, day_key AS date_key, time_key, device_id, event_timestamp, event_type,
+    reading_value
+FROM ({star('''(SELECT e.*, CAST(event_timestamp AS DATE) AS day, row_number() OVER (
+        PARTITION BY device_id, event_timestamp, event_type ORDER BY coalesce(reading_value, -999999999)) AS n,
+        d.device_sk, d.household_id
+    FROM all_events e LEFT JOIN (SELECT * RENAME (device_id AS number) FROM dim_device) d
+        ON e.device_id = CAST(d.number AS VARCHAR))''', "household", "day")})
+LEFT JOIN dim_time ON time_key = hour(event_timestamp) * 100 + minute(event_timestamp)""",
     "fct_energy_usage_daily": f"""
-SELECT {sk('u.device_id', 'u.reading_date')} AS energy_usage_daily_sk, d.device_sk, h.household_sk, c.customer_sk,
-    dd.date_key, u.device_id, u.reading_date, u.total_kwh, u.peak_kwh, u.avg_temperature,
-    u.total_reading_count AS reading_count
-FROM int_device__telemetry_daily u
-LEFT JOIN dim_device d ON u.device_id = CAST(d.device_id AS VARCHAR)
-LEFT JOIN dim_household h ON d.household_id = h.household_id
-LEFT JOIN dim_customer c ON h.customer_id = c.customer_id AND c.is_current
-LEFT JOIN dim_date dd ON u.reading_date = dd.full_date""",
+SELECT {sk('device_id', 'reading_date')} AS energy_usage_daily_sk, device_sk, household_sk, customer_sk,
+    reading_date_key AS date_key, device_id, reading_date, total_kwh, peak_kwh, avg_temperature,
+    total_reading_count AS reading_count
+FROM ({star('''(SELECT u.*, d.device_sk, d.household_id, h.customer_id
+    FROM int_device__telemetry_daily u
+    LEFT JOIN (SELECT * RENAME (device_id AS number) FROM dim_device) d ON u.device_id = CAST(d.number AS VARCHAR)
+    LEFT JOIN stg_oltp__households h USING (household_id))''', "household customer", "reading_date")})""",
     "fct_service_ticket_lifecycle": f"""
-SELECT {sk('t.ticket_id')} AS service_ticket_sk, t.ticket_id, o.date_key AS opened_date_key,
-    c.date_key AS closed_date_key, t.subject, t.ticket_status, t.priority, t.severity, t.origin, t.opened_at,
-    t.assigned_at, t.first_response_at, t.resolved_at, t.closed_at, t.time_to_assign_hours,
-    t.time_to_first_response_hours, t.time_to_resolve_hours, t.comment_count
-FROM int_service__ticket_enriched t
-LEFT JOIN dim_date o ON t.opened_at = o.full_date LEFT JOIN dim_date c ON t.closed_at = c.full_date""",
+SELECT {sk('ticket_id')} AS service_ticket_sk, opened_at_key AS opened_date_key, closed_at_key AS closed_date_key,
+    * EXCLUDE (account_id, contact_id, contact_email, description, last_modified_date, opened_at_key, closed_at_key)
+FROM ({star("int_service__ticket_enriched", "", "opened_at closed_at")})""",
     "bridge_service_ticket_customer": f"""
 SELECT {sk('ticket_id', 'customer_sk')} AS service_ticket_customer_sk, ticket_id, customer_sk, customer_id,
     CAST(1 AS DOUBLE) / count(*) OVER (PARTITION BY ticket_id) AS allocation_pct
@@ -286,29 +266,20 @@ FROM (SELECT DISTINCT t.ticket_id, c.customer_sk, c.customer_id
     JOIN int_customer__unified_profile p ON t.contact_id = p.crm_contact_id
     JOIN dim_customer c ON p.customer_id = c.customer_id AND c.is_current)""",
     "customer_360": f"""
-SELECT {sk('u.customer_id')} AS customer_360_sk, u.customer_id, u.oltp_email AS email, u.first_name, u.last_name,
-    u.phone, u.address, u.postal_code, u.municipality, u.region, u.country, u.segment, u.status, u.match_status,
-    u.crm_contact_id, u.crm_account_name, u.crm_title, u.crm_department,
-    coalesce(c.total_contracts, 0) AS total_contracts, coalesce(c.active_contracts, 0) AS active_contracts,
-    coalesce(d.active_device_count, 0) AS active_device_count, coalesce(d.total_device_count, 0) AS total_device_count,
-    coalesce(i.lifetime_invoice_total, 0) AS lifetime_invoice_total,
-    coalesce(k.total_service_tickets, 0) AS total_service_tickets,
-    greatest(coalesce(CAST(i.last_invoice_date AS TIMESTAMP), TIMESTAMP '1900-01-01'),
-        coalesce(CAST(k.last_ticket_date AS TIMESTAMP), TIMESTAMP '1900-01-01'),
-        coalesce(u.updated_at, TIMESTAMP '1900-01-01')) AS last_interaction_date,
-    u.created_at, u.updated_at
+SELECT {sk('customer_id')} AS customer_360_sk, u.* EXCLUDE (crm_account_id) RENAME (oltp_email AS email),
+    {", ".join(f"coalesce({c}, 0) AS {c}" for c in (
+        "total_contracts", "active_contracts", "active_device_count", "total_device_count",
+        "lifetime_invoice_total", "total_service_tickets"))},
+    list_max([TIMESTAMP '1900-01-01', billed, asked, updated_at]) AS last_interaction_date
 FROM int_customer__unified_profile u
-LEFT JOIN (SELECT customer_id, count(*) AS total_contracts,
-    count(*) FILTER (WHERE status = 'active') AS active_contracts
-    FROM stg_oltp__contracts GROUP BY 1) c ON u.customer_id = c.customer_id
-LEFT JOIN (SELECT h.customer_id, count(*) FILTER (WHERE l.lifecycle_state = 'active') AS active_device_count,
-    count(*) AS total_device_count FROM int_device__lifecycle l
-    JOIN stg_oltp__households h ON l.household_id = h.household_id GROUP BY 1) d ON u.customer_id = d.customer_id
-LEFT JOIN (SELECT customer_id, sum(total_amount) AS lifetime_invoice_total, max(invoice_date) AS last_invoice_date
-    FROM stg_oltp__invoices GROUP BY 1) i ON u.customer_id = i.customer_id
-LEFT JOIN (SELECT b.customer_id, count(DISTINCT t.ticket_id) AS total_service_tickets,
-    max(t.opened_at) AS last_ticket_date FROM bridge_service_ticket_customer b
-    JOIN fct_service_ticket_lifecycle t ON b.ticket_id = t.ticket_id GROUP BY 1) k ON u.customer_id = k.customer_id""",
+LEFT JOIN (SELECT customer_id, count(*) AS total_contracts, count_if(status = 'active') AS active_contracts
+    FROM stg_oltp__contracts GROUP BY ALL) USING (customer_id)
+LEFT JOIN (SELECT h.customer_id, count(*) AS total_device_count, count_if(lifecycle_state = 'active') AS active_device_count
+    FROM int_device__lifecycle JOIN stg_oltp__households h USING (household_id) GROUP BY ALL) USING (customer_id)
+LEFT JOIN (SELECT customer_id, sum(total_amount) AS lifetime_invoice_total, CAST(max(invoice_date) AS TIMESTAMP) AS billed
+    FROM stg_oltp__invoices GROUP BY ALL) USING (customer_id)
+LEFT JOIN (SELECT customer_id, count(DISTINCT ticket_id) AS total_service_tickets, CAST(max(opened_at) AS TIMESTAMP) AS asked
+    FROM bridge_service_ticket_customer JOIN fct_service_ticket_lifecycle USING (ticket_id) GROUP BY ALL) USING (customer_id)""",
     "invoice_star": """
 SELECT f.*, c.customer_id, c.segment, c.region, k.contract_type, p.category, d.year, d.quarter, d.month_name
 FROM fct_invoices f
