@@ -19,43 +19,53 @@ OTHER_REVENUE = "other_revenue"
 SILENT_HOURS = 72
 
 
-def invoice_enriched(
-    line_items: DataFrame, invoices: DataFrame, products: DataFrame, contracts: DataFrame
-) -> DataFrame:
-    """Line items with their invoice, product and contract.
+def invoice_lines(line_items: DataFrame) -> DataFrame:
+    return line_items.select(
+        "line_item_id", "invoice_id", "product_id", F.col("description").alias("line_description"),
+        "quantity", "unit_price", "amount", "tax_amount",
+    )
+
+
+def with_revenue(lines: DataFrame) -> DataFrame:
+    """Revenue class and net amount of lines that know their product category.
 
     ``net_amount`` subtracts the tax although the amount excludes it already; the rule is
     fixed by a unit test of the data model.
     """
-    header = invoices.select(
-        "invoice_id", "customer_id", "household_id", "contract_id", "invoice_date", "due_date",
-        F.col("status").alias("invoice_status"),
-    )
-    lines = line_items.select(
-        "line_item_id", "invoice_id", "product_id", F.col("description").alias("line_description"),
-        "quantity", "unit_price", "amount", "tax_amount",
+    category = F.col("product_category")
+    revenue = F.coalesce(
+        *[F.when(category == c, name) for c, name in REVENUE_CLASSES.items()], F.lit(OTHER_REVENUE)
     )
-    joined = lines.join(header, "invoice_id")
-    joined = lookup(
-        joined, products, "product_id", "product_id",
-        {"product_name": "product_name", "category": "product_category", "pricing_tier": "pricing_tier"},
-    )
-    joined = lookup(
-        joined, contracts, "contract_id", "contract_id",
-        {"contract_type": "contract_type", "tariff_plan_id": "tariff_plan_id"},
-    )
-    revenue = F.lit(None)
-    for position, (category, name) in enumerate(REVENUE_CLASSES.items()):
-        matches = F.col("product_category") == category
-        revenue = F.when(matches, name) if position == 0 else revenue.when(matches, name)
-    return joined.withColumns(
+    return lines.withColumns(
         {
-            "revenue_classification": revenue.otherwise(OTHER_REVENUE),
+            "revenue_classification": revenue,
             "net_amount": F.col("amount") - F.coalesce("tax_amount", F.lit(0)),
         }
     )
 
 
+def invoice_enriched(
+    line_items: DataFrame, invoices: DataFrame, products: DataFrame, contracts: DataFrame
+) -> DataFrame:
+    """Line items with their invoice, product and contract.
+
+    The contract is looked up once per invoice, before the lines multiply it.
+    """
+    header = lookup(
+        invoices.select(
+            "invoice_id", "customer_id", "household_id", "contract_id", "invoice_date", "due_date",
+            F.col("status").alias("invoice_status"),
+        ),
+        contracts, "contract_id", "contract_id",
+        {"contract_type": "contract_type", "tariff_plan_id": "tariff_plan_id"},
+    )
+    lines = lookup(
+        invoice_lines(line_items).join(header, "invoice_id"), products, "product_id", "product_id",
+        {"product_name": "product_name", "category": "product_category", "pricing_tier": "pricing_tier"},
+    )
+    return with_revenue(lines)
+
+
 def best_contact_per_email(contacts: DataFrame) -> DataFrame:
     """The contact an email address stands for: newest change, newest creation, highest id."""
     keyed = contacts.withColumn("_email", F.lower("email")).filter(F.col("_email").isNotNull())

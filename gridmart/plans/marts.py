@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clock_key, minute_of_day, surrogate_key
-from ..operators.joins import equal_weights, full_outer, lookup, one_per_key
+from ..operators.joins import equal_weights, lookup, one_per_key
 from ..operators.slices import occurrence_ordinal
+from .intermediate import invoice_lines, with_revenue
 
 # Statuses a started contract can have, and stand-ins of the data model.
 STARTED = ("active", "renewed", "cancelled", "expired")
@@ -121,16 +122,29 @@ def _key(facts: DataFrame, dim: DataFrame, natural: str, key: str) -> DataFrame:
 
 
 def fct_invoices(
-    enriched: DataFrame, customers: DataFrame, households: DataFrame, products: DataFrame,
-    contracts: DataFrame, dates: DataFrame,
+    line_items: DataFrame, invoices: DataFrame, customers: DataFrame, households: DataFrame,
+    products: DataFrame, contracts: DataFrame, dates: DataFrame,
 ) -> DataFrame:
-    """One row per invoice line with five dimension keys (C17)."""
-    facts = _key(enriched, current(customers), "customer_id", "customer_sk")
-    facts = _key(facts, households, "household_id", "household_sk")
-    facts = _key(facts, products, "product_id", "product_sk")
-    facts = _key(facts, current(contracts), "contract_id", "contract_sk")
-    facts = _calendar(facts, dates, F.col("invoice_date"), "invoice_date_key")
-    return facts.select(
+    """One row per invoice line with five dimension keys (C17).
+
+    What hangs on the invoice is looked up per invoice. Lines are shuffled to their
+    invoice and to their product, and for nothing else.
+    """
+    header = invoices.select(
+        "invoice_id", "customer_id", "household_id", "contract_id", "invoice_date",
+        F.col("status").alias("invoice_status"),
+    )
+    header = _key(header, current(customers), "customer_id", "customer_sk")
+    header = _key(header, households, "household_id", "household_sk")
+    header = _key(header, current(contracts), "contract_id", "contract_sk")
+    header = _calendar(header, dates, F.col("invoice_date"), "invoice_date_key").select(
+        "invoice_id", "customer_sk", "household_sk", "contract_sk", "invoice_date_key", "invoice_status"
+    )
+    lines = lookup(
+        invoice_lines(line_items).join(header, "invoice_id"), products, "product_id", "product_id",
+        {"product_sk": "product_sk", "category": "product_category"},
+    )
+    return with_revenue(lines).select(
         surrogate_key("line_item_id").alias("invoice_line_sk"),
         "line_item_id", "invoice_id", "customer_sk", "household_sk", "product_sk", "contract_sk",
         "invoice_date_key", "line_description", "quantity", "unit_price", "amount", "tax_amount",
@@ -142,14 +156,18 @@ def fct_payments(
     payments: DataFrame, invoices: DataFrame, customers: DataFrame, households: DataFrame,
     contracts: DataFrame, dates: DataFrame,
 ) -> DataFrame:
-    """One row per payment; late if paid after the due date, not late if either is unknown."""
+    """One row per payment; late if paid after the due date, not late if either is unknown.
+
+    Household and contract come with the invoice and are looked up there.
+    """
+    header = invoices.select("invoice_id", "household_id", "contract_id", "due_date")
+    header = _key(header, households, "household_id", "household_sk")
+    header = _key(header, current(contracts), "contract_id", "contract_sk")
     facts = lookup(
-        payments, invoices, "invoice_id", "invoice_id",
-        {"household_id": "household_id", "contract_id": "contract_id", "due_date": "due_date"},
+        payments, header, "invoice_id", "invoice_id",
+        {"household_sk": "household_sk", "contract_sk": "contract_sk", "due_date": "due_date"},
     )
     facts = _key(facts, current(customers), "customer_id", "customer_sk")
-    facts = _key(facts, households, "household_id", "household_sk")
-    facts = _key(facts, current(contracts), "contract_id", "contract_sk")
     facts = _calendar(facts, dates, F.col("payment_date"), "payment_date_key")
     late = F.coalesce(F.col("payment_date") > F.col("due_date"), F.lit(False))
     return facts.select(
@@ -204,6 +222,28 @@ def all_events(
     )
 
 
+def device_homes(
+    devices: DataFrame, households: DataFrame, customers: DataFrame | None = None
+) -> DataFrame:
+    """Per device, as telemetry names it: the keys of the device, its household, its customer.
+
+    Joined among dimensions, so that events and readings need one lookup instead of three.
+    Each dimension is held to one row per natural key (J9).
+    """
+    homes = one_per_key(
+        devices.select(F.col("device_id").cast("string").alias("_device"), "device_sk", "household_id"),
+        "_device", "device_sk",
+    )
+    places = one_per_key(households, "household_id", "household_sk")
+    if customers is None:
+        return lookup(homes, places, "household_id", "household_id", {"household_sk": "household_sk"})
+    homes = lookup(
+        homes, places, "household_id", "household_id",
+        {"household_sk": "household_sk", "customer_id": "customer_id"},
+    )
+    return _key(homes, current(customers), "customer_id", "customer_sk")
+
+
 def fct_device_telemetry(
     events: DataFrame, devices: DataFrame, households: DataFrame, dates: DataFrame,
     times: DataFrame, unique_events: bool = True, time_of: str = "clock",
@@ -224,13 +264,8 @@ def fct_device_telemetry(
             ["device_id", "event_timestamp", "event_type"], ["_order"], "_ordinal",
         ).drop("_order")
     facts = lookup(
-        events,
-        one_per_key(devices.withColumn("_device", F.col("device_id").cast("string")), "_device", "device_sk"),
-        "device_id", "_device", {"device_sk": "device_sk", "household_id": "household_id"},
-    )
-    facts = lookup(
-        facts, one_per_key(households, "household_id", "household_sk"),
-        "household_id", "household_id", {"household_sk": "household_sk"},
+        events, device_homes(devices, households), "device_id", "_device",
+        {"device_sk": "device_sk", "household_sk": "household_sk"},
     )
     moment = F.col("event_timestamp")
     facts = _calendar(facts, one_per_key(dates, "full_date", "date_key"), F.to_date(moment), "date_key")
@@ -253,14 +288,9 @@ def fct_energy_usage_daily(
     """One row per device-day (C21). Its key hashes the fact's own device id, so unknown
     devices keep distinct keys."""
     facts = lookup(
-        daily, devices.withColumn("_device", F.col("device_id").cast("string")),
-        "device_id", "_device", {"device_sk": "device_sk", "household_id": "household_id"},
-    )
-    facts = lookup(
-        facts, households, "household_id", "household_id",
-        {"household_sk": "household_sk", "customer_id": "customer_id"},
+        daily, device_homes(devices, households, customers), "device_id", "_device",
+        {"device_sk": "device_sk", "household_sk": "household_sk", "customer_sk": "customer_sk"},
     )
-    facts = _key(facts, current(customers), "customer_id", "customer_sk")
     facts = _calendar(facts, dates, F.col("reading_date"), "date_key")
     return facts.select(
         surrogate_key("device_id", "reading_date").alias("energy_usage_daily_sk"),

@@ -172,7 +172,8 @@ _MODELS = {
     ),
     "fct_invoices": (
         lambda wh, *m: marts.fct_invoices(*m),
-        ("int_billing__invoice_enriched", "dim_customer", "dim_household", "dim_product", "dim_contract", "dim_date"),
+        ("stg_oltp__invoice_line_items", "stg_oltp__invoices", "dim_customer", "dim_household",
+         "dim_product", "dim_contract", "dim_date"),
     ),
     "fct_payments": (
         lambda wh, *m: marts.fct_payments(*m),
