@@ -157,6 +157,8 @@ def occurrence_ordinal(
 ) -> DataFrame:
     """Number the rows of each group by the numeric columns ``order``, NULL first.
 
+    Integers must be exact as doubles, that is below 2^53.
+
     Without a hot group, known after one count per group, this is a plain window. With
     one, rows are cut by quantiles of the first column; where a slice holds one value
     only, by the next column; and rows equal in all of them, which may be numbered in any

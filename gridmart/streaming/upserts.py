@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.current import cdc_current, latest_per_key, newest_first, telemetry_stage
 from ..operators.scd2 import scd2_merge
 from ..plans.serving import connectivity
-from ..sources.sinks import read_if_exists
+from ..sources.sinks import read_if_exists, write_table
 
 BUCKETS = 256
 BUCKET = "bucket"
@@ -34,25 +34,29 @@ def merge_partitions(
 ) -> None:
     """Replace the partitions of ``table`` that ``batch`` touches by ``merge(stored, batch)``.
 
-    The merged rows are written under ``work`` first, marked as complete, and only then
-    copied over the table, because a partition cannot be read and overwritten in one
-    job. A repeated batch finds the mark and copies the same rows again.
+    Three tables under ``work``, overwritten by every batch: the incoming rows, so that
+    the micro-batch is computed once; the merged rows, because a partition cannot be read
+    and overwritten in one job; and a mark with the number of the batch whose merged rows
+    are complete. A batch that died while they were copied finds its mark when it runs
+    again and copies the same rows.
     """
     spark = batch.sparkSession
-    staged, mark = f"{work}/batch-{batch_id}/rows", f"{work}/batch-{batch_id}/complete"
-    if read_if_exists(spark, mark) is None:
+    staged, mark = f"{work}/merged", f"{work}/complete"
+    done = read_if_exists(spark, mark)
+    if done is None or done.first()[0] != batch_id:
+        incoming = write_table(batch, f"{work}/incoming")
         # One value per partition of the table, never per row.
-        touched = [r[0] for r in batch.select(partition).distinct().collect()]
+        touched = [r[0] for r in incoming.select(partition).distinct().collect()]
         if not touched:
             return
         stored = read_if_exists(spark, table)
         before = None
         if stored is not None:
-            before = stored.select(*batch_columns(stored, batch)).filter(
+            before = stored.select(*batch_columns(stored, incoming)).filter(
                 F.col(partition).isin(touched)
             )
-        merge(before, batch).write.mode("overwrite").partitionBy(partition).parquet(staged)
-        spark.range(1).write.mode("overwrite").parquet(mark)
+        merge(before, incoming).write.mode("overwrite").partitionBy(partition).parquet(staged)
+        spark.range(1).select(F.lit(batch_id).alias("batch")).write.mode("overwrite").parquet(mark)
     (
         spark.read.parquet(staged)
         .write.mode("overwrite")
