@@ -108,8 +108,10 @@ def append_new_events(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        staged = telemetry_stage(batch, event_type, fields).withColumn(
-            "event_date", F.to_date("event_timestamp")
+        typed = telemetry_stage(batch, event_type, fields)
+        staged = write_table(  # the micro-batch is computed once
+            typed.withColumn("event_date", F.to_date("event_timestamp")),
+            f"{checkpoint}-work/incoming",
         )
         stored = read_if_exists(spark, table)
         if stored is not None:
