@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridmart.session import scratch_path
 
-from . import sketch, warc
+from . import packing, pieces, sketch, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,34 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in full sequences; the ids stay behind once their checksum is taken."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    found = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded with its byte spans, and decoded again."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    found = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    last = F.element_at("ends", -1).cast("long")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        last.alias("n_bytes"),
+        F.xxhash64("begins", "ends").alias("spans_hash"),
+    )
+
+
 @query
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k sketches of every document and of its half-replaced edit, and their likeness."""
