@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridmart.session import scratch_path
 
-from . import packing, pieces, sketch, warc
+from . import langid, licences, packing, pieces, sketch, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,25 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and template spans of every text."""
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    named = F.array_union("base_labels", F.transform("spans", lambda s: s["label"]))
+    joined = lambda labels: F.array_join(F.sort_array(F.array_distinct(labels)), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        joined(F.col("base_labels")).alias("base_labels"),
+        joined(named).alias("labels"),
+        "score",
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
 @query
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k sketches of every document and of its half-replaced edit, and their likeness."""
@@ -85,3 +104,13 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path).drop("payload", "url")
 
 
+
+
+@query
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicts every text's language from profiles of three quarters of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    out = langid.held_out(F.col("doc_id"), 4, 2)
+    profiles = langid.learn(docs.where(~out))
+    judged = langid.predict(docs.select("doc_id", out.alias("held_out"), "text"), profiles)
+    return judged.drop("text")
