@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridmart.session import scratch_path
 
-from . import langid, licences, packing, pieces, sketch, warc
+from . import langid, licences, packing, pieces, sketch, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +96,14 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of every document by a chain fitted on labelled documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.judged(docs, table(spark, sf_dir, "labels")).drop("text")
+    return found.withColumn("is_toxic", F.col("toxic") >= 0.5)
+
+
 @query
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all pages as deduplicated archives and reads them back."""
