@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridmart.session import scratch_path
 
@@ -21,21 +22,36 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(
-    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, without decoding; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def added(sent: DataFrame, dtype: str, lanes: int = 64) -> dict[int, np.ndarray]:
+    """Element-wise sums of the arrays in ``sent`` (task int, part int, data binary) by part.
+
+    Two levels, so that a task holds its share of the senders' parts only. What reaches the driver is
+    one array per part, whatever the number of senders; they are added in a fixed order.
+    """
+
+    def add(rows: pd.DataFrame) -> np.ndarray:
+        return sum(np.frombuffer(d, dtype) for d in rows.sort_values("task")["data"])
+
+    def first(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"task": [key[1]], "part": [key[0]], "data": [add(rows).tobytes()]})
+
+    def last(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"task": [0], "part": [key[0]], "data": [add(rows).tobytes()]})
+
+    schema = "task int, part int, data binary"
+    lane = F.pmod("task", F.lit(lanes)).alias("lane")
+    some = sent.groupBy("part", lane).applyInPandas(first, schema)
+    total = some.groupBy("part").applyInPandas(last, schema)
+    return {r["part"]: np.frombuffer(bytes(r["data"]), dtype) for r in total.collect()}
+
+
 def list_array(values: pa.Array, counts) -> pa.ListArray:
     """A list column from its flat values and the length of each list."""
-    import numpy as np
-
     offsets = np.zeros(len(counts) + 1, dtype=np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), values)

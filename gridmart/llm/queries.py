@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridmart.session import scratch_path
 
-from . import covertree, langid, licences, packing, pieces, sketch, toxicity, warc
+from . import covertree, jaccard, langid, licences, maxent, packing, pieces, sketch, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,12 @@ def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share four fifths of their five-word shingles."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k sketches of every document and of its half-replaced edit, and their likeness."""
@@ -96,6 +102,13 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of all texts by counts and by the class model of six sevenths of them."""
+    out = langid.held_out(F.col("doc_id"), 7, 2)
+    return maxent.scores(table(spark, sf_dir, "documents"), out)
+
+
 @query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probabilities of every document by a chain fitted on labelled documents."""
