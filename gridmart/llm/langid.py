@@ -125,18 +125,23 @@ def learn(docs: DataFrame, places: int = PLACES) -> dict[str, list[int]]:
     return profiles
 
 
-def predict(docs: DataFrame, profiles: dict[str, list[int]], places: int = PLACES) -> DataFrame:
-    """``docs`` with lang_pred and score, judged by ``text`` alone. Other columns are kept; columns
-    of these two names are replaced."""
-    names = sorted(profiles)
-    places_of = np.full((len(names), BASES[-1]), -places * 2, np.int32)
-    for i, name in enumerate(names):
-        places_of[i, profiles[name]] = np.arange(len(profiles[name]))
+def predict(
+    docs: DataFrame,
+    profiles: dict[str, list[int]],
+    places: int = PLACES,
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """``docs`` with the language and its score, judged by ``text`` alone. Other columns are kept,
+    columns of these two names replaced."""
+    langs = sorted(profiles)
+    places_of = np.full((len(langs), BASES[-1]), -places * 2, np.int32)
+    for i, lang in enumerate(langs):
+        places_of[i, profiles[lang]] = np.arange(len(profiles[lang]))
     held = docs.sparkSession.sparkContext.broadcast(places_of)  # languages times a fixed size
 
     def judge(text: str | None) -> tuple[str, float]:
         found = letters(text or "")
-        if not len(found) or not names:
+        if not len(found) or not langs:
             return UNKNOWN, 0.0
         own = ranked(ngrams(found), places)
         theirs = held.value[:, own]
@@ -144,7 +149,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], places: int = PLACE
         out[theirs < 0] = places
         far = out.sum(axis=1)
         best = int(far.argmin())
-        return names[best], 1.0 - float(far[best]) / (places * len(own))
+        return langs[best], 1.0 - float(far[best]) / (places * len(own))
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,12 +162,12 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], places: int = PLACE
                     pa.array([j[0] for j in judged], pa.string()),
                     pa.array([j[1] for j in judged], pa.float64()),
                 ],
-                names=[*kept, "lang_pred", "score"],
+                names=[*kept, *names],
             )
 
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(*names)
     kept = docs.columns
-    judged = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    judged = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     schema = T.StructType([*docs.schema.fields, *judged])
     return docs.mapInArrow(tasks, schema)
 

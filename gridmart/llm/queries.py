@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gridmart.session import scratch_path
 
 from . import covertree, jaccard, langid, licences, maxent, packing, pieces, sketch, toxicity, warc
@@ -22,6 +23,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 @query
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' tokens in full sequences; the ids stay behind once their checksum is taken."""
@@ -137,6 +143,11 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text")
 
 
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 @query
 def op10_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors by cosine within their label."""

@@ -242,7 +242,14 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
     return docs.mapInArrow(tasks, T.StructType([*docs.schema.fields, *added]))
 
 
-def judged(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """``docs`` with the probabilities low_quality and toxic, by the labels quality and toxic."""
-    known = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
-    return score(docs, learn(docs, known, ["low_quality", "toxic"], per_class))
+def judged(
+    docs: DataFrame,
+    labels: DataFrame,
+    per_class: int = PER_CLASS,
+    names: tuple[str, str] = ("low_quality", "toxic"),
+) -> DataFrame:
+    """``docs`` with the probabilities of low quality and toxicity, by the labels quality and toxic."""
+    known = labels.select(
+        "doc_id", (1 - F.col("quality")).alias(names[0]), F.col("toxic").alias(names[1])
+    )
+    return score(docs, learn(docs, known, list(names), per_class))
