@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from .tokens import word_encoder
 
 WINDOW = 4096
+TEXT_BYTES = 16 << 20  # of text that is encoded at a time, about
 TIERS = (512, 1024, 2048, 4096)
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
@@ -165,9 +166,10 @@ def pack(
 
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            for at in range(0, len(keys), 512):
-                texts = batch.column(1).slice(at, 512).to_pylist()
-                for key, ids in zip(keys[at : at + 512], encoder.ids(texts), strict=True):
+            part = max(1, min(4096, len(keys) * TEXT_BYTES // (batch.nbytes + 1)))
+            for at in range(0, len(keys), part):
+                texts = batch.column(1).slice(at, part).to_pylist()
+                for key, ids in zip(keys[at : at + part], encoder.ids(texts), strict=True):
                     held[serial] = (key, ids + end)
                     rests.append((len(ids) // 4 + 1, serial, 0))
                     tokens += len(ids) // 4 + 1
