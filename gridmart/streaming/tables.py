@@ -1,0 +1,155 @@
+"""Tables that streams keep: a base per partition, deltas of later batches, published by a pointer.
+
+Plain Parquet has no row-level merge. A micro-batch therefore only *adds*: its rows, one per key,
+go into a folder of its own, a file per partition it touches. Readers fold base and deltas; every
+``compact_every`` batches the partitions with deltas are folded into a new base version.
+
+Three small datasets say what is valid, each grown by one file at a time, which Spark's commit
+makes visible at once: ``versions`` (a row per compaction: where each partition's base lies and up to
+which batch of which stream it reaches) and ``batches`` (a row per finished batch since). So a
+reader never sees half a batch, and whatever dies half-way is done again in the same place.
+
+A stream is known by the id in its checkpoint. After a fresh checkpoint its batches count from 0
+again, but as another stream's, so none of them is taken for one done before.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..sources.sinks import read_if_exists
+
+ARRIVAL = "_arrival"  # which batch brought a row: -1 for the base, then in the order they finished
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of a NULL partition
+COMPACT_EVERY = 96
+ROWS_PER_FILE = 5_000_000
+
+Fold = Callable[[DataFrame], DataFrame]
+
+
+class StreamTable:
+    """``fold`` brings rows with `ARRIVAL` down to those that count, usually one per key.
+
+    ``partition`` is a column of the rows with the type ``partition_type``. Folding may only bring
+    together rows of the same partition.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        partition: str,
+        partition_type: str,
+        fold: Fold,
+        compact_every: int = COMPACT_EVERY,
+    ):
+        self.spark, self.path, self.fold = spark, path.rstrip("/"), fold
+        self.partition, self.partition_type = partition, partition_type
+        self.compact_every = compact_every
+
+    def append(self, batch: DataFrame, stream: str, number: int) -> None:
+        """Add one micro-batch, once however often it is repeated."""
+        version, _, covered = self._state()
+        done = self._batches(version)
+        if covered.get(stream, -1) >= number or any((b.stream, b.batch) == (stream, number) for b in done):
+            return
+        folder = f"{self.path}/deltas/version={version}/stream={stream}/batch={number}"
+        self._write(self.fold(batch.withColumn(ARRIVAL, F.lit(0))), folder)
+        written = read_if_exists(self.spark, folder)
+        if written is None:  # an empty batch
+            return
+        touched = [r[0] for r in written.select(F.col(self.partition).cast("string")).distinct().collect()]
+        self._publish(
+            "batches/version=" + str(version),
+            [(stream, number, len(done), [NO_VALUE if p is None else p for p in touched])],
+            "stream string, batch long, seq long, partitions array<string>",
+        )
+        if len(done) + 1 >= self.compact_every:
+            self.compact()
+
+    def read(self) -> DataFrame | None:
+        """The folded table; None before the first batch."""
+        version, base, _ = self._state()
+        rows = self._rows(base, version, self._batches(version))
+        return None if rows is None else self.fold(rows).drop(ARRIVAL)
+
+    def compact(self) -> None:
+        """Fold the partitions that have deltas into a new base; others are left as they are.
+
+        The base before and its deltas stay for readers that have begun; older ones go.
+        """
+        version, base, covered = self._state()
+        done = self._batches(version)
+        touched = sorted({p for b in done for p in b.partitions})
+        if not touched:
+            return
+        rows = self._rows({p: v for p, v in base.items() if p in set(touched)}, version, done)
+        self._write(self.fold(rows), f"{self.path}/base/version={version + 1}")
+        upto = dict(covered)
+        for b in done:
+            upto[b.stream] = max(upto.get(b.stream, -1), b.batch)
+        new = {**base, **{p: version + 1 for p in touched}}
+        self._publish(
+            "versions",
+            [(version + 1, new, upto)],
+            "version long, base map<string, long>, covered map<string, long>",
+        )
+        self._remove(f"deltas/version={version - 1}")
+        self._remove(f"batches/version={version - 1}")
+        for old in set(range(1, version)) - set(base.values()) - set(new.values()):
+            self._remove(f"base/version={old}")
+
+    def _state(self) -> tuple[int, dict[str, int], dict[str, int]]:
+        versions = read_if_exists(self.spark, f"{self.path}/versions")
+        if versions is None:
+            return 0, {}, {}
+        last = versions.orderBy(F.desc("version")).first()
+        return last.version, last.base, last.covered
+
+    def _batches(self, version: int) -> list:
+        rows = read_if_exists(self.spark, f"{self.path}/batches/version={version}")
+        # one row per batch since the last compaction
+        return [] if rows is None else rows.orderBy("seq").collect()
+
+    def _rows(self, base: dict[str, int], version: int, done: list) -> DataFrame | None:
+        def folders(root: str, paths: list[str]) -> DataFrame:
+            read = self.spark.read.option("basePath", f"{self.path}/{root}").parquet(*paths)
+            return read.withColumn(self.partition, F.col(self.partition).cast(self.partition_type))
+
+        parts = []
+        if base:
+            paths = [f"{self.path}/base/version={v}/{self.partition}={p}" for p, v in sorted(base.items())]
+            parts.append(folders("base", paths).drop("version").withColumn(ARRIVAL, F.lit(-1).cast("long")))
+        if done:
+            paths = [f"{self.path}/deltas/version={version}/stream={b.stream}/batch={b.batch}" for b in done]
+            order = F.create_map(
+                *[F.lit(x) for b in done for x in (f"{b.stream}/{b.batch}", b.seq)]
+            )
+            name = F.concat_ws("/", "stream", "batch")
+            rows = folders("deltas", paths).withColumn(ARRIVAL, F.element_at(order, name).cast("long"))
+            parts.append(rows.drop("version", "stream", "batch"))
+        if len(parts) == 2:
+            return parts[0].unionByName(parts[1], allowMissingColumns=True)
+        return parts[0] if parts else None
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        """A file per partition, or more where one is very large."""
+        (
+            rows.drop(ARRIVAL)
+            .repartition(self.partition)
+            .write.mode("overwrite")
+            .option("maxRecordsPerFile", ROWS_PER_FILE)
+            .partitionBy(self.partition)
+            .parquet(folder)
+        )
+
+    def _publish(self, name: str, rows: list[tuple], schema: str) -> None:
+        frame = self.spark.createDataFrame(rows, schema).coalesce(1)
+        frame.write.mode("append").parquet(f"{self.path}/{name}")
+
+    def _remove(self, name: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -1,93 +1,71 @@
-"""Tables a stream keeps up to date.
+"""What streams keep up to date (T1-T5), as `StreamTable` with different folds.
 
-Plain Parquet has no row-level merge, so tables are cut into partitions (event days, or
-hash buckets of the key) and a micro-batch rewrites only the partitions it touches.
-Every step can be repeated: a batch that dies half-way leaves the same table when it
-runs again.
+Each pair of functions is a writer, which starts a query, and a reader of its table. A writer's
+``every`` is the trigger interval; None works off what is there and stops. Nothing is kept in
+stream state, so nothing is dropped for being late, and the outcome does not depend on how the
+input is cut into batches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.current import cdc_current, latest_per_key, newest_first, telemetry_stage
-from ..operators.scd2 import scd2_merge
+from ..functions import surrogate_key
+from ..operators.current import latest_per_key, newest_first, telemetry_stage
+from ..operators.scd2 import scd2_from_log
 from ..plans.serving import connectivity
-from ..sources.sinks import read_if_exists, write_table
+from .tables import ARRIVAL, COMPACT_EVERY, StreamTable
 
 BUCKETS = 256
 BUCKET = "bucket"
-
-Merge = Callable[[DataFrame | None, DataFrame], DataFrame]
+EVENT_DAY = "event_date"
+EVENT = ("device_id", "event_timestamp")
+TIE_BREAK = ("_loaded_at", "_connector_batch_id")
 
 
 def with_bucket(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
 
-def merge_partitions(
-    batch: DataFrame, batch_id: int, table: str, work: str, partition: str, merge: Merge
-) -> None:
-    """Replace the partitions of ``table`` that ``batch`` touches by ``merge(stored, batch)``.
+def keep(
+    rows: DataFrame,
+    prepare: Callable[[DataFrame], DataFrame],
+    table: Callable[[SparkSession], StreamTable],
+    checkpoint: str,
+    every: str | None,
+) -> StreamingQuery:
+    """Start a query that adds each micro-batch, after ``prepare``, to ``table``."""
 
-    Three tables under ``work``, overwritten by every batch: the incoming rows, so that
-    the micro-batch is computed once; the merged rows, because a partition cannot be read
-    and overwritten in one job; and a mark with the number of the batch whose merged rows
-    are complete. A batch that died while they were copied finds its mark when it runs
-    again and copies the same rows.
-    """
-    spark = batch.sparkSession
-    staged, mark = f"{work}/merged", f"{work}/complete"
-    done = read_if_exists(spark, mark)
-    if done is None or done.first()[0] != batch_id:
-        incoming = write_table(batch, f"{work}/incoming")
-        # One value per partition of the table, never per row.
-        touched = [r[0] for r in incoming.select(partition).distinct().collect()]
-        if not touched:
-            return
-        stored = read_if_exists(spark, table)
-        before = None
-        if stored is not None:
-            before = stored.select(*batch_columns(stored, incoming)).filter(
-                F.col(partition).isin(touched)
-            )
-        merge(before, incoming).write.mode("overwrite").partitionBy(partition).parquet(staged)
-        spark.range(1).select(F.lit(batch_id).alias("batch")).write.mode("overwrite").parquet(mark)
-    (
-        spark.read.parquet(staged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(table)
-    )
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        stream = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        table(spark).append(prepare(batch), stream, number)
 
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
+    return writer.trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
 
-def batch_columns(stored: DataFrame, batch: DataFrame) -> list[str]:
-    """Stored columns in batch order, then those only the table has."""
-    return [
-        *[c for c in batch.columns if c in stored.columns],
-        *[c for c in stored.columns if c not in batch.columns],
-    ]
 
+def _events(path: str, order: Sequence[Column], compact_every: int):
+    def fold(rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, EVENT, order)
 
-def _start(
-    stream: DataFrame,
-    each: Callable[[DataFrame, int], None],
-    checkpoint: str,
-    every: str | None,
-    mode: str = "append",
-) -> StreamingQuery:
-    writer = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(each)
-    )
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    return lambda spark: StreamTable(spark, path, EVENT_DAY, "date", fold, compact_every)
+
+
+def _first_arrival(fields: Mapping[str, tuple[str, str]]) -> list[Column]:
+    return [F.col(ARRIVAL), *newest_first("_loaded_at", *fields)]
+
+
+def _stage(event_type: str, fields: Mapping[str, tuple[str, str]]):
+    def prepare(batch: DataFrame) -> DataFrame:
+        typed = telemetry_stage(batch, event_type, fields)
+        return typed.withColumn(EVENT_DAY, F.to_date("event_timestamp"))
+
+    return prepare
 
 
 def append_new_events(
@@ -97,55 +75,16 @@ def append_new_events(
     table: str,
     checkpoint: str,
     every: str | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
-    """Incremental staging of one event type (T1): append, never the same event twice.
+    """Incremental staging of one event type (T1): an event that arrives again in a later batch,
+    recognised by device and time, changes nothing. Partitioned by event day."""
+    target = _events(table, _first_arrival(fields), compact_every)
+    return keep(raw, _stage(event_type, fields), target, checkpoint, every)
 
-    The checkpoint takes the place of the high-water mark. An event that arrives again
-    in a later batch is recognised by device and time; only the event days of the batch
-    are searched for it. ``every`` is the trigger interval; None works off what is there
-    and stops.
-    """
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        typed = telemetry_stage(batch, event_type, fields)
-        staged = write_table(  # the micro-batch is computed once
-            typed.withColumn("event_date", F.to_date("event_timestamp")),
-            f"{checkpoint}-work/incoming",
-        )
-        stored = read_if_exists(spark, table)
-        if stored is not None:
-            days = [r[0] for r in staged.select("event_date").distinct().collect()]
-            # Rows of this very batch are there if it died after writing; they do not count.
-            known = stored.filter(F.col("event_date").isin(days) & (F.col("batch") != batch_id))
-            staged = staged.join(
-                known.select("event_date", "device_id", "event_timestamp"),
-                ["event_date", "device_id", "event_timestamp"],
-                "left_anti",
-            )
-        (
-            staged.withColumn("batch", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date", "batch")
-            .parquet(table)
-        )
-
-    return _start(raw, each, checkpoint, every)
-
-
-def first_of_late_events(raw: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """One row per device and event time, the first to arrive.
-
-    Keeps keys in state for ``delay``; later repeats pass. For the latest instead of the
-    first use `keep_latest_events`.
-    """
-    moment = raw.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
-    return (
-        moment.withWatermark("_event_time", delay)
-        .dropDuplicatesWithinWatermark(["device_id", "event_timestamp", "event_type"])
-        .drop("_event_time")
-    )
+def new_events(spark: SparkSession, table: str, fields: Mapping[str, tuple[str, str]]) -> DataFrame | None:
+    return _events(table, _first_arrival(fields), COMPACT_EVERY)(spark).read()
 
 
 def keep_latest_events(
@@ -155,50 +94,105 @@ def keep_latest_events(
     table: str,
     checkpoint: str,
     every: str | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """As `append_new_events`, but a later delivery of an event replaces the earlier one."""
-    keys = ["device_id", "event_timestamp"]
+    target = _events(table, newest_first("_loaded_at", *fields), compact_every)
+    return keep(raw, _stage(event_type, fields), target, checkpoint, every)
+
+
+def latest_events(spark: SparkSession, table: str, fields: Mapping[str, tuple[str, str]]) -> DataFrame | None:
+    return _events(table, newest_first("_loaded_at", *fields), COMPACT_EVERY)(spark).read()
 
-    def merge(stored: DataFrame | None, batch: DataFrame) -> DataFrame:
-        rows = batch if stored is None else stored.unionByName(batch)
-        return latest_per_key(rows, keys, newest_first("_loaded_at", *fields))
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        staged = telemetry_stage(batch, event_type, fields).withColumn(
-            "event_date", F.to_date("event_timestamp")
+_ANY_EVENT = (*EVENT, "event_type")
+
+
+def _deliveries(path: str, compact_every: int):
+    def fold(rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, _ANY_EVENT, [F.col(ARRIVAL), F.col("_loaded_at"), F.col("event_data")])
+
+    return lambda spark: StreamTable(spark, path, EVENT_DAY, "date", fold, compact_every)
+
+
+def first_of_late_events(
+    raw: DataFrame,
+    table: str,
+    checkpoint: str,
+    every: str | None = None,
+    compact_every: int = COMPACT_EVERY,
+) -> StreamingQuery:
+    """One row per device, event time and type: the first to arrive (T2), however late it is."""
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        return batch.withColumn("event_data", F.col("event_data").cast("string")).withColumn(
+            EVENT_DAY, F.to_date("event_timestamp")
         )
-        merge_partitions(staged, batch_id, table, f"{checkpoint}-work", "event_date", merge)
 
-    return _start(raw, each, checkpoint, every)
+    return keep(raw, prepare, _deliveries(table, compact_every), checkpoint, every)
+
 
+def first_events(spark: SparkSession, table: str) -> DataFrame | None:
+    return _deliveries(table, COMPACT_EVERY)(spark).read()
 
-_STATUS_ORDER = ("event_timestamp", "_loaded_at", "event_type")
+
+_STATUS_ORDER = ("event_timestamp", "_loaded_at", "event_type", "event_data")
 STATUS_REFRESH = "5 minutes"  # fixed value: target lag of the serving table
 
 
+def _status(path: str, compact_every: int):
+    def fold(rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, ["device_id"], newest_first(*_STATUS_ORDER))
+
+    return lambda spark: StreamTable(spark, path, BUCKET, "int", fold, compact_every)
+
+
 def maintain_latest_status(
-    raw: DataFrame, table: str, checkpoint: str, every: str | None = None, buckets: int = BUCKETS
+    raw: DataFrame,
+    table: str,
+    checkpoint: str,
+    every: str | None = None,
+    buckets: int = BUCKETS,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Latest event per device, kept up to date (T3). Run it ``every`` `STATUS_REFRESH`.
 
-    The state is one row per device; each trigger emits the devices that changed and
-    rewrites their buckets. `status_at` adds the connection state at reading time.
+    Each batch adds a row for every device it holds; `status_at` reads the latest of them.
     """
-    columns = ["event_type", "event_timestamp", "event_data", "_loaded_at"]
-    rows = raw.withColumn("event_data", F.col("event_data").cast("string"))
-    latest = rows.groupBy("device_id").agg(
-        F.max_by(F.struct(*columns), F.struct(*_STATUS_ORDER)).alias("_latest")
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        rows = batch.select(
+            "device_id", "event_type", "event_timestamp", F.col("event_data").cast("string"), "_loaded_at"
+        )
+        return with_bucket(rows, "device_id", buckets)
+
+    return keep(raw, prepare, _status(table, compact_every), checkpoint, every)
+
+
+def status_at(spark: SparkSession, table: str, as_of) -> DataFrame | None:
+    """Reading side of `maintain_latest_status`, with the connection state at reading time."""
+    latest = _status(table, COMPACT_EVERY)(spark).read()
+    return latest and latest.select(
+        "device_id",
+        F.col("event_type").alias("latest_event_type"),
+        F.col("event_timestamp").alias("latest_event_timestamp"),
+        F.col("event_data").alias("latest_event_data"),
+        F.col("_loaded_at").alias("latest_loaded_at"),
+        connectivity(F.col("event_timestamp"), as_of).alias("device_connectivity_status"),
     )
 
-    def merge(stored: DataFrame | None, batch: DataFrame) -> DataFrame:
-        both = batch if stored is None else stored.unionByName(batch)
-        return latest_per_key(both, ["device_id"], newest_first(*_STATUS_ORDER))
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        changed = with_bucket(batch.select("device_id", "_latest.*"), "device_id", buckets)
-        merge_partitions(changed, batch_id, table, f"{checkpoint}-work", BUCKET, merge)
+def _changes(path: str, keys: Sequence[str], tie_break: Sequence[str], compact_every: int):
+    def fold(rows: DataFrame) -> DataFrame:
+        order = ["_source_ts", *[c for c in tie_break if c in rows.columns]]
+        return latest_per_key(rows, keys, newest_first(*order))
+
+    return lambda spark: StreamTable(spark, path, BUCKET, "int", fold, compact_every)
+
 
-    return _start(latest, each, checkpoint, every, "update")
+def _live(key: str, buckets: int):
+    """Delete rows are skipped, as in the batch models."""
+    return lambda batch: with_bucket(batch.filter(F.col("_op") != "DELETE"), key, buckets)
 
 
 def maintain_current_state(
@@ -207,20 +201,19 @@ def maintain_current_state(
     table: str,
     checkpoint: str,
     every: str | None = None,
-    tie_break: Sequence[str] = ("_loaded_at", "_connector_batch_id"),
+    tie_break: Sequence[str] = TIE_BREAK,
     buckets: int = BUCKETS,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """A change log folded into one current row per key (T4)."""
+    target = _changes(table, [key], tie_break, compact_every)
+    return keep(log, _live(key, buckets), target, checkpoint, every)
 
-    def merge(stored: DataFrame | None, batch: DataFrame) -> DataFrame:
-        both = batch if stored is None else stored.unionByName(batch)
-        return latest_per_key(both, [key], newest_first("_source_ts", *tie_break))
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        rows = with_bucket(cdc_current(batch, key, tie_break=tie_break), key, buckets)
-        merge_partitions(rows, batch_id, table, f"{checkpoint}-work", BUCKET, merge)
-
-    return _start(log, each, checkpoint, every)
+def current_state(
+    spark: SparkSession, table: str, key: str, tie_break: Sequence[str] = TIE_BREAK
+) -> DataFrame | None:
+    return _changes(table, [key], tie_break, COMPACT_EVERY)(spark).read()
 
 
 def maintain_versions(
@@ -230,28 +223,33 @@ def maintain_versions(
     checkpoint: str,
     updated_at: str = "updated_at",
     every: str | None = None,
-    tie_break: Sequence[str] = ("_loaded_at", "_connector_batch_id"),
+    tie_break: Sequence[str] = TIE_BREAK,
     buckets: int = BUCKETS,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
-    """A snapshot run per micro-batch (T5): the batch's current rows against the versions."""
-
-    def merge(stored: DataFrame | None, batch: DataFrame) -> DataFrame:
-        return scd2_merge(stored, batch, key, updated_at)
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        rows = with_bucket(cdc_current(batch, key, tie_break=tie_break), key, buckets)
-        merge_partitions(rows, batch_id, table, f"{checkpoint}-work", BUCKET, merge)
+    """All changes of a log, one per key and time of change (T5).
 
-    return _start(log, each, checkpoint, every)
+    `versions` derives from them when each version ends, so several changes of a key in one batch
+    are as many versions, and a late change takes its place among those stored before.
+    """
+    target = _changes(table, [key, updated_at], tie_break, compact_every)
+    return keep(log, _live(key, buckets), target, checkpoint, every)
 
 
-def status_at(spark: SparkSession, table: str, as_of) -> DataFrame:
-    """Reading side of `maintain_latest_status`."""
-    return spark.read.parquet(table).select(
-        "device_id",
-        F.col("event_type").alias("latest_event_type"),
-        F.col("event_timestamp").alias("latest_event_timestamp"),
-        F.col("event_data").alias("latest_event_data"),
-        F.col("_loaded_at").alias("latest_loaded_at"),
-        connectivity(F.col("event_timestamp"), as_of).alias("device_connectivity_status"),
+def versions(
+    spark: SparkSession,
+    table: str,
+    key: str,
+    updated_at: str = "updated_at",
+    tie_break: Sequence[str] = TIE_BREAK,
+) -> DataFrame | None:
+    """The version set of `maintain_versions`, with the columns of a snapshot table."""
+    changes = _changes(table, [key, updated_at], tie_break, COMPACT_EVERY)(spark).read()
+    if changes is None:
+        return None
+    found = scd2_from_log(
+        changes.drop(BUCKET), key, updated_at, None, tie_break, "dbt_valid_from", "dbt_valid_to"
+    )
+    return found.withColumn("dbt_scd_id", surrogate_key(key, updated_at)).withColumn(
+        "dbt_updated_at", F.col(updated_at)
     )

@@ -3,10 +3,12 @@
 import json
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridmart.operators.current import latest_per_key, newest_first
 from gridmart.streaming import sources, upserts
+from gridmart.streaming.tables import StreamTable
 
 RAW = "event_data string, device_id string, event_type string, event_timestamp timestamp_ntz, _loaded_at timestamp_ntz, _ingestion_date date"
 FIELDS = {"kwh": ("kwh", "double")}
@@ -36,20 +38,29 @@ def run(spark, folder, start):
 def test_append_never_repeats_an_event(spark, tmp_path, rows):
     table, check = str(tmp_path / "t"), str(tmp_path / "c")
     run(spark, tmp_path, lambda s: upserts.append_new_events(s, "energy_reading", FIELDS, table, check))
-    assert rows(spark.read.parquet(table), "device_id", "kwh") == [("a", 1.5), ("a", 5.0), ("b", 2.0), ("b", 3.0), ("c", 4.0)]
+    found = upserts.new_events(spark, table, FIELDS)
+    assert rows(found, "device_id", "kwh") == [("a", 1.5), ("a", 5.0), ("b", 2.0), ("b", 3.0), ("c", 4.0)]
 
 
 def test_latest_delivery_wins(spark, tmp_path, rows):
     table, check = str(tmp_path / "t"), str(tmp_path / "c")
-    run(spark, tmp_path, lambda s: upserts.keep_latest_events(s, "energy_reading", FIELDS, table, check))
-    assert rows(spark.read.parquet(table), "device_id", "kwh") == [("a", 5.0), ("a", 9.0), ("b", 2.0), ("b", 3.5), ("c", 4.0)]
+    run(spark, tmp_path, lambda s: upserts.keep_latest_events(s, "energy_reading", FIELDS, table, check, compact_every=2))
+    found = upserts.latest_events(spark, table, FIELDS)
+    assert rows(found, "device_id", "kwh") == [("a", 5.0), ("a", 9.0), ("b", 2.0), ("b", 3.5), ("c", 4.0)]
 
 
-def test_first_delivery_wins_within_the_watermark(spark, tmp_path, rows):
+@pytest.mark.parametrize("compact_every", [1, 2, 96])
+def test_first_delivery_wins_however_late(spark, tmp_path, rows, compact_every):
+    """An event of 09:00 that arrives after one of 20:00 is kept, its repeat is not."""
     out, check = str(tmp_path / "t"), str(tmp_path / "c")
-    run(spark, tmp_path, lambda s: upserts.first_of_late_events(s).select("device_id", "event_timestamp")
-        .writeStream.option("checkpointLocation", check).trigger(availableNow=True).start(out, format="parquet"))
-    assert spark.read.parquet(out).count() == 5
+    late = [[event("a", 720, 721, 1.0)], [event("a", 1200, 1201, 2.0)], [event("a", 540, 1202, 3.0), event("a", 720, 1202, 9.0)]]
+    for data in late:
+        spark.createDataFrame(data, RAW).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        source = sources.table_stream(spark, f"{tmp_path}/in", RAW)
+        upserts.first_of_late_events(source, out, check, compact_every=compact_every).awaitTermination()
+    found = upserts.first_events(spark, out).select("event_timestamp", F.get_json_object("event_data", "$.payload.kwh"))
+    minutes = [((at - START).total_seconds() / 60, kwh) for at, kwh in rows(found)]
+    assert minutes == [(540, "3.0"), (720, "1.0"), (1200, "2.0")]
 
 
 def test_latest_status(spark, tmp_path, rows):
@@ -73,7 +84,7 @@ def change(op, key, hour, status):
 CHANGES = [
     [change("INSERT", 1, 1, "new"), change("INSERT", 2, 1, "new"), change("UPDATE", 1, 2, "on")],
     [change("UPDATE", 1, 5, "off"), change("DELETE", 2, 5, "gone"), change("INSERT", 3, 4, "new")],
-    [change("UPDATE", 1, 3, "late, ignored")],
+    [change("UPDATE", 1, 3, "late")],
 ]
 
 
@@ -83,47 +94,93 @@ def replay(spark, folder, start):
         start(sources.table_stream(spark, f"{folder}/log", LOG)).awaitTermination()
 
 
-def test_current_state(spark, tmp_path, rows):
+@pytest.mark.parametrize("compact_every", [1, 96])
+def test_current_state(spark, tmp_path, rows, compact_every):
     table, check = str(tmp_path / "t"), str(tmp_path / "c")
-    replay(spark, tmp_path, lambda s: upserts.maintain_current_state(s, "k", table, check, buckets=2))
-    assert rows(spark.read.parquet(table), "k", "status") == [(1, "off"), (2, "new"), (3, "new")]
+    replay(spark, tmp_path, lambda s: upserts.maintain_current_state(s, "k", table, check, buckets=2, compact_every=compact_every))
+    assert rows(upserts.current_state(spark, table, "k"), "k", "status") == [(1, "off"), (2, "new"), (3, "new")]
 
 
-def test_versions(spark, tmp_path, rows):
-    table, check = str(tmp_path / "t"), str(tmp_path / "c")
-    replay(spark, tmp_path, lambda s: upserts.maintain_versions(s, "k", table, check, buckets=2))
-
-    def hour(n):
-        return START + timedelta(hours=n)
-
-    assert rows(spark.read.parquet(table), "k", "status", "dbt_valid_from", "dbt_valid_to") == [
-        (1, "off", hour(5), None), (1, "on", hour(2), hour(5)), (2, "new", hour(1), None), (3, "new", hour(4), None),
-    ]
-
+def hour(n):
+    return START + timedelta(hours=n)
 
-def test_a_batch_that_died_while_copying_is_finished(spark, tmp_path, rows):
-    """The merged rows were complete, the table lost a partition: the repeat restores it."""
-    table, work = str(tmp_path / "t"), str(tmp_path / "w")
 
-    def merge(stored, batch):
-        both = batch if stored is None else stored.unionByName(batch)
-        return latest_per_key(both, ["k"], newest_first("n"))
-
-    def batch(*data):
-        return upserts.with_bucket(spark.createDataFrame(list(data), "k bigint, n bigint"), "k", 1)
-
-    upserts.merge_partitions(batch((1, 1), (2, 1)), 0, table, work, "bucket", merge)
-    calls = []
+ALL_VERSIONS = [
+    (1, "late", hour(3), hour(5)), (1, "new", hour(1), hour(2)), (1, "off", hour(5), None), (1, "on", hour(2), hour(3)),
+    (2, "new", hour(1), None), (3, "new", hour(4), None),
+]
 
-    def dying(stored, rows_):
-        calls.append(1)
-        return merge(stored, rows_)
 
-    upserts.merge_partitions(batch((2, 2)), 1, table, work, "bucket", dying)
-    spark.createDataFrame([(0, 0, 0)], "k bigint, n bigint, bucket int").write.mode("overwrite").partitionBy("bucket").parquet(table)
-    upserts.merge_partitions(batch((2, 2)), 1, table, work, "bucket", dying)
-    assert rows(spark.read.parquet(table), "k", "n") == [(1, 1), (2, 2)]
-    assert len(calls) == 1
+@pytest.mark.parametrize("one_by_one", [True, False])
+def test_versions_do_not_depend_on_batches(spark, tmp_path, rows, one_by_one):
+    table, check = str(tmp_path / "t"), str(tmp_path / "c")
+    start = lambda s: upserts.maintain_versions(s, "k", table, check, buckets=2, compact_every=2)
+    if one_by_one:
+        replay(spark, tmp_path, start)
+    else:
+        every = [c for data in CHANGES for c in data]
+        spark.createDataFrame(every, LOG).coalesce(1).write.parquet(f"{tmp_path}/log")
+        start(sources.table_stream(spark, f"{tmp_path}/log", LOG)).awaitTermination()
+    found = rows(upserts.versions(spark, table, "k"), "k", "status", "dbt_valid_from", "dbt_valid_to")
+    assert found == ALL_VERSIONS
+
+
+def test_a_fresh_checkpoint_loses_no_row(spark, tmp_path, rows):
+    table = str(tmp_path / "t")
+    for turn, data in enumerate(CHANGES):
+        spark.createDataFrame(data, LOG).coalesce(1).write.parquet(f"{tmp_path}/log{turn}")
+        source = sources.table_stream(spark, f"{tmp_path}/log{turn}", LOG)
+        upserts.maintain_versions(source, "k", table, f"{tmp_path}/c{turn}", buckets=2, compact_every=2).awaitTermination()
+    found = rows(upserts.versions(spark, table, "k"), "k", "status", "dbt_valid_from", "dbt_valid_to")
+    assert found == ALL_VERSIONS
+
+
+def kept(spark, path, buckets, every=96):
+    fold = lambda df: latest_per_key(df, ["k"], newest_first("n"))
+    return StreamTable(spark, str(path), "bucket", "int", fold, every)
+
+
+def batch_of(spark, data, buckets):
+    return upserts.with_bucket(spark.createDataFrame(data, "k bigint, n bigint"), "k", buckets)
+
+
+def test_a_batch_writes_a_file_per_bucket_it_touches(spark, tmp_path, rows):
+    table = kept(spark, tmp_path / "t", 16)
+    many = batch_of(spark, [(i, i) for i in range(2000)], 16).repartition(12)
+    table.append(many, "s", 0)
+    table.append(batch_of(spark, [(7, 9999)], 16), "s", 1)
+    files = lambda n: list((tmp_path / "t").glob(f"deltas/version=0/stream=s/batch={n}/*/*.parquet"))
+    assert len(files(0)) == 16 and len(files(1)) == 1
+    assert table.read().count() == 2000 and rows(table.read().filter("k = 7"), "n") == [(9999,)]
+
+
+def test_batches_are_added_once_and_only_when_complete(spark, tmp_path, rows):
+    table = kept(spark, tmp_path / "t", 2, every=3)
+    assert table.read() is None
+    table.append(batch_of(spark, [(1, 1), (2, 1)], 2), "s", 0)
+    # a batch that died after its files were written is not seen; its repeat is
+    table._write(batch_of(spark, [(1, 5)], 2).withColumn("_arrival", F.lit(0)), str(tmp_path / "t/deltas/version=0/stream=s/batch=1"))
+    assert rows(table.read(), "k", "n") == [(1, 1), (2, 1)]
+    table.append(batch_of(spark, [(1, 6)], 2), "s", 1)
+    table.append(batch_of(spark, [(1, 99)], 2), "s", 1)
+    table.append(batch_of(spark, [], 2), "s", 2)
+    assert rows(table.read(), "k", "n") == [(1, 6), (2, 1)]
+
+
+def test_compaction_rewrites_only_what_was_touched(spark, tmp_path, rows):
+    table = kept(spark, tmp_path / "t", 8)
+    table.append(batch_of(spark, [(i, 0) for i in range(100)], 8), "s", 0)
+    for turn in range(1, 5):
+        table.compact()
+        table.append(batch_of(spark, [(3, turn)], 8), "s", turn)
+        table.append(batch_of(spark, [(3, 100)], 8), "s", 0)  # covered by the base
+    table.compact()
+    table.compact()
+    assert table.read().count() == 100 and rows(table.read().filter("k = 3"), "n") == [(4,)]
+    versions = sorted(p.name for p in (tmp_path / "t/base").iterdir())
+    assert versions == ["version=1", "version=4", "version=5"]
+    assert len(list((tmp_path / "t/base/version=5").glob("bucket=*"))) == 1
+    assert sorted(p.name for p in (tmp_path / "t/deltas").iterdir()) == ["version=4"]
 
 
 def test_event_lines(spark, tmp_path, rows):

@@ -20,20 +20,27 @@ BATCHES = 3
 BUCKETS = 8
 
 
-def stream(spark, sf, feed, order):
-    """A feed as a stream of several batches, written one after the other in its own order."""
+def stream(spark, sf, feed, order, batches=BATCHES, late=None):
+    """A feed as a stream of several batches, written one after the other in its own order.
+
+    ``late`` is a condition on rows that arrive five hours after their order says, and after
+    rows of later batches with it.
+    """
     path = scratch_path(spark, f"stream-{feed}")
     rows = domain.RawFeeds(spark, sf)[feed]
     schema = rows.schema
     if feed == "telemetry_events":
         rows = rows.withColumn("event_data", F.to_json("event_data"))
         schema = rows.schema
-    first, last = rows.agg(F.min(order), F.max(order)).first()
-    cuts = [first + (last - first) * i / BATCHES for i in range(1, BATCHES)]
     moment = F.col(order)
-    part = sum((moment > F.lit(c).cast("timestamp_ntz")).cast("int") for c in cuts)
-    for i in range(BATCHES):
-        rows.filter(part == i).write.mode("append").parquet(path)
+    if late is not None:
+        moment = F.when(late, moment + F.expr("INTERVAL 5 HOURS")).otherwise(moment)
+    rows = rows.withColumn("_moment", moment)
+    first, last = rows.agg(F.min("_moment"), F.max("_moment")).first()
+    cuts = [first + (last - first) * i / batches for i in range(1, batches)]
+    part = sum([(F.col("_moment") > F.lit(c).cast("timestamp_ntz")).cast("int") for c in cuts], F.lit(0))
+    for i in range(batches):
+        rows.filter(part == i).drop("_moment").write.mode("append").parquet(path)
     # Each write leaves a few files; older files are read first.
     incoming = sources.table_stream(spark, path, schema, files_per_trigger=2)
     if feed == "telemetry_events":
@@ -41,10 +48,6 @@ def stream(spark, sf, feed, order):
     return incoming
 
 
-def drained(query):
-    query.awaitTermination()
-
-
 def s10(spark, sf):
     lines, out = scratch_path(spark, "event-lines"), scratch_path(spark, "events-out")
     readings = domain.run_sql(spark, sf, domain.RAW_SQL["telemetry_readings"])
@@ -65,8 +68,9 @@ add("s10_streaming_source", s10, "SELECT device_id, event_type, event_timestamp
 def t1(spark, sf):
     table, checkpoint = scratch_path(spark, "t1"), scratch_path(spark, "checkpoint")
     raw = stream(spark, sf, "telemetry_events", "_loaded_at")
-    drained(upserts.append_new_events(raw, "alert_event", PAYLOADS["alert_event"], table, checkpoint))
-    return spark.read.parquet(table).drop("batch", "event_date")
+    fields = PAYLOADS["alert_event"]
+    drained(upserts.append_new_events(raw, "alert_event", fields, table, checkpoint, compact_every=2))
+    return upserts.new_events(spark, table, fields).drop("event_date")
 
 
 add("t1_incremental_append_stream", t1, "SELECT * FROM stg_iot__alert_events", "threshold_value actual_value")
@@ -85,29 +89,31 @@ def t1_batch(spark, sf):
 add("t1_high_water_mark", t1_batch, "SELECT * FROM stg_iot__alert_events", "threshold_value actual_value")
 
 
-def t2_first(spark, sf):
-    raw = stream(spark, sf, "telemetry_events", "_loaded_at")
-    out = scratch_path(spark, "t2")
-    drained(
-        upserts.first_of_late_events(raw)
-        .select("device_id", "event_type", "event_timestamp")
-        .writeStream.option("checkpointLocation", scratch_path(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start(out, format="parquet")
-    )
-    return spark.read.parquet(out)
+LATE_EVENTS = F.pmod(F.xxhash64("device_id", "event_timestamp"), F.lit(40)) == 0
+
+
+def t2_first(batches):
+    def query(spark, sf):
+        table, checkpoint = scratch_path(spark, "t2"), scratch_path(spark, "checkpoint")
+        raw = stream(spark, sf, "telemetry_events", "_loaded_at", batches, LATE_EVENTS)
+        drained(upserts.first_of_late_events(raw, table, checkpoint, compact_every=2))
+        return upserts.first_events(spark, table).select("device_id", "event_type", "event_timestamp")
 
+    return query
 
-# Which delivery is kept depends on arrival; that exactly one is kept does not.
-add("t2_first_of_late_events", t2_first,
-    "SELECT DISTINCT device_id, event_type, event_timestamp FROM raw_telemetry_readings")
+
+# Which delivery is kept depends on arrival; that exactly one is kept, however late, does not.
+for name, batches in (("t2_first_of_late_events", BATCHES), ("t2_first_of_late_events_in_one_batch", 1)):
+    add(name, t2_first(batches),
+        "SELECT DISTINCT device_id, event_type, event_timestamp FROM raw_telemetry_readings")
 
 
 def t2_latest(spark, sf):
     table, checkpoint = scratch_path(spark, "t2"), scratch_path(spark, "checkpoint")
-    raw = stream(spark, sf, "telemetry_events", "_loaded_at")
-    drained(upserts.keep_latest_events(raw, "energy_reading", PAYLOADS["energy_reading"], table, checkpoint))
-    return spark.read.parquet(table).drop("event_date")
+    raw = stream(spark, sf, "telemetry_events", "_loaded_at", late=LATE_EVENTS)
+    fields = PAYLOADS["energy_reading"]
+    drained(upserts.keep_latest_events(raw, "energy_reading", fields, table, checkpoint))
+    return upserts.latest_events(spark, table, fields).drop("event_date")
 
 
 add("t2_keep_latest_events", t2_latest, "SELECT * FROM stg_iot__energy_readings", "kwh_reading voltage current_amps")
@@ -128,33 +134,35 @@ def t4(spark, sf):
     table, checkpoint = scratch_path(spark, "t4"), scratch_path(spark, "checkpoint")
     log = stream(spark, sf, "customers", "_source_ts")
     drained(upserts.maintain_current_state(log, "customer_id", table, checkpoint, buckets=BUCKETS))
-    return spark.read.parquet(table).select("customer_id", "status", "_source_ts", "updated_at")
+    state = upserts.current_state(spark, table, "customer_id")
+    return state.select("customer_id", "status", "_source_ts", "updated_at")
 
 
 add("t4_current_state_stream", t4, "SELECT customer_id, status, _source_ts, updated_at FROM stg_oltp__customers")
 
-SPLIT = "2024-01-15 00:00:00"
-
-
-def t5(spark, sf):
-    """Two batches with a known split, so the versions each leaves can be told in SQL."""
-    path = scratch_path(spark, "stream-log")
-    table, checkpoint = scratch_path(spark, "t5"), scratch_path(spark, "checkpoint")
-    log = domain.RawFeeds(spark, sf)["customers"]
-    early = F.col("_source_ts") <= F.lit(SPLIT).cast("timestamp_ntz")
-    for rows in (log.filter(early), log.filter(~early)):
-        rows.write.mode("append").parquet(path)
-        incoming = sources.table_stream(spark, path, log.schema)
-        drained(upserts.maintain_versions(incoming, "customer_id", table, checkpoint, buckets=BUCKETS))
-    return spark.read.parquet(table).select(
-        "customer_id", "status", "dbt_scd_id", "dbt_valid_from", "dbt_valid_to"
-    )
+LATE_CHANGES = F.pmod(F.xxhash64("customer_id", "_source_ts"), F.lit(5)) == 0
+
+
+def t5(batches):
+    def query(spark, sf):
+        """Several changes of a key in one batch, and changes that come after later ones."""
+        table, checkpoint = scratch_path(spark, "t5"), scratch_path(spark, "checkpoint")
+        log = stream(spark, sf, "customers", "_source_ts", batches, LATE_CHANGES)
+        drained(
+            upserts.maintain_versions(log, "customer_id", table, checkpoint, buckets=BUCKETS, compact_every=2)
+        )
+        return upserts.versions(spark, table, "customer_id").select(
+            "customer_id", "status", "dbt_scd_id", "dbt_valid_from", "dbt_valid_to"
+        )
+
+    return query
 
 
-add("t5_versions_stream", t5, f"""
+for name, batches in (("t5_versions_stream", BATCHES), ("t5_versions_stream_in_one_batch", 1)):
+    add(name, t5(batches), f"""
 SELECT customer_id, status, {sk('customer_id', 'updated_at')} AS dbt_scd_id, updated_at AS dbt_valid_from,
     lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) AS dbt_valid_to
-FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, _source_ts <= TIMESTAMP '{SPLIT}'
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, updated_at
     ORDER BY _source_ts DESC, _loaded_at DESC, _connector_batch_id DESC) AS rn
     FROM raw_customers WHERE _op <> 'DELETE') WHERE rn = 1""")
 
@@ -163,9 +171,10 @@ def t6(spark, sf):
     """Age of what a stream has written so far, against the limits of its source."""
     table, checkpoint = scratch_path(spark, "t6"), scratch_path(spark, "checkpoint")
     raw = stream(spark, sf, "telemetry_events", "_loaded_at")
-    drained(upserts.append_new_events(raw, "device_status", PAYLOADS["device_status"], table, checkpoint))
+    fields = PAYLOADS["device_status"]
+    drained(upserts.append_new_events(raw, "device_status", fields, table, checkpoint))
     as_of = F.lit(STATUS_AS_OF).cast("timestamp_ntz")
-    return quality.freshness(spark.read.parquet(table), "iot", as_of)
+    return quality.freshness(upserts.new_events(spark, table, fields), "iot", as_of)
 
 
 add("t6_freshness_lag", t6, f"""
