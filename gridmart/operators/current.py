@@ -65,18 +65,18 @@ def telemetry_stage(
     events: DataFrame,
     event_type: str,
     fields: Mapping[str, tuple[str, str]],
-    loaded_after: Column | None = None,
+    loaded_from: Column | None = None,
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """One event type as a typed table, one row per device and event time (C4).
 
     ``fields`` maps output names to (payload field, type). Fields are taken out of the
-    payload before the shuffle, so the payload itself never travels. ``loaded_after``
+    payload before the shuffle, so the payload itself never travels. ``loaded_from``
     is the high-water mark of an incremental run.
     """
     wanted = events.filter(F.col("event_type") == event_type)
-    if loaded_after is not None:
-        wanted = wanted.filter(F.col("_loaded_at") > loaded_after)
+    if loaded_from is not None:
+        wanted = wanted.filter(F.col("_loaded_at") >= loaded_from)
     typed = wanted.select(
         "device_id",
         "event_timestamp",

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import boundaries_between
 from .joins import not_in
-from .scd2 import scd2_overlaps
+from .scd2 import scd2_overlapping_versions
 
 # Accepted codes, thresholds and freshness limits.
 CONTRACT_STATUSES = ("active", "renewed", "cancelled", "expired", "suspended", "service_agreement")
@@ -85,7 +85,8 @@ def surrogate_key_collision(df: DataFrame, key: str, natural: Sequence[str]) ->
 def scd2_no_overlap(
     df: DataFrame, key: str, valid_from: str = "valid_from", valid_to: str = "valid_to"
 ) -> DataFrame:
-    return scd2_overlaps(df, key, valid_from, valid_to)
+    """Versions that start before an earlier one of their key has ended (D7), one row each."""
+    return scd2_overlapping_versions(df, key, valid_from, valid_to)
 
 
 def volume_anomaly(

@@ -99,8 +99,15 @@ def unified_profile(
         "address", "postal_code", "municipality", "region", "country", "segment", "status",
         "created_at", "updated_at",
     )
-    how = "full" if keep_crm_only else "left"
-    matched = people.join(contact, F.lower("oltp_email") == F.col("_email"), how)
+    same = F.lower("oltp_email") == F.col("_email")
+    if keep_crm_only:
+        # A full join would send all customers without an address to one task; they match
+        # no one, so they go round it.
+        matched = people.filter(F.col("oltp_email").isNotNull()).join(contact, same, "full")
+        nobody = people.filter(F.col("oltp_email").isNull())
+        matched = matched.unionByName(nobody, allowMissingColumns=True)
+    else:
+        matched = people.join(contact, same, "left")
     known, in_crm = F.col("customer_id").isNotNull(), F.col("crm_contact_id").isNotNull()
     status = F.when(known & in_crm, "matched").when(known, "oltp_only").otherwise("crm_only")
     return matched.drop("_email").withColumn("match_status", status)

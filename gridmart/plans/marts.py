@@ -222,6 +222,12 @@ def all_events(
     )
 
 
+def staged_events(staged: DataFrame) -> DataFrame:
+    """The same stream out of `staging.telemetry_all`, which has read the raw events once."""
+    value = F.coalesce(*[F.col(c).cast(READING) for c in ("kwh_reading", "temperature_celsius", "actual_value")])
+    return staged.select("device_id", "event_timestamp", "event_type", value.alias("reading_value"))
+
+
 def device_homes(
     devices: DataFrame, households: DataFrame, customers: DataFrame | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SUM, COUNT, AVG, COUNT_IF = "sum", "count", "avg", "count_if"
+SUM, COUNT, AVG, COUNT_IF, RATIO = "sum", "count", "avg", "count_if", "ratio"
 
 
 @dataclass(frozen=True)
@@ -39,11 +39,14 @@ class Fact:
 
 @dataclass(frozen=True)
 class Metric:
+    """``column`` and, for a ratio of sums, ``over`` are expressions over the table."""
+
     name: str
     table: str
     kind: str
     column: str
     synonyms: tuple[str, ...] = ()
+    over: str = ""
 
 
 @dataclass(frozen=True)
@@ -53,6 +56,7 @@ class SemanticModel:
     facts: Sequence[Fact]
     dimensions: Sequence[Dimension]
     metrics: Sequence[Metric]
+    small: tuple[str, ...] = ("dates",)  # tables of a size fixed by construction
     _dimension_names: dict = field(default_factory=dict, compare=False)
     _metric_names: dict = field(default_factory=dict, compare=False)
 
@@ -93,7 +97,9 @@ class SemanticModel:
 
 def _partials(metric: Metric) -> dict[str, Column]:
     """What one metric needs per fact group; all of it adds up."""
-    value = F.col(metric.column)
+    value = F.expr(metric.column)
+    if metric.kind == RATIO:
+        return {f"{metric.name}__sum": F.sum(value), f"{metric.name}__count": F.sum(F.expr(metric.over))}
     if metric.kind == SUM:
         return {f"{metric.name}__sum": F.sum(value)}
     if metric.kind == COUNT:
@@ -125,38 +131,42 @@ def _fact_partials(
 ) -> DataFrame:
     """Partial sums of one fact per requested dimension values.
 
-    The fact is first reduced to one row per combination of foreign keys, so what is
-    shuffled into the dimension joins has the size of the key combinations, and a key
-    with a third of the facts arrives as few rows. Only dimension tables that are
-    named take part.
+    Filters come first: those on the fact's own columns reach its scan, and the keys that
+    a filtered dimension leaves are semi-joined to the fact before anything is summed. The
+    fact is then reduced to one row per combination of foreign keys, so what is shuffled
+    into the dimension joins has the size of the key combinations, and a key with a third
+    of the facts arrives as few rows. Only dimension tables that are named take part, and
+    one that is named in a filter only is not joined again.
     """
-    needed = [*dimensions, *[d for d, _ in filters]]
-    own = sorted({d.column for d in needed if d.table == fact})
-    parents = list(dict.fromkeys(d.table for d in needed if d.table != fact))
+    own = sorted({d.column for d in dimensions if d.table == fact})
+    parents = list(dict.fromkeys(d.table for d in dimensions if d.table != fact))
     paths = {p: model.path(fact, p) for p in parents}
 
     rows = tables[fact]
-    # Filters on the fact's own columns come first and reach the scan.
     for d, test in filters:
         if d.table == fact:
             rows = rows.filter(test(F.col(d.column)))
+    for parent in dict.fromkeys(d.table for d, _ in filters if d.table != fact):
+        r, kept = model.path(fact, parent), tables[parent]
+        for d, test in filters:
+            if d.table == parent:
+                kept = kept.filter(test(F.col(d.column)))
+        keys = kept.select(F.col(r.parent_key).alias(f"_kept_{parent}"))
+        if parent in model.small:
+            keys = F.broadcast(keys)
+        rows = rows.join(keys, F.col(r.key) == F.col(f"_kept_{parent}"), "left_semi")
     group = list(dict.fromkeys([*own, *[r.key for r in paths.values()]]))
     partials = {n: c for m in metrics for n, c in _partials(m).items()}
     reduced = rows.groupBy(*group).agg(*[c.alias(n) for n, c in partials.items()])
 
     for parent, r in paths.items():
-        columns = list(dict.fromkeys(d.column for d in needed if d.table == parent))
+        columns = list(dict.fromkeys(d.column for d in dimensions if d.table == parent))
         dim = tables[parent].select(
             F.col(r.parent_key).alias(f"_key_{parent}"),
             *[F.col(c).alias(f"{parent}__{c}") for c in columns],
         )
-        tests = [(d, test) for d, test in filters if d.table == parent]
-        for d, test in tests:
-            dim = dim.filter(test(F.col(f"{parent}__{d.column}")))
-        # A filtered dimension must match; others keep facts without a parent.
-        reduced = reduced.join(
-            dim, F.col(r.key) == F.col(f"_key_{parent}"), "inner" if tests else "left"
-        )
+        # Facts without a parent are kept, unless a filter has dropped them.
+        reduced = reduced.join(dim, F.col(r.key) == F.col(f"_key_{parent}"), "left")
     outputs = [
         F.col(d.column if d.table == fact else f"{d.table}__{d.column}").alias(d.name)
         for d in dimensions
@@ -261,6 +271,43 @@ CONTRACT_REVENUE = SemanticModel(
 )
 
 
+# Names and synonyms of the metrics outside billing are fixed values, formulas ours where none is given.
+OPERATIONS = SemanticModel(
+    keys={
+        "usage": "energy_usage_daily_sk",
+        "tickets": "service_ticket_sk",
+        "profiles": "customer_360_sk",
+        "customers": "customer_sk",
+        "dates": "date_key",
+    },
+    relationships=(
+        Relationship("usage", "customer_sk", "customers", "customer_sk"),
+        Relationship("usage", "date_key", "dates", "date_key"),
+        Relationship("tickets", "opened_date_key", "dates", "date_key"),
+    ),
+    facts=(Fact("total_kwh", "usage", "total_kwh", ("energy", "consumption")),),
+    dimensions=(
+        Dimension("customer_segment", "profiles", "segment"),
+        Dimension("customer_region", "profiles", "region"),
+        Dimension("match_status", "profiles", "match_status"),
+        Dimension("segment", "customers", "segment"),
+        Dimension("region", "customers", "region"),
+        Dimension("priority", "tickets", "priority"),
+        Dimension("severity", "tickets", "severity"),
+        Dimension("ticket_status", "tickets", "ticket_status"),
+        Dimension("month_name", "dates", "month_name", ("month",)),
+        Dimension("quarter", "dates", "quarter"),
+        Dimension("year", "dates", "year"),
+    ),
+    metrics=(
+        Metric("average_daily_energy_consumption", "usage", AVG, "total_kwh"),
+        Metric("average_first_response_time", "tickets", AVG, "time_to_first_response_hours"),
+        Metric("active_customer_count", "profiles", COUNT_IF, "status = 'active'"),
+        Metric("device_uptime_rate", "profiles", RATIO, "active_device_count", over="total_device_count"),
+    ),
+)
+
+
 def revenue_by_category(tables: Mapping[str, DataFrame], year: int, quarter: int) -> DataFrame:
     """Total revenue by product category in one quarter (M11, question 1)."""
     return semantic_query(

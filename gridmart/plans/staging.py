@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions import title_case
+from ..functions import payload_field, title_case
 from ..operators.current import (
     cdc_current,
     latest_effective,
+    latest_per_key,
+    newest_first,
     saas_current,
     saas_filtered,
     telemetry_stage,
@@ -47,6 +49,7 @@ TELEMETRY_MODELS = {
     "energy_readings": "energy_reading",
     "temperature_readings": "temperature_reading",
 }
+TELEMETRY_KEY = ["device_id", "event_timestamp", "event_type"]
 
 
 def typed(df: DataFrame, table: str, drop: tuple[str, ...] = ()) -> DataFrame:
@@ -84,10 +87,45 @@ def saas_model(sync: DataFrame, table: str) -> DataFrame:
 
 
 def telemetry_model(
-    events: DataFrame, model: str, loaded_after: Column | None = None
+    events: DataFrame, model: str, loaded_from: Column | None = None
 ) -> DataFrame:
     event_type = TELEMETRY_MODELS[model]
-    return telemetry_stage(events, event_type, PAYLOADS[event_type], loaded_after)
+    return telemetry_stage(events, event_type, PAYLOADS[event_type], loaded_from)
+
+
+def telemetry_all(events: DataFrame, loaded_from: Column | None = None) -> DataFrame:
+    """All four event types in one scan and one shuffle: one row per device, time and type.
+
+    Holds every type's fields, NULL where a row is of another type. ``loaded_from`` is the
+    high-water mark of an incremental run; rows loaded at the mark itself are read again.
+    """
+    wanted = events.filter(F.col("event_type").isin(*TELEMETRY_MODELS.values()))
+    if loaded_from is not None:
+        wanted = wanted.filter(F.col("_loaded_at") >= loaded_from)
+    fields = {
+        name: F.when(
+            F.col("event_type") == event_type,
+            payload_field(events, "event_data", f"$.payload.{source}", data_type),
+        ).alias(name)
+        for event_type in TELEMETRY_MODELS.values()
+        for name, (source, data_type) in PAYLOADS[event_type].items()
+    }
+    rows = wanted.select(*TELEMETRY_KEY, *fields.values(), "_loaded_at", "_ingestion_date")
+    return latest_deliveries(rows)
+
+
+def latest_deliveries(rows: DataFrame) -> DataFrame:
+    """One row per event of `telemetry_all`, the newest; of equally new ones, by content."""
+    fields = [c for c in rows.columns if c not in (*TELEMETRY_KEY, "_loaded_at", "_ingestion_date")]
+    return latest_per_key(rows, TELEMETRY_KEY, newest_first("_loaded_at", *fields))
+
+
+def telemetry_of(staged: DataFrame, model: str) -> DataFrame:
+    """One type's model out of `telemetry_all`."""
+    event_type = TELEMETRY_MODELS[model]
+    return staged.filter(F.col("event_type") == event_type).select(
+        "device_id", "event_timestamp", *PAYLOADS[event_type], "_loaded_at", "_ingestion_date"
+    )
 
 
 def partner_model(feed: DataFrame, table: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 from ..operators.quality import enforce_contract, tag_pii
 from ..operators.scd2 import scd2_merge
 from ..sources import calendar
-from ..sources.sinks import layer_path, read_if_exists, write_clustered, write_table
-from . import intermediate, marts, staging
+from ..sources.sinks import (
+    high_water_mark,
+    layer_path,
+    read_if_exists,
+    remove,
+    write_clustered,
+    write_table,
+)
+from . import checks, intermediate, marts, staging
 from .contracts import MART_SCHEMAS, PII
 
 _OLTP = {f"stg_oltp__{t}": t for t in staging.CDC_KEYS}
@@ -26,17 +33,33 @@ SNAPSHOTS = {
     "snp_customers": ("stg_oltp__customers", "customer_id"),
     "snp_contracts": ("stg_oltp__contracts", "contract_id"),
 }
-CLUSTERED = {"fct_device_telemetry": "date_key", "fct_energy_usage_daily": "date_key"}
+STAGED_TELEMETRY = "stg_iot__all_events"
+CLUSTERED = {
+    "fct_device_telemetry": "date_key",
+    "fct_energy_usage_daily": "date_key",
+    STAGED_TELEMETRY: "event_type",
+}
+# What facts have days of; the calendar covers them all unless a range is given.
+DATED = (
+    ("stg_oltp__invoices", "invoice_date"),
+    ("stg_oltp__payments", "payment_date"),
+    ("stg_oltp__contracts", "start_date"),
+    ("stg_oltp__contracts", "end_date"),
+    (STAGED_TELEMETRY, "event_timestamp"),
+    ("stg_crm__cases", "created_date"),
+    ("stg_crm__cases", "closed_date"),
+)
 
 
 class Warehouse:
     """``wh["customer_360"]`` is the lazy model; its inputs are built on demand.
 
     ``as_of`` stands for the wall clock, so that results can be repeated.
-    ``snapshots`` may replace the snapshot tables, by default a first run over staging.
-    ``store`` is a folder in the shared file system; with it, models that others share
-    (`STORED`) are written there when first needed and read back, so a mart over many of
-    them computes none twice.
+    ``snapshots`` may replace the snapshot tables (or give functions that make them), by
+    default a first run over staging. ``store`` is a folder in the shared file system; with
+    it, models that others share (``stored``) are written there when first needed and read
+    back, so a mart over many of them computes none twice. Without ``first_day`` and
+    ``last_day`` the calendar has the years that the facts lie in.
     """
 
     def __init__(
@@ -44,23 +67,30 @@ class Warehouse:
         spark: SparkSession,
         raw: Mapping[str, DataFrame],
         as_of: Column | None = None,
-        first_day: str = calendar.FIRST_DAY,
-        last_day: str = calendar.LAST_DAY,
-        snapshots: Mapping[str, DataFrame] | None = None,
+        first_day: str | None = None,
+        last_day: str | None = None,
+        snapshots: Mapping[str, DataFrame | Callable[[], DataFrame]] | None = None,
         store: str | None = None,
+        stored: Collection[str] | None = None,
     ):
         self.spark = spark
         self.raw = raw
         self.as_of = as_of if as_of is not None else F.localtimestamp()
-        self.days = (first_day, last_day)
+        self.days = (first_day, last_day) if first_day and last_day else None
         self.store = store
-        self._models: dict[str, DataFrame] = dict(snapshots or {})
+        self.stored = STORED if stored is None else stored
+        self.snapshots = dict(snapshots or {})
+        self._models: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._models:
             model = self._build(name)
-            if self.store and name in STORED:
-                model = write_table(model, layer_path(self.store, "shared", name))
+            if self.store and name in self.stored:
+                path = layer_path(self.store, "shared", name)
+                if name in CLUSTERED:
+                    model = write_clustered(model, path, CLUSTERED[name])
+                else:
+                    model = write_table(model, path)
             self._models[name] = model
         return self._models[name]
 
@@ -73,10 +103,18 @@ class Warehouse:
             return staging.cdc_model(self.raw[_OLTP[name]], _OLTP[name])
         if name in _CRM:
             return staging.saas_model(self.raw[_CRM[name]], _CRM[name])
+        if name == STAGED_TELEMETRY:
+            return staging.telemetry_all(self.raw["telemetry_events"])
         if name in _IOT:
+            # One type alone is cheaper out of the raw events, unless all are stored already.
+            if self.store or STAGED_TELEMETRY in self._models:
+                return staging.telemetry_of(self[STAGED_TELEMETRY], _IOT[name])
             return staging.telemetry_model(self.raw["telemetry_events"], _IOT[name])
         if name in _PARTNER:
             return staging.partner_model(self.raw[_PARTNER[name]], _PARTNER[name])
+        if name in self.snapshots:
+            given = self.snapshots[name]
+            return given() if callable(given) else given
         if name in SNAPSHOTS:
             source, key = SNAPSHOTS[name]
             return scd2_merge(None, self[source], key)
@@ -94,18 +132,41 @@ class Warehouse:
         """Run one snapshot against its stored versions and store the outcome.
 
         Every run writes the whole version set to a partition of its own. The set before
-        stays readable, so a run that dies leaves the table as it was.
+        stays readable, so a run that dies leaves the table as it was; older ones go.
         """
         source, key = SNAPSHOTS[name]
         path = layer_path(root, "snapshots", name)
         stored = read_if_exists(self.spark, path)
         last = -1 if stored is None else stored.agg(F.max("run")).first()[0]
         before = None if stored is None else stored.filter(F.col("run") == last).drop("run")
-        return write_table(scd2_merge(before, self[source], key), f"{path}/run={last + 1}")
+        written = write_table(scd2_merge(before, self[source], key), f"{path}/run={last + 1}")
+        remove(self.spark, f"{path}/run={last - 1}")
+        return written
+
+    def load_telemetry(self, root: str) -> DataFrame:
+        """Add what was loaded since the last build to the staged events (T1), and return them all.
+
+        A build reads raw events from the newest stored load on, that instant included, and
+        writes them to a folder of its own; readers take the newest delivery of each event.
+        """
+        path = layer_path(root, "staged", STAGED_TELEMETRY)
+        mark = high_water_mark(self.spark, path)
+        build = 0 if mark is None else self.spark.read.parquet(path).agg(F.max("build")).first()[0] + 1
+        since = None if mark is None else F.lit(mark).cast("timestamp_ntz")
+        fresh = staging.telemetry_all(self.raw["telemetry_events"], since)
+        write_clustered(fresh, f"{path}/build={build}", CLUSTERED[STAGED_TELEMETRY])
+        rows = self.spark.read.parquet(path).select(*fresh.columns)
+        return rows if mark is None else staging.latest_deliveries(rows)
 
     def build(self, root: str) -> dict[str, DataFrame]:
-        """Write snapshots, shared models and all marts; later models read the files."""
+        """Write snapshots, shared models and all marts; later models read the files.
+
+        Telemetry is staged from where the last build ended. Rows that fail a check of
+        `checks.CHECKS` go to ``checks/failing_rows``, the marts' row counts are added to
+        ``checks/row_counts``.
+        """
         self.store = self.store or root
+        self.replace(STAGED_TELEMETRY, self.load_telemetry(root))
         for name in SNAPSHOTS:
             self.replace(name, self.snapshot(name, root))
         written = {}
@@ -118,6 +179,9 @@ class Warehouse:
                 stored = write_table(mart, path)
             self.replace(name, stored)
             written[name] = stored
+        write_table(checks.failing_rows(self), layer_path(root, "checks", "failing_rows"))
+        counts = checks.row_counts(self, MART_SCHEMAS, self.as_of)
+        counts.coalesce(1).write.mode("append").parquet(layer_path(root, "checks", "row_counts"))
         return written
 
 
@@ -127,7 +191,10 @@ STORED = {
     "stg_oltp__households",
     "stg_oltp__contracts",
     "stg_oltp__invoices",
+    "stg_oltp__invoice_line_items",
+    "stg_oltp__payments",
     "stg_crm__contacts",
+    STAGED_TELEMETRY,
     "int_customer__unified_profile",
     "int_device__lifecycle",
     "int_device__telemetry_daily",
@@ -161,7 +228,12 @@ _MODELS = {
     "dim_device": (lambda wh, d: marts.dim_device(d), ("int_device__lifecycle",)),
     "dim_household": (lambda wh, h: marts.dim_household(h), ("stg_oltp__households",)),
     "dim_product": (lambda wh, p: marts.dim_product(p), ("stg_oltp__products",)),
-    "dim_date": (lambda wh: calendar.date_dimension(wh.spark, *wh.days), ()),
+    "dim_date": (
+        lambda wh: calendar.date_dimension(wh.spark, *wh.days)
+        if wh.days
+        else calendar.dates_over([(wh[m], column) for m, column in DATED]),
+        (),
+    ),
     "dim_time": (lambda wh: calendar.time_dimension(wh.spark), ()),
     "dim_geography": (
         lambda wh, *m: marts.dim_geography(*m), ("stg_oltp__customers", "stg_oltp__households"),
@@ -184,9 +256,8 @@ _MODELS = {
         ("stg_oltp__contracts", "dim_customer", "dim_household", "dim_product", "dim_contract", "dim_date"),
     ),
     "fct_device_telemetry": (
-        lambda wh, e, t, s, a, *dims: marts.fct_device_telemetry(marts.all_events(e, t, s, a), *dims),
-        ("stg_iot__energy_readings", "stg_iot__temperature_readings", "stg_iot__device_status",
-         "stg_iot__alert_events", "dim_device", "dim_household", "dim_date", "dim_time"),
+        lambda wh, events, *dims: marts.fct_device_telemetry(marts.staged_events(events), *dims),
+        (STAGED_TELEMETRY, "dim_device", "dim_household", "dim_date", "dim_time"),
     ),
     "fct_energy_usage_daily": (
         lambda wh, *m: marts.fct_energy_usage_daily(*m),

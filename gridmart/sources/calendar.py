@@ -2,26 +2,46 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import date_key
 
-# Default range, fixed public holidays as (month, day), bands and hours.
-FIRST_DAY, LAST_DAY = "2024-01-01", "2026-12-31"
+# Fixed public holidays as (month, day), bands and hours.
 FIXED_HOLIDAYS = ((1, 1), (6, 5), (12, 24), (12, 25), (12, 26))
 BANDS = ((6, "night"), (12, "morning"), (18, "afternoon"))
 LAST_BAND = "evening"
 BUSINESS_HOURS = (8, 16)
 
 
-def date_dimension(
-    spark: SparkSession, first: str = FIRST_DAY, last: str = LAST_DAY
-) -> DataFrame:
-    """One row per day; days outside the range get no key, so pass a range that fits."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("d")
+def date_dimension(spark: SparkSession, first: str, last: str) -> DataFrame:
+    """One row per day of a given range; days outside it get no key (see `dates_over`)."""
+    return _days(spark.range(1).select(F.lit(first).cast("date"), F.lit(last).cast("date")))
+
+
+def dates_over(dated: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """One row per day of the whole years that the dates in (table, column) lie in.
+
+    Every table is reduced to its first and last day before anything meets.
+    """
+    spans = None
+    for table, column in dated:
+        day = F.to_date(column)
+        span = table.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+        spans = span if spans is None else spans.unionByName(span)
+    ends = spans.agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return _days(
+        ends.filter("first IS NOT NULL").select(
+            F.trunc("first", "year"), F.date_sub(F.add_months(F.trunc("last", "year"), 12), 1)
+        )
     )
+
+
+def _days(ends: DataFrame) -> DataFrame:
+    """The calendar between the two dates of a one-row frame."""
+    days = ends.toDF("first", "last").select(F.explode(F.sequence("first", "last")).alias("d"))
     d = F.col("d")
     iso_day = F.weekday(d) + 1
     holiday = F.concat_ws("-", F.month(d), F.day(d)).isin(

@@ -171,7 +171,8 @@ def load_csv_tolerant(
 def read_json_array(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One ``event_data`` VARIANT per element of the outer array of each file.
 
-    A file holding one big array cannot be split; prefer `read_json_lines` for volume.
+    A file holding one big array cannot be split; for volume, let there be an array or an
+    event per line (`read_json_array_lines`, `read_json_lines`).
     """
     files = spark.read.option("multiLine", True).option("singleVariantColumn", "_v").json(path)
     return files.lateralJoin(
@@ -179,6 +180,14 @@ def read_json_array(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ).select(F.col("value").alias("event_data"))
 
 
+def read_json_array_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The same for files with an array per line, which split freely."""
+    arrays = spark.read.text(path).select(F.try_parse_json("value").alias("_v"))
+    return arrays.lateralJoin(
+        spark.tvf.variant_explode(F.col("_v").outer())
+    ).select(F.col("value").alias("event_data"))
+
+
 def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One ``event_data`` VARIANT per line; files split freely."""
     return spark.read.option("singleVariantColumn", "event_data").json(path)

@@ -58,13 +58,32 @@ def high_water_mark(spark: SparkSession, path: str, column: str = "_loaded_at"):
     return None if table is None else table.agg(F.max(column)).first()[0]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a table, in whatever file system it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def incremental_append(
-    df: DataFrame, path: str, partition_by: list[str] | None = None, column: str = "_loaded_at"
+    df: DataFrame,
+    path: str,
+    keys: list[str],
+    partition_by: list[str] | None = None,
+    column: str = "_loaded_at",
 ) -> DataFrame:
-    """Append the rows loaded after everything the target has; the first run takes all."""
+    """Append the rows loaded since the newest the target has; the first run takes all.
+
+    Rows loaded at the mark itself may be there already or not: those are told by ``keys``,
+    among the stored rows of that instant only.
+    """
     spark = df.sparkSession
     mark = high_water_mark(spark, path, column)
-    fresh = df if mark is None else df.filter(F.col(column) > F.lit(mark).cast(df.schema[column].dataType))
+    fresh = df
+    if mark is not None:
+        at = F.lit(mark).cast(df.schema[column].dataType)
+        stored = spark.read.parquet(path).filter(F.col(column) == at).select(*keys, column)
+        fresh = df.filter(F.col(column) >= at).join(stored, [*keys, column], "left_anti")
+        fresh = fresh.select(*df.columns)
     writer = fresh.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.sinks import read_if_exists
+from ..sources.sinks import read_if_exists, remove
 
 ARRIVAL = "_arrival"  # which batch brought a row: -1 for the base, then in the order they finished
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of a NULL partition
@@ -151,5 +151,4 @@ class StreamTable:
         frame.write.mode("append").parquet(f"{self.path}/{name}")
 
     def _remove(self, name: str) -> None:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        remove(self.spark, f"{self.path}/{name}")

@@ -92,5 +92,5 @@ def test_telemetry_keeps_the_latest_load_and_survives_bad_payloads(spark, rows):
     for events in (raw, variant):
         staged = telemetry_stage(events, "energy_reading", fields).withColumn("kwh", F.col("kwh").cast("double"))
         assert rows(staged, "device_id", "kwh") == [("d1", 2.5), ("d2", None), ("d3", None)]
-    later = telemetry_stage(raw, "energy_reading", fields, loaded_after=F.lit(at(9)).cast("timestamp_ntz"))
+    later = telemetry_stage(raw, "energy_reading", fields, loaded_from=F.lit(at(10)).cast("timestamp_ntz"))
     assert later.count() == 1

@@ -85,7 +85,13 @@ def test_json_arrays_and_lines(spark, tmp_path, rows):
     write(tmp_path / "arrays", "a.json", json.dumps([EVENT, other], indent=2))
     write(tmp_path / "lines", "l.json", json.dumps(EVENT) + "\n" + json.dumps(other) + "\n")
     at = F.lit("2025-03-01 00:00:00").cast("timestamp_ntz")
-    for events in (files.read_json_array(spark, str(tmp_path / "arrays")), files.read_json_lines(spark, str(tmp_path / "lines"))):
+    (tmp_path / "array_lines").mkdir()
+    write(tmp_path / "array_lines", "a.json", json.dumps([EVENT, other]) + "\n[]\n{broken\n")
+    for events in (
+        files.read_json_array(spark, str(tmp_path / "arrays")),
+        files.read_json_array_lines(spark, str(tmp_path / "array_lines")),
+        files.read_json_lines(spark, str(tmp_path / "lines")),
+    ):
         raw = files.telemetry_envelope(events, at)
         assert rows(raw.drop("event_data")) == [
             ("4008", "alert_event", datetime(2025, 2, 15, 14, 32), datetime(2025, 3, 1), date(2025, 3, 1)),

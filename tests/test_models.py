@@ -10,7 +10,7 @@ from gridmart.functions import boundaries_between, surrogate_key, title_case
 from gridmart.operators.chunks import chunk_documents
 from gridmart.operators.joins import not_in
 from gridmart.plans import intermediate, marts, serving, staging
-from gridmart.sources.calendar import date_dimension, time_dimension
+from gridmart.sources.calendar import date_dimension, dates_over, time_dimension
 
 
 def frame(spark, data, schema):
@@ -125,7 +125,7 @@ def test_telemetry_keys_of_clock_and_minute(spark, rows):
         "device_id string, event_timestamp timestamp_ntz, event_type string, reading_value decimal(12,4)")
     devices = frame(spark, [(1, "sk1", 9)], "device_id bigint, device_sk string, household_id bigint")
     households = frame(spark, [(9, "hk9")], "household_id bigint, household_sk string")
-    dims = (devices, households, date_dimension(spark), time_dimension(spark))
+    dims = (devices, households, date_dimension(spark, "2024-01-01", "2026-12-31"), time_dimension(spark))
     columns = ("device_id", "device_sk", "household_sk", "date_key", "time_key")
     assert rows(marts.fct_device_telemetry(events, *dims), *columns) == [
         ("1", "sk1", "hk9", 20250101, 1305), ("x", None, None, None, 59),
@@ -140,7 +140,7 @@ def test_repeated_events_get_keys_of_their_own(spark):
     devices = frame(spark, [], "device_id bigint, device_sk string, household_id bigint")
     households = frame(spark, [], "household_id bigint, household_sk string")
     fact = marts.fct_device_telemetry(
-        events, devices, households, date_dimension(spark), time_dimension(spark), unique_events=False)
+        events, devices, households, date_dimension(spark, "2024-01-01", "2026-12-31"), time_dimension(spark), unique_events=False)
     assert fact.select("telemetry_sk").distinct().count() == 3
 
 
@@ -150,7 +150,7 @@ def test_unknown_devices_keep_distinct_daily_keys(spark):
     devices = frame(spark, [], "device_id bigint, device_sk string, household_id bigint")
     households = frame(spark, [], "household_id bigint, household_sk string, customer_id bigint")
     customers = frame(spark, [], "customer_id bigint, customer_sk string, is_current boolean")
-    fact = marts.fct_energy_usage_daily(daily, devices, households, customers, date_dimension(spark))
+    fact = marts.fct_energy_usage_daily(daily, devices, households, customers, date_dimension(spark, "2024-01-01", "2026-12-31"))
     assert fact.select("energy_usage_daily_sk").distinct().count() == 2
 
 
@@ -218,7 +218,12 @@ def test_search_takes_wildcards_literally(spark, rows):
 
 
 def test_calendar(spark, rows):
-    days = date_dimension(spark)
+    facts = spark.createDataFrame([(date(2024, 5, 5), None), (date(2026, 1, 1), None)], "a date, b timestamp_ntz")
+    nothing = facts.filter("false")
+    assert dates_over([(nothing, "a"), (facts, "b")]).count() == 0
+    covering = dates_over([(facts, "a"), (facts, "b"), (nothing, "a")])
+    days = date_dimension(spark, "2024-01-01", "2026-12-31")
+    assert covering.exceptAll(days).count() == 0 and covering.count() == days.count()
     assert days.count() == 1096
     assert rows(days.filter("date_key = 20241230"), "day_of_week", "week_number_iso", "is_weekend", "fiscal_quarter") == [("Monday", 1, False, 4)]
     assert days.filter("is_danish_public_holiday").count() == 15

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 
 from gridmart.plans.semantic import CONTRACT_REVENUE as MODEL
-from gridmart.plans.semantic import semantic_query
+from gridmart.plans.semantic import OPERATIONS, semantic_query
 
 
 @pytest.fixture(scope="module")
@@ -71,6 +71,25 @@ def test_unrelated_dimension_is_refused(star):
         ask(star, ["total_payments"], ["category"])
 
 
+def test_filtered_keys_meet_the_fact_before_anything_is_summed(star):
+    """The calendar's keys are sent to the scan; a table that only filters is not joined again."""
+    found = ask(star, ["revenue"], ["segment"], {"yr": lambda c: c == 2024})
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    semi = next(i for i, line in enumerate(plan) if "LeftSemi" in line)
+    assert "BroadcastHashJoin" in plan[semi]
+    first_sum = max(i for i, line in enumerate(plan) if "partial_sum" in line)
+    assert first_sum < semi and not any("Exchange" in line for line in plan[first_sum:semi])
+    assert sum("date_key" in line and "Join" in line for line in plan) == 1
+
+
+def test_ratios_and_conditions(spark, rows):
+    profiles = spark.createDataFrame(
+        [("home", "active", 1, 2), ("home", "gone", 0, 2), ("farm", "active", 0, 0)],
+        "segment string, status string, active_device_count bigint, total_device_count bigint")
+    found = semantic_query(OPERATIONS, {"profiles": profiles}, ["active_customer_count", "device_uptime_rate"], ["customer_segment"])
+    assert rows(found) == [("farm", 1, None), ("home", 1, 0.25)]
+
+
 def test_facts_shrink_before_they_meet_a_dimension(star):
     plan = ask(star, ["revenue"], ["segment"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.rindex("Aggregate")

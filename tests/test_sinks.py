@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridmart.operators.quality import pii_columns, schema_mismatches
+from gridmart.plans import checks
 from gridmart.plans.contracts import MART_SCHEMAS
+from gridmart.plans.warehouse import Warehouse
 from gridmart.session import scratch_path
 from gridmart.sources import sinks
-from workload.domain import warehouse
+from workload.domain import RawFeeds, warehouse
 
 
 def feed(spark, *hours):
@@ -19,9 +21,22 @@ def feed(spark, *hours):
 def test_incremental_append(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     assert sinks.high_water_mark(spark, path) is None
-    sinks.incremental_append(feed(spark, 1, 2), path)
-    table = sinks.incremental_append(feed(spark, 1, 2, 3), path)
+    sinks.incremental_append(feed(spark, 1, 2), path, ["k"])
+    table = sinks.incremental_append(feed(spark, 1, 2, 3), path, ["k"])
     assert rows(table, "k") == [(1,), (2,), (3,)]
+
+
+def test_rows_loaded_at_the_mark_are_appended_once(spark, tmp_path, rows):
+    path, at = str(tmp_path / "t"), datetime(2025, 1, 1, 1)
+    for keys in ((1, 2), (1, 2, 3), (1, 2, 3)):
+        df = spark.createDataFrame([(k, at) for k in keys], "k bigint, _loaded_at timestamp_ntz")
+        table = sinks.incremental_append(df, path, ["k"])
+    assert rows(table, "k") == [(1,), (2,), (3,)]
+
+
+def test_high_water_mark(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.incremental_append(feed(spark, 1, 2, 3), path, ["k"])
     assert sinks.high_water_mark(spark, path) == datetime(2025, 1, 1, 3)
 
 
@@ -50,8 +65,53 @@ def test_whole_build(spark, sf_dir, tmp_path):
     unchanged = again.snapshot("snp_customers", str(tmp_path))
     assert unchanged.filter("dbt_valid_to IS NOT NULL").count() == 0
     assert unchanged.count() == written["dim_customer"].count()
-    runs = spark.read.parquet(str(tmp_path / "snapshots" / "snp_customers")).select("run").distinct().count()
-    assert runs == 2
+    again.snapshot("snp_customers", str(tmp_path))
+    runs = spark.read.parquet(str(tmp_path / "snapshots" / "snp_customers")).select("run").distinct()
+    assert sorted(r.run for r in runs.collect()) == [1, 2]
+    counts = spark.read.parquet(str(tmp_path / "checks" / "row_counts"))
+    assert {r.model_name: r.row_count for r in counts.collect()} == {n: t.count() for n, t in written.items()}
+    failing = spark.read.parquet(str(tmp_path / "checks" / "failing_rows"))
+    assert failing.columns == ["model", "check", "failing_row"] and failing.count() == 0
+
+
+def test_failing_rows_are_named(spark, rows):
+    dim = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "customer_360_sk string, customer_id bigint")
+    mine = tuple(c for c in checks.CHECKS if c.model == "customer_360")
+    found = checks.failing_rows({"customer_360": dim}, mine)
+    assert rows(found) == [
+        ("customer_360", "not_null_customer_360_sk", '{"customer_id":3}'),
+        ("customer_360", "unique_customer_360_sk", '{"customer_360_sk":"a","n_records":2}'),
+    ]
+
+
+RAW = "event_data string, device_id string, event_type string, event_timestamp timestamp_ntz, _loaded_at timestamp_ntz, _ingestion_date date"
+
+
+def test_a_second_build_reads_only_what_came_since(spark, tmp_path, rows):
+    def event(device, hour, kwh):
+        at = datetime(2025, 1, 1, hour)
+        return (f'{{"payload": {{"kwh_reading": {kwh}}}}}', device, "energy_reading", datetime(2025, 1, 1), at, at.date())
+
+    def load(*events):
+        raw = spark.createDataFrame(list(events), RAW)
+        return Warehouse(spark, {"telemetry_events": raw}).load_telemetry(str(tmp_path))
+
+    load(event("a", 1, 1), event("b", 2, 2))
+    # a row below the mark is not read again, one at the mark and a newer delivery are
+    staged = load(event("x", 1, 9), event("c", 2, 3), event("a", 3, 4))
+    assert [(r[0], float(r[1])) for r in rows(staged, "device_id", "kwh_reading")] == [("a", 4.0), ("b", 2.0), ("c", 3.0)]
+
+
+def scans_of_events(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return sum("Relation" in line and "event_id" in line for line in plan.splitlines())
+
+
+def test_the_event_fact_reads_the_feed_once(spark, sf_dir):
+    fact = warehouse(spark, sf_dir)["fct_device_telemetry"]
+    feed_itself = scans_of_events(RawFeeds(spark, sf_dir)["telemetry_events"])
+    lifecycle = scans_of_events(warehouse(spark, sf_dir)["int_device__lifecycle"])
+    assert scans_of_events(fact) == feed_itself + lifecycle
 
 
 def test_scratch_lies_in_the_shared_folder(spark):

@@ -8,12 +8,17 @@ the same rows. Everything after the raw feeds is written twice: as DataFrame cod
 from __future__ import annotations
 
 import re
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gridmart.plans.warehouse import Warehouse
+from gridmart.operators.scd2 import scd2_merge
+from gridmart.plans import staging
+from gridmart.plans.contracts import MART_SCHEMAS
+from gridmart.plans.warehouse import STORED, Warehouse
+from gridmart.session import scratch_path
 from gridmart.sources.schemas import raw_tables
 
 TABLES = (
@@ -160,7 +165,7 @@ SELECT {_cdc("'INSERT'", _START, "'seed'")},
     CAST(p_partkey AS BIGINT) AS product_id, p_name AS product_name,
     CASE WHEN p_type IN ('STANDARD', 'MEDIUM') THEN 'device' WHEN p_type = 'ECONOMY' THEN 'service'
         WHEN p_type = 'PROMO' THEN 'bundle' ELSE lower(p_type) END AS category,
-    p_brand AS description, CASE WHEN p_retailprice < 1000 THEN 'standard' ELSE 'premium' END AS pricing_tier,
+    p_brand AS description, CASE WHEN p_retailprice < 910 THEN 'standard' ELSE 'premium' END AS pricing_tier,
     p_size < 40 AS is_active, {_START} AS created_at, {_START} AS updated_at
 FROM {{part}}
 """,
@@ -216,7 +221,8 @@ SELECT o_orderdate + INTERVAL 1 DAY AS _loaded_at, {_pad('o_orderkey')} AS _sync
     o_orderpriority <> '1-URGENT' AS _is_deleted,
     concat('CON-', CAST(o_custkey AS STRING), '-', o_orderstatus) AS contact_id,
     concat('ACC-', CAST(c_nationkey AS STRING)) AS account_id, lower(c_mktsegment) AS first_name,
-    c_name AS last_name, concat(upper(c_name), '@example.com') AS email, CAST(NULL AS STRING) AS phone,
+    c_name AS last_name,
+    concat(CASE WHEN o_custkey % 50 = 7 THEN 'FORMER ' ELSE '' END, upper(c_name), '@example.com') AS email, CAST(NULL AS STRING) AS phone,
     CASE o_orderstatus WHEN 'F' THEN 'Homeowner' ELSE 'Manager' END AS title,
     CASE o_orderstatus WHEN 'F' THEN NULL ELSE 'Facilities' END AS department,
     CAST(o_orderdate AS DATE) AS created_date,
@@ -410,12 +416,36 @@ class RawFeeds(dict):
         return df
 
 
-def warehouse(spark: SparkSession, sf_dir: str, store: str | None = None) -> Warehouse:
-    return Warehouse(
-        spark,
-        RawFeeds(spark, sf_dir),
-        as_of=F.lit(AS_OF).cast("timestamp_ntz"),
-        first_day=FIRST_DAY,
-        last_day=LAST_DAY,
-        store=store,
-    )
+# The first snapshot run saw the logs up to here, the second saw all of them.
+FIRST_RUN = {"customers": "2024-01-15 00:00:00", "contracts": "1998-07-01 00:00:00"}
+
+
+def two_runs(feeds: RawFeeds, table: str) -> DataFrame:
+    """Versions of a change log after two snapshot runs."""
+    log, key = feeds[table], staging.CDC_KEYS[table]
+    early = log.filter(F.col("_source_ts") <= F.lit(FIRST_RUN[table]).cast("timestamp_ntz"))
+    first = scd2_merge(None, staging.cdc_model(early, table), key)
+    return scd2_merge(first, staging.cdc_model(log, table), key)
+
+
+def warehouse(spark: SparkSession, sf_dir: str, store: str | None = None, **options) -> Warehouse:
+    feeds = RawFeeds(spark, sf_dir)
+    given = {
+        "as_of": F.lit(AS_OF).cast("timestamp_ntz"),
+        "first_day": FIRST_DAY,
+        "last_day": LAST_DAY,
+        "snapshots": {f"snp_{t}": partial(two_runs, feeds, t) for t in FIRST_RUN},
+    }
+    return Warehouse(spark, feeds, store=store, **{**given, **options})
+
+
+_MARTS: dict[tuple[str, str], Warehouse] = {}
+
+
+def stored_marts(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The marts as written tables, each when first asked for and once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MARTS:
+        store = scratch_path(spark, "marts")
+        _MARTS[key] = warehouse(spark, sf_dir, store, stored=STORED | set(MART_SCHEMAS))
+    return _MARTS[key]

@@ -11,7 +11,7 @@ import re
 from gridmart.plans.staging import CDC_KEYS, SAAS_KEYS
 
 from . import domain
-from .domain import AS_OF, AS_OF_DATE, FIRST_DAY, LAST_DAY
+from .domain import AS_OF, AS_OF_DATE, FIRST_DAY, FIRST_RUN, LAST_DAY
 
 NOW = f"TIMESTAMP '{AS_OF}'"
 TODAY = f"DATE '{AS_OF_DATE}'"
@@ -53,17 +53,33 @@ SAAS_ORDER = "last_modified_date, _loaded_at, _sync_id"
 
 MODELS: dict[str, str] = {f"raw_{name}": domain.duckdb_sql(name) for name in domain.RAW_SQL}
 
-for _table, _key in CDC_KEYS.items():
-    _current = latest(f"raw_{_table}", _key, CDC_ORDER, "_op <> 'DELETE'")
-    if _table == "customers":
-        MODELS["stg_oltp__customers"] = (
+
+
+def current_rows(table: str, where: str = "TRUE") -> str:
+    rows = latest(f"raw_{table}", CDC_KEYS[table], CDC_ORDER, f"_op <> 'DELETE' AND {where}")
+    if table == "customers":
+        return (
             "SELECT * EXCLUDE (_op) REPLACE (lower(email) AS email, "
             "upper(substr(first_name, 1, 1)) || lower(substr(first_name, 2)) AS first_name, "
             "upper(substr(last_name, 1, 1)) || lower(substr(last_name, 2)) AS last_name) "
-            f"FROM ({_current})"
+            f"FROM ({rows})"
         )
-    else:
-        MODELS[f"stg_oltp__{_table}"] = f"SELECT * EXCLUDE (_op) FROM ({_current})"
+    return f"SELECT * EXCLUDE (_op) FROM ({rows})"
+
+
+for _table in CDC_KEYS:
+    MODELS[f"stg_oltp__{_table}"] = current_rows(_table)
+
+# Versions after a run over the early log and one over all of it: what both runs saw, each row with
+# the time of the next one of its key.
+for _table, _until in FIRST_RUN.items():
+    _key = CDC_KEYS[_table]
+    MODELS[f"snp_{_table}"] = f"""
+SELECT * EXCLUDE (run), updated_at AS valid_from,
+    lead(updated_at) OVER (PARTITION BY {_key} ORDER BY updated_at) AS valid_to
+FROM (SELECT DISTINCT ON ({_key}, updated_at) * FROM (
+    SELECT *, 1 AS run FROM ({current_rows(_table, f"_source_ts <= TIMESTAMP '{_until}'")})
+    UNION ALL SELECT *, 2 FROM stg_oltp__{_table}) ORDER BY {_key}, updated_at, run)"""
 
 for _table, _key in SAAS_KEYS.items():
     _rows = (
@@ -168,14 +184,14 @@ FROM (SELECT * RENAME (case_id AS ticket_id, status AS ticket_status, created_da
 LEFT JOIN stg_crm__contacts p USING (contact_id)""",
     "dim_customer": f"""
 SELECT {sk('customer_id', 'updated_at')} AS customer_sk, customer_id, email, first_name, last_name, phone,
-    address, postal_code, municipality, region, country, segment, status, updated_at AS valid_from,
-    CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current
-FROM stg_oltp__customers""",
+    address, postal_code, municipality, region, country, segment, status, valid_from, valid_to,
+    valid_to IS NULL AS is_current
+FROM snp_customers""",
     "dim_contract": f"""
 SELECT {sk('contract_id', 'updated_at')} AS contract_sk, contract_id, customer_id, household_id, product_id,
     tariff_plan_id, contract_type, status, start_date, end_date, monthly_amount, created_at, updated_at,
-    updated_at AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current
-FROM stg_oltp__contracts""",
+    valid_from, valid_to, valid_to IS NULL AS is_current
+FROM snp_contracts""",
     "dim_device": f"""
 SELECT {sk('device_id')} AS device_sk, device_id, device_serial, household_id, device_type, manufacturer, model,
     firmware_version, installed_at, lifecycle_state, created_at, updated_at
@@ -195,6 +211,13 @@ SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date, dayna
     strftime(d, '%m-%d') IN ('01-01', '06-05', '12-24', '12-25', '12-26') AS is_danish_public_holiday,
     year(d) AS fiscal_year, quarter(d) AS fiscal_quarter
 FROM (SELECT CAST(unnest(generate_series(DATE '{FIRST_DAY}', DATE '{LAST_DAY}', INTERVAL 1 DAY)) AS DATE) AS d)""",
+    # Every day of the years that the facts lie in.
+    "dated": """
+SELECT min(d) AS first, max(d) AS last FROM (
+    SELECT invoice_date AS d FROM stg_oltp__invoices UNION ALL SELECT payment_date FROM stg_oltp__payments
+    UNION ALL SELECT start_date FROM stg_oltp__contracts UNION ALL SELECT end_date FROM stg_oltp__contracts
+    UNION ALL SELECT CAST(event_timestamp AS DATE) FROM telemetry
+    UNION ALL SELECT created_date FROM stg_crm__cases UNION ALL SELECT closed_date FROM stg_crm__cases)""",
     "dim_time": """
 SELECT h * 100 + m AS time_key, h AS hour, m AS minute,
     CASE WHEN h < 6 THEN 'night' WHEN h < 12 THEN 'morning' WHEN h < 18 THEN 'afternoon' ELSE 'evening' END

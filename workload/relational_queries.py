@@ -178,17 +178,19 @@ def broken_versions(s, d):
         "contract_id", "valid_from", (F.col("valid_from") + F.expr("INTERVAL '400' DAY")).alias("valid_to"))
 
 
+# Versions in their order; a later one overlaps an earlier one that has not ended at its start.
 OVERLAPS = """
-SELECT a.contract_id, a.valid_from AS a_valid_from, a.valid_to AS a_valid_to, b.valid_from AS b_valid_from,
-    b.valid_to AS b_valid_to
-FROM {0} a JOIN {0} b ON a.contract_id = b.contract_id AND a.valid_from < b.valid_from
-    AND (a.valid_to IS NULL OR a.valid_to > b.valid_from)"""
+SELECT earlier.contract_id, earlier.valid_from AS a_valid_from, earlier.valid_to AS a_valid_to,
+    later.valid_from AS b_valid_from, later.valid_to AS b_valid_to
+FROM (SELECT *, dense_rank() OVER (PARTITION BY contract_id ORDER BY valid_from) AS n FROM {0}) later
+JOIN (SELECT *, dense_rank() OVER (PARTITION BY contract_id ORDER BY valid_from) AS n FROM {0}) earlier USING (contract_id)
+WHERE later.n > earlier.n AND coalesce(earlier.valid_to, TIMESTAMP 'infinity') > later.valid_from"""
 add("j11_interval_overlap_pairs", lambda s, d: scd2.scd2_overlaps(broken_versions(s, d), "contract_id"),
     OVERLAPS.format("broken_versions"))
 add("j11_overlapping_versions", lambda s, d: scd2.scd2_overlapping_versions(broken_versions(s, d), "contract_id"),
-    """SELECT b.contract_id, b.valid_from, max(a.valid_to) AS earlier_valid_to
-FROM broken_versions b JOIN broken_versions a ON a.contract_id = b.contract_id AND a.valid_from < b.valid_from
-    AND a.valid_to > b.valid_from GROUP BY 1, 2""")
+    """SELECT contract_id, valid_from, earlier_valid_to FROM (SELECT *, max(valid_to) OVER (PARTITION BY contract_id
+    ORDER BY valid_from ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier_valid_to FROM broken_versions)
+WHERE earlier_valid_to > valid_from""")
 add("j12_null_aware_anti_join", lambda s, d: joins.not_in(
         customer(s, d).select("c_custkey"), "c_custkey", events(s, d), "user_id"),
     "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)")

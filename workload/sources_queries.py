@@ -119,7 +119,7 @@ def s4(spark, sf):
     """Numbers of each file run from 2 without a gap, in the order the rows were written."""
     path = scratch_path(spark, "csv-lineage")
     orders = domain.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    orders.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey").write.option(
+    orders.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").write.option(
         "header", True
     ).csv(path)
     load = files.load_csv_tolerant(spark, path, "o_orderkey bigint, o_custkey bigint", loaded())
@@ -144,21 +144,21 @@ def s5(spark, sf):
     path = scratch_path(spark, "json-arrays")
     readings = domain.run_sql(spark, sf, domain.RAW_SQL["telemetry_readings"])
     # Arrays of consecutive events, so that one holds at most ARRAY_EVENTS at any volume.
-    events = domain.event_json(readings).filter("event_type = 'alert_event'")
+    events = domain.event_json(readings)
     arrays = events.groupBy(F.floor(F.col("event_id") / ARRAY_EVENTS).alias("part")).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list("event_json"), ","), F.lit("]")).alias("value")
     )
-    arrays.write.partitionBy("part").text(path)
-    rows = files.read_json_array(spark, path)
+    arrays.select("value").write.text(path)
+    rows = files.read_json_array_lines(spark, path)
     return rows.select(
         F.try_variant_get("event_data", "$.device_id", "string").alias("device_id"),
-        F.try_variant_get("event_data", "$.payload.severity", "string").alias("severity"),
-        F.try_variant_get("event_data", "$.payload.actual_value", "decimal(12,4)").alias("actual_value"),
+        F.try_variant_get("event_data", "$.event_type", "string").alias("event_type"),
+        F.try_variant_get("event_data", "$.event_timestamp", "timestamp_ntz").alias("event_timestamp"),
     )
 
 
-add("s5_json_array_scan", s5, """
-SELECT device_id, severity, actual_value FROM stg_iot__alert_events""", "actual_value")
+add("s5_json_array_scan", s5,
+    "SELECT device_id, event_type, event_timestamp FROM raw_telemetry_readings")
 
 add("s6_envelope_extraction", lambda spark, sf: files.telemetry_envelope(
         files.read_json_lines(spark, json_feed(spark, sf)), loaded()).drop("event_data"),
@@ -183,11 +183,11 @@ def s11(spark, sf):
     orders = domain.table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("full_date")).agg(
         F.count("*").alias("orders")
     )
-    return orders.join(F.broadcast(days), "full_date")
+    return days.join(orders, "full_date", "left")
 
 
 add("s11_date_dimension", s11, """
-SELECT d.*, o.orders FROM dim_date d JOIN (
+SELECT d.*, o.orders FROM dim_date d LEFT JOIN (
     SELECT CAST(o_orderdate AS DATE) AS full_date, count(*) AS orders FROM orders GROUP BY 1) o USING (full_date)""")
 
 
@@ -196,11 +196,11 @@ def s12(spark, sf):
     events = domain.table(spark, sf, "events").groupBy(
         (F.hour("ts") * 100 + F.minute("ts")).alias("time_key")
     ).agg(F.count("*").alias("events"))
-    return events.join(F.broadcast(minutes), "time_key")
+    return minutes.join(events, "time_key", "left")
 
 
 add("s12_time_dimension", s12, """
-SELECT t.*, e.events FROM dim_time t JOIN (
+SELECT t.*, e.events FROM dim_time t LEFT JOIN (
     SELECT hour(ts) * 100 + minute(ts) AS time_key, count(*) AS events FROM events GROUP BY 1) e USING (time_key)""")
 
 
@@ -229,10 +229,10 @@ MIDDLE = "2024-01-15 00:00:00"
 def s15(spark, sf):
     """Two runs over a growing feed leave every row once."""
     path = scratch_path(spark, "incremental")
-    feed = domain.RawFeeds(spark, sf)["grid_usage_readings"].orderBy("_loaded_at")
+    feed = domain.RawFeeds(spark, sf)["grid_usage_readings"]
     early = feed.filter(F.col("_loaded_at") <= F.lit(MIDDLE).cast("timestamp_ntz"))
-    sinks.incremental_append(early, path)
-    return sinks.incremental_append(feed, path).select("reading_id", "kwh_consumed", "_loaded_at")
+    sinks.incremental_append(early, path, ["reading_id"])
+    return sinks.incremental_append(feed, path, ["reading_id"]).select("reading_id", "kwh_consumed", "_loaded_at")
 
 
 add("s15_incremental_append", s15,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridmart.operators import quality
 from gridmart.plans import staging
+from gridmart.plans.warehouse import Warehouse
 from gridmart.session import scratch_path
 from gridmart.sources.schemas import PAYLOADS
 from gridmart.streaming import sources, upserts
@@ -34,7 +35,7 @@ def stream(spark, sf, feed, order, batches=BATCHES, late=None):
         schema = rows.schema
     moment = F.col(order)
     if late is not None:
-        moment = F.when(late, moment + F.expr("INTERVAL 5 HOURS")).otherwise(moment)
+        moment = F.when(F.expr(late), moment + F.expr("INTERVAL 5 HOURS")).otherwise(moment)
     rows = rows.withColumn("_moment", moment)
     first, last = rows.agg(F.min("_moment"), F.max("_moment")).first()
     cuts = [first + (last - first) * i / batches for i in range(1, batches)]
@@ -48,6 +49,10 @@ def stream(spark, sf, feed, order, batches=BATCHES, late=None):
     return incoming
 
 
+def drained(query):
+    query.awaitTermination()
+
+
 def s10(spark, sf):
     lines, out = scratch_path(spark, "event-lines"), scratch_path(spark, "events-out")
     readings = domain.run_sql(spark, sf, domain.RAW_SQL["telemetry_readings"])
@@ -77,19 +82,20 @@ add("t1_incremental_append_stream", t1, "SELECT * FROM stg_iot__alert_events", "
 
 
 def t1_batch(spark, sf):
-    """High-water mark in batch: a second run over the same feed adds only what came later."""
+    """Two builds: the second reads from the newest load of the first on, that instant included."""
+    root = scratch_path(spark, "t1-builds")
     events = domain.RawFeeds(spark, sf)["telemetry_events"]
     mark = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
     before = events.filter(F.col("_loaded_at") <= mark)
-    first = staging.telemetry_model(before, "alert_events")
-    second = staging.telemetry_model(events, "alert_events", loaded_after=mark)
-    return first.unionByName(second)
+    Warehouse(spark, {"telemetry_events": before}).load_telemetry(root)
+    staged = Warehouse(spark, {"telemetry_events": events}).load_telemetry(root)
+    return staging.telemetry_of(staged, "alert_events")
 
 
 add("t1_high_water_mark", t1_batch, "SELECT * FROM stg_iot__alert_events", "threshold_value actual_value")
 
 
-LATE_EVENTS = F.pmod(F.xxhash64("device_id", "event_timestamp"), F.lit(40)) == 0
+LATE_EVENTS = "pmod(xxhash64(device_id, event_timestamp), 40) = 0"
 
 
 def t2_first(batches):
@@ -140,7 +146,7 @@ def t4(spark, sf):
 
 add("t4_current_state_stream", t4, "SELECT customer_id, status, _source_ts, updated_at FROM stg_oltp__customers")
 
-LATE_CHANGES = F.pmod(F.xxhash64("customer_id", "_source_ts"), F.lit(5)) == 0
+LATE_CHANGES = "pmod(xxhash64(customer_id, _source_ts), 5) = 0"
 
 
 def t5(batches):
