@@ -77,18 +77,15 @@ def scd2_from_log(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     hot_rows: int = HOT_ROWS,
-    slice_unit: str = "hour",
 ) -> DataFrame:
     """Every version of every key in one pass over a change log (SN2).
 
     Each change opens a version that lasts until the next one. Two changes of a key at
     the same instant leave one version. Keys with more than ``hot_rows`` changes are
-    worked off in time slices.
+    worked off in slices of their own times.
     """
     live = log.filter(F.col(op) != "DELETE") if op else log
-    live = with_slices(
-        live.filter(F.col(ts).isNotNull()), [key], F.date_trunc(slice_unit, F.col(ts)), hot_rows
-    )
+    live = with_slices(live.filter(F.col(ts).isNotNull()), [key], ts, hot_rows)
     order = newest_first(*[c for c in tie_break if c in live.columns])
     if order:
         versions = latest_per_key(live, [key, ts], order)
@@ -108,7 +105,6 @@ def as_of_version(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     hot_rows: int = HOT_ROWS,
-    slice_unit: str = "hour",
 ) -> DataFrame:
     """Option to the current-version lookup: the version valid at the time of the fact.
 
@@ -128,7 +124,7 @@ def as_of_version(
         F.struct(*facts.columns).alias("_fact"),
     )
     line = starts.unionByName(moments, allowMissingColumns=True)
-    cut = with_slices(line, ["_k"], F.date_trunc(slice_unit, F.col("_order.at")), hot_rows)
+    cut = with_slices(line.withColumn("_at", F.col("_order.at")), ["_k"], "_at", hot_rows)
     found = sliced_max_before(cut, ["_k"], "_order", "_version", "_found")
     valid = F.col(f"_found.{valid_to}").isNull() | (F.col("_order.at") < F.col(f"_found.{valid_to}"))
     return found.filter("_order.is_fact = 1").select(
@@ -141,14 +137,14 @@ def _far_future(df: DataFrame, column: str) -> Column:
 
 
 def _reach(
-    versions: DataFrame, key: str, valid_from: str, valid_to: str, hot_rows: int, slice_unit: str
+    versions: DataFrame, key: str, valid_from: str, valid_to: str, hot_rows: int
 ) -> DataFrame:
     """Per key and start: how far its versions reach, how far earlier ones reach, next start."""
     end = F.coalesce(F.col(valid_to), _far_future(versions, valid_to))
     rows = versions.select(
         F.col(key).alias("_k"), F.col(valid_from).alias("_from"), end.alias("_reach")
     ).filter(F.col("_k").isNotNull() & F.col("_from").isNotNull())
-    cut = with_slices(rows, ["_k"], F.date_trunc(slice_unit, F.col("_from")), hot_rows)
+    cut = with_slices(rows, ["_k"], "_from", hot_rows)
     starts = cut.groupBy("_k", "_from", SLICE, PART).agg(F.max("_reach").alias("_reach"))
     earlier = sliced_max_before(starts, ["_k"], "_from", "_reach", "_earlier_reach", source=cut)
     return sliced_lead(earlier, ["_k"], "_from", "_next_from", source=cut)
@@ -160,13 +156,12 @@ def scd2_overlapping_versions(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     hot_rows: int = HOT_ROWS,
-    slice_unit: str = "hour",
 ) -> DataFrame:
     """Starts that fall before an earlier version of the key ended, one row each.
 
     Linear in the number of versions, however many of them overlap.
     """
-    reach = _reach(versions, key, valid_from, valid_to, hot_rows, slice_unit)
+    reach = _reach(versions, key, valid_from, valid_to, hot_rows)
     return reach.filter(F.col("_earlier_reach") > F.col("_from")).select(
         F.col("_k").alias(key),
         F.col("_from").alias(valid_from),
@@ -180,14 +175,13 @@ def scd2_overlaps(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     hot_rows: int = HOT_ROWS,
-    slice_unit: str = "hour",
 ) -> DataFrame:
     """All pairs of overlapping versions of a key (D7); empty for a sound dimension.
 
     Only versions known to overlap something enter the pair join, so a sound table costs
     two linear windows and joins nothing.
     """
-    reach = _reach(versions, key, valid_from, valid_to, hot_rows, slice_unit)
+    reach = _reach(versions, key, valid_from, valid_to, hot_rows)
     overlapped = reach.filter(F.col("_earlier_reach") > F.col("_from")).select("_k", "_from")
     overlapping = reach.filter(F.col("_reach") > F.col("_next_from")).select("_k", "_from")
     rows = versions.select(

@@ -14,9 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group with more rows than this is cut. At most (all rows / HOT_ROWS) groups can
-# qualify, which bounds the broadcast in `with_slices`: 10^12 rows allow 10^6 of them.
+# A group with more rows than this is cut, at this many quantiles of its own order: a slice
+# holds a thousandth of its group, and stays below HOT_ROWS for groups of up to 10^9 rows.
 HOT_ROWS = 1_000_000
+CUTS = 1_024
 
 # `_slice` is NULL in ordinary groups. `_part` is the group with its slice, as one struct:
 # unlike its members a struct is never NULL, so it serves windows and equi-joins alike and
@@ -25,28 +26,49 @@ SLICE, PART = "_slice", "_part"
 
 
 def with_slices(
-    df: DataFrame, keys: Sequence[str], slice_by: Column, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS, cuts: int = CUTS
 ) -> DataFrame:
-    """Add ``_slice``: NULL in ordinary groups, ``slice_by`` in groups above ``hot_rows``.
+    """Add ``_slice``: NULL in ordinary groups, a number that grows with ``order`` in groups
+    above ``hot_rows``. Equal values share a slice.
 
-    ``slice_by`` must not decrease along the order of the later window. Groups are counted
-    on the key columns alone, combined before they are shuffled.
+    Groups are counted on the key columns alone, combined before they are shuffled; quantiles
+    are sketched for hot groups only, from their own rows, combined likewise. One plan for
+    all sizes; how the list of hot groups meets the rows is left to its size at run time.
     """
-    group = F.struct(*keys)
+    group, value = F.struct(*keys), F.col(order)
     hot = (
         df.groupBy(group.alias("_hot_group"))
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > hot_rows)
-        .select("_hot_group", F.lit(True).alias("_hot"))
+        .select("_hot_group")
+    )
+    steps = [i / cuts for i in range(1, cuts)]
+    points = (
+        df.select(group.alias("_hot_group"), value.alias("_value"))
+        .join(hot, "_hot_group", "left_semi")
+        .groupBy("_hot_group")
+        .agg(F.percentile_approx("_value", steps, 10 * cuts).alias("_points"))
     )
     return (
-        df.join(F.broadcast(hot), group == F.col("_hot_group"), "left")
-        .withColumn(SLICE, F.when(F.col("_hot"), slice_by))
+        df.join(points, group == F.col("_hot_group"), "left")
+        .withColumn(SLICE, F.when(F.col("_hot_group").isNotNull(), _points_at_or_below(value, cuts)))
         .withColumn(PART, F.struct(*keys, SLICE))
-        .drop("_hot", "_hot_group")
+        .drop("_points", "_hot_group")
     )
 
 
+def _points_at_or_below(value: Column, cuts: int) -> Column:
+    """Binary search in the sorted array ``_points``; 0 where value or points are NULL."""
+    steps = F.lit([1 << i for i in reversed(range(cuts.bit_length()))])
+
+    def climb(found: Column, step: Column) -> Column:
+        at = found + step
+        fits = (at <= F.size("_points")) & (F.try_element_at("_points", at) <= value)
+        return F.when(F.coalesce(fits, F.lit(False)), at).otherwise(found)
+
+    return F.aggregate(steps, F.lit(0), climb)
+
+
 def _per_part(df: DataFrame, aggregate: Column) -> DataFrame:
     """One row per slice of the hot groups; empty if there are none."""
     hot = df.filter(F.col(SLICE).isNotNull())
@@ -69,15 +91,16 @@ def _carried(per_part: DataFrame, value: Column) -> DataFrame:
     return per_part.select("_p", value.alias("_carried")).filter(F.col("_carried").isNotNull())
 
 
-def sliced_row_number(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], name: str
+def sliced_sum_before(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], value: str, name: str
 ) -> DataFrame:
-    """``row_number()`` per group of a frame that went through `with_slices`."""
-    sizes = _per_part(df, F.count(F.lit(1)))
-    offsets = _carried(sizes, F.sum("_value").over(_earlier_slices(keys)))
-    local = F.row_number().over(Window.partitionBy(PART).orderBy(*order_by))
+    """Sum of ``value`` over the rows of the group ordered before this one, 0 for the first."""
+    sums = _per_part(df, F.sum(value))
+    carried = _carried(sums, F.sum("_value").over(_earlier_slices(keys)))
+    before = Window.partitionBy(PART).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    local = F.coalesce(F.sum(value).over(before), F.lit(0))
     return (
-        _carry(df.withColumn(name, local), offsets)
+        _carry(df.withColumn(name, local), carried)
         .withColumn(name, F.col(name) + F.coalesce("_carried", F.lit(0)))
         .drop("_carried", SLICE, PART)
     )
@@ -125,58 +148,44 @@ def sliced_max_before(
     )
 
 
-def _cut_points(df: DataFrame, value: str, slices: int) -> list[float]:
-    """Quantiles of a numeric column: one job, ``slices`` numbers to the driver."""
-    steps = [i / slices for i in range(1, slices)]
-    numeric = df.select(F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
-    return sorted(set(numeric.approxQuantile("v", steps, 1 / (2 * slices))))
-
-
-def _value_slice(value: str, cuts: list[float]) -> tuple[Column, Column]:
-    """A slice number that does not decrease with ``value``, and whether it holds one value.
-
-    Numbers are -1 for NULL, 2i for the gap below cut i, and 2i + 1 for cut i itself, so
-    that a value shared by many rows is a slice of its own.
-    """
-    v = F.col(value).cast("double")
-    points = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
-    below = F.size(F.filter(points, lambda p: p < v))
-    number = F.when(v.isNull(), -1).otherwise(
-        below * 2 + F.array_contains(points, v).cast("int")
-    )
-    return number, number % 2 != 0
-
-
 def occurrence_ordinal(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     name: str = "occurrence",
     hot_rows: int = HOT_ROWS,
-    slices: int = 256,
+    cuts: int = CUTS,
 ) -> DataFrame:
-    """Number the rows of each group by the numeric columns ``order``, NULL first.
-
-    Integers must be exact as doubles, that is below 2^53.
-
-    Without a hot group, known after one count per group, this is a plain window. With
-    one, rows are cut by quantiles of the first column; where a slice holds one value
-    only, by the next column; and rows equal in all of them, which may be numbered in any
-    order, by a hash of the whole row. Quantiles are taken over all rows, so a slice of
-    any group holds about 1/``slices`` of them at most. Rows equal in *every* column stay
-    together; remove such copies first, as staging does.
+    """Number the rows of each group by the columns ``order``, NULL first.
+
+    Rows that agree in keys and order are counted first, which shrinks every group to its
+    distinct places; a place's first number is a running sum over them, sliced where a group
+    is hot. Rows of one place may be numbered in any order: they are dealt to shares of at
+    most about ``hot_rows`` by a hash of the whole row, numbered in each, and shares follow
+    one another. Rows equal in *every* column stay in one share; remove such copies first,
+    as staging does.
     """
+    place = [*keys, *order]
+    counted = df.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows"))
+    cut = with_slices(counted, keys, order[0], hot_rows, cuts)
     by_order = [F.col(c).asc_nulls_first() for c in order]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    if counts.filter(F.col("_rows") > hot_rows).isEmpty():
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*by_order)))
-
-    parts, single = [], F.lit(True)
-    for position, column in enumerate(order):
-        number, one_value = _value_slice(column, _cut_points(df, column, slices))
-        parts.append(F.when(single, number).otherwise(0).alias(f"s{position}"))
-        single = single & one_value
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(slices))
-    parts.append(F.when(single, spread).otherwise(0).alias("spread"))
-    cut = with_slices(df, keys, F.struct(*parts), hot_rows)
-    return sliced_row_number(cut, keys, by_order, name)
+    first = sliced_sum_before(cut, keys, by_order, "_rows", "_before")
+    shares = F.ceil(F.col("_rows") / hot_rows) if hot_rows else F.col("_rows")
+    where = first.select(F.struct(*place).alias("_place"), "_before", shares.cast("long").alias("_shares"))
+    row_hash = F.xxhash64(*df.columns)
+    rows = df.join(where, F.struct(*place) == F.col("_place")).withColumn(
+        "_share", F.pmod(row_hash, "_shares")
+    )
+    sizes = (
+        rows.filter("_shares > 1")
+        .groupBy(F.struct("_place", "_share").alias("_s"))
+        .agg(F.count(F.lit(1)).alias("_size"))
+    )
+    earlier = Window.partitionBy("_s._place").orderBy("_s._share").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_s", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("_place", "_share").orderBy(row_hash))
+    numbered = rows.withColumn("_inside", inside).join(
+        offsets, F.struct("_place", "_share") == F.col("_s"), "left"
+    )
+    number = F.col("_before") + F.coalesce("_offset", F.lit(0)) + F.col("_inside")
+    return numbered.select(*df.columns, number.cast("int").alias(name))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridmart.operators.joins import equal_weights
 from gridmart.operators.scd2 import scd2_from_log, scd2_overlapping_versions, scd2_overlaps
 from gridmart.operators.slices import (
+    PART,
     occurrence_ordinal,
     sliced_lead,
     sliced_max_before,
@@ -35,14 +36,14 @@ HOT = [10_000, 50, 0]  # no group is cut; large ones are; every group is
 
 @pytest.mark.parametrize("hot_rows", HOT)
 def test_lead(points, rows, hot_rows):
-    cut = with_slices(points, ["k"], F.date_trunc("hour", "ts"), hot_rows)
+    cut = with_slices(points, ["k"], "ts", hot_rows, 16)
     plain = points.withColumn("n", F.lead("ts").over(Window.partitionBy("k").orderBy("ts")))
     assert rows(sliced_lead(cut, ["k"], "ts", "n"), "k", "ts", "n") == rows(plain, "k", "ts", "n")
 
 
 @pytest.mark.parametrize("hot_rows", HOT)
 def test_max_before(points, rows, hot_rows):
-    cut = with_slices(points, ["k"], F.date_trunc("hour", "ts"), hot_rows)
+    cut = with_slices(points, ["k"], "ts", hot_rows, 16)
     before = Window.partitionBy("k").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
     plain = points.withColumn("m", F.max("v").over(before))
     assert rows(sliced_max_before(cut, ["k"], "ts", "v", "m"), "k", "ts", "m") == rows(plain, "k", "ts", "m")
@@ -70,6 +71,26 @@ def test_ordinals_of_equal_values_are_all_used(points, hot_rows):
     assert spans.withColumn("next", F.lead("a").over(after)).filter("next <= b").count() == 0
 
 
+def test_slices_of_one_hot_hour_are_small(spark):
+    """One key holds nearly all rows, all within one hour: no slice is left large."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 100 == 0, F.col("id")).otherwise(F.lit(7)).alias("k"),
+        (F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id") % 3600 + F.col("id") / 1e6)).alias("ts"))
+    cut = with_slices(rows, ["k"], "ts", 1_000, 128)
+    sizes = [r["count"] for r in cut.groupBy(PART).count().collect()]
+    assert sum(sizes) == 60_000 and max(sizes) <= 1_000
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan.lower()
+
+
+def test_shares_of_a_hot_place_are_numbered_through(spark):
+    """20,000 rows that agree in key and order: numbers are used once, in shares of a few hundred."""
+    df = spark.range(20_000).select(F.lit(1).alias("k"), F.lit(5).alias("v"), "id")
+    numbered = occurrence_ordinal(df, ["k"], ["v"], "n", 500, 8)
+    found = numbered.agg(F.count_distinct("n").alias("d"), F.min("n").alias("a"), F.max("n").alias("b")).first()
+    assert tuple(found) == (20_000, 1, 20_000)
+
+
 @pytest.mark.parametrize("hot_rows", HOT)
 def test_versions_from_log(spark, rows, hot_rows):
     rng = random.Random(3)
