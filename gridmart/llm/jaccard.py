@@ -6,13 +6,14 @@ similarity reaches the threshold share a shingle within their first few (their p
 sets that meet in a prefix are compared; shingles that many documents share come last in the order
 and hardly ever lie in a prefix.
 
-Equal sets are one node. Where nodes meet in a prefix shingle, one of them is the centre of a star;
-a star's sets are stored, in global order, in a prefix tree that the centre's set goes through: sets
-that begin alike share their partial overlap, and a subtree is left as soon as too few shingles
-remain to reach the threshold. Links join components. Shingles whose nodes are all in one component
-are settled; the others get another centre, and after ``ROUNDS`` stars every two nodes of different
-components that still meet are compared. A pair is left out only if its documents are known to be
-connected already, so the components are exact.
+Equal sets are one node. Where nodes meet in a prefix shingle, the one that shares most of its
+prefix is the centre of a star. A pair of centre and node is a candidate if their sizes allow it and
+they have as many prefix shingles in common as similar sets must. A centre's candidates are stored,
+in global order, in a prefix tree that the centre's set goes through: sets that begin alike share
+their partial overlap, and a subtree is left as soon as too few shingles remain to reach the
+threshold. Links join components. Shingles whose nodes are then in one component are settled; of the
+others, nodes of different components are paired and go the same way. A pair is left out only if
+its documents are known to be connected already, so the components are exact.
 
 Defined results: null or empty text, or text without words: an empty set, linked with nothing;
 fewer words than a shingle's width: the whole sequence is the one shingle; repeated rows are equal
@@ -21,13 +22,15 @@ sets; an empty table gives no rows; extra columns are ignored. Whole texts, no c
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import added, list_array, raw_texts, stored
@@ -35,10 +38,9 @@ from .graph import components
 
 WIDTH = 5
 PERCENT = 80
-BITS = 18  # the frequency table that orders shingles has 2**BITS buckets; it is summed and broadcast
+BITS = 20  # the frequency table that orders shingles has 2**BITS buckets; it is summed and broadcast
 PARTS = 64  # rows in which a task sends its table
 HOT = 1 << 20  # prefix shingles that exceed the usual bucket by as much are not grouped, only joined
-ROUNDS = 2
 STAR = 64  # sets per prefix tree
 BROADCAST = 2_000_000  # document ids; more are joined by a shuffle
 TEXT_ROWS = 256
@@ -56,23 +58,79 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def shingles(data: bytes, width: int = WIDTH) -> np.ndarray:
-    """Hashes of the distinct shingles of a text's words, ascending. Words are what bytes.split()
-    gives: runs without ASCII white space, ASCII letters in lower case."""
-    import xxhash
-
-    words = data.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    known = {w: xxhash.xxh64_intdigest(w) for w in set(words)}
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    if len(words) < width:
-        return np.array([xxhash.xxh64_intdigest(h.tobytes())], np.uint64)
-    n = len(words) - width + 1
-    rolled = np.zeros(n, np.uint64)
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+BASE = 0x9E3779B97F4A7C15
+GAP = re.compile(rb"[\x09-\x0d\x20]")
+STRETCH = 1 << 19  # bytes of text that are hashed at a time, up to the next white space
+
+
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of `BASE` and of its inverse, modulo 2**64."""
+    pairs = []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        pairs.append(np.cumprod(steps, dtype=np.uint64))
+    return pairs[0], pairs[1]
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and place of every word of a text: runs without ASCII white space, ASCII letters in
+    lower case. Worked off in stretches that end at white space, as numbers take eight times the
+    room of the text."""
+    found, at = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+    while at < len(text):
+        gap = GAP.search(text, at + STRETCH)
+        end = gap.start() if gap else len(text)
+        hashes, begins = _hash_words(text[at:end])
+        found.append((hashes, begins + at))
+        at = end
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _hash_words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(text.lower(), np.uint8)
+    inside = ~BLANK[data]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    begins, ends = edges[::2], edges[1::2]
+    powers, inverse = _powers(1 << max(16, len(data).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
+    return mixed((sums[ends] - sums[begins]) * inverse[begins]), begins
+
+
+def shingles(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
+    """Hashes of the distinct shingles of each text, ascending; short texts are hashed together."""
+    out, held, size = [], [], 0
+    for text in texts:
+        if held and size + len(text) > 2 * STRETCH:
+            out += _shingles(held, width)
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    return out + _shingles(held, width) if held else out
+
+
+def _shingles(texts: list[bytes], width: int) -> list[np.ndarray]:
+    hashes, begins = word_hashes(b" ".join(texts))
+    starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    bounds = np.searchsorted(begins, starts)
+    rolled = np.zeros(max(0, len(hashes) - width + 1), np.uint64)
     for i in range(width):
-        rolled = rolled * WORDS[i % len(WORDS)] + h[i : i + n]
-    return np.unique(mixed(rolled))
+        rolled = rolled * WORDS[i % len(WORDS)] + hashes[i : i + len(rolled)]
+    rolled = mixed(rolled)
+    out = []
+    for first, last in zip(bounds, bounds[1:], strict=False):
+        if last - first >= width:
+            out.append(np.unique(rolled[first : last - width + 1]))
+        elif last > first:  # the whole sequence, told apart from shingles by its length
+            few = hashes[first:last]
+            out.append(mixed((few * WORDS[: len(few)]).sum(keepdims=True) + np.uint64(len(few))))
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
 
 
 def prefix_length(n: int) -> int:
@@ -106,8 +164,8 @@ def shingle_order(docs: DataFrame) -> Broadcast:
         sums = np.zeros(1 << BITS, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXT_ROWS):
-                found = [shingles(t) for t in raw_texts(batch.column(0).slice(at, TEXT_ROWS))]
-                buckets = (np.concatenate(found) >> np.uint64(64 - BITS)).astype(np.int64)
+                found = shingles(raw_texts(batch.column(0).slice(at, TEXT_ROWS)))
+                buckets = (np.concatenate([np.zeros(0, np.uint64), *found]) >> np.uint64(64 - BITS)).astype(np.int64)
                 sums += np.bincount(buckets, minlength=1 << BITS)
         if sums.any():
             parts = [p.tobytes() for p in np.split(sums, PARTS)]
@@ -140,8 +198,7 @@ def sets_of(docs: DataFrame, order: Broadcast) -> DataFrame:
         for batch in batches:
             sizes, nodes, cold, hot = [], [], [], []
             for at in range(0, batch.num_rows, TEXT_ROWS):
-                for text in raw_texts(batch.column(1).slice(at, TEXT_ROWS)):
-                    h = shingles(text)
+                for h in shingles(raw_texts(batch.column(1).slice(at, TEXT_ROWS))):
                     node = node_of(h) if len(h) else None
                     first = none
                     if node is not None and node not in seen:
@@ -166,13 +223,20 @@ def sets_of(docs: DataFrame, order: Broadcast) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tasks, SETS)
 
 
+def _too_far(n: str, m: str) -> Column:
+    """Sizes so far apart that the sets cannot be similar."""
+    return F.least(n, m) * 100 < F.greatest(n, m) * PERCENT
+
+
 def meetings(sets: DataFrame) -> DataFrame:
-    """token, node: prefix shingles that more than one node has, with their nodes."""
-    cold = sets.select(F.explode("prefix").alias("token"), "node")
-    whole = Window.partitionBy("token")
-    cold = cold.withColumns({"low": F.min("node").over(whole), "high": F.max("node").over(whole)})
-    hot = sets.select(F.explode("hot").alias("token"), "node")
-    return cold.where("low < high").select("token", "node").unionByName(hot).dropDuplicates()
+    """token, node, n: nodes of a prefix shingle that another node of a similar size has as well."""
+    cold = sets.select(F.explode("prefix").alias("token"), "node", "n").repartition("token")
+    by_size = Window.partitionBy("token").orderBy("n", "node")
+    sizes = {"before": F.lag("n").over(by_size), "after": F.lead("n").over(by_size)}
+    cold = cold.dropDuplicates(["token", "node"]).withColumns(sizes)
+    near = [F.col(c).isNotNull() & ~_too_far("n", c) for c in sizes]
+    hot = sets.select(F.explode("hot").alias("token"), "node", "n").dropDuplicates(["token", "node"])
+    return cold.where(near[0] | near[1]).select("token", "node", "n").unionByName(hot)
 
 
 class PrefixTree:
@@ -213,6 +277,24 @@ def _star(own: pd.DataFrame, centre: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": centre["own"].iloc[0], "b": found})
 
 
+def candidates(pairs: DataFrame, met: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (centre, node) whose prefixes have enough shingles in common.
+
+    Up to the end of the prefix that ends first, shingles common to both are in both prefixes; the
+    rest of that set is all that they can have in common beyond.
+    """
+    own = met.select("token", F.col("node").alias("centre"), F.col("n").alias("m"))
+    both = pairs.join(own, "centre").join(met, ["token", "node"])
+    counted = both.groupBy("centre", "node", "n", "m").agg(F.count("*").alias("common"))
+    return counted.where(_enough("common")).select("centre", "node")
+
+
+def _enough(common: str) -> Column:
+    beyond = F.floor((F.greatest("n", "m") * PERCENT + 99) / 100) - 1
+    needed = F.ceil((F.col("n") + F.col("m")) * PERCENT / (100 + PERCENT))
+    return F.col(common) >= needed - beyond
+
+
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (centre, node) whose sets (node, shingles) are similar, as a, b."""
     dealt = pairs.groupBy("centre").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts"))
@@ -235,12 +317,17 @@ def sets_for(docs: DataFrame, nodes: DataFrame, order: Broadcast) -> DataFrame:
     """node, shingles (in global order) of ``nodes`` (node, doc_id), from the documents' texts."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, TEXT_ROWS):
                 wanted = batch.column(0).slice(at, TEXT_ROWS).to_pylist()
-                found = [shingles(t) for t in raw_texts(batch.column(1).slice(at, TEXT_ROWS))]
+                found = shingles(raw_texts(batch.column(1).slice(at, TEXT_ROWS)))
                 # a row that repeats an id with another text is another node
-                same = [len(h) > 0 and node_of(h) == w for w, h in zip(wanted, found, strict=True)]
+                same = []
+                for w, h in zip(wanted, found, strict=True):
+                    same.append(w not in seen and len(h) > 0 and node_of(h) == w)
+                    if same[-1]:
+                        seen.add(w)
                 found = [order.value(h) for h, s in zip(found, same, strict=True) if s]
                 flat = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -255,68 +342,51 @@ def sets_for(docs: DataFrame, nodes: DataFrame, order: Broadcast) -> DataFrame:
     if ids.count() <= BROADCAST:
         ids = F.broadcast(ids)
     rows = docs.select("doc_id", "text").join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("id")))
-    found = rows.select("node", "text").mapInArrow(tasks, "node long, shingles array<long>")
-    return found.dropDuplicates(["node"])
-
-
-def _other_size(a: str, b: str):
-    """Sizes so far apart that the sets cannot be similar."""
-    low, high = F.least(a, b), F.greatest(a, b)
-    return low * 100 < high * PERCENT
+    # rows that repeat an id and its text may give a set twice, which makes the same links again
+    return rows.select("node", "text").mapInArrow(tasks, "node long, shingles array<long>")
 
 
 def links(docs: DataFrame, sets: DataFrame, order: Broadcast) -> DataFrame:
     """Links (a, b) of nodes that join all similar sets into components."""
-    met = meetings(sets.where("node is not null"))
-    nodes = sets.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n").alias("n")
-    )
-    met = stored(met, "meetings")
+    some = sets.where("node is not null")
+    met = stored(meetings(some.select("node", "n", "prefix", "hot")), "meetings")
+    first_id = some.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    have: DataFrame | None = None
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Links among the pairs; sets are made of the documents when first asked for."""
+        nonlocal have
+        ends = pairs.select("node").unionByName(pairs.select(F.col("centre").alias("node"))).dropDuplicates()
+        if have is not None:
+            ends = ends.join(have.select("node"), "node", "left_anti")
+        new = stored(sets_for(docs, stored(ends.join(first_id, "node"), "wanted"), order), "shingles")
+        have = new if have is None else have.unionByName(new)
+        return linked(pairs, have)
+
     # the share of its prefix that a node has in common with others is highest for the original of
     # many copies, which makes it the best centre
-    counted = met.groupBy("node").count().join(nodes, "node")
-    known = stored(counted.select("node", "doc_id", "n", (F.col("count") / F.col("n")).alias("share")), "met-nodes")
-    sets_met = stored(sets_for(docs, known, order), "met-sets")
-    open_ = met.join(known.drop("doc_id"), "node").withColumn("root", F.col("node"))
-    found = None
-    for turn in range(ROUNDS + 1):
-        ends = open_.groupBy("token").agg(
-            F.min("root").alias("low"),
-            F.max("root").alias("high"),
-            F.max(
-                F.struct(
-                    *([F.col("share")] if turn == 0 else []),
-                    F.xxhash64("node", F.lit(turn)).alias("_by"),
-                    F.col("node").alias("centre"),
-                    F.col("n").alias("m"),
-                    F.col("root").alias("centre_root"),
-                )
-            ).alias("c"),
-        )
-        ends = ends.where("low < high").select("token", "c.centre", "c.m", "c.centre_root")
-        if turn < ROUNDS:
-            unsettled = open_.join(ends, "token")
-            pairs = unsettled.where((F.col("root") != F.col("centre_root")) & ~_other_size("n", "m"))
-            pairs = pairs.select("centre", "node").dropDuplicates()
-        else:
-            rest = stored(open_.join(ends.select("token"), "token"), "unsettled")
-            others = rest.select("token", *[F.col(c).alias(f"_{c}") for c in ("node", "n", "root")])
-            pairs = rest.join(others, "token").where(
-                (F.col("root") != F.col("_root"))
-                & (F.col("node") < F.col("_node"))
-                & ~_other_size("n", "_n")
-            )
-            pairs = pairs.select(F.col("node").alias("centre"), F.col("_node").alias("node")).dropDuplicates()
-        new = linked(stored(pairs, "star-pairs"), sets_met)
-        found = stored(new if found is None else found.unionByName(new), "links")
-        if turn < ROUNDS:
-            roots = components(found)
-            open_ = (
-                stored(unsettled.select("token", "node", "n", "share"), "unsettled")
-                .join(roots, "node", "left")
-                .withColumn("root", F.coalesce("root", "node"))
-            )
-    return found
+    share = met.groupBy("node", "n").agg((F.count("*") / F.col("n")).alias("share"))
+    rank = F.struct("share", F.xxhash64("node").alias("_by"), F.col("node").alias("centre"), F.col("n").alias("m"))
+    centres = met.join(share.drop("n"), "node").groupBy("token").agg(F.max(rank).alias("c"))
+    stars = met.join(centres.select("token", "c.centre", "c.m"), "token")
+    stars = stars.where((F.col("node") != F.col("centre")) & ~_too_far("n", "m"))
+    stars = stars.select("centre", "node").dropDuplicates()
+    found = stored(verified(stored(candidates(stars, met), "star-pairs")), "links")
+
+    roots = components(found)
+    rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    rest = stored(rooted.join(open_.where("low < high").select("token"), "token"), "unsettled")
+    others = rest.select(
+        "token", F.col("node").alias("centre"), F.col("n").alias("m"), F.col("root").alias("_root")
+    )
+    pairs = rest.join(others, "token").where(
+        (F.col("root") != F.col("_root")) & (F.col("node") < F.col("centre")) & ~_too_far("n", "m")
+    )
+    # a pair of unsettled nodes meets in unsettled shingles only, so this counts all they share
+    pairs = pairs.groupBy("centre", "node", "n", "m").agg(F.count("*").alias("common"))
+    pairs = pairs.where(_enough("common")).select("centre", "node")
+    return found.unionByName(stored(verified(stored(pairs, "rest-pairs")), "links"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -324,7 +394,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links between documents of at least ``PERCENT`` percent similarity, itself included."""
     order = shingle_order(docs)
     sets = stored(sets_of(docs, order), "sets")
-    roots = components(links(docs, sets, order))
+    roots = components(stored(links(docs, sets, order), "all-links"))
     rows = sets.select("doc_id", "n", "node")
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridmart.llm import jaccard, queries
 from test_covertree_graph import plain_components
@@ -77,7 +78,7 @@ def test_prefix_tree_finds_all_similar_sets():
         assert found == [i for i, s in enumerate(sets) if similar(s)]
 
 
-@pytest.mark.parametrize("settings", [{}, {"HOT": -(10**9), "STAR": 3, "BROADCAST": 0}, {"ROUNDS": 0}])
+@pytest.mark.parametrize("settings", [{}, {"STAR": 3, "BROADCAST": 0}])
 def test_components_equal_all_pairs(spark, rows, monkeypatch, settings):
     for name, value in settings.items():
         monkeypatch.setattr(jaccard, name, value)
@@ -86,6 +87,36 @@ def test_components_equal_all_pairs(spark, rows, monkeypatch, settings):
     assert sorted(tuple(r) for r in found.collect()) == plain(rows)
 
 
+def test_long_texts_are_hashed_in_stretches(monkeypatch):
+    texts = [t.encode() for t in near_copies(40)] + [b"w" * 500, b"", b"a b"]
+    whole = jaccard.shingles(texts)
+    monkeypatch.setattr(jaccard, "STRETCH", 64)
+    for one, other in zip(whole, jaccard.shingles(texts), strict=True):
+        assert one.tolist() == other.tolist()
+
+
+def test_hot_shingles_are_grouped_by_a_join_only(spark, rows, monkeypatch):
+    """Sets whose prefixes stand apart as hot give the same components."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    order = jaccard.shingle_order(df)
+    sets = jaccard.sets_of(df, order)
+    heated = sets.withColumn("hot", F.concat("hot", F.filter("prefix", lambda t: t % 2 == 0)))
+    heated = heated.withColumn("prefix", F.filter("prefix", lambda t: t % 2 != 0))
+    monkeypatch.setattr(jaccard, "sets_of", lambda docs, order: heated)
+    found = jaccard.near_duplicates(df)
+    assert sorted(tuple(r) for r in found.collect()) == plain(rows)
+
+
+def test_word_hashes_tell_words_apart():
+    texts = [b"one two  one\tTWO", b"", b"two one", b"a b c d", b"a b c d e", b"d c b a", b"\x00 \x01", b"\x01 \x00"]
+    h, places = jaccard.word_hashes(texts[0])
+    assert places.tolist() == [0, 4, 9, 13] and h[0] == h[2] != h[1] == h[3]
+    sets = [tuple(s) for s in jaccard.shingles(texts)]
+    assert [len(s) for s in sets] == [1, 0, 1, 1, 1, 1, 1, 1] and len(set(sets)) == len(texts)
+    alone = [tuple(jaccard.shingles([t])[0]) for t in texts]
+    assert alone == sets
+
+
 def test_repeated_and_missing_rows(spark):
     text = "the same seven words stand here twice"
     data = [(5, text), (5, text), (3, text.upper()), (9, None), (9, None), (None, text)]
