@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .tokens import word_encoder
 
 WINDOW = 4096
-TEXT_BYTES = 16 << 20  # of text that is encoded at a time, about
+TEXT_BYTES = 4 << 20  # of text that is encoded at a time, about
 TIERS = (512, 1024, 2048, 4096)
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "

@@ -12,7 +12,7 @@ import numpy as np
 
 # str.split() also cuts at these, which the tokenizer does not take for white space.
 ODD = re.compile("[\x1c-\x1f]")
-CACHE = 1_200_000
+CACHE = 1_000_000
 
 
 def once(known: dict, wanted: set, make: Callable[[list], Iterable], limit: int) -> dict:
