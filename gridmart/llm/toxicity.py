@@ -7,8 +7,10 @@ are its distinct words and the distinct first four bytes of its words, ASCII let
 case: presence in the whole text, not frequency, so that one insult in a long text counts.
 
 The models are fitted on a bounded sample of the labelled rows (``PER_CLASS`` of either value of the
-last category, by a hash of the id); a feature needs ``MIN_DOCS`` of them. Everything else, scoring
-above all, covers every row. Each fold's model is fitted by a task of its own; what reaches the
+last category, by a hash of the id); a feature needs ``MIN_DOCS`` of them. Where a value has more rows
+than that, all labelled rows are counted, and the sampled ones weigh in every model as much as the
+rows they stand for, so that probabilities do not depend on the table's size. Everything else,
+scoring above all, covers every row. Each fold's model is fitted by a task of its own; what reaches the
 driver are features and weights, bounded by the sample.
 
 Defined results: null or empty text = no features (the models' intercepts decide); no labelled rows:
@@ -61,15 +63,23 @@ def chi_squared(yes: np.ndarray, all_: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def fit(
-    rows: np.ndarray, at: np.ndarray, dense: np.ndarray, y: np.ndarray, width: int, steps: int = 300
+    rows: np.ndarray,
+    at: np.ndarray,
+    dense: np.ndarray,
+    y: np.ndarray,
+    width: int,
+    steps: int = 300,
+    weight: np.ndarray | None = None,
 ) -> np.ndarray:
     """Logistic regression of ``y`` on 0/1 features (row and feature number of each) and dense columns.
+    A row counts ``weight`` times.
 
     Features that tell nothing by themselves (chi-squared under ``TELLING``) have weight 0. Accelerated gradient descent with a step per weight, bounded by how many features share a row
     with it, so that rare telling words move as fast as common ones. Returns the features' weights,
     then those of the dense columns, the intercept last.
     """
     n, dense = len(y), np.column_stack([dense, np.ones(len(y))])
+    weight = np.ones(n) if weight is None else weight
     telling = chi_squared(np.bincount(at, y[rows], width), np.bincount(at, None, width), y) >= TELLING
     rows, at = rows[telling[at]], at[telling[at]]
     load = np.bincount(rows, minlength=n) + np.abs(dense).sum(axis=1)
@@ -79,11 +89,11 @@ def fit(
 
     ridge = np.full(width + dense.shape[1], RIDGE)
     ridge[-1] = 1e-3
-    curve = 0.25 * down(load, np.abs(dense)) + ridge
+    curve = 0.25 * down(weight * load, np.abs(dense)) + ridge
     w = v = np.zeros(len(curve))
     for step in range(steps):
         z = np.bincount(rows, weights=v[at], minlength=n) + dense @ v[width:]
-        new = v - (down(sigmoid(z) - y, dense) + ridge * v) / curve
+        new = v - (down(weight * (sigmoid(z) - y), dense) + ridge * v) / curve
         v = new + step / (step + 3.0) * (new - w)
         w = new
     return w
@@ -112,11 +122,21 @@ class Chain:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, categories: list[str], per_class: int) -> DataFrame:
-    """doc_id, the categories, fold and features of a bounded sample of labelled documents."""
+    """doc_id, the categories, fold, weight and features of a bounded sample of labelled documents.
+
+    A row's weight is how many labelled rows of its value it stands for, in proportion to the value
+    that is sampled most densely (weight 1).
+    """
     one = labels.groupBy("doc_id").agg(*[F.max(c).cast("int").alias(c) for c in categories])
     one = one.dropna().withColumn("_order", F.xxhash64("doc_id"))
+    last = F.col(categories[-1])
+    total = {r[0]: r[1] for r in one.where(last.isin(0, 1)).groupBy(last).count().collect()}
+    share = {value: n / min(n, per_class) for value, n in total.items()}
     parts = [
-        one.where(F.col(categories[-1]) == value).orderBy("_order", "doc_id").limit(per_class)
+        one.where(last == value)
+        .orderBy("_order", "doc_id")
+        .limit(per_class)
+        .withColumn("_weight", F.lit(share.get(value, 1.0) / min(share.values(), default=1.0)))
         for value in (1, 0)
     ]
     picked = parts[0].unionByName(parts[1])  # at most 2 * per_class rows
@@ -129,12 +149,13 @@ def sampled(docs: DataFrame, labels: DataFrame, categories: list[str], per_class
                 names=[*kept, "features"],
             )
 
-    kept = ["doc_id", *categories, "fold"]
+    kept = ["doc_id", *categories, "fold", "_weight"]
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(picked), "doc_id")
         .dropDuplicates(["doc_id"])
-        .select("doc_id", *categories, F.pmod("_order", F.lit(FOLDS)).cast("int").alias("fold"), "text")
+        .withColumn("fold", F.pmod("_order", F.lit(FOLDS)).cast("int"))
+        .select(*kept, "text")
     )
     schema = T.StructType(
         [*rows.drop("text").schema.fields, T.StructField("features", T.ArrayType(T.BinaryType()))]
@@ -194,7 +215,8 @@ def _fitter(category: str, earlier: list[str], width: int):
         at = np.concatenate([*group["at"], np.zeros(0, np.int32)]).astype(np.int64)
         which = np.repeat(np.arange(len(group)), [len(a) for a in group["at"]])
         dense = group[earlier].to_numpy(float).reshape(len(group), len(earlier))
-        w = fit(which, at, dense, group[category].to_numpy(float), width)
+        weight = group["_weight"].to_numpy(float)
+        w = fit(which, at, dense, group[category].to_numpy(float), width, weight=weight)
         return pd.DataFrame({"model": [key[0]], "weights": [w.tobytes()]})
 
     return fit_group

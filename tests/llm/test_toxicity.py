@@ -37,6 +37,29 @@ def test_chain_on_planted_words(planted):
         assert (r.toxic >= 0.5) == (r.doc_id % 10 == 0)
 
 
+def test_a_bounded_sample_decides_like_all_rows(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(2400):
+        toxic, odd = i % 10 == 0, i % 10 in (0, 1, 2, 3) and i // 10 % 2 == 0  # one in four with "odd" is toxic
+        text = [f"w{k}" for k in rng.integers(0, 60, 12)] + ["odd"] * odd + [BAD[i % 3]] * (toxic and not odd)
+        rows.append((i, " ".join(text), int(i % 4 == 0), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rude int, toxic int")
+    labels, names = docs.drop("text"), ["rude", "toxic"]
+    sample = toxicity.sampled(docs, labels, names, 120).groupBy("toxic").agg(F.sum("_weight").alias("w")).collect()
+    assert {r.toxic: r.w for r in sample} == pytest.approx({1: 120, 0: 120 * 9})
+    found = {}
+    for per_class in (10_000, 120):
+        scored = toxicity.score(docs, toxicity.learn(docs, labels, names, per_class)).collect()
+        found[per_class] = {r.doc_id: (r.toxic, r.rude) for r in scored}
+    whole, bounded = found[10_000], found[120]
+    same = sum((whole[d][0] >= 0.5) == (bounded[d][0] >= 0.5) for d in whole)
+    assert same >= 0.99 * len(rows) and sum(p >= 0.5 for p, _ in bounded.values()) <= 130
+    for k in (0, 1):
+        mean = [np.mean([p[k] for p in f.values()]) for f in (whole, bounded)]
+        assert mean[0] == pytest.approx(mean[1], abs=0.05)
+
+
 def test_out_of_fold_probabilities_come_from_other_folds(planted):
     labels = planted.select("doc_id", "rude", "toxic")
     sample = toxicity.sampled(planted, labels, ["rude", "toxic"], 50)
