@@ -4,8 +4,10 @@ All templates and phrases are put into one suffix automaton. A file's words stre
 give matching statistics: at each word, the longest run ending there that stands in some template.
 Runs that cannot be prolonged and have at least ``min_match`` words are anchors; the anchors of a
 template that follow one another in file and template alike are chained, and a chain that covers
-``min_cover`` of its template is a span with the template's label. Phrases are counted wherever
-all their words stand consecutively.
+``min_cover`` of its template is a span with the template's label. Copies of a template are spans of
+their own, however close they stand: after the best chain, the words before and after it are searched
+again, and a chain over words that hold two spans is split. Phrases are counted wherever all their
+words stand consecutively.
 
 Words are runs of digits, ASCII letters (lower case) and anything beyond ASCII. The automaton's
 size depends on the templates only; a file is streamed whole, whatever its length.
@@ -143,6 +145,52 @@ class Automaton:
         return (0, 0) if to is None else (to, length + 1)
 
 
+Match = tuple[int, int, int]  # file start, template start, length
+Chain = tuple[int, int, int]  # template words covered, first and last word in the file
+
+
+def _ends(size: int, matches: list[Match], tight: bool = False) -> Iterator[Chain]:
+    """The best chain that ends with each of the sorted matches; ``tight``: of equals the shortest."""
+    # tops[p]: the best chain that ends before template position p
+    tops: list[Chain] = [(0, -1, -1)] * (size + 1)
+    for start, at, length in matches:
+        for cut in range(length - 1):  # what the chain before covers already is cut off
+            covered, first, last = tops[at + cut]
+            if last < start + cut:
+                break
+        else:
+            continue
+        end = start + length - 1
+        new = (covered + length - cut, first if first >= 0 else start + cut, end)
+        for p in range(at + length, size + 1):
+            if tops[p][0] > new[0] or tops[p][0] == new[0] and (not tight or tops[p][1] >= new[1]):
+                break
+            tops[p] = new
+        yield new
+
+
+def _best(size: int, matches: list[Match]) -> Chain:
+    """The chain that covers most; of equals a tight one in the middle, so that halves remain."""
+    if not matches:
+        return 0, -1, -1
+    middle = matches[0][0] + matches[-1][0] + matches[-1][2]
+    best = max(
+        _ends(size, matches, tight=True), key=lambda c: (c[0], -abs(c[1] + c[2] - middle)), default=(0, -1, -1)
+    )
+    return max(best, *_ends(size, matches), key=lambda c: c[0])
+
+
+def _between(matches: list[Match], begin: int, end: int | None = None) -> list[Match]:
+    """What lies from word ``begin`` to ``end`` of the matches, two words at least."""
+    found = []
+    for start, at, length in matches:
+        cut = max(begin - start, 0)
+        rest = length - cut if end is None else min(length, end - start) - cut
+        if rest > 1:
+            found.append((start + cut, at + cut, rest))
+    return sorted(found)
+
+
 class Scanner:
     def __init__(self, templates: dict, phrases: dict, min_match: int, min_cover: float):
         named = [(label, text, False) for label, texts in templates.items() for text in texts]
@@ -187,48 +235,50 @@ class Scanner:
                         places.append((i - size + 1, s))
         return matches, places
 
-    def chains(self, s: int, matches: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, float]]:
-        """(first word, last word, coverage) of the best chain in each cluster of matches."""
+    def chains(self, s: int, matches: list[Match]) -> tuple[list[tuple[int, int, float]], float]:
+        """(first word, last word, coverage) of the chains that are spans, and the best coverage."""
         size = len(self.sequences[s])
-        clusters: list[list[tuple[int, int, int]]] = []
+        clusters: list[list[Match]] = []
         for match in sorted(matches):
             if clusters and match[0] - clusters[-1][-1][0] <= size:
                 clusters[-1].append(match)
             else:
                 clusters.append([match])
+        spans, top = [], 0
         for cluster in clusters:
-            # tops[p]: the best chain that ends before template position p: (covered, first, last)
-            tops: list[tuple[int, int, int]] = [(0, -1, -1)] * (size + 1)
-            best = (0, -1, -1)
-            for start, at, length in cluster:
-                for cut in range(length - 1):  # what the chain before covers already is cut off
-                    covered, first, last = tops[at + cut]
-                    if last < start + cut:
-                        break
-                else:
+            top = max(top, max(c[0] for c in _ends(size, cluster)))
+            left = [cluster]
+            while left:
+                some = left.pop()
+                best = _best(size, some)
+                if best[0] / size < self.min_cover:
                     continue
-                end = start + length - 1
-                new = (covered + length - cut, first if first >= 0 else start + cut, end)
-                for p in range(at + length, size + 1):
-                    if tops[p][0] >= new[0]:
-                        break
-                    tops[p] = new
-                best = max(best, new, key=lambda c: c[0])
-            if best[0]:
-                yield best[1], best[2], best[0] / size
+                if at := self._second(size, _between(some, best[1], best[2] + 1)):
+                    left += [_between(some, 0, at), _between(some, at)]
+                else:
+                    spans.append((best[1], best[2], best[0] / size))
+                    left += [_between(some, 0, best[1]), _between(some, best[2] + 1)]
+        return spans, top / size
+
+    def _second(self, size: int, matches: list[Match]) -> int:
+        """Where the second of two spans begins, if the matches of one chain hold two; else 0."""
+        last = max(start + length for start, _, length in matches)
+        if last - matches[0][0] < 2 * self.min_cover * size:
+            return 0
+        spans = (c for c in _ends(size, matches, tight=True) if c[0] / size >= self.min_cover)
+        if (first := next(spans, None)) is None:
+            return 0
+        second = _best(size, _between(matches, first[2] + 1))
+        return second[1] if second[0] / size >= self.min_cover else 0
 
     def scan(self, data: bytes) -> tuple:
         words = words_of(data)
         known = self.vocabulary.get
         ids = np.array([known(w, 0) for w in words], np.int32)
         matches, places = self.anchors(ids)
-        chains = [
-            (self.labels[s], first, last, cover)
-            for s, found in matches.items()
-            for first, last, cover in self.chains(s, found)
-        ]
-        score = max([1.0 if places else 0.0, *[c[3] for c in chains]])
-        spans = sorted(c for c in chains if c[3] >= self.min_cover)
+        chains = {s: self.chains(s, found) for s, found in matches.items()}
+        score = max([1.0 if places else 0.0, *[top for _, top in chains.values()]])
+        spans = sorted((self.labels[s], *span) for s, (found, _) in chains.items() for span in found)
         starts = [p for p, _ in places]
         return (
             len(words),

@@ -85,6 +85,29 @@ def test_a_template_with_changed_words_is_one_chain():
     assert scanner.scan(b"the license of the work is in the under")[5] == []
 
 
+def test_every_copy_of_a_template_is_a_span():
+    scanner = licences.Scanner(licences.TEMPLATES, licences.PHRASES, 3, 0.7)
+    line = licences.TEMPLATES["mit"][0].split()
+    for k in (1, 2, 3, 50, 3000):
+        spans = scanner.scan(" ".join(line * k).encode())[5]
+        assert spans == [("mit", 5 * i, 5 * i + 4, 1.0) for i in range(k)]
+    long = licences.TEMPLATES["mit"][1].split()
+    size = len(long)
+    for k, gap in ((2, 0), (3, 0), (4, 3), (300, 0)):
+        for changes in ([7] * k, [5 + i * 3 % (size - 10) for i in range(k)]):
+            words = []
+            for c in changes:
+                words += [*long[:c], "changed", *long[c + 1 :], *["x"] * gap]
+            spans = scanner.scan(" ".join(words).encode())[5]
+            assert [s[0] for s in spans] == ["mit"] * k
+            assert all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
+            if len(set(changes)) == 1:
+                at = [i * (size + gap) for i in range(k)]
+                assert [s[1:3] for s in spans] == [(a, a + size - 1) for a in at]
+    inserted = long[:12] + ["y"] * 15 + long[12:]
+    assert [s[1:] for s in scanner.scan(" ".join(inserted).encode())[5]] == [(0, size + 14, 1.0)]
+
+
 def test_op3_on_the_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     found = {r.doc_id: r for r in queries.op3_licences(spark, sf_dir).collect()}
