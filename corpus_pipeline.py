@@ -17,6 +17,9 @@ from gridmart.llm.common import stored, table
 
 TOXIC = 0.5  # probability from which a document is rejected
 LIKENESS = 0.05  # to the nearest language's profile, under which a text is in no learned language
+USUAL = 0.5  # of what all but ODD of the texts with a language have to it: under that, too
+ODD = 0.05
+LABELLED = 100  # texts with a language, from which what is usual can be told
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 DROPPED = 2_000_000  # ids that are broadcast; more are joined by a shuffle
 
@@ -31,8 +34,11 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the documents' own ``lang`` teaches."""
     names = ("_lang", "_likeness")
-    judged = langid.predict(docs, langid.learn(docs), names=names)
-    known = (F.col("_lang") != langid.UNKNOWN) & (F.col("_likeness") >= LIKENESS)
+    profiles = langid.learn(docs)
+    usual, texts = langid.usual_likeness(docs, profiles, ODD)
+    least = max(LIKENESS, USUAL * usual) if texts >= LABELLED else LIKENESS
+    judged = langid.predict(docs, profiles, names=names)
+    known = (F.col("_lang") != langid.UNKNOWN) & (F.col("_likeness") >= least)
     return judged.where(known).drop(*names)
 
 

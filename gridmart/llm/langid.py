@@ -30,6 +30,7 @@ CLASSES = 64
 ORDERS = 3
 BASES = np.cumsum([0] + [CLASSES**n for n in range(1, ORDERS + 1)])
 UNKNOWN = "und"
+STEPS = 1_000  # of the scale on which likenesses are counted
 
 
 def _class(code: int) -> int:
@@ -125,6 +126,58 @@ def learn(docs: DataFrame, places: int = PLACES) -> dict[str, list[int]]:
     return profiles
 
 
+def _places_of(profiles: dict[str, list[int]], places: int) -> np.ndarray:
+    """Every n-gram's place in each profile, languages by name; a fixed size for each."""
+    places_of = np.full((len(profiles), BASES[-1]), -places * 2, np.int32)
+    for i, lang in enumerate(sorted(profiles)):
+        places_of[i, profiles[lang]] = np.arange(len(profiles[lang]))
+    return places_of
+
+
+def _far(text: str | None, places_of: np.ndarray, places: int) -> np.ndarray:
+    """A text's distance to each language as a share of the largest; empty if it has no letter."""
+    found = letters(text or "")
+    if not len(found):
+        return np.zeros(0)
+    own = ranked(ngrams(found), places)
+    theirs = places_of[:, own]
+    out = np.abs(theirs - np.arange(len(own)))
+    out[theirs < 0] = places
+    return out.sum(axis=1) / (places * len(own))
+
+
+def usual_likeness(
+    docs: DataFrame, profiles: dict[str, list[int]], share: float, places: int = PLACES
+) -> tuple[float, int]:
+    """The likeness to their own ``lang`` that all but ``share`` of the texts reach, rounded down to
+    ``STEPS``, and the number of texts that were judged: all with a letter and a language."""
+    number = {lang: i for i, lang in enumerate(sorted(profiles))}
+    held = docs.sparkSession.sparkContext.broadcast(_places_of(profiles, places))
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(STEPS + 1, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                langs, texts = (batch.column(c).slice(at, 512).to_pylist() for c in (0, 1))
+                for lang, text in zip(langs, texts, strict=True):
+                    if lang in number and len(far := _far(text, held.value, places)):
+                        sums[int((1.0 - far[number[lang]]) * STEPS)] += 1
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array(sums[some])], names=["step", "n"]
+        )
+
+    each = docs.select("lang", "text").mapInArrow(tasks, "step int, n long")
+    found = sorted((r["step"], r["n"]) for r in each.groupBy("step").agg(F.sum("n").alias("n")).collect())
+    total = sum(n for _, n in found)
+    under = 0
+    for step, n in found:
+        under += n
+        if under > share * total:
+            return step / STEPS, total
+    return 0.0, 0
+
+
 def predict(
     docs: DataFrame,
     profiles: dict[str, list[int]],
@@ -134,22 +187,14 @@ def predict(
     """``docs`` with the language and its score, judged by ``text`` alone. Other columns are kept,
     columns of these two names replaced."""
     langs = sorted(profiles)
-    places_of = np.full((len(langs), BASES[-1]), -places * 2, np.int32)
-    for i, lang in enumerate(langs):
-        places_of[i, profiles[lang]] = np.arange(len(profiles[lang]))
-    held = docs.sparkSession.sparkContext.broadcast(places_of)  # languages times a fixed size
+    held = docs.sparkSession.sparkContext.broadcast(_places_of(profiles, places))
 
     def judge(text: str | None) -> tuple[str, float]:
-        found = letters(text or "")
-        if not len(found) or not langs:
+        far = _far(text, held.value, places)
+        if not len(far):
             return UNKNOWN, 0.0
-        own = ranked(ngrams(found), places)
-        theirs = held.value[:, own]
-        out = np.abs(theirs - np.arange(len(own)))
-        out[theirs < 0] = places
-        far = out.sum(axis=1)
         best = int(far.argmin())
-        return langs[best], 1.0 - float(far[best]) / (places * len(own))
+        return langs[best], 1.0 - float(far[best])
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,11 +5,12 @@ import gzip
 import hashlib
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridmart.llm import queries, sketch, warc
+from gridmart.llm import langid, queries, sketch, warc
 from gridmart.session import scratch_path
 from test_jaccard import plain
 from test_packing_pieces import assert_packed
@@ -60,6 +61,33 @@ def test_pipeline_edge_cases(spark, sf_dir):
         assert stage(spark, none, sf_dir).count() == 0
 
 
+def test_unlearned_languages_and_gibberish_leave(spark, sf_dir):
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
+    foreign = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan",
+        "Minden emberi lény szabadon születik és egyenlő méltósága és joga van",
+        *["".join(rng.choice(letters, n)) for n in (80, 400, 3000)],
+        *[base64.b64encode(rng.bytes(n)).decode() for n in (80, 400, 3000)],
+    ]
+    own = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [(-1 - i, text, None) for i, text in enumerate(foreign)]
+    docs = own.unionByName(spark.createDataFrame(rows, own.schema))
+    kept = {r.doc_id for r in corpus_pipeline.keep_language(spark, docs, sf_dir).collect()}
+    assert kept == {r.doc_id for r in own.collect() if any(c.isalpha() for c in r.text or "")}
+    profiles = langid.learn(own)
+    found = sorted(plain_likeness(r.text, profiles[r.lang]) for r in own.collect() if any(c.isalpha() for c in r.text or ""))
+    usual, n = langid.usual_likeness(own, profiles, 0.05)
+    assert n == len(found) and usual == pytest.approx(found[int(0.05 * n)], abs=0.002)
+    assert langid.usual_likeness(own, {}, 0.05) == langid.usual_likeness(own.where("false"), profiles, 0.05) == (0.0, 0)
+
+
+def plain_likeness(text, profile):
+    own = langid.ranked(langid.ngrams(langid.letters(text))).tolist()
+    return 1 - sum(abs(profile.index(g) - i) if g in profile else 300 for i, g in enumerate(own)) / (300 * len(own))
+
+
 def digest(text):
     return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
 
