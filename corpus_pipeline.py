@@ -2,7 +2,7 @@
 
 Each stage takes what its predecessor kept, written as Parquet and read again, and all but the last
 return the columns of ``documents``. Rows without an id pass the near-duplicate stage; rows that
-repeat another in id and text leave it once; texts that are null or without a letter leave at the
+repeat another in id and text leave it once, and an id's different texts are judged each; texts that are null or without a letter leave at the
 language stage. An empty table passes all stages.
 """
 
@@ -43,20 +43,33 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    found = stored(jaccard.near_duplicates(docs), "near-duplicates")
+    """The document with the smallest id of each group of near duplicates; where that id repeats with
+    several texts of the group, one of these."""
+    found = stored(jaccard.near_duplicates(docs, nodes=("_node", "_root")), "near-duplicates")
     dropped = found.where("doc_id <> component_id").select("doc_id").dropDuplicates()
-    if dropped.count() <= DROPPED:
-        dropped = F.broadcast(dropped)
-    kept = docs.join(dropped, "doc_id", "left_anti")
     twice = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null")
     if twice.isEmpty():
-        return kept.select(docs.columns)
-    repeated = twice.select("doc_id")
-    once = kept.join(repeated, "doc_id", "left_anti")
-    return once.unionByName(
-        kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    ).select(docs.columns)
+        return without(docs, dropped).select(docs.columns)
+    repeated = stored(twice.select("doc_id"), "repeated-ids")
+    once = without(docs.join(repeated, "doc_id", "left_anti"), dropped)
+    rows = docs.join(repeated, "doc_id").dropDuplicates(["doc_id", "text"])
+    rows = jaccard.with_node(rows, "_node").withColumn("_hash", F.xxhash64("text"))
+    rows = stored(rows, "repeated-rows")
+    groups = found.where("doc_id = component_id and _node is not null")
+    groups = groups.join(repeated, "doc_id", "left_semi").select("doc_id", "_node", "_root").dropDuplicates()
+    first = rows.select("doc_id", "_node", "_hash").join(groups, ["doc_id", "_node"])
+    first = first.groupBy("doc_id", "_root").agg(F.min(F.struct("_node", "_hash")).alias("_first"))
+    first = first.select("doc_id", "_first.*")
+    kept = rows.where("_node is null").unionByName(
+        rows.join(first, ["doc_id", "_node", "_hash"], "left_semi")
+    )
+    return once.select(docs.columns).unionByName(kept.select(docs.columns))
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    if dropped.count() <= DROPPED:
+        dropped = F.broadcast(dropped)
+    return docs.join(dropped, "doc_id", "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

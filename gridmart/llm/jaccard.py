@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import added, list_array, raw_texts, stored
 from .graph import components
@@ -389,19 +390,35 @@ def links(docs: DataFrame, sets: DataFrame, order: Broadcast) -> DataFrame:
     return found.unionByName(stored(verified(stored(pairs, "rest-pairs")), "links"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def with_node(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with each text's node."""
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = []
+            for at in range(0, batch.num_rows, TEXT_ROWS):
+                found = shingles(raw_texts(batch.column("text").slice(at, TEXT_ROWS)))
+                nodes += [node_of(h) if len(h) else None for h in found]
+            yield batch.append_column(name, pa.array(nodes, pa.int64()))
+
+    return docs.mapInArrow(tasks, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
+def near_duplicates(docs: DataFrame, nodes: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_shingles, component_id of every document: the smallest id that it reaches by
-    links between documents of at least ``PERCENT`` percent similarity, itself included."""
+    links between documents of at least ``PERCENT`` percent similarity, itself included. ``nodes``
+    names two more columns: the text's node and its component's (null without words)."""
     order = shingle_order(docs)
     sets = stored(sets_of(docs, order), "sets")
     roots = components(stored(links(docs, sets, order), "all-links"))
     rows = sets.select("doc_id", "n", "node")
-    nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
-    nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lows = nodes.groupBy("root").agg(F.min("low").alias("component"))
-    found = rows.join(nodes.join(lows, "root").select("node", "component"), "node", "left")
+    low = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
+    low = low.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lows = low.groupBy("root").agg(F.min("low").alias("component"))
+    found = rows.join(low.join(lows, "root").select("node", "root", "component"), "node", "left")
     return found.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),
+        *[F.col(c).alias(name) for c, name in zip(("node", "root"), nodes, strict=False)],
     )

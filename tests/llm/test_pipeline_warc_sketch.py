@@ -61,6 +61,19 @@ def test_pipeline_edge_cases(spark, sf_dir):
         assert stage(spark, none, sf_dir).count() == 0
 
 
+def test_texts_of_a_repeated_id_are_judged_each(spark, sf_dir):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(2, a), (4, a + " x"), (4, b), (4, b), (7, c), (7, c + " y"), (7, a + " z"), (8, c + " v"), (9, ""), (9, None),
+            (None, a), (5, b + " w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.keep_one_of_each(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    of_seven = [t for d, t in kept if d == 7]
+    assert len(of_seven) == 1 and of_seven[0] in (c, c + " y")
+    assert [k for k in kept if k[0] != 7] == sorted([(2, a), (4, b), (9, ""), (9, None), (None, a)], key=str)
+
+
 def test_unlearned_languages_and_gibberish_leave(spark, sf_dir):
     rng = np.random.default_rng(4)
     letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
