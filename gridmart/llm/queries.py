@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from gridmart.session import scratch_path
 
-from . import covertree, jaccard, langid, licences, maxent, packing, pieces, sketch, toxicity, warc
-from .common import table
+from . import (
+    covertree, jaccard, langid, licences, manifest, maxent, mixing, packing, phrases, pieces, sketch, toxicity, warc,
+)
+from .common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 SPARK: dict[str, Query] = {}
@@ -19,6 +21,8 @@ SQL: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
+    if fn.__name__ in SPARK:
+        raise ValueError(f"{fn.__name__} is registered already")
     SPARK[fn.__name__] = fn
     return fn
 
@@ -131,8 +135,6 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path).drop("payload", "url")
 
 
-
-
 @query
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicts every text's language from profiles of three quarters of the documents."""
@@ -143,11 +145,6 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text")
 
 
-@query
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 @query
 def op10_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors by cosine within their label."""
@@ -155,6 +152,43 @@ def op10_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_duplicates(vectors, "vec_id", "embedding", "label", 0.98)
 
 
+@query
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest DAG of all documents, a proof of every leaf, and the root that each leaf leads to when
+    the line feeds of some texts are deleted."""
+    docs = table(spark, sf_dir, "documents")
+    fields = {f: F.col(f) for f in manifest.FIELDS}
+    odd = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    tampered = fields | {"text": F.when(odd, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))}
+    leaves = docs.select(
+        "source", "doc_id", manifest.leaf(*fields.values()).alias("digest"),
+        manifest.leaf(*tampered.values()).alias("tampered"),
+    )
+    found = manifest.proofs(manifest.build(stored(leaves, "manifest-digests"), carry=("tampered",)))
+    folded = found.withColumn("folded_root", manifest.folded(F.col("tampered"), F.col("path")))
+    return folded.select(
+        F.col("key").alias("doc_id"),
+        F.col("digest").alias("leaf"),
+        "subroot",
+        "root",
+        manifest.siblings_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document gives to a mixture of the sources by weight."""
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "begin")
+
+
 SQL["op10_covertree"] = """
 WITH RECURSIVE sound AS (
     SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v
