@@ -68,6 +68,19 @@ def scd2_merge(
     return closed.unionByName(merged)
 
 
+def scd2_changes(opened: DataFrame | None, source: DataFrame, key: str, updated_at: str = "updated_at") -> DataFrame:
+    """What a snapshot run changes (SN1): per new or newer key its open version so far, ``old`` (NULL for
+    a new key), and the one that follows, ``new``. Keys that stay as they are do not appear."""
+    fresh = _stamp(source, key, updated_at)
+    new = fresh.select(F.col(key).alias("_new_key"), F.struct(*fresh.columns).alias("new"))
+    if opened is None:
+        return new.select(F.lit(None).cast(new.schema["new"].dataType).alias("old"), "new")
+    old = opened.select(F.col(key).alias("_old_key"), F.struct(*fresh.columns).alias("old"))
+    newer = F.col("old").isNull() | (F.col("new.dbt_updated_at") > F.col("old.dbt_updated_at"))
+    met = new.join(old, F.col("_old_key") == F.col("_new_key"), "left")
+    return met.filter(newer).select("old", "new")
+
+
 def scd2_from_log(
     log: DataFrame,
     key: str,

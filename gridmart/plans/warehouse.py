@@ -15,11 +15,13 @@ from ..sources.sinks import (
     layer_path,
     read_if_exists,
     remove,
+    replace_partitions,
     write_clustered,
     write_table,
 )
 from . import checks, intermediate, marts, staging
 from .contracts import MART_SCHEMAS, PII
+from .snapshots import BUCKETS, run_snapshot
 
 _OLTP = {f"stg_oltp__{t}": t for t in staging.CDC_KEYS}
 _CRM = {f"stg_crm__{t}": t for t in staging.SAAS_KEYS}
@@ -58,7 +60,8 @@ class Warehouse:
     ``snapshots`` may replace the snapshot tables (or give functions that make them), by
     default a first run over staging. ``store`` is a folder in the shared file system; with
     it, models that others share (``stored``) are written there when first needed and read
-    back, so a mart over many of them computes none twice. Without ``first_day`` and
+    back, so a mart over many of them computes none twice. Stored snapshots keep their open
+    versions in ``buckets``. Without ``first_day`` and
     ``last_day`` the calendar has the years that the facts lie in.
     """
 
@@ -72,6 +75,7 @@ class Warehouse:
         snapshots: Mapping[str, DataFrame | Callable[[], DataFrame]] | None = None,
         store: str | None = None,
         stored: Collection[str] | None = None,
+        buckets: int = BUCKETS,
     ):
         self.spark = spark
         self.raw = raw
@@ -80,6 +84,7 @@ class Warehouse:
         self.store = store
         self.stored = STORED if stored is None else stored
         self.snapshots = dict(snapshots or {})
+        self.buckets = buckets
         self._models: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -129,34 +134,38 @@ class Warehouse:
         return enforce_contract(self[name], MART_SCHEMAS[name])
 
     def snapshot(self, name: str, root: str) -> DataFrame:
-        """Run one snapshot against its stored versions and store the outcome.
-
-        Every run writes the whole version set to a partition of its own. The set before
-        stays readable, so a run that dies leaves the table as it was; older ones go.
-        """
+        """Run one snapshot against its stored versions and store the outcome."""
         source, key = SNAPSHOTS[name]
-        path = layer_path(root, "snapshots", name)
-        stored = read_if_exists(self.spark, path)
-        last = -1 if stored is None else stored.agg(F.max("run")).first()[0]
-        before = None if stored is None else stored.filter(F.col("run") == last).drop("run")
-        written = write_table(scd2_merge(before, self[source], key), f"{path}/run={last + 1}")
-        remove(self.spark, f"{path}/run={last - 1}")
-        return written
+        return run_snapshot(self[source], key, layer_path(root, "snapshots", name), self.buckets)
 
     def load_telemetry(self, root: str) -> DataFrame:
         """Add what was loaded since the last build to the staged events (T1), and return them all.
 
-        A build reads raw events from the newest stored load on, that instant included, and
-        writes them to a folder of its own; readers take the newest delivery of each event.
+        A build reads raw events from the newest load before on, that instant included. Only the days
+        they fall on are read again, folded to the newest delivery of each event, and rewritten.
         """
         path = layer_path(root, "staged", STAGED_TELEMETRY)
-        mark = high_water_mark(self.spark, path)
-        build = 0 if mark is None else self.spark.read.parquet(path).agg(F.max("build")).first()[0] + 1
+        marks, day = f"{path}.loads", "_event_day"
+        mark = high_water_mark(self.spark, marks)  # one row per build
         since = None if mark is None else F.lit(mark).cast("timestamp_ntz")
         fresh = staging.telemetry_all(self.raw["telemetry_events"], since)
-        write_clustered(fresh, f"{path}/build={build}", CLUSTERED[STAGED_TELEMETRY])
-        rows = self.spark.read.parquet(path).select(*fresh.columns)
-        return rows if mark is None else staging.latest_deliveries(rows)
+        columns = fresh.columns
+        fresh = write_table(fresh.withColumn(day, F.to_date("event_timestamp")), f"{path}.fresh")
+        staged = read_if_exists(self.spark, path)
+        rows = fresh
+        if staged is not None:
+            # at most a value per calendar day
+            days = [r[0] for r in fresh.select(day).distinct().collect()]
+            touched = F.col(day).cast("date").eqNullSafe(F.lit(None).cast("date")) if None in days else F.lit(False)
+            touched = touched | F.col(day).isin([d for d in days if d is not None])
+            before = staged.filter(touched).select(*columns, F.col(day).cast("date").alias(day))
+            rows = staging.latest_deliveries(before.unionByName(fresh))
+        if staged is None or not fresh.isEmpty():
+            replace_partitions(rows, path, [day], f"{path}.work", [CLUSTERED[STAGED_TELEMETRY]])
+        newest = fresh.agg(F.max("_loaded_at").alias("_loaded_at")).filter("_loaded_at IS NOT NULL")
+        newest.write.mode("append").parquet(marks)
+        remove(self.spark, f"{path}.fresh")
+        return self.spark.read.schema(fresh.schema).parquet(path).select(*columns)
 
     def build(self, root: str) -> dict[str, DataFrame]:
         """Write snapshots, shared models and all marts; later models read the files.

@@ -64,6 +64,47 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` came to its end."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
+def write_once(df: DataFrame, path: str) -> DataFrame:
+    """``df`` at ``path``, unless an earlier try has already written it there in full."""
+    spark = df.sparkSession
+    if not finished(spark, path):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def replace_partitions(
+    rows: DataFrame, path: str, by: list[str], work: str, sort: list[str] | None = None
+) -> None:
+    """Overwrite the partitions of the table at ``path`` that ``rows`` holds; others stay as they are.
+
+    ``rows`` may come from the table itself: they are first written to ``work``. A run that dies while
+    partitions are replaced leaves ``work`` behind in full, and its repeat replaces them from there,
+    so name ``work`` after what is repeated. A large partition becomes several files.
+    """
+    spark = rows.sparkSession
+    ready = write_once(rows, work)
+    spread = ready.hint("rebalance", *by)
+    if sort:
+        spread = spread.sortWithinPartitions(*by, *sort)
+    (
+        spread.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .parquet(path)
+    )
+    remove(spark, work)
+
+
 def incremental_append(
     df: DataFrame,
     path: str,

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridmart.operators.quality import pii_columns, schema_mismatches
-from gridmart.plans import checks
+from gridmart.operators.scd2 import scd2_merge
+from gridmart.plans import checks, snapshots
 from gridmart.plans.contracts import MART_SCHEMAS
+from gridmart.plans.snapshots import run_snapshot
 from gridmart.plans.warehouse import Warehouse
 from gridmart.session import scratch_path
 from gridmart.sources import sinks
@@ -65,15 +67,61 @@ def test_whole_build(spark, sf_dir, tmp_path):
     unchanged = again.snapshot("snp_customers", str(tmp_path))
     assert unchanged.filter("dbt_valid_to IS NOT NULL").count() == 0
     assert unchanged.count() == written["dim_customer"].count()
-    again.snapshot("snp_customers", str(tmp_path))
-    runs = spark.read.parquet(str(tmp_path / "snapshots" / "snp_customers")).select("run").distinct()
-    assert sorted(r.run for r in runs.collect()) == [1, 2]
     counts = spark.read.parquet(str(tmp_path / "checks" / "row_counts"))
     assert {r.model_name: r.row_count for r in counts.collect()} == {n: t.count() for n, t in written.items()}
     failing = spark.read.parquet(str(tmp_path / "checks" / "failing_rows"))
     assert failing.columns == ["model", "check", "failing_row"] and failing.count() == 0
 
 
+PEOPLE = "k bigint, status string, updated_at timestamp_ntz"
+
+
+def people(spark, *changed):
+    at = {k: datetime(2025, 1, 1) for k in range(500)} | {k: datetime(2025, 1, day) for k, day in changed}
+    return spark.createDataFrame([(k, f"s{t.day}", t) for k, t in at.items()], PEOPLE)
+
+
+def written(folder):
+    return {p.relative_to(folder).as_posix(): (p.stat().st_mtime_ns, p.stat().st_size) for p in folder.rglob("*.parquet")}
+
+
+def test_a_snapshot_writes_what_changed(spark, tmp_path, rows):
+    path, columns = str(tmp_path / "s"), ["k", "status", "dbt_valid_from", "dbt_valid_to"]
+    expected, runs = None, [people(spark), people(spark, (3, 2), (4, 2), (600, 2)), people(spark, (3, 3), (4, 2), (600, 2))]
+    for source in runs:
+        expected = scd2_merge(expected, source, "k")
+        before = written(tmp_path / "s") if (tmp_path / "s").exists() else {}
+        found = run_snapshot(source, "k", path, 64)
+        assert rows(found, *columns) == rows(expected, *columns)
+        new = {n: f for n, f in written(tmp_path / "s").items() if before.get(n) != f}
+        open_buckets = {n for n in new if n.startswith("open/")}
+        assert not before or len(open_buckets) <= 3
+        assert not before or sum(size for _, size in new.values()) < sum(size for _, size in before.values()) / 4
+    # nothing new: no bucket is touched
+    before = written(tmp_path / "s")
+    assert rows(run_snapshot(runs[-1], "k", path, 64), *columns) == rows(expected, *columns)
+    assert {n: f for n, f in before.items() if n.startswith("open/")} == {
+        n: f for n, f in written(tmp_path / "s").items() if n.startswith("open/")
+    }
+
+
+@pytest.mark.parametrize("died_after", ["changes", "open"])
+def test_a_snapshot_run_that_died_is_carried_out_by_the_next(spark, tmp_path, rows, monkeypatch, died_after):
+    path, columns = str(tmp_path / "s"), ["k", "status", "dbt_valid_from", "dbt_valid_to"]
+    first, second, third = people(spark), people(spark, (3, 2)), people(spark, (3, 2), (5, 3))
+    run_snapshot(first, "k", path, 8)
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        def die(*args, **kwargs):
+            if died_after == "open":
+                sinks.replace_partitions(*args, **kwargs)
+            raise RuntimeError("executor lost")
+        patch.setattr(snapshots, "replace_partitions", die)
+        run_snapshot(second, "k", path, 8)
+    found = run_snapshot(third, "k", path, 8)
+    expected = scd2_merge(scd2_merge(scd2_merge(None, first, "k"), second, "k"), third, "k")
+    assert rows(found, *columns) == rows(expected, *columns)
+
+
 def test_failing_rows_are_named(spark, rows):
     dim = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "customer_360_sk string, customer_id bigint")
     mine = tuple(c for c in checks.CHECKS if c.model == "customer_360")

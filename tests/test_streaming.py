@@ -6,9 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from gridmart.operators.current import latest_per_key, newest_first
-from gridmart.streaming import sources, upserts
-from gridmart.streaming.tables import StreamTable
+from gridmart.streaming import progress, sources, upserts
 
 RAW = "event_data string, device_id string, event_type string, event_timestamp timestamp_ntz, _loaded_at timestamp_ntz, _ingestion_date date"
 FIELDS = {"kwh": ("kwh", "double")}
@@ -44,28 +42,87 @@ def test_append_never_repeats_an_event(spark, tmp_path, rows):
 
 def test_latest_delivery_wins(spark, tmp_path, rows):
     table, check = str(tmp_path / "t"), str(tmp_path / "c")
-    run(spark, tmp_path, lambda s: upserts.keep_latest_events(s, "energy_reading", FIELDS, table, check, compact_every=2))
+    run(spark, tmp_path, lambda s: upserts.keep_latest_events(s, "energy_reading", FIELDS, table, check))
     found = upserts.latest_events(spark, table, FIELDS)
     assert rows(found, "device_id", "kwh") == [("a", 5.0), ("a", 9.0), ("b", 2.0), ("b", 3.5), ("c", 4.0)]
 
 
-@pytest.mark.parametrize("compact_every", [1, 2, 96])
-def test_first_delivery_wins_however_late(spark, tmp_path, rows, compact_every):
+def fed(spark, tmp_path, data, start):
+    spark.createDataFrame(data, RAW).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    for query in start(sources.table_stream(spark, f"{tmp_path}/in", RAW)):
+        query.awaitTermination()
+
+
+LATE = [[event("a", 720, 721, 1.0)], [event("a", 1200, 1201, 2.0), event("a", 1200, 1202, 7.0)],
+        [event("a", 540, 1202, 3.0), event("a", 540, 1203, 8.0), event("a", 720, 1202, 9.0)]]
+
+
+@pytest.mark.parametrize("one_by_one", [True, False])
+def test_first_delivery_wins_however_late(spark, tmp_path, rows, one_by_one):
     """An event of 09:00 that arrives after one of 20:00 is kept, its repeat is not."""
     out, check = str(tmp_path / "t"), str(tmp_path / "c")
-    late = [[event("a", 720, 721, 1.0)], [event("a", 1200, 1201, 2.0)], [event("a", 540, 1202, 3.0), event("a", 720, 1202, 9.0)]]
-    for data in late:
-        spark.createDataFrame(data, RAW).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        source = sources.table_stream(spark, f"{tmp_path}/in", RAW)
-        upserts.first_of_late_events(source, out, check, compact_every=compact_every).awaitTermination()
+    for data in LATE if one_by_one else [sum(LATE, [])]:
+        fed(spark, tmp_path, data, lambda s: upserts.first_of_late_events(s, out, check))
     found = upserts.first_events(spark, out).select("event_timestamp", F.get_json_object("event_data", "$.payload.kwh"))
     minutes = [((at - START).total_seconds() / 60, kwh) for at, kwh in rows(found)]
-    assert minutes == [(540, "3.0"), (720, "1.0"), (1200, "2.0")]
+    # in one batch nothing says which of two deliveries of 20:00 came first
+    assert [m for m in minutes if m[0] != 1200] == [(540, "3.0"), (720, "1.0")]
+    assert [m[0] for m in minutes].count(1200) == 1
+
+
+def test_no_row_is_lost_between_state_and_late_files(spark, tmp_path):
+    """Distinct events in, in time or late: as many come out, and none is dropped by the watermark."""
+    out, check = str(tmp_path / "t"), str(tmp_path / "c")
+    data = [[event("a", 100 * b + m, 100 * b + m + lag, 1.0) for m, lag in ((0, 1), (30, 59), (31, 61), (50, 500))] for b in range(4)]
+    dropped = 0
+    for part in data:
+        spark.createDataFrame(part, RAW).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        queries = upserts.first_of_late_events(sources.table_stream(spark, f"{tmp_path}/in", RAW), out, check)
+        for query in queries:
+            query.awaitTermination()
+            dropped += sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+    late = spark.read.parquet(f"{out}/late").count()
+    kept = spark.read.parquet(f"{out}/in_time").count()
+    assert (kept, late, dropped) == (8, 8, 0) and upserts.first_events(spark, out).count() == 16
+
+
+def test_days_a_batch_does_not_touch_are_not_read(spark, tmp_path, rows):
+    table, check = str(tmp_path / "t"), str(tmp_path / "c")
+    run(spark, tmp_path, lambda s: upserts.append_new_events(s, "energy_reading", FIELDS, table, check))
+    leaves = {p.parent.relative_to(table).as_posix().split("/", 1)[1] for p in (tmp_path / "t").rglob("*.parquet")}
+    assert leaves == {"batch=0/event_date=2025-01-01", "batch=1/event_date=2025-01-01",
+                      "batch=2/event_date=2025-01-01", "batch=2/event_date=2025-01-02"}
+    # a batch that is done again replaces its own files
+    before = rows(upserts.new_events(spark, table, FIELDS))
+    stream = json.loads((tmp_path / "c" / "metadata").read_text())["id"]
+    assert spark.read.parquet(upserts.folder(table, stream, 2)).count() == 2
+    (tmp_path / "c" / "commits" / "2").unlink()
+    (tmp_path / "c" / "commits" / ".2.crc").unlink()
+    raw = sources.table_stream(spark, f"{tmp_path}/in", RAW)
+    upserts.append_new_events(raw, "energy_reading", FIELDS, table, check).awaitTermination()
+    assert rows(upserts.new_events(spark, table, FIELDS)) == before
+    assert spark.read.parquet(upserts.folder(table, stream, 2)).count() == 2
+
+
+def test_gathering_changes_nothing(spark, tmp_path, rows):
+    table, check = str(tmp_path / "t"), str(tmp_path / "c")
+    start = lambda s: upserts.keep_latest_events(s, "energy_reading", FIELDS, table, check)
+    fold = upserts.latest_deliveries(FIELDS)
+    upserts.gather(spark, table, fold)
+    run(spark, tmp_path, start)
+    before = rows(upserts.latest_events(spark, table, FIELDS))
+    for turn in range(2):
+        upserts.gather(spark, table, fold, upserts.EVENT_DAY)
+        assert rows(upserts.latest_events(spark, table, FIELDS)) == before
+        assert [p.name for p in (tmp_path / "t" / "stream=gathered").iterdir()] == [f"batch={turn}"]
+    spark.createDataFrame([event("z", 5, 6, 1.0)], RAW).write.mode("append").parquet(f"{tmp_path}/in")
+    start(sources.table_stream(spark, f"{tmp_path}/in", RAW)).awaitTermination()
+    assert upserts.latest_events(spark, table, FIELDS).count() == len(before) + 1
 
 
 def test_latest_status(spark, tmp_path, rows):
     table, check = str(tmp_path / "t"), str(tmp_path / "c")
-    run(spark, tmp_path, lambda s: upserts.maintain_latest_status(s, table, check, buckets=3))
+    run(spark, tmp_path, lambda s: upserts.maintain_latest_status(s, table, check))
     as_of = F.lit(START + timedelta(minutes=50)).cast("timestamp_ntz")
     found = upserts.status_at(spark, table, as_of).select("device_id", "latest_event_timestamp", "device_connectivity_status")
     assert rows(found) == [
@@ -94,11 +151,23 @@ def replay(spark, folder, start):
         start(sources.table_stream(spark, f"{folder}/log", LOG)).awaitTermination()
 
 
-@pytest.mark.parametrize("compact_every", [1, 96])
-def test_current_state(spark, tmp_path, rows, compact_every):
+def test_current_state(spark, tmp_path, rows):
     table, check = str(tmp_path / "t"), str(tmp_path / "c")
-    replay(spark, tmp_path, lambda s: upserts.maintain_current_state(s, "k", table, check, buckets=2, compact_every=compact_every))
-    assert rows(upserts.current_state(spark, table, "k"), "k", "status") == [(1, "off"), (2, "new"), (3, "new")]
+    start = lambda s: upserts.maintain_current_state(s, "k", table, check)
+    replay(spark, tmp_path, start)
+    expected = [(1, "off"), (2, "new"), (3, "new")]
+    assert rows(upserts.current_state(spark, table, "k"), "k", "status") == expected
+    # an older change does not come out of the state again: the key's row is written as it stands
+    last = sorted((tmp_path / "t").glob("*/batch=*"))[-1]
+    assert rows(spark.read.parquet(str(last)), "k", "status") == [(1, "off")]
+    assert list((tmp_path / "c" / "state").rglob("*.zip")), "state is in RocksDB"
+    # the last batch again, as after a failure
+    (tmp_path / "c" / "commits" / "2").unlink()
+    (tmp_path / "c" / "commits" / ".2.crc").unlink()
+    start(sources.table_stream(spark, f"{tmp_path}/log", LOG)).awaitTermination()
+    assert rows(upserts.current_state(spark, table, "k"), "k", "status") == expected
+    upserts.gather(spark, table, upserts.current_rows("k"))
+    assert rows(upserts.current_state(spark, table, "k"), "k", "status") == expected
 
 
 def hour(n):
@@ -114,14 +183,14 @@ ALL_VERSIONS = [
 @pytest.mark.parametrize("one_by_one", [True, False])
 def test_versions_do_not_depend_on_batches(spark, tmp_path, rows, one_by_one):
     table, check = str(tmp_path / "t"), str(tmp_path / "c")
-    start = lambda s: upserts.maintain_versions(s, "k", table, check, buckets=2, compact_every=2)
+    start = lambda s: upserts.maintain_versions(s, "k", table, check, buckets=2)
     if one_by_one:
         replay(spark, tmp_path, start)
     else:
         every = [c for data in CHANGES for c in data]
         spark.createDataFrame(every, LOG).coalesce(1).write.parquet(f"{tmp_path}/log")
         start(sources.table_stream(spark, f"{tmp_path}/log", LOG)).awaitTermination()
-    found = rows(upserts.versions(spark, table, "k"), "k", "status", "dbt_valid_from", "dbt_valid_to")
+    found = rows(upserts.versions(spark, table), "k", "status", "dbt_valid_from", "dbt_valid_to")
     assert found == ALL_VERSIONS
 
 
@@ -130,57 +199,71 @@ def test_a_fresh_checkpoint_loses_no_row(spark, tmp_path, rows):
     for turn, data in enumerate(CHANGES):
         spark.createDataFrame(data, LOG).coalesce(1).write.parquet(f"{tmp_path}/log{turn}")
         source = sources.table_stream(spark, f"{tmp_path}/log{turn}", LOG)
-        upserts.maintain_versions(source, "k", table, f"{tmp_path}/c{turn}", buckets=2, compact_every=2).awaitTermination()
-    found = rows(upserts.versions(spark, table, "k"), "k", "status", "dbt_valid_from", "dbt_valid_to")
+        upserts.maintain_versions(source, "k", table, f"{tmp_path}/c{turn}", buckets=2).awaitTermination()
+    found = rows(upserts.versions(spark, table), "k", "status", "dbt_valid_from", "dbt_valid_to")
     assert found == ALL_VERSIONS
 
 
-def kept(spark, path, buckets, every=96):
-    fold = lambda df: latest_per_key(df, ["k"], newest_first("n"))
-    return StreamTable(spark, str(path), "bucket", "int", fold, every)
-
-
-def batch_of(spark, data, buckets):
-    return upserts.with_bucket(spark.createDataFrame(data, "k bigint, n bigint"), "k", buckets)
-
-
-def test_a_batch_writes_a_file_per_bucket_it_touches(spark, tmp_path, rows):
-    table = kept(spark, tmp_path / "t", 16)
-    many = batch_of(spark, [(i, i) for i in range(2000)], 16).repartition(12)
-    table.append(many, "s", 0)
-    table.append(batch_of(spark, [(7, 9999)], 16), "s", 1)
-    files = lambda n: list((tmp_path / "t").glob(f"deltas/version=0/stream=s/batch={n}/*/*.parquet"))
-    assert len(files(0)) == 16 and len(files(1)) == 1
-    assert table.read().count() == 2000 and rows(table.read().filter("k = 7"), "n") == [(9999,)]
-
-
-def test_batches_are_added_once_and_only_when_complete(spark, tmp_path, rows):
-    table = kept(spark, tmp_path / "t", 2, every=3)
-    assert table.read() is None
-    table.append(batch_of(spark, [(1, 1), (2, 1)], 2), "s", 0)
-    # a batch that died after its files were written is not seen; its repeat is
-    table._write(batch_of(spark, [(1, 5)], 2).withColumn("_arrival", F.lit(0)), str(tmp_path / "t/deltas/version=0/stream=s/batch=1"))
-    assert rows(table.read(), "k", "n") == [(1, 1), (2, 1)]
-    table.append(batch_of(spark, [(1, 6)], 2), "s", 1)
-    table.append(batch_of(spark, [(1, 99)], 2), "s", 1)
-    table.append(batch_of(spark, [], 2), "s", 2)
-    assert rows(table.read(), "k", "n") == [(1, 6), (2, 1)]
-
-
-def test_compaction_rewrites_only_what_was_touched(spark, tmp_path, rows):
-    table = kept(spark, tmp_path / "t", 8)
-    table.append(batch_of(spark, [(i, 0) for i in range(100)], 8), "s", 0)
-    for turn in range(1, 5):
-        table.compact()
-        table.append(batch_of(spark, [(3, turn)], 8), "s", turn)
-        table.append(batch_of(spark, [(3, 100)], 8), "s", 0)  # covered by the base
-    table.compact()
-    table.compact()
-    assert table.read().count() == 100 and rows(table.read().filter("k = 3"), "n") == [(4,)]
-    versions = sorted(p.name for p in (tmp_path / "t/base").iterdir())
-    assert versions == ["version=1", "version=4", "version=5"]
-    assert len(list((tmp_path / "t/base/version=5").glob("bucket=*"))) == 1
-    assert sorted(p.name for p in (tmp_path / "t/deltas").iterdir()) == ["version=4"]
+def files_of(folder):
+    return {p.relative_to(folder).as_posix(): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_buckets_a_batch_does_not_touch_stay_as_they_are(spark, tmp_path, rows):
+    table, check = str(tmp_path / "t"), str(tmp_path / "c")
+    many = [change("INSERT", k, 1, "new") for k in range(200)]
+
+    def feed(data):
+        spark.createDataFrame(data, LOG).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+        source = sources.table_stream(spark, f"{tmp_path}/log", LOG)
+        upserts.maintain_versions(source, "k", table, check, buckets=16).awaitTermination()
+
+    feed(many)
+    before = files_of(tmp_path / "t")
+    feed([change("UPDATE", 7, 2, "on"), change("UPDATE", 7, 2, "on")])
+    after = files_of(tmp_path / "t")
+    changed = {name.split("/")[0] for name, _ in set(before.items()) ^ set(after.items())}
+    assert len({n.split("/")[0] for n in before}) == 16 and len(changed) == 1
+    found = upserts.versions(spark, table)
+    assert found.count() == 201 and rows(found.filter("k = 7"), "status", "dbt_valid_to") == [("new", hour(2)), ("on", None)]
+    assert not list((tmp_path / "c" / "work").iterdir())
+
+
+def test_a_run_that_died_while_replacing_is_finished(spark, tmp_path, rows):
+    from gridmart.sources import sinks
+
+    table, work = str(tmp_path / "t"), str(tmp_path / "w")
+    frame = lambda data: spark.createDataFrame(data, "b int, v int")
+    sinks.replace_partitions(frame([(0, 1), (1, 1), (2, 1)]), table, ["b"], str(tmp_path / "w0"))
+    frame([(0, 2), (1, 2)]).write.parquet(work)  # what the dead run had written down
+    sinks.remove(spark, f"{table}/b=0")
+    sinks.replace_partitions(frame([(1, 99)]), table, ["b"], work)
+    assert rows(spark.read.parquet(table), "b", "v") == [(0, 2), (1, 2), (2, 1)]
+
+
+def test_streams_report_their_freshness(spark, tmp_path, rows):
+    path = str(tmp_path / "progress")
+    as_of = F.lit(START + timedelta(minutes=25)).cast("timestamp_ntz")
+    assert rows(progress.stream_freshness(progress.read_progress(spark, path), "iot", as_of), "state") == [("error",)]
+    log = progress.ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    table, check = str(tmp_path / "t"), str(tmp_path / "c")
+    ended = []
+
+    def start(source):
+        seen = progress.observed(source)
+        ended.append(upserts.append_new_events(seen, "energy_reading", FIELDS, table, check))
+        return ended[-1]
+
+    try:
+        run(spark, tmp_path, start)
+        assert all(log.wait_for(query) for query in ended)
+    finally:
+        spark.streams.removeListener(log)
+    found = progress.read_progress(spark, path)
+    at = [START + timedelta(minutes=m) for m in (3, 5, 1442)]
+    assert rows(found.filter("rows > 0"), "batch", "rows", "max_loaded_at") == [(0, 3, at[0]), (1, 2, at[1]), (2, 3, at[2])]
+    only = found.filter("batch < 2")
+    assert rows(progress.stream_freshness(only, "iot", as_of)) == [("iot", at[1], 20, "warn")]
 
 
 def test_event_lines(spark, tmp_path, rows):

@@ -244,8 +244,8 @@ def s16(spark, sf):
     feeds = domain.RawFeeds(spark, sf)
     cutoff = F.lit(MIDDLE).cast("timestamp_ntz")
     early = {"customers": feeds["customers"].filter(F.col("_source_ts") <= cutoff)}
-    Warehouse(spark, early).snapshot("snp_customers", root)
-    stored = Warehouse(spark, feeds).snapshot("snp_customers", root)
+    Warehouse(spark, early, buckets=8).snapshot("snp_customers", root)
+    stored = Warehouse(spark, feeds, buckets=8).snapshot("snp_customers", root)
     return stored.select("customer_id", "status", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
 
 

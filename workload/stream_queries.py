@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridmart.operators import quality
 from gridmart.plans import staging
 from gridmart.plans.warehouse import Warehouse
 from gridmart.session import scratch_path
 from gridmart.sources.schemas import PAYLOADS
-from gridmart.streaming import sources, upserts
+from gridmart.streaming import progress, sources, upserts
 
 from . import domain
 from .model_queries import STATUS_AS_OF, STATUS_SQL
@@ -21,11 +20,11 @@ BATCHES = 3
 BUCKETS = 8
 
 
-def stream(spark, sf, feed, order, batches=BATCHES, late=None):
+def stream(spark, sf, feed, order, batches=BATCHES, late=None, stamped=False):
     """A feed as a stream of several batches, written one after the other in its own order.
 
     ``late`` is a condition on rows that arrive five hours after their order says, and after
-    rows of later batches with it.
+    rows of later batches with it; ``stamped`` rows carry that as their order.
     """
     path = scratch_path(spark, f"stream-{feed}")
     rows = domain.RawFeeds(spark, sf)[feed]
@@ -37,6 +36,8 @@ def stream(spark, sf, feed, order, batches=BATCHES, late=None):
     if late is not None:
         moment = F.when(F.expr(late), moment + F.expr("INTERVAL 5 HOURS")).otherwise(moment)
     rows = rows.withColumn("_moment", moment)
+    if stamped:
+        rows = rows.withColumn(order, moment)
     first, last = rows.agg(F.min("_moment"), F.max("_moment")).first()
     cuts = [first + (last - first) * i / batches for i in range(1, batches)]
     part = sum([(F.col("_moment") > F.lit(c).cast("timestamp_ntz")).cast("int") for c in cuts], F.lit(0))
@@ -74,7 +75,7 @@ def t1(spark, sf):
     table, checkpoint = scratch_path(spark, "t1"), scratch_path(spark, "checkpoint")
     raw = stream(spark, sf, "telemetry_events", "_loaded_at")
     fields = PAYLOADS["alert_event"]
-    drained(upserts.append_new_events(raw, "alert_event", fields, table, checkpoint, compact_every=2))
+    drained(upserts.append_new_events(raw, "alert_event", fields, table, checkpoint))
     return upserts.new_events(spark, table, fields).drop("event_date")
 
 
@@ -101,8 +102,9 @@ LATE_EVENTS = "pmod(xxhash64(device_id, event_timestamp), 40) = 0"
 def t2_first(batches):
     def query(spark, sf):
         table, checkpoint = scratch_path(spark, "t2"), scratch_path(spark, "checkpoint")
-        raw = stream(spark, sf, "telemetry_events", "_loaded_at", batches, LATE_EVENTS)
-        drained(upserts.first_of_late_events(raw, table, checkpoint, compact_every=2))
+        raw = stream(spark, sf, "telemetry_events", "_loaded_at", batches, LATE_EVENTS, stamped=True)
+        for part in upserts.first_of_late_events(raw, table, checkpoint):
+            drained(part)
         return upserts.first_events(spark, table).select("device_id", "event_type", "event_timestamp")
 
     return query
@@ -128,7 +130,7 @@ add("t2_keep_latest_events", t2_latest, "SELECT * FROM stg_iot__energy_readings"
 def t3(spark, sf):
     table, checkpoint = scratch_path(spark, "t3"), scratch_path(spark, "checkpoint")
     raw = stream(spark, sf, "telemetry_events", "_loaded_at")
-    drained(upserts.maintain_latest_status(raw, table, checkpoint, buckets=BUCKETS))
+    drained(upserts.maintain_latest_status(raw, table, checkpoint))
     as_of = F.lit(STATUS_AS_OF).cast("timestamp_ntz")
     return upserts.status_at(spark, table, as_of).drop("latest_event_data")
 
@@ -139,7 +141,7 @@ add("t3_latest_status_stream", t3, STATUS_SQL)
 def t4(spark, sf):
     table, checkpoint = scratch_path(spark, "t4"), scratch_path(spark, "checkpoint")
     log = stream(spark, sf, "customers", "_source_ts")
-    drained(upserts.maintain_current_state(log, "customer_id", table, checkpoint, buckets=BUCKETS))
+    drained(upserts.maintain_current_state(log, "customer_id", table, checkpoint))
     state = upserts.current_state(spark, table, "customer_id")
     return state.select("customer_id", "status", "_source_ts", "updated_at")
 
@@ -154,10 +156,8 @@ def t5(batches):
         """Several changes of a key in one batch, and changes that come after later ones."""
         table, checkpoint = scratch_path(spark, "t5"), scratch_path(spark, "checkpoint")
         log = stream(spark, sf, "customers", "_source_ts", batches, LATE_CHANGES)
-        drained(
-            upserts.maintain_versions(log, "customer_id", table, checkpoint, buckets=BUCKETS, compact_every=2)
-        )
-        return upserts.versions(spark, table, "customer_id").select(
+        drained(upserts.maintain_versions(log, "customer_id", table, checkpoint, buckets=BUCKETS))
+        return upserts.versions(spark, table).select(
             "customer_id", "status", "dbt_scd_id", "dbt_valid_from", "dbt_valid_to"
         )
 
@@ -174,13 +174,21 @@ FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, updated_at
 
 
 def t6(spark, sf):
-    """Age of what a stream has written so far, against the limits of its source."""
+    """Age of what a stream has worked off so far, by its own reports, against the limits of its source."""
+    reports = scratch_path(spark, "progress")
     table, checkpoint = scratch_path(spark, "t6"), scratch_path(spark, "checkpoint")
     raw = stream(spark, sf, "telemetry_events", "_loaded_at")
-    fields = PAYLOADS["device_status"]
-    drained(upserts.append_new_events(raw, "device_status", fields, table, checkpoint))
+    seen = progress.observed(raw.filter("event_type = 'device_status'"))
+    log = progress.ProgressLog(spark, reports)
+    spark.streams.addListener(log)
+    try:
+        query = upserts.append_new_events(seen, "device_status", PAYLOADS["device_status"], table, checkpoint)
+        drained(query)
+        log.wait_for(query)
+    finally:
+        spark.streams.removeListener(log)
     as_of = F.lit(STATUS_AS_OF).cast("timestamp_ntz")
-    return quality.freshness(upserts.new_events(spark, table, fields), "iot", as_of)
+    return progress.stream_freshness(progress.read_progress(spark, reports), "iot", as_of)
 
 
 add("t6_freshness_lag", t6, f"""
