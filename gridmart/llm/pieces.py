@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import list_array
-from .tokens import once
+from .tokens import Known
 
 ESCAPED = "▁"
 MARK = ESCAPED.encode()
 UNITS = re.compile(b"(?:\xe2\x96\x81)*(?:(?!\xe2\x96\x81)[\\s\\S])+|(?:\xe2\x96\x81)+")
-CACHE = 300_000
+ENTRY = 320  # bytes that a unit kept with its pieces takes, about
 ENCODED = "doc_id long, ids array<int>, begins array<int>, ends array<int>, decoded string"
 
 
@@ -166,7 +166,7 @@ class PieceEncoder:
             np.int32,
         )
         self.unknown = self.merges.unk_id()
-        self.known: dict[bytes, tuple[bytes, bytes]] = {}
+        self.known = Known(self._new, entry=ENTRY)
 
     def _units(self, text: bytes) -> list[bytes]:
         first, *words = text.split(MARK)
@@ -176,22 +176,28 @@ class PieceEncoder:
 
     def _new(self, units: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Ids and byte lengths of the pieces of each unit."""
-        found = self.merges.encode([u.decode() for u in units], num_threads=1)
-        for unit, ids in zip(units, found, strict=True):
-            ids = np.array(ids, np.int32)
-            sizes = self.sizes[ids]
-            unknown = np.flatnonzero(ids == self.unknown)
-            if len(unknown) > 1:
-                raise ValueError("two unknown pieces in one unit; their lengths are not known")
-            if len(unknown):
-                sizes[unknown] += len(unit) - int(sizes.sum())
-            yield ids.tobytes(), sizes.tobytes()
+        for at in range(0, len(units), 65536):
+            some = units[at : at + 65536]
+            found = self.merges.encode([u.decode() for u in some], num_threads=1)
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            first = np.cumsum(counts) - counts
+            ids = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
+            sizes, unknown = self.sizes[ids], ids == self.unknown
+            if unknown.any():
+                several = np.add.reduceat(unknown.astype(np.int64), first)
+                if several.max() > 1:
+                    raise ValueError("two unknown pieces in one unit; their lengths are not known")
+                lacking = np.fromiter(map(len, some), np.int64, len(some)) - np.add.reduceat(sizes, first)
+                sizes[unknown] += lacking[several > 0].astype(np.int32)
+            ids, sizes = ids.tobytes(), sizes.tobytes()
+            for begin, end in zip((4 * first).tolist(), (4 * (first + counts)).tolist(), strict=True):
+                yield ids[begin:end], sizes[begin:end]
 
     def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(ids, begins, ends) per text; places count the text's own bytes."""
         normal = [self.normalizer(t) for t in texts]
         units = [self._units(text) for text, _, _ in normal]
-        known = once(self.known, set(chain.from_iterable(units)), self._new, CACHE)
+        known = self.known.of(set(chain.from_iterable(units)))
         for (text, begins, ends), doc in zip(normal, units, strict=True):
             found = [known[u] for u in doc]
             ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)

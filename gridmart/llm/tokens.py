@@ -2,54 +2,93 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 
 # str.split() also cuts at these, which the tokenizer does not take for white space.
 ODD = re.compile("[\x1c-\x1f]")
-CACHE = 1_000_000
+ROOM = 48 << 20  # bytes that a store of known texts may take
+LONGEST = 48  # characters (or bytes) of a text that is kept
+ENTRY = 200  # bytes that a key, its value and its place take besides their characters, about
+ONCE = 1 << 23  # marks for texts that came once
 
+# How the tokenizer file normalises and cuts runs of text.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Texts of these characters are normalised by lower case alone, and cut the same way by `PARTS`.
+PLAIN = re.compile("[\t-\r !-~À-ÖØ-öø-ÿ]*")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r 0-9a-zß-öø-ÿ]+")
 
-def once(known: dict, wanted: set, make: Callable[[list], Iterable], limit: int) -> dict:
-    """A dictionary that holds all ``wanted``. What ``known`` lacks is made, and kept there for later
-    calls as long as it holds at most ``limit``."""
-    new = list(wanted.difference(known))
-    made = dict(zip(new, make(new), strict=True)) if new else {}
-    if len(known) + len(made) <= limit:
-        known.update(made)
-        return known
-    look = {w: made[w] if w in made else known[w] for w in wanted}
-    known.update(islice(made.items(), limit - len(known)))
-    return look
+
+class Known(dict):
+    """Texts and what was made of them, within a budget of bytes. A text is kept when it comes for the
+    second time, so those that never return take no room; what is long, or comes when the budget is
+    spent, is made again each time."""
+
+    def __init__(self, make: Callable[[list], Iterable], room: int = ROOM, entry: int = ENTRY):
+        super().__init__()
+        self.make, self.room, self.entry = make, room, entry
+        self.once = bytearray(ONCE // 8)
+
+    def of(self, wanted: set) -> dict:
+        """A dictionary that holds all ``wanted``."""
+        new = list(wanted.difference(self))
+        if not new:
+            return self
+        made = dict(zip(new, self.make(new), strict=True))
+        look = made | {w: self[w] for w in wanted if w not in made}
+        once = self.once
+        for text in new if self.room > 0 else ():
+            mark = hash(text) % ONCE
+            if once[mark >> 3] >> (mark & 7) & 1:
+                if self.room > 0 and len(text) <= LONGEST:
+                    self[text] = made[text]
+                    self.room -= self.entry + 5 * len(text)
+            else:
+                once[mark >> 3] |= 1 << (mark & 7)
+        return look
 
 
 class WordEncoder:
     """Ids of texts, for tokenizers whose pre-tokenizer never joins text across white space.
 
-    Such a tokenizer gives a run between white space the same ids wherever it stands, so frequent
-    runs are encoded once and kept (at most ``CACHE`` of them; the rest is encoded again).
+    Such a tokenizer gives a run between white space the same ids wherever it stands, so runs are
+    encoded once per lot and frequent ones kept. Where the file says how runs are cut, plain texts are
+    cut here into the same parts (words without capitals and punctuation), of which there are fewer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known = Known(self._encode)
+        told = json.loads(self.tokenizer.to_str())
+        steps = [n["type"] for n in (told["normalizer"] or {}).get("normalizers", [])]
+        cuts = [p.get("pattern", {}).get("Regex") for p in (told["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.added = [t["content"] for t in told["added_tokens"]]
+        self.cut_alike = steps == NORMALIZERS and cuts == [CUTS, None]
+
+    def _cut(self, text: str) -> list[str]:
+        """Parts of a text that are encoded by themselves."""
+        if self.cut_alike and PLAIN.fullmatch(text) and not any(t in text for t in self.added):
+            return PARTS.findall(text.lower())
+        return [text] if ODD.search(text) else text.split()
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null counts as empty."""
-        runs = [[t] if ODD.search(t) else t.split() for t in (t or "" for t in texts)]
-        look = once(self.known, set(chain.from_iterable(runs)), self._encode, CACHE)
-        return [b"".join(map(look.__getitem__, doc)) for doc in runs]
+        parts = [self._cut(t or "") for t in texts]
+        look = self.known.of(set(chain.from_iterable(parts)))
+        return [b"".join([look[p] for p in doc]) for doc in parts]
 
-    def _encode(self, runs: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(runs), 8192):
-            for e in self.tokenizer.encode_batch_fast(runs[at : at + 8192], add_special_tokens=False):
+    def _encode(self, parts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(parts), 8192):
+            for e in self.tokenizer.encode_batch_fast(parts[at : at + 8192], add_special_tokens=False):
                 yield np.array(e.ids, "<u4").tobytes()
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
 from gridmart.llm import packing, pieces, queries
-from gridmart.llm.tokens import once, word_encoder
+from gridmart.llm.tokens import ENTRY, Known, word_encoder
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -38,13 +38,32 @@ def test_words_are_encoded_as_whole_texts():
     assert got == [e.ids for e in want]
 
 
-def test_once_never_holds_more_than_its_limit():
-    known = {}
-    for wanted in ({1, 2, 3}, {3, 4, 5}, {6, 7}, {1, 7}):
-        assert {w: once(known, wanted, lambda new: [-x for x in new], 4)[w] for w in wanted} == {
-            w: -w for w in wanted
-        }
-        assert len(known) <= 4
+def test_known_texts_stay_within_their_budget():
+    made = []
+
+    def make(new):
+        made.extend(new)
+        return [t.upper() for t in new]
+
+    known = Known(make, room=3 * (ENTRY + 10))
+    lots = [{"aa", "bb", "cc"}, {"aa", "bb", "dd"}, {"aa", "ee", "x" * 99}, {"cc", "dd", "x" * 99}, {"cc", "dd", "ee"}]
+    for wanted in lots:
+        look = known.of(wanted)
+        assert {w: look[w] for w in wanted} == {w: w.upper() for w in wanted}
+    # kept when they came for the second time, until the budget was spent; long ones never
+    assert {"aa", "bb"} < set(known) < {"aa", "bb", "cc", "dd"}
+    assert made.count("aa") == 2 and made.count("x" * 99) == 2
+
+
+def test_plain_and_other_texts_are_cut_alike():
+    encoder = word_encoder(WORDS)
+    assert encoder.cut_alike
+    dice = random.Random(8)
+    letters = "abzAZ'sStTdDmMlLvVeErR09.,;!?\"-_#éÀßÿ×÷¡ \n\t\r\x0b\x0c" + "ªµº\xa0\xad\x85²ſŉ"
+    texts = ["".join(dice.choices(letters, k=dice.randint(1, 60))) for _ in range(4000)]
+    texts += ["it's I'LL they've'd 12.5", "<|endoftext|> a<|startoftext|>b", "ÀÉß×ÿ", "''s't''"]
+    want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)] == [e.ids for e in want]
 
 
 def assert_packed(found, docs, tiers=packing.TIERS, padded=1):
