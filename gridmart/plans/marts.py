@@ -158,15 +158,16 @@ def fct_payments(
 ) -> DataFrame:
     """One row per payment; late if paid after the due date, not late if either is unknown.
 
-    Household and contract come with the invoice and are looked up there.
+    Payments meet their invoice first, where both lie in buckets of it without an exchange, and take
+    household and contract from there.
     """
     header = invoices.select("invoice_id", "household_id", "contract_id", "due_date")
-    header = _key(header, households, "household_id", "household_sk")
-    header = _key(header, current(contracts), "contract_id", "contract_sk")
     facts = lookup(
         payments, header, "invoice_id", "invoice_id",
-        {"household_sk": "household_sk", "contract_sk": "contract_sk", "due_date": "due_date"},
+        {"household_id": "household_id", "contract_id": "contract_id", "due_date": "due_date"},
     )
+    facts = _key(facts, households, "household_id", "household_sk")
+    facts = _key(facts, current(contracts), "contract_id", "contract_sk")
     facts = _key(facts, current(customers), "customer_id", "customer_sk")
     facts = _calendar(facts, dates, F.col("payment_date"), "payment_date_key")
     late = F.coalesce(F.col("payment_date") > F.col("due_date"), F.lit(False))

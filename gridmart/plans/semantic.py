@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.layouts import month_of
+
 SUM, COUNT, AVG, COUNT_IF, RATIO = "sum", "count", "avg", "count_if", "ratio"
 
 
@@ -152,9 +154,13 @@ def _fact_partials(
             if d.table == parent:
                 kept = kept.filter(test(F.col(d.column)))
         keys = kept.select(F.col(r.parent_key).alias(f"_kept_{parent}"))
+        same = F.col(r.key) == F.col(f"_kept_{parent}")
+        if month_of(r.key) in rows.columns:  # in folders by month: those without a kept day are not read
+            keys = keys.withColumn("_kept_month", F.floor(F.col(f"_kept_{parent}") / 100).cast("int"))
+            same = same & (F.col(month_of(r.key)) == F.col("_kept_month"))
         if parent in model.small:
             keys = F.broadcast(keys)
-        rows = rows.join(keys, F.col(r.key) == F.col(f"_kept_{parent}"), "left_semi")
+        rows = rows.join(keys, same, "left_semi")
     group = list(dict.fromkeys([*own, *[r.key for r in paths.values()]]))
     partials = {n: c for m in metrics for n, c in _partials(m).items()}
     reduced = rows.groupBy(*group).agg(*[c.alias(n) for n, c in partials.items()])

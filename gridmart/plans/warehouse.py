@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.quality import enforce_contract, tag_pii
 from ..operators.scd2 import scd2_merge
 from ..sources import calendar
+from ..sources.layouts import month_of, write_bucketed, write_by_month, write_lookup
 from ..sources.sinks import (
     high_water_mark,
     layer_path,
@@ -41,6 +42,19 @@ CLUSTERED = {
     "fct_energy_usage_daily": "date_key",
     STAGED_TELEMETRY: "event_type",
 }
+# Read together by the invoice: lines and payments meet their invoice where they lie.
+BUCKETED = {
+    "stg_oltp__invoices": "invoice_id",
+    "stg_oltp__invoice_line_items": "invoice_id",
+    "stg_oltp__payments": "invoice_id",
+}
+# Asked for spans of days: a folder per month, and in it by the key that single customers are found by.
+MONTHLY = {
+    "fct_invoices": ("invoice_date_key", "customer_sk"),
+    "fct_payments": ("payment_date_key", "customer_sk"),
+}
+# Asked for single customers.
+LOOKED_UP = {"dim_customer": "customer_id", "dim_contract": "customer_id", "customer_360": "customer_id"}
 # What facts have days of; the calendar covers them all unless a range is given.
 DATED = (
     ("stg_oltp__invoices", "invoice_date"),
@@ -61,7 +75,7 @@ class Warehouse:
     default a first run over staging. ``store`` is a folder in the shared file system; with
     it, models that others share (``stored``) are written there when first needed and read
     back, so a mart over many of them computes none twice. Stored snapshots keep their open
-    versions in ``buckets``. Without ``first_day`` and
+    versions in ``buckets``, and stored models that are joined with one another lie in as many. Without ``first_day`` and
     ``last_day`` the calendar has the years that the facts lie in.
     """
 
@@ -91,11 +105,7 @@ class Warehouse:
         if name not in self._models:
             model = self._build(name)
             if self.store and name in self.stored:
-                path = layer_path(self.store, "shared", name)
-                if name in CLUSTERED:
-                    model = write_clustered(model, path, CLUSTERED[name])
-                else:
-                    model = write_table(model, path)
+                model = self._write(name, model, layer_path(self.store, "shared", name))
             self._models[name] = model
         return self._models[name]
 
@@ -103,6 +113,18 @@ class Warehouse:
         """Use ``df`` for a model from now on, for example its written table."""
         self._models[name] = df
 
+    def _write(self, name: str, model: DataFrame, path: str) -> DataFrame:
+        """``model`` as a table, laid out for how it is read."""
+        if name in CLUSTERED:
+            return write_clustered(model, path, CLUSTERED[name])
+        if name in BUCKETED:
+            return write_bucketed(model, path, BUCKETED[name], self.buckets)
+        if name in MONTHLY:
+            return write_by_month(model, path, *MONTHLY[name])
+        if name in LOOKED_UP:
+            return write_lookup(model, path, LOOKED_UP[name])
+        return write_table(model, path)
+
     def _build(self, name: str) -> DataFrame:
         if name in _OLTP:
             return staging.cdc_model(self.raw[_OLTP[name]], _OLTP[name])
@@ -130,8 +152,9 @@ class Warehouse:
         return built
 
     def mart(self, name: str) -> DataFrame:
-        """A mart with its schema contract enforced."""
-        return enforce_contract(self[name], MART_SCHEMAS[name])
+        """A mart with its schema contract enforced. The folder column of a stored one is not part of it."""
+        mart = self[name].drop(month_of(MONTHLY[name][0])) if name in MONTHLY else self[name]
+        return enforce_contract(mart, MART_SCHEMAS[name])
 
     def snapshot(self, name: str, root: str) -> DataFrame:
         """Run one snapshot against its stored versions and store the outcome."""
@@ -180,14 +203,8 @@ class Warehouse:
             self.replace(name, self.snapshot(name, root))
         written = {}
         for name in MART_SCHEMAS:
-            path = layer_path(root, "marts", name)
-            mart = self.mart(name)
-            if name in CLUSTERED:
-                stored = write_clustered(mart, path, CLUSTERED[name])
-            else:
-                stored = write_table(mart, path)
-            self.replace(name, stored)
-            written[name] = stored
+            self.replace(name, self._write(name, self.mart(name), layer_path(root, "marts", name)))
+            written[name] = self.mart(name)
         write_table(checks.failing_rows(self), layer_path(root, "checks", "failing_rows"))
         counts = checks.row_counts(self, MART_SCHEMAS, self.as_of)
         counts.coalesce(1).write.mode("append").parquet(layer_path(root, "checks", "row_counts"))

@@ -435,6 +435,7 @@ def warehouse(spark: SparkSession, sf_dir: str, store: str | None = None, **opti
         "first_day": FIRST_DAY,
         "last_day": LAST_DAY,
         "snapshots": {f"snp_{t}": partial(two_runs, feeds, t) for t in FIRST_RUN},
+        "buckets": 8,  # a cluster keeps the default
     }
     return Warehouse(spark, feeds, store=store, **{**given, **options})
 
