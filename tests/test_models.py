@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridmart.functions import boundaries_between, surrogate_key, title_case
-from gridmart.operators.chunks import chunk_documents
+from gridmart.operators.chunks import chunk_documents, chunk_tokens
 from gridmart.operators.joins import not_in
 from gridmart.plans import intermediate, marts, serving, staging
 from gridmart.sources.calendar import date_dimension, dates_over, time_dimension
@@ -235,3 +235,15 @@ def test_calendar(spark, rows):
 
 def test_every_cdc_table_has_a_key():
     assert len(staging.CDC_KEYS) == 11 and len(staging.SAAS_KEYS) == 8 and len(staging.TELEMETRY_MODELS) == 4
+
+
+def test_token_chunks_are_cuts_of_the_text(spark):
+    texts = ["Ein  Wort,\n(noch 12)", "日本語のテキスト" * 9, "a" * 2000, "x" + "!" * 99, " \t\n", "", None, "é😀 ́"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {}
+    for r in chunk_tokens(docs, size=10, overlap=3).orderBy("doc_id", "chunk_index").collect():
+        assert 0 < r.token_count <= 10 and r.chunk_text in texts[r.doc_id] and r.chunk_text == r.chunk_text.strip()
+        found.setdefault(r.doc_id, []).append((r.token_count, r.chunk_text))
+    assert set(found) == {0, 1, 2, 3, 7}
+    assert found[0] == [(8, "Ein  Wort,\n(noch 12)")] and found[2] == [(1, "a" * 2000)]
+    assert [n for n, _ in found[3]] == [10] * 13 + [9] and found[3][0][1] == "x" + "!" * 9

@@ -428,3 +428,10 @@ add("x1_chunk_documents", lambda s, d: chunks.chunk_documents(tab("documents")(s
 c AS (SELECT doc_id, words, unnest(range(0, greatest(len(words) - 50, 1), 462)) AS s FROM w WHERE len(words) > 0)
 SELECT doc_id, CAST(s // 462 AS INTEGER) AS chunk_index, least(len(words) - s, 512) AS word_count,
     md5(array_to_string(words[s + 1:s + 512], ' ')) AS chunk_md5 FROM c""")
+TOKEN_SQL = r"[\x09-\x0D\x20]*(?:[\p{L}\p{M}]+|\p{N}|[^\x09-\x0D\x20\p{L}\p{M}\p{N}])"
+add("x1_chunk_tokens", lambda s, d: chunks.chunk_tokens(tab("documents")(s, d)).withColumn(
+        "chunk_md5", F.md5("chunk_text")).drop("chunk_text"),
+    f"""WITH w AS (SELECT doc_id, regexp_extract_all(text, '{TOKEN_SQL}') AS tokens FROM documents),
+c AS (SELECT doc_id, tokens, unnest(range(0, greatest(len(tokens) - 50, 1), 462)) AS s FROM w WHERE len(tokens) > 0)
+SELECT doc_id, CAST(s // 462 AS INTEGER) AS chunk_index, least(len(tokens) - s, 512) AS token_count,
+    md5(ltrim(array_to_string(tokens[s + 1:s + 512], ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')) AS chunk_md5 FROM c""")
