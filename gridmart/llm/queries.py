@@ -14,10 +14,10 @@ from . import (
     covertree, jaccard, langid, licences, manifest, maxent, mixing, packing, phrases, pieces, sketch, toxicity, warc,
 )
 from .common import stored, table
+from .oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 SPARK: dict[str, Query] = {}
-SQL: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
@@ -187,33 +187,3 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document gives to a mixture of the sources by weight."""
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "begin")
-
-
-SQL["op10_covertree"] = """
-WITH RECURSIVE sound AS (
-    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v
-    FROM embeddings
-    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
-      AND len(list_filter(embedding, lambda c: c <> 0)) > 0
-), links AS (
-    SELECT a.vec_id AS one, b.vec_id AS other
-    FROM sound a JOIN sound b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
-    WHERE list_dot_product(a.v, b.v)
-        / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.98
-), reached AS (
-    SELECT vec_id AS one, vec_id AS other FROM sound
-    UNION
-    SELECT r.one, l.other FROM reached r JOIN links l ON r.other = l.one
-), lowest AS (
-    SELECT one, min(other) AS component_id FROM reached GROUP BY one
-), counted AS (
-    SELECT one, count(*) AS n_links FROM links GROUP BY one
-)
-SELECT e.vec_id, coalesce(c.n_links, 0) AS n_links,
-       coalesce(l.component_id, e.vec_id) AS component_id,
-       e.vec_id = coalesce(l.component_id, e.vec_id) AS kept
-FROM embeddings e
-LEFT JOIN lowest l ON l.one = e.vec_id
-LEFT JOIN counted c ON c.one = e.vec_id
-"""
