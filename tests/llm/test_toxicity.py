@@ -102,3 +102,71 @@ def test_op7_on_the_whole_table(spark, sf_dir):
     rows = found.join(labels.withColumnRenamed("toxic", "known"), "doc_id").collect()
     right = sum(r.is_toxic == (r.known == 1) for r in rows)
     assert right >= 0.9 * len(rows) > 0
+
+
+def newton(x, y, ridge):
+    """Weights of the same penalised likelihood, by Newton's method on a dense matrix."""
+    w = np.zeros(x.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (p - y) + ridge * w
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), slope)
+        w = w - step * min(1.0, 4.0 / max(1e-9, np.abs(step).max()))
+        if np.abs(step).max() < 1e-9:
+            break
+    return w
+
+
+def plain_chain(texts, labels, folds):
+    """doc -> probabilities of every category: sets, loops and dense matrices. ``labels`` has a tuple per
+    labelled document, ``folds`` its fold."""
+    sets = {d: toxicity.features((t or "").encode()) for d, t in texts.items()}
+    train = sorted(d for d in labels if d in texts)
+    often = [f for f in set().union(*[sets[d] for d in train]) if sum(f in sets[d] for d in train) >= toxicity.MIN_DOCS]
+    often.sort()
+    earlier, found = {d: [] for d in train}, {d: [] for d in texts}
+    for k in range(len(labels[train[0]])):
+        def model(rows, k=k):
+            y = np.array([labels[d][k] for d in rows], float)
+            has = np.array([[f in sets[d] for f in often] for d in rows], float)
+            tells = toxicity.chi_squared((has * y[:, None]).sum(0), has.sum(0), y) >= toxicity.TELLING
+            dense = np.array([[*earlier[d], 1.0] for d in rows])
+            x = np.hstack([has[:, tells], dense])
+            ridge = np.full(x.shape[1], toxicity.RIDGE)
+            ridge[-1] = 1e-3
+            w = newton(x, y, ridge)
+            names = [f for f, t in zip(often, tells, strict=True) if t]
+            own = dict(zip(names, w, strict=False))
+            return lambda words, before: 1 / (1 + np.exp(-(sum(own.get(f, 0) for f in words) + w[len(names):] @ [*before, 1.0])))
+
+        whole = model(train)
+        others = {f: model([d for d in train if folds[d] != f]) for f in range(toxicity.FOLDS)}
+        for d in texts:
+            found[d].append(float(whole(sets[d], found[d])))
+        earlier = {d: [*earlier[d], float(others[folds[d]](sets[d], earlier[d]))] for d in train}
+    return found
+
+
+def test_op7_equals_a_plain_chain(spark, sf_dir):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    known = spark.read.parquet(f"{sf_dir}/labels.parquet").dropna()
+    known = known.select("doc_id", "quality", "toxic", F.pmod(F.xxhash64("doc_id"), F.lit(toxicity.FOLDS)).alias("fold"))
+    rows = known.collect()
+    want = plain_chain(texts, {r.doc_id: (1 - r.quality, r.toxic) for r in rows}, {r.doc_id: r.fold for r in rows})
+    found = queries.op7_toxicity(spark, sf_dir).collect()
+    assert len(found) == len(texts)
+    gaps = [max(abs(r.low_quality - want[r.doc_id][0]), abs(r.toxic - want[r.doc_id][1])) for r in found]
+    assert max(gaps) < 0.05 and np.mean(gaps) < 0.005
+    assert all(r.is_toxic == (want[r.doc_id][1] >= 0.5) for r in found if abs(want[r.doc_id][1] - 0.5) > 0.05)
+
+
+def test_rows_that_were_not_learned_from_are_judged_right(spark, sf_dir):
+    """Half of the labelled documents teach, the other half are judged."""
+    folder = sf_dir.replace("sf0.001", "sf0.1")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    known = spark.read.parquet(f"{folder}/labels.parquet").dropna()
+    judged = toxicity.judged(docs, known.where("doc_id % 2 = 0")).join(known.where("doc_id % 2 = 1").withColumnRenamed("toxic", "is_toxic"), "doc_id")
+    rows = judged.select("is_toxic", "toxic").collect()
+    right = [(r.toxic >= 0.5) == bool(r.is_toxic) for r in rows]
+    toxic = [r.toxic >= 0.5 for r in rows if r.is_toxic]
+    assert len(rows) > 1000 and np.mean(right) > 0.97 and np.mean(toxic) > 0.85, (np.mean(right), np.mean(toxic))
