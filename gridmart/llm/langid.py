@@ -30,6 +30,7 @@ CLASSES = 64
 ORDERS = 3
 BASES = np.cumsum([0] + [CLASSES**n for n in range(1, ORDERS + 1)])
 UNKNOWN = "und"
+HELD = 4_000_000  # counts of n-grams that a task holds
 STEPS = 1_000  # of the scale on which likenesses are counted
 
 
@@ -89,7 +90,24 @@ def counts(docs: DataFrame) -> DataFrame:
     """lang, gram, n: how often each n-gram occurs in the texts of each language."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
+        number: dict[str, int] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def settled() -> tuple[np.ndarray, np.ndarray]:
+            keys, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], n[order]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            return keys[first], np.add.reduceat(n, first)
+
+        def send() -> pa.RecordBatch:
+            keys, n = settled()
+            langs = pa.array(list(number), pa.string()).take(pa.array(keys // BASES[-1]))
+            held.clear()
+            number.clear()
+            grams = pa.array((keys % BASES[-1]).astype(np.int32))
+            return pa.RecordBatch.from_arrays([langs, grams, pa.array(n)], names=["lang", "gram", "n"])
+
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 grams: dict[str, list[np.ndarray]] = {}
@@ -99,14 +117,20 @@ def counts(docs: DataFrame) -> DataFrame:
                     if len(found := letters(text or "")):
                         grams.setdefault(lang, []).append(ngrams(found))
                 for lang, parts in grams.items():
-                    own = sums.setdefault(lang, np.zeros(BASES[-1], np.int64))
-                    own += np.bincount(np.concatenate(parts), minlength=BASES[-1])
-        for lang, own in sums.items():
-            some = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(some)), pa.array(some.astype(np.int32)), pa.array(own[some])],
-                names=["lang", "gram", "n"],
-            )
+                    own = np.concatenate(parts)
+                    if len(own) > BASES[-1] // 8:
+                        n = np.bincount(own, minlength=BASES[-1])
+                        some = np.flatnonzero(n)
+                        n = n[some]
+                    else:
+                        some, n = np.unique(own, return_counts=True)
+                    held.append((number.setdefault(lang, len(number)) * BASES[-1] + some.astype(np.int64), n))
+                if sum(len(keys) for keys, _ in held) > HELD:
+                    held[:] = [settled()]
+                    if len(held[0][0]) > HELD // 2:
+                        yield send()
+        if held:
+            yield send()
 
     each = docs.select("lang", "text").mapInArrow(tasks, "lang string, gram int, n long")
     return each.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -126,24 +150,36 @@ def learn(docs: DataFrame, places: int = PLACES) -> dict[str, list[int]]:
     return profiles
 
 
-def _places_of(profiles: dict[str, list[int]], places: int) -> np.ndarray:
-    """Every n-gram's place in each profile, languages by name; a fixed size for each."""
-    places_of = np.full((len(profiles), BASES[-1]), -places * 2, np.int32)
-    for i, lang in enumerate(sorted(profiles)):
-        places_of[i, profiles[lang]] = np.arange(len(profiles[lang]))
-    return places_of
-
-
-def _far(text: str | None, places_of: np.ndarray, places: int) -> np.ndarray:
-    """A text's distance to each language as a share of the largest; empty if it has no letter."""
-    found = letters(text or "")
-    if not len(found):
-        return np.zeros(0)
-    own = ranked(ngrams(found), places)
-    theirs = places_of[:, own]
-    out = np.abs(theirs - np.arange(len(own)))
-    out[theirs < 0] = places
-    return out.sum(axis=1) / (places * len(own))
+class Places:
+    """Where n-grams stand in the profiles: of each n-gram, the languages that have it and its place
+    there. As large as the profiles together."""
+
+    def __init__(self, profiles: dict[str, list[int]], places: int):
+        self.langs, self.places = sorted(profiles), places
+        every = [
+            (gram, i, place) for i, lang in enumerate(self.langs) for place, gram in enumerate(profiles[lang])
+        ]
+        gram, self.lang, self.place = np.array(sorted(every), np.int64).reshape(-1, 3).T.copy()
+        self.gram, first = np.unique(gram, return_index=True)
+        self.bound = np.append(first, len(gram))
+
+    def far(self, text: str | None) -> np.ndarray:
+        """A text's distance to each language as a share of the largest; empty if it has no letter."""
+        found = letters(text or "")
+        if not len(found):
+            return np.zeros(0)
+        own = ranked(ngrams(found), self.places)
+        largest = self.places * len(own)
+        if not len(self.gram):
+            return np.ones(len(self.langs))
+        at = np.minimum(np.searchsorted(self.gram, own), len(self.gram) - 1)
+        place = np.flatnonzero(self.gram[at] == own)
+        first, end = self.bound[at[place]], self.bound[at[place] + 1]
+        # all entries of the n-grams that some profile has
+        size = end - first
+        entry = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        nearer = self.places - np.abs(self.place[entry] - np.repeat(place, size))
+        return (largest - np.bincount(self.lang[entry], nearer, len(self.langs))) / largest
 
 
 def usual_likeness(
@@ -152,7 +188,7 @@ def usual_likeness(
     """The likeness to their own ``lang`` that all but ``share`` of the texts reach, rounded down to
     ``STEPS``, and the number of texts that were judged: all with a letter and a language."""
     number = {lang: i for i, lang in enumerate(sorted(profiles))}
-    held = docs.sparkSession.sparkContext.broadcast(_places_of(profiles, places))
+    held = docs.sparkSession.sparkContext.broadcast(Places(profiles, places))
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(STEPS + 1, np.int64)
@@ -160,7 +196,7 @@ def usual_likeness(
             for at in range(0, batch.num_rows, 512):
                 langs, texts = (batch.column(c).slice(at, 512).to_pylist() for c in (0, 1))
                 for lang, text in zip(langs, texts, strict=True):
-                    if lang in number and len(far := _far(text, held.value, places)):
+                    if lang in number and len(far := held.value.far(text)):
                         sums[int((1.0 - far[number[lang]]) * STEPS)] += 1
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays(
@@ -187,10 +223,10 @@ def predict(
     """``docs`` with the language and its score, judged by ``text`` alone. Other columns are kept,
     columns of these two names replaced."""
     langs = sorted(profiles)
-    held = docs.sparkSession.sparkContext.broadcast(_places_of(profiles, places))
+    held = docs.sparkSession.sparkContext.broadcast(Places(profiles, places))
 
     def judge(text: str | None) -> tuple[str, float]:
-        far = _far(text, held.value, places)
+        far = held.value.far(text)
         if not len(far):
             return UNKNOWN, 0.0
         best = int(far.argmin())
