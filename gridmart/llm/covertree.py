@@ -31,6 +31,7 @@ from .graph import components
 BLOCK = 2_048
 CENTRES = 64
 SLACK = 1e-6
+POINTS = 8  # points to a centre, on the mean, that a level must have
 
 
 class CoverTree:
@@ -39,36 +40,55 @@ class CoverTree:
     ``points[k]`` are the centres of level k (places in ``x``), ``reach[k]`` the largest distance
     from each to a point below it, ``kids[k][i]`` the nodes of level k + 1 below node i, ``leaves``
     the points below each node of the last level.
+
+    A level is made by the distances of its centres to the points of their mother alone, and not at all
+    where it would need a centre for every few points: points that lie evenly are leaves of the level
+    before, as no bound would tell them apart.
     """
 
     def __init__(self, x: np.ndarray, least: float):
         self.x, n = x, len(x)
-        apart = distances(x, x)
         centres, owner = np.zeros(1, np.int64), np.zeros(n, np.int64)
-        self.points, self.reach, self.kids = [centres], [np.array([apart[0].max()])], []
+        self.points, self.reach, self.kids = [centres], [np.array([_away(x, 0, np.arange(n)).max()])], []
         radius = 2.0
         while len(centres) < n and radius > least:
             radius /= 2
-            next_centres, mothers, next_owner = [], [], np.empty(n, np.int64)
-            for node, members in enumerate(groups(owner, len(centres))):
-                # the mother stays a centre (nesting); then whoever is not covered yet becomes one
-                centre, left = centres[node], members
-                while len(left):
-                    near = apart[centre, left] <= radius
-                    near |= left == centre
-                    next_owner[left[near]] = len(next_centres)
-                    next_centres.append(centre)
-                    mothers.append(node)
-                    left = left[~near]
-                    centre = left[0] if len(left) else -1
-            owner, centres = next_owner, np.array(next_centres)
+            level = self._level(centres, owner, radius, max(16, n // POINTS))
+            if level is None:
+                break
+            centres, mothers, owner, away = level
             reach = np.zeros(len(centres))
-            np.maximum.at(reach, owner, apart[centres[owner], np.arange(n)])
-            self.kids.append(groups(np.array(mothers), len(self.points[-1])))
+            np.maximum.at(reach, owner, away)
+            self.kids.append(groups(mothers, len(self.points[-1])))
             self.points.append(centres)
             self.reach.append(reach)
         self.leaves = groups(owner, len(centres))
 
+    def _level(self, centres: np.ndarray, owner: np.ndarray, radius: float, most: int) -> tuple | None:
+        """The next level's centres, their mothers, each point's centre and distance to it; None if it has
+        more than ``most`` centres."""
+        found, mothers = [], []
+        new_owner, away = np.empty_like(owner), np.empty(len(owner))
+        for node, members in enumerate(groups(owner, len(centres))):
+            # the mother stays a centre (nesting); then whoever is not covered yet becomes one
+            centre, left = centres[node], members
+            while len(left):
+                if len(found) == most:
+                    return None
+                far = _away(self.x, centre, left)
+                near = (far <= radius) | (left == centre)
+                new_owner[left[near]], away[left[near]] = len(found), far[near]
+                found.append(centre)
+                mothers.append(node)
+                left = left[~near]
+                centre = left[0] if len(left) else -1
+        return np.array(found), np.array(mothers), new_owner, away
+
+
+def _away(x: np.ndarray, centre: int, places: np.ndarray) -> np.ndarray:
+    """Distances of some points to one of them."""
+    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (x[places] @ x[centre])))
+
 
 def groups(owner: np.ndarray, n: int) -> list[np.ndarray]:
     """The places of each number below ``n`` in ``owner``."""
@@ -201,9 +221,12 @@ def in_blocks(points: DataFrame, within: float) -> tuple[DataFrame, DataFrame]:
     chunks = points.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
     sized = points.join(chunks, "group")
     dealt = sized.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    # the first nodes of each group: a rank on keys alone, of which every task sends on a few
+    keys = sized.where("chunks > 1").select("group", "node", "chunks")
     rank = F.row_number().over(Window.partitionBy("group").orderBy("node"))
-    several = sized.where("chunks > 1").withColumn("cell", rank - 1)
-    several = several.where(F.col("cell") < CENTRES).where("cell < 2 * chunks")
+    first = keys.withColumn("rank", rank).where(F.col("rank") <= CENTRES).where("rank <= 2 * chunks")
+    first = first.select(F.col("node").alias("_node"), (F.col("rank") - 1).alias("cell"))
+    several = sized.join(first, F.col("node") == F.col("_node"))
     centres = stored(several.select("group", "cell", F.col("v").alias("centre"), "chunks"), "centres")
     each = centres.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     schema = "node string, group string, v array<double>, n long, cell int, away double"
