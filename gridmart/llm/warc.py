@@ -3,7 +3,12 @@
 Headers (id and digest, never payloads) are shuffled by digest; the smallest id of a digest is the
 original, all others become revisit records that refer to it. Archives are written by Spark's own
 text writer, whose commit protocol survives lost tasks and which reaches any store: a record ends
-with two line ends, which serve as the writer's separator.
+with two line ends, which serve as the writer's separator. Records of similar size share archives, so
+that many small ones or few large ones make one, and none outgrows what a task can read.
+
+The reader takes archives of other writers as well: a member of the compressed file per record or for
+many, records of any type (only responses and revisits are returned), field names in any case. It
+holds one record at a time beside the archive's bytes; what is cut off or follows the end is refused.
 
 Defined results: null payload = empty; empty table = no records; rows that repeat id and payload
 are all originals if their id is the smallest (a record cannot refer to itself); a page without id
@@ -120,24 +125,35 @@ def records(rows: DataFrame, date: str) -> DataFrame:
     )
 
 
+# Payloads below so many bytes, and how many records of that size share an archive: about 300 MB.
+SIZES = ((1 << 16, 5_000), (1 << 20, 300), (1 << 24, 20), (1 << 31, 1))
+
+
 def write_archives(
     pages: DataFrame,
     path: str,
     min_bytes: int = 0,
     date: str = "2024-01-01T00:00:00Z",
-    records_per_file: int = 5_000,
+    records_per_file: int = SIZES[0][1],
 ) -> None:
     """Writes gzipped archives under ``path``: a record per page, payloads of at least ``min_bytes``
     only once. Page-Id, Payload-Length and Refers-To-Page-Id are extension fields."""
     rows = payloads(pages)
+    size = F.lit(len(SIZES) - 1)
+    for i, (limit, _) in reversed(list(enumerate(SIZES))):
+        size = F.when(F.col("payload_bytes") < limit, i).otherwise(size)
+    rows = rows.withColumn("size", size)
+    present = sorted(r[0] for r in rows.select("size").distinct().collect())  # at most len(SIZES)
     later = revisits(rows.select("page_id", "payload_bytes", "payload_digest"), min_bytes)
-    resolved = rows.join(later, ["page_id", "payload_digest"], "left")
-    writer = records(resolved, date).write.option("maxRecordsPerFile", records_per_file)
-    writer.text(path, compression="gzip", lineSep=EOL + EOL)
+    for i in present:
+        resolved = rows.where(F.col("size") == i).join(later, ["page_id", "payload_digest"], "left")
+        writer = records(resolved, date).write.option("maxRecordsPerFile", min(records_per_file, SIZES[i][1]))
+        writer.text(f"{path}/size={i}", compression="gzip", lineSep=EOL + EOL)
 
 
 def _parse(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of each record of one archive; holds a record at a time."""
+    """Header fields (names in lower case) and block of each record of one archive; holds a record at a
+    time."""
     held = bytearray()
 
     def fill(upto: int) -> bool:
@@ -154,10 +170,13 @@ def _parse(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
             if not fill(len(held) + 1):
                 raise ValueError("a WARC record is cut off in its header")
         lines = held[:end].decode().split(EOL)
-        if lines[0] != "WARC/1.0":
+        if not lines[0].startswith("WARC/1."):
             raise ValueError(f"no WARC record: {lines[0][:40]}")
-        fields = dict(line.split(": ", 1) for line in lines[1:])
-        upto = end + 4 + int(fields["Content-Length"])
+        fields = {}
+        for line in lines[1:]:
+            name, _, value = line.partition(":")
+            fields[name.strip().lower()] = value.strip()
+        upto = end + 4 + int(fields["content-length"])
         if not fill(upto + 4) or held[upto : upto + 4] != b"\r\n\r\n":
             raise ValueError("a WARC record is cut off in its block")
         yield fields, bytes(held[end + 4 : upto])
@@ -165,10 +184,22 @@ def _parse(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _inflate(content: bytes, step: int = 1 << 20) -> Iterator[bytes]:
-    engine = zlib.decompressobj(wbits=31)
-    for at in range(0, len(content), step):
-        yield engine.decompress(content[at : at + step])
-    yield engine.flush()
+    """The uncompressed bytes of all members of a compressed file, at most ``step`` at a time."""
+    data, at = memoryview(content), 0
+    while at < len(data):
+        engine, waiting = zlib.decompressobj(wbits=31), b""
+        while not engine.eof:
+            ended = not waiting and at >= len(data)
+            if not waiting:
+                waiting = bytes(data[at : at + step])
+                at += len(waiting)
+            found = engine.decompress(waiting, step)
+            waiting = engine.unconsumed_tail
+            if ended and not found and not engine.eof:
+                raise ValueError("a compressed archive is cut off")
+            if found:
+                yield found
+        at -= len(engine.unused_data)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,19 +219,24 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for content in batch.column(0):
             rows, held = [], 0
             for fields, block in _parse(_inflate(content.as_py())):
-                payload, kind = block.split(b"\r\n\r\n", 1)[1], fields["WARC-Type"]
-                digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+                kind = fields["warc-type"]
+                if kind not in ("response", "revisit"):
+                    continue
+                payload = block.partition(b"\r\n\r\n")[2]
+                digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
                 if kind == "response":
                     found = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                    if found != digest:
-                        raise ValueError(f"page {fields['Page-Id']}: payload and digest differ")
+                    if digest and found != digest:
+                        raise ValueError(f"{fields.get('warc-record-id')}: payload and digest differ")
+                    digest = found
+                length = number(fields.get("payload-length", ""))
                 row = (
-                    number(fields["Page-Id"]),
-                    fields["WARC-Target-URI"],
-                    number(fields["Payload-Length"]),
-                    digest,
+                    number(fields.get("page-id", "")),
+                    fields.get("warc-target-uri"),
+                    len(payload) if length is None and kind == "response" else length,
+                    digest or None,
                     kind,
-                    number(fields.get("Refers-To-Page-Id", "")),
+                    number(fields.get("refers-to-page-id", "")),
                     payload if kind == "response" else None,
                 )
                 rows.append(row)
@@ -218,8 +254,17 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def _any_archive(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all archives under ``path``; every response's payload is held against its
-    digest. An archive is one task's input, bounded by ``records_per_file``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    """The responses and revisits of all archives under ``path``, in folders below it too; every
+    response's payload is held against its digest. An archive is one task's input: Spark reads files of
+    up to 2 GB whole."""
+    if not _any_archive(spark, path):
+        return spark.createDataFrame([], RECORDS)
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz")
+    files = reader.option("recursiveFileLookup", "true").load(path)
     return files.select("content").mapInArrow(_read, RECORDS)
