@@ -98,7 +98,7 @@ def with_next(df: DataFrame, key: str, columns: dict[str, str], per_slice: int =
 
     ``columns`` names the added column for each source column. Rows are dealt into slices of
     neighbouring keys by cut points, so that no window holds more than a few thousand rows; what
-    crosses a slice's end is the first row of the next slice, one row per slice. Rows with equal
+    crosses a slice's end is the first row of the next slice, joined to the slice by number. Rows with equal
     keys follow one another in the order of the source columns.
     """
     from pyspark.sql import Window
@@ -114,21 +114,14 @@ def with_next(df: DataFrame, key: str, columns: dict[str, str], per_slice: int =
     sliced = df.withColumn("_slice", _slice_of(F.col(key), [int(c) for c in cuts]))
     window = Window.partitionBy("_slice").orderBy(*order)
     struct = F.struct(*[F.col(c).alias(a) for c, a in columns.items()])
-    inside = sliced.withColumn("_next", F.lead(struct).over(window))
-    first = F.struct(F.col(key).isNotNull().alias("_some"), key, *columns)
-    heads = (
-        sliced.groupBy("_slice")
-        .agg(F.min(first).alias("_head"))
-        .select(
-            "_slice", F.struct(*[F.col(f"_head.{c}").alias(a) for c, a in columns.items()]).alias("_head")
-        )
-    )
+    inside = sliced.withColumns({"_next": F.lead(struct).over(window), "_rank": F.row_number().over(window)})
+    heads = inside.where("_rank = 1").select(F.col("_slice").alias("_head_slice"), struct.alias("_follow"))
+    # which slice follows which: numbers alone, at most as many as there are slices
     line = Window.orderBy("_slice")
     entire = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    follow = heads.select(
-        "_slice",
-        F.coalesce(F.lead("_head").over(line), F.first("_head").over(entire)).alias("_follow"),
-    )
+    after = F.coalesce(F.lead("_slice").over(line), F.first("_slice").over(entire))
+    follow = sliced.select("_slice").distinct().select("_slice", after.alias("_after"))
+    follow = follow.join(heads, F.col("_after") == F.col("_head_slice")).select("_slice", "_follow")
     taken = F.coalesce("_next", "_follow")
     return (
         inside.join(follow, "_slice", "left")
