@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -17,11 +19,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, purpose)
+    return stored_at(df, scratch_path(df.sparkSession, purpose))
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
+    """As `stored`, at a path that the caller removes when nothing reads it any more."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores behind as long as ``df`` has a column of it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def tidied(tasks: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``tasks`` for `mapInArrow`, at whose end the Python worker gives freed memory back, as workers serve
+    the tasks of all later stages too."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from tasks(batches)
+        import ctypes
+        import gc
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return run
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, without decoding; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

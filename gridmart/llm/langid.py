@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import tidied
+
 PLACES = 300
 CLASSES = 64
 ORDERS = 3
@@ -132,7 +134,7 @@ def counts(docs: DataFrame) -> DataFrame:
         if held:
             yield send()
 
-    each = docs.select("lang", "text").mapInArrow(tasks, "lang string, gram int, n long")
+    each = docs.select("lang", "text").mapInArrow(tidied(tasks), "lang string, gram int, n long")
     return each.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -203,7 +205,7 @@ def usual_likeness(
             [pa.array(some.astype(np.int32)), pa.array(sums[some])], names=["step", "n"]
         )
 
-    each = docs.select("lang", "text").mapInArrow(tasks, "step int, n long")
+    each = docs.select("lang", "text").mapInArrow(tidied(tasks), "step int, n long")
     found = sorted((r["step"], r["n"]) for r in each.groupBy("step").agg(F.sum("n").alias("n")).collect())
     total = sum(n for _, n in found)
     under = 0
@@ -250,7 +252,7 @@ def predict(
     kept = docs.columns
     judged = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     schema = T.StructType([*docs.schema.fields, *judged])
-    return docs.mapInArrow(tasks, schema)
+    return docs.mapInArrow(tidied(tasks), schema)
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidied
 from .tokens import word_encoder
 
 WINDOW = 4096
@@ -185,4 +186,4 @@ def pack(
         if packed:
             yield emit(packed)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tasks, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidied(tasks), PIECES)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import raw_texts, stored
+from .common import raw_texts, stored, tidied
 
 PER_CLASS = 6_000
 MIN_DOCS = 5
@@ -261,7 +261,7 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
             )
 
     added = [T.StructField(n, T.DoubleType()) for n in names]
-    return docs.mapInArrow(tasks, T.StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(tidied(tasks), T.StructType([*docs.schema.fields, *added]))
 
 
 def judged(

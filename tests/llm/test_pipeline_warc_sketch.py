@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import zlib
 from pathlib import Path
 
 import numpy as np
@@ -61,6 +62,21 @@ def test_pipeline_edge_cases(spark, sf_dir):
         assert stage(spark, none, sf_dir).count() == 0
 
 
+def test_no_column_of_the_documents_is_lost(spark, sf_dir):
+    """Whatever the stages call their own columns; also where ids repeat."""
+    text = "der und die und das ist ein Text mit Wörtern"
+    names = ["toxic", "low_quality", "likeness", "lang_known", "node", "root", "text_hash", "first"]
+    names += [f"_{n}" for n in ("toxic", "low_quality", "likeness", "lang", "node", "hash", "first")] + ["n", "id", "count"]
+    rows = [(i, f"{text} {i} " * 9, "de") for i in (1, 2, 2)] + [(2, "ganz anders " + text, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = corpus_pipeline.stored(stage(spark, docs, sf_dir), "test-columns")
+        assert docs.columns == ["doc_id", "text", "lang", *names]
+        assert all(r[n] == f"{n}{r.doc_id}" for r in docs.collect() for n in names)
+    assert docs.count() >= 2
+
+
 def test_texts_of_a_repeated_id_are_judged_each(spark, sf_dir):
     a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
     rows = [(2, a), (4, a + " x"), (4, b), (4, b), (7, c), (7, c + " y"), (7, a + " z"), (8, c + " v"), (9, ""), (9, None),
@@ -123,7 +139,7 @@ def test_warc_round_trip(spark):
              first if later else None, None if later else payload)
         )
     assert found == sorted(want, key=str)
-    files = [f for f in Path(path.removeprefix("file://")).glob("*.gz")]
+    files = [f for f in Path(path.removeprefix("file://")).rglob("*.gz")]
     assert len(files) >= 5
     for f in files:
         with gzip.open(f, "rb") as g:
@@ -143,6 +159,48 @@ def test_cut_off_archives_are_refused():
             list(warc._parse(iter([record[:cut]])))
 
 
+def other_record(kind, body, **fields):
+    head = "".join(f"{k}: {v}\r\n" for k, v in fields.items())
+    return f"WARC/1.1\r\nwarc-type: {kind}\r\n{head}content-length:{len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("layout", ["one member", "a member each", "small steps"])
+def test_archives_of_other_writers_are_read_whole(spark, tmp_path, layout, monkeypatch):
+    """Three pages among records of other types, whatever the members; and a page that inflates a lot."""
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+    bodies = [b"one", b"", b"0" * 3_000_000]
+    every = [other_record("warcinfo", b"software: x\r\n")]
+    for body in bodies:
+        every += [other_record("request", b"GET / HTTP/1.1\r\n\r\n"), other_record("response", http + body, **{"WARC-Target-URI": "u:x"})]
+    every.append(other_record("revisit", http, **{"WARC-Payload-Digest": "sha1:ABC"}))
+    parts = [b"".join(every)] if layout == "one member" else every
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.warc.gz").write_bytes(b"".join(gzip.compress(p) for p in parts))
+    content = (tmp_path / "a" / "x.warc.gz").read_bytes()
+    if layout == "small steps":
+        pieces = list(warc._inflate(content, 1000))
+        assert max(map(len, pieces)) <= 1000 and b"".join(pieces) == b"".join(every)
+    found = warc.read_archives(spark, str(tmp_path)).collect()
+    assert [(r.payload_bytes, r.record_type, r.page_id) for r in found] == [
+        (3, "response", None), (0, "response", None), (3_000_000, "response", None), (None, "revisit", None)]
+    assert [r.payload_digest for r in found[:3]] == [digest(b.decode()) for b in bodies]
+    for bad in (content[:-20], content + b"junk"):
+        with pytest.raises((ValueError, zlib.error)):
+            list(warc._inflate(bad))
+
+
+def test_large_pages_share_no_archive(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "SIZES", ((10, 100), (100, 2), (1 << 31, 1)))
+    pages = [(i, "u", "x" * n) for i, n in enumerate([1, 2, 3, 50, 60, 70, 500, 600, 3])]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(df, str(tmp_path / "w"))
+    files = {p.name: len(list(p.glob("*.gz"))) for p in (tmp_path / "w").iterdir()}
+    assert files["size=1"] >= 2 and files["size=2"] >= 2
+    found = warc.read_archives(spark, str(tmp_path / "w"))
+    assert sorted((r.page_id, r.record_type) for r in found.collect()) == [
+        (i, "revisit" if i == 8 else "response") for i in range(9)]
+
+
 def test_op8_equals_plain_digests(spark, sf_dir):
     pages = [(r.page_id, r.html) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
     first = {}
