@@ -13,39 +13,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm import jaccard, langid, packing, toxicity
-from gridmart.llm.common import stored, table
+from gridmart.llm.common import spare, stored, table
 
 TOXIC = 0.5  # probability from which a document is rejected
-LIKENESS = 0.05  # to the nearest language's profile, under which a text is in no learned language
-USUAL = 0.5  # of what all but ODD of the texts with a language have to it: under that, too
+USUAL = 0.5  # of the likeness that all but ODD of the texts with a language have to it: under that, rejected
 ODD = 0.05
-LABELLED = 100  # texts with a language, from which what is usual can be told
+PRIOR, PRIOR_TEXTS = 0.1, 20  # that likeness counts as known to be PRIOR from so many texts besides
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 DROPPED = 2_000_000  # ids that are broadcast; more are joined by a shuffle
 
 
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain, fitted on labelled ones, does not take for toxic."""
-    names = ("_low_quality", "_toxic")
-    judged = toxicity.judged(docs, table(spark, sf_dir, "labels"), names=names)
-    return judged.where(F.col("_toxic") < TOXIC).drop(*names)
+    names = spare(docs, "low_quality", "toxic")
+    judged = toxicity.judged(docs, table(spark, sf_dir, "labels"), names=tuple(names))
+    return judged.where(F.col(names[1]) < TOXIC).drop(*names)
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the documents' own ``lang`` teaches."""
-    names = ("_lang", "_likeness")
+    lang, likeness = names = spare(docs, "lang_known", "likeness")
     profiles = langid.learn(docs)
     usual, texts = langid.usual_likeness(docs, profiles, ODD)
-    least = max(LIKENESS, USUAL * usual) if texts >= LABELLED else LIKENESS
-    judged = langid.predict(docs, profiles, names=names)
-    known = (F.col("_lang") != langid.UNKNOWN) & (F.col("_likeness") >= least)
+    least = USUAL * (usual * texts + PRIOR * PRIOR_TEXTS) / (texts + PRIOR_TEXTS)
+    judged = langid.predict(docs, profiles, names=tuple(names))
+    known = (F.col(lang) != langid.UNKNOWN) & (F.col(likeness) >= least)
     return judged.where(known).drop(*names)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates; where that id repeats with
     several texts of the group, one of these."""
-    found = stored(jaccard.near_duplicates(docs, nodes=("_node", "_root")), "near-duplicates")
+    node, root, text, first_of = spare(docs, "node", "root", "text_hash", "first")
+    found = stored(jaccard.near_duplicates(docs, nodes=(node, root)), "near-duplicates")
     dropped = found.where("doc_id <> component_id").select("doc_id").dropDuplicates()
     twice = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null")
     if twice.isEmpty():
@@ -53,15 +53,15 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     repeated = stored(twice.select("doc_id"), "repeated-ids")
     once = without(docs.join(repeated, "doc_id", "left_anti"), dropped)
     rows = docs.join(repeated, "doc_id").dropDuplicates(["doc_id", "text"])
-    rows = jaccard.with_node(rows, "_node").withColumn("_hash", F.xxhash64("text"))
+    rows = jaccard.with_node(rows, node).withColumn(text, F.xxhash64("text"))
     rows = stored(rows, "repeated-rows")
-    groups = found.where("doc_id = component_id and _node is not null")
-    groups = groups.join(repeated, "doc_id", "left_semi").select("doc_id", "_node", "_root").dropDuplicates()
-    first = rows.select("doc_id", "_node", "_hash").join(groups, ["doc_id", "_node"])
-    first = first.groupBy("doc_id", "_root").agg(F.min(F.struct("_node", "_hash")).alias("_first"))
-    first = first.select("doc_id", "_first.*")
-    kept = rows.where("_node is null").unionByName(
-        rows.join(first, ["doc_id", "_node", "_hash"], "left_semi")
+    groups = found.where("doc_id = component_id").where(F.col(node).isNotNull())
+    groups = groups.join(repeated, "doc_id", "left_semi").select("doc_id", node, root).dropDuplicates()
+    first = rows.select("doc_id", node, text).join(groups, ["doc_id", node])
+    first = first.groupBy("doc_id", root).agg(F.min(F.struct(node, text)).alias(first_of))
+    first = first.select("doc_id", f"{first_of}.*")
+    kept = rows.where(F.col(node).isNull()).unionByName(
+        rows.join(first, ["doc_id", node, text], "left_semi")
     )
     return once.select(docs.columns).unionByName(kept.select(docs.columns))
 
