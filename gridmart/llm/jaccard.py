@@ -7,14 +7,18 @@ sets that meet in a prefix are compared; shingles that many documents share come
 and hardly ever lie in a prefix.
 
 Equal sets are one node. Where nodes meet in a prefix shingle, the one that shares most of its
-prefix is the centre of a star. A pair of centre and node is a candidate if their sizes allow it and
-they have as many prefix shingles in common as similar sets must. A centre's candidates are stored,
+prefix is the centre of a star. A pair of centre and node is a candidate if their sizes allow it, and
+how many of their shingles fall into each of `BINS` bins by hash. A centre's candidates are stored,
 in global order, in a prefix tree that the centre's set goes through: sets that begin alike share
 their partial overlap, and a subtree is left as soon as too few shingles remain to reach the
 threshold. Links join components. Shingles whose nodes are then in one component are settled; of the
 others, nodes of different components are paired and go the same way. A pair is left out only if
 its documents are known to be connected already, so the components are exact.
 
+A shingle counts for a node only where it may be the first that the node shares with a similar set:
+what follows it must still suffice, given the sizes that meet in it. So near copies that differ in too
+many places from all others, whose rare shingles come first, are not paired with the whole group.
+
 Defined results: null or empty text, or text without words: an empty set, linked with nothing;
 fewer words than a shingle's width: the whole sequence is the one shingle; repeated rows are equal
 sets; an empty table gives no rows; extra columns are ignored. Whole texts, no caps.
@@ -22,6 +26,7 @@ sets; an empty table gives no rows; extra columns are ignored. Whole texts, no c
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,7 +39,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import added, list_array, raw_texts, stored
+from gridmart.session import scratch_path
+from gridmart.sources.sinks import remove
+
+from .common import added, list_array, raw_texts, stored, stored_at, tidied
 from .graph import components
 
 WIDTH = 5
@@ -45,7 +53,8 @@ HOT = 1 << 20  # prefix shingles that exceed the usual bucket by as much are not
 STAR = 64  # sets per prefix tree
 BROADCAST = 2_000_000  # document ids; more are joined by a shuffle
 TEXT_ROWS = 256
-SETS = "doc_id long, n long, node long, prefix array<long>, hot array<long>"
+SETS = "doc_id long, n long, node long, prefix array<long>, hot array<long>, bins binary"
+BINS = 128  # counts of a set's shingles by hash, which bound what two sets can have in common
 WORDS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
     np.uint64,
@@ -176,7 +185,7 @@ def shingle_order(docs: DataFrame) -> Broadcast:
                 names=["task", "part", "data"],
             )
 
-    sent = docs.select("text").mapInArrow(tasks, "task int, part int, data binary")
+    sent = docs.select("text").mapInArrow(tidied(tasks), "task int, part int, data binary")
     table = np.zeros((PARTS, (1 << BITS) // PARTS), np.int64)
     for part, counts in added(sent, "<i8").items():
         table[part] = counts
@@ -189,22 +198,37 @@ def node_of(h: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(h.tobytes())).astype(np.int64))
 
 
+def bins_of(h: np.ndarray) -> bytes:
+    """How many shingles fall into each bin, in bytes if they suffice."""
+    counts = np.bincount((h >> np.uint64(17)).astype(np.int64) % BINS, minlength=BINS)
+    return counts.astype("u1" if counts.max() < 256 else "<u4").tobytes()
+
+
+def _binned(blobs: pa.Array) -> np.ndarray:
+    """The counts of several sets, a row each."""
+    blobs = blobs.to_pylist()
+    if all(len(b) == BINS for b in blobs):
+        return np.frombuffer(b"".join(blobs), "u1").reshape(-1, BINS)
+    return np.stack([np.frombuffer(b, "u1" if len(b) == BINS else "<u4").astype(np.uint32) for b in blobs])
+
+
 def sets_of(docs: DataFrame, order: Broadcast) -> DataFrame:
-    """Of each document: number of shingles, node (a hash of the set, null if empty) and prefix, the
-    latter once per task and node. Hot prefix shingles stand apart."""
+    """Of each document: number of shingles, node (a hash of the set, null if empty), prefix and bins, the
+    latter two once per task and node. Hot prefix shingles stand apart."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         none = np.zeros(0, np.uint64)
         for batch in batches:
-            sizes, nodes, cold, hot = [], [], [], []
+            sizes, nodes, cold, hot, bins = [], [], [], [], []
             for at in range(0, batch.num_rows, TEXT_ROWS):
                 for h in shingles(raw_texts(batch.column(1).slice(at, TEXT_ROWS))):
                     node = node_of(h) if len(h) else None
                     first = none
+                    bins.append(None)
                     if node is not None and node not in seen:
                         seen.add(node)
-                        first = order.value(h)[: prefix_length(len(h))]
+                        first, bins[-1] = order.value(h)[: prefix_length(len(h))], bins_of(h)
                     is_hot = order.value.is_hot(first)
                     sizes.append(len(h))
                     nodes.append(node)
@@ -217,11 +241,14 @@ def sets_of(docs: DataFrame, order: Broadcast) -> DataFrame:
                 for part in (cold, hot)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *lists],
-                names=["doc_id", "n", "node", "prefix", "hot"],
+                [
+                    batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *lists,
+                    pa.array(bins, pa.binary()),
+                ],
+                names=["doc_id", "n", "node", "prefix", "hot", "bins"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tasks, SETS)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidied(tasks), SETS)
 
 
 def _too_far(n: str, m: str) -> Column:
@@ -230,14 +257,23 @@ def _too_far(n: str, m: str) -> Column:
 
 
 def meetings(sets: DataFrame) -> DataFrame:
-    """token, node, n: nodes of a prefix shingle that another node of a similar size has as well."""
-    cold = sets.select(F.explode("prefix").alias("token"), "node", "n").repartition("token")
+    """token, node, n, place, first: nodes of a prefix shingle that another node of a similar size has
+    as well, and the shingle's place in the node's set. ``first`` is false where the shingle lies too far
+    back to be the first that the set shares with a similar one of those sizes."""
+    cold = sets.select(F.posexplode("prefix").alias("place", "token"), "node", "n").repartition("token")
     by_size = Window.partitionBy("token").orderBy("n", "node")
     sizes = {"before": F.lag("n").over(by_size), "after": F.lead("n").over(by_size)}
-    cold = cold.dropDuplicates(["token", "node"]).withColumns(sizes)
+    # the smallest set of a size that is similar to this one's, or the set itself
+    step = 10**6  # of the logarithms of sizes, as integers
+    smaller = Window.partitionBy("token").orderBy("log_n").rangeBetween(math.floor(math.log(PERCENT / 100) * step) - 1, 0)
+    cold = cold.dropDuplicates(["token", "node"]).withColumn("log_n", F.floor(F.ln("n") * step))
+    cold = cold.withColumns({**sizes, "low": F.min("n").over(smaller)})
     near = [F.col(c).isNotNull() & ~_too_far("n", c) for c in sizes]
-    hot = sets.select(F.explode("hot").alias("token"), "node", "n").dropDuplicates(["token", "node"])
-    return cold.where(near[0] | near[1]).select("token", "node", "n").unionByName(hot)
+    cold = cold.where(near[0] | near[1]).withColumn("first", F.col("place") <= F.col("n") - _needed("n", "low"))
+    hot = sets.select(F.posexplode("hot").alias("at", "token"), "node", "n", F.size("prefix").alias("cold"))
+    hot = hot.dropDuplicates(["token", "node"]).withColumn("place", F.col("at") + F.col("cold"))
+    columns = ["token", "node", "n", "place", "first"]
+    return cold.select(columns).unionByName(hot.withColumn("first", F.lit(True)).select(columns))
 
 
 class PrefixTree:
@@ -278,22 +314,33 @@ def _star(own: pd.DataFrame, centre: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": centre["own"].iloc[0], "b": found})
 
 
-def candidates(pairs: DataFrame, met: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (centre, node) whose prefixes have enough shingles in common.
+def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (centre, node) that may be similar: in each bin two sets have at most the smaller
+    count in common. ``nodes`` has node, n and bins."""
+    other = nodes.select(F.col("node").alias("centre"), F.col("n").alias("m"), F.col("bins").alias("other"))
+    both = pairs.join(nodes.select("node", "n", "bins"), "node").join(other, "centre")
 
-    Up to the end of the prefix that ends first, shingles common to both are in both prefixes; the
-    rest of that set is all that they can have in common beyond.
-    """
-    own = met.select("token", F.col("node").alias("centre"), F.col("n").alias("m"))
-    both = pairs.join(own, "centre").join(met, ["token", "node"])
-    counted = both.groupBy("centre", "node", "n", "m").agg(F.count("*").alias("common"))
-    return counted.where(_enough("common")).select("centre", "node")
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                most = np.minimum(_binned(part.column("bins")), _binned(part.column("other"))).sum(axis=1, dtype=np.int64)
+                sizes = part.column("n").to_numpy() + part.column("m").to_numpy()
+                may = pa.array(most >= -(-PERCENT * sizes // (100 + PERCENT)))
+                yield part.select(["centre", "node"]).filter(may)
+
+    return both.select("centre", "node", "n", "m", "bins", "other").mapInArrow(tidied(tasks), "centre long, node long")
 
 
-def _enough(common: str) -> Column:
-    beyond = F.floor((F.greatest("n", "m") * PERCENT + 99) / 100) - 1
-    needed = F.ceil((F.col("n") + F.col("m")) * PERCENT / (100 + PERCENT))
-    return F.col(common) >= needed - beyond
+def _needed(n: str, m: str) -> Column:
+    """What sets of these sizes must have in common."""
+    return F.ceil((F.col(n) + F.col(m)) * PERCENT / (100 + PERCENT))
+
+
+def _reachable(n: str, place: str, m: str, other: str) -> Column:
+    """Whether sets that have their first common shingle at these places can have enough in common."""
+    left = F.least(F.col(n) - F.col(place), F.col(m) - F.col(other))
+    return left >= _needed(n, m)
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -344,14 +391,12 @@ def sets_for(docs: DataFrame, nodes: DataFrame, order: Broadcast) -> DataFrame:
         ids = F.broadcast(ids)
     rows = docs.select("doc_id", "text").join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("id")))
     # rows that repeat an id and its text may give a set twice, which makes the same links again
-    return rows.select("node", "text").mapInArrow(tasks, "node long, shingles array<long>")
+    return rows.select("node", "text").mapInArrow(tidied(tasks), "node long, shingles array<long>")
 
 
-def links(docs: DataFrame, sets: DataFrame, order: Broadcast) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, met: DataFrame, nodes: DataFrame, order: Broadcast) -> DataFrame:
     """Links (a, b) of nodes that join all similar sets into components."""
-    some = sets.where("node is not null")
-    met = stored(meetings(some.select("node", "n", "prefix", "hot")), "meetings")
-    first_id = some.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    first_id = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     have: DataFrame | None = None
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -366,28 +411,32 @@ def links(docs: DataFrame, sets: DataFrame, order: Broadcast) -> DataFrame:
 
     # the share of its prefix that a node has in common with others is highest for the original of
     # many copies, which makes it the best centre
-    share = met.groupBy("node", "n").agg((F.count("*") / F.col("n")).alias("share"))
+    firsts = met.where("first")
+    share = firsts.groupBy("node", "n").agg((F.count("*") / F.col("n")).alias("share"))
     rank = F.struct("share", F.xxhash64("node").alias("_by"), F.col("node").alias("centre"), F.col("n").alias("m"))
-    centres = met.join(share.drop("n"), "node").groupBy("token").agg(F.max(rank).alias("c"))
-    stars = met.join(centres.select("token", "c.centre", "c.m"), "token")
+    centres = firsts.join(share.drop("n"), "node").groupBy("token").agg(F.max(rank).alias("c"))
+    stars = firsts.join(centres.select("token", "c.centre", "c.m"), "token")
     stars = stars.where((F.col("node") != F.col("centre")) & ~_too_far("n", "m"))
     stars = stars.select("centre", "node").dropDuplicates()
-    found = stored(verified(stored(candidates(stars, met), "star-pairs")), "links")
+    found = stored(verified(stored(plausible(stars, nodes), "star-pairs")), "links")
 
     roots = components(found)
-    rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    rest = stored(rooted.join(open_.where("low < high").select("token"), "token"), "unsettled")
+    rest = rooted.join(open_.where("low < high").select("token"), "token")
+    rest = stored(rest.select("token", "node", "n", "place", "root"), "unsettled")
     others = rest.select(
-        "token", F.col("node").alias("centre"), F.col("n").alias("m"), F.col("root").alias("_root")
-    )
+        "token", F.col("node").alias("centre"), F.col("n").alias("m"), F.col("place").alias("other"),
+        F.col("root").alias("_root"),
+    )
     pairs = rest.join(others, "token").where(
-        (F.col("root") != F.col("_root")) & (F.col("node") < F.col("centre")) & ~_too_far("n", "m")
+        (F.col("root") != F.col("_root"))
+        & (F.col("node") < F.col("centre"))
+        & ~_too_far("n", "m")
+        & _reachable("n", "place", "m", "other")
     )
-    # a pair of unsettled nodes meets in unsettled shingles only, so this counts all they share
-    pairs = pairs.groupBy("centre", "node", "n", "m").agg(F.count("*").alias("common"))
-    pairs = pairs.where(_enough("common")).select("centre", "node")
-    return found.unionByName(stored(verified(stored(pairs, "rest-pairs")), "links"))
+    pairs = pairs.select("centre", "node").dropDuplicates()
+    return found.unionByName(stored(verified(stored(plausible(pairs, nodes), "rest-pairs")), "links"))
 
 
 def with_node(docs: DataFrame, name: str) -> DataFrame:
@@ -401,7 +450,7 @@ def with_node(docs: DataFrame, name: str) -> DataFrame:
                 nodes += [node_of(h) if len(h) else None for h in found]
             yield batch.append_column(name, pa.array(nodes, pa.int64()))
 
-    return docs.mapInArrow(tasks, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    return docs.mapInArrow(tidied(tasks), T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def near_duplicates(docs: DataFrame, nodes: tuple[str, ...] = ()) -> DataFrame:
@@ -409,9 +458,14 @@ def near_duplicates(docs: DataFrame, nodes: tuple[str, ...] = ()) -> DataFrame:
     links between documents of at least ``PERCENT`` percent similarity, itself included. ``nodes``
     names two more columns: the text's node and its component's (null without words)."""
     order = shingle_order(docs)
-    sets = stored(sets_of(docs, order), "sets")
-    roots = components(stored(links(docs, sets, order), "all-links"))
-    rows = sets.select("doc_id", "n", "node")
+    path = scratch_path(docs.sparkSession, "sets")
+    sets = stored_at(sets_of(docs, order), path)
+    rows = stored(sets.select("doc_id", "n", "node"), "set-sizes")
+    own = sets.where("bins is not null")
+    bins = stored(own.select("node", "n", "bins").dropDuplicates(["node"]), "bins")
+    met = stored(meetings(own.select("node", "n", "prefix", "hot")), "meetings")
+    remove(docs.sparkSession, path)  # prefixes are as large as a fifth of all shingles
+    roots = components(stored(links(docs, rows, met, bins, order), "all-links"))
     low = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     low = low.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lows = low.groupBy("root").agg(F.min("low").alias("component"))
