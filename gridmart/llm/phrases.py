@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, tidied
 
 LEAST = 30  # fixed value: occurrences from which an n-gram is frequent
 LONGEST = 4  # fixed value: words of the longest phrase
@@ -174,14 +174,18 @@ def summaries(docs: DataFrame, partitions: int) -> DataFrame:
                     gram = longer(gram[:-1], words[n - 1 :])
                     whole = whole[:-1] & (lot.ids[n - 1 :] != NONE)
                 found.append(gram[whole])
-            every = np.sort(np.concatenate(found))
+            every = np.concatenate(found)
             if not len(every):
                 continue
+            del words, gram, whole, found
+            every.sort()
             first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
             counts = np.diff(np.append(first, len(every))).astype("<u4")
             part, items = placed(every[first], partitions)
+            del every, first
             order = np.argsort(part, kind="stable")
             part, items, counts = part[order], items[order].astype("<u4"), counts[order]
+            del order
             parts, starts = np.unique(part, return_index=True)
             ends = np.append(starts[1:], len(part))
             rows = [
@@ -193,7 +197,7 @@ def summaries(docs: DataFrame, partitions: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "part int, lang string, mass long, items binary, counts binary"
-    return docs.select("lang", "text").mapInArrow(tasks, schema)
+    return docs.select("lang", "text").mapInArrow(tidied(tasks), schema)
 
 
 def _lots(batches: Iterable[pa.RecordBatch]) -> Iterator[Lot]:
@@ -205,40 +209,35 @@ def _lots(batches: Iterable[pa.RecordBatch]) -> Iterator[Lot]:
                 yield Lot(lot)
 
 
-def survivors(sent: DataFrame, least: int) -> DataFrame:
-    """Pass one's merge: the items of each hash partition that may be frequent, as one blob."""
-    masses = sent.where("part >= 0").groupBy("part").agg(F.sum("mass").alias("all"))
-    blobs = sent.where("part >= 0").select("part", "items", "counts").join(masses, "part")
-    dealt = blobs.repartition("part").sortWithinPartitions("part")
+def survivors(sent: DataFrame, partitions: int, least: int) -> DataFrame:
+    """Pass one's merge: the items of each hash partition that may be frequent, as one blob. The driver
+    holds a number for each partition."""
+    blobs = sent.where("part >= 0")
+    masses = {r["part"]: r["all"] for r in blobs.groupBy("part").agg(F.sum("mass").alias("all")).collect()}
+    # No join may stand before this shuffle: Spark would leave the shuffle out for the join's own, and then
+    # deal a partition's blobs to several tasks, each of which would drop what it alone sees too little of.
+    dealt = blobs.select("part", "items", "counts").repartitionById(partitions, "part")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, summary = None, None
-
-        def done() -> pa.RecordBatch:
+        own: dict[int, Summary] = {}
+        for batch in batches:
+            parts = batch.column("part").to_pylist()
+            for p, items, counts in zip(parts, batch.column("items"), batch.column("counts"), strict=True):
+                if p not in own:
+                    own[p] = Summary(masses[p] // least + 1)
+                own[p].add(
+                    np.frombuffer(items.as_buffer(), "<u4"),
+                    np.frombuffer(counts.as_buffer(), "<u4").astype(np.int64),
+                )
+        for part, summary in own.items():
             found = summary.survivors(least)
-            return pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([len(found)], pa.int64()),
                  pa.array([found.astype("<u4").tobytes()], pa.binary())],
                 names=["part", "n", "items"],
             )
 
-        for batch in batches:
-            for p, all_, items, counts in zip(
-                batch.column("part").to_pylist(), batch.column("all").to_pylist(),
-                batch.column("items"), batch.column("counts"), strict=True,
-            ):
-                if p != part:
-                    if part is not None:
-                        yield done()
-                    part, summary = p, Summary(all_ // least + 1)
-                summary.add(
-                    np.frombuffer(items.as_buffer(), "<u4"),
-                    np.frombuffer(counts.as_buffer(), "<u4").astype(np.int64),
-                )
-        if part is not None:
-            yield done()
-
-    return dealt.select("part", "all", "items", "counts").mapInArrow(merge, "part int, n long, items binary")
+    return dealt.mapInArrow(tidied(merge), "part int, n long, items binary")
 
 
 class Marks:
@@ -307,7 +306,7 @@ def counted(docs: DataFrame, marks: Marks) -> DataFrame:
                     names=["lang", "phrase", "n"],
                 )
 
-    return docs.select("lang", "text").mapInArrow(tasks, "lang string, phrase string, n long")
+    return docs.select("lang", "text").mapInArrow(tidied(tasks), "lang string, phrase string, n long")
 
 
 def _passing(lot: Lot, marks: Marks) -> list[tuple[str, bytes, int]]:
@@ -341,7 +340,7 @@ def frequent(docs: DataFrame, least: int = LEAST, mass: int = MASS) -> tuple[Dat
     expected = size * LONGEST // 6 + 1  # six bytes to a word, at a guess; it only sizes the partitions
     partitions = int(min(PARTITIONS, max(1, expected // mass)))
     sent = stored(summaries(docs, partitions), "phrases-summaries")
-    marks = marked(stored(survivors(sent, least), "phrases-survivors"), partitions)
+    marks = marked(stored(survivors(sent, partitions, least), "phrases-survivors"), partitions)
     totals = sent.where("part < 0").groupBy("lang").agg(F.sum("mass").alias("n"))
     counts = counted(docs, marks).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return stored(counts.where(F.col("n") >= least), "phrases-frequent"), totals

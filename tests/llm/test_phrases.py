@@ -99,6 +99,22 @@ def test_many_partitions_and_small_maps_change_nothing(spark, monkeypatch):
     assert run(docs, least=5) == expected
 
 
+def test_joins_that_turn_into_broadcasts_lose_nothing(spark):
+    """Each hash partition's counts meet in one task, also where every task alone has too few of a phrase."""
+    rows = [(i, f"alpha beta w{i} x{i} y{i} z{i}", "en") for i in range(100)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(24)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "3000"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = {r["phrase"]: r["n"] for r in phrases.frequent(docs, mass=100)[0].collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert found == {"alpha": 100, "beta": 100, "alpha beta": 100}
+
+
 def test_a_very_long_text_and_one_without_pieces(spark):
     rows = [(1, "alpha beta " * 60_000, "en"), (2, "gamma delta. " * 400_000, "en"), (3, "z" * 3_000_000, "fr")]
     found = run(spark.createDataFrame(rows, SCHEMA))
