@@ -214,8 +214,8 @@ def survivors(sent: DataFrame, partitions: int, least: int) -> DataFrame:
     holds a number for each partition."""
     blobs = sent.where("part >= 0")
     masses = {r["part"]: r["all"] for r in blobs.groupBy("part").agg(F.sum("mass").alias("all")).collect()}
-    # No join may stand before this shuffle: Spark would leave the shuffle out for the join's own, and then
-    # deal a partition's blobs to several tasks, each of which would drop what it alone sees too little of.
+    # No join may stand before this shuffle: Spark would leave the shuffle out for the join's own, whose parts
+    # need not stay whole when the plan changes, and a partition merged in parts loses what each has too little of.
     dealt = blobs.select("part", "items", "counts").repartitionById(partitions, "part")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
