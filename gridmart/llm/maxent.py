@@ -15,7 +15,10 @@ it, counted in every task and summed in Spark, gives the maximum-entropy weights
 itself. How far to trust them in company, a scale for each kind of feature and how often it occurs, is
 learned from the rest by ``EPOCHS`` gradient updates: every task sums the slopes of its texts' loss, and
 the sums of all tasks move the scales. So nothing depends on how rows are dealt to tasks, and features
-that few tasks see lose nothing. The table grows with the training tokens up to ``ROWS`` rows, the size
+that few tasks see lose nothing. From there all weights are fitted together by ``fits`` updates of
+generalised iterative scaling over the same texts: tasks sum how often the model expects each class behind
+each feature, and every weight moves by the logarithm of observed to expected, a third of it, as every
+token has three features; the likelihood of the texts, with the prior, never falls by it. The table grows with the training tokens up to ``ROWS`` rows, the size
 that tasks can hold; features beyond it share rows. Texts are scored in batches of ``TOKENS`` tokens,
 sparse rows of weights gathered by feature.
 
@@ -38,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import added, raw_texts, stored
+from .common import added, raw_texts, stored, tidied
 
 FREQUENT = 200_000
 OWN, SHARED, RARE = 23, 16, 8  # classes of one word, of frequent words, of rare words
@@ -52,9 +55,13 @@ PRIOR = 8.0  # occurrences that a feature's classes are drawn to the common shar
 BANDS = 20  # of how often a feature occurs, by powers of two
 TUNING = 16  # one training text in so many teaches the scales, the others the weights
 SCALE, TIE, EPOCHS = 0.4, 20.0, 3  # where scales start, how strongly they are held there, updates
+FITS = 1  # updates of all weights together, in the registered query
 TOKENS = 2_048
+TOKENS_A_TABLE = 1 << 23  # in a task of such an update
+HISTORIES = 1 << 20  # tokens whose equal histories are worked once
 PARTS, LANES = 64, 16  # in which tables are added up: ranges of rows, and tasks in a first step
 HELD = 400_000  # distinct words that a counting task holds before it sends them on
+CELLS = "task int, part int, cells binary, counts binary"
 SCORED = (
     "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, "
     "rare array<struct<word:binary,n:int>>"
@@ -99,7 +106,7 @@ def counted(docs: DataFrame) -> DataFrame:
         if held:
             yield send()
 
-    each = docs.select("text").mapInArrow(tasks, "word binary, c long")
+    each = docs.select("text").mapInArrow(tidied(tasks), "word binary, c long")
     return each.groupBy("word").agg(F.sum("c").alias("c"))
 
 
@@ -241,46 +248,112 @@ def followed(docs: DataFrame, words: Words) -> np.ndarray:
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(words)
     rows = words.rows()
-    each = rows * CLASSES // PARTS
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         words, cells = vocabulary.value, np.zeros(rows * CLASSES, np.uint32)
         for batch in batches:
             for history in _chunks(_texts(batch), words):
                 for kind in history.rows:
                     np.add.at(cells, kind.astype(np.int64) * CLASSES + history.classes, 1)
-        task = TaskContext.get().partitionId()
-        for part in range(PARTS):
-            own = cells[part * each : (part + 1) * each]
-            met = np.flatnonzero(own)
-            if len(met):
-                blobs = [[met.astype("<u4").tobytes()], [own[met].astype("<u4").tobytes()]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([task], pa.int32()), pa.array([part], pa.int32()), *map(pa.array, blobs)],
-                    names=["task", "part", "cells", "counts"],
-                )
+        yield from _sent(cells)
+
+    table = _table(docs.select("text").mapInArrow(tidied(tasks), CELLS), rows, "<u4")
+    vocabulary.unpersist()
+    return table
+
+
+def _sent(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The cells of a task's flat table that hold anything, by ranges of rows."""
+    from pyspark import TaskContext
+
+    task, each = TaskContext.get().partitionId(), len(cells) // PARTS
+    for part in range(PARTS):
+        own = cells[part * each : (part + 1) * each]
+        met = np.flatnonzero(own)
+        if len(met):
+            at = met.astype("<u4").tobytes() if 2 * len(met) < each else b""  # most hold something: all are sent
+            blobs = [[at], [(own[met] if at else own).tobytes()]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([task], pa.int32()), pa.array([part], pa.int32()), *map(pa.array, blobs)],
+                names=["task", "part", "cells", "counts"],
+            )
+
+
+def _table(sent: DataFrame, rows: int, dtype: str, lanes: int = LANES, between: str = "<f8") -> np.ndarray:
+    """The sum of what tasks have sent, (rows, classes)."""
+    each = rows * CLASSES // PARTS
 
     def first(key: tuple, sent: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(each, np.float64)
+        sent = sent.sort_values("task")
         for cells, counts in zip(sent["cells"], sent["counts"], strict=True):
-            total[np.frombuffer(cells, "<u4")] += np.frombuffer(counts, "<u4")
-        return pd.DataFrame({"part": [key[0]], "total": [total.tobytes()]})
+            at = np.frombuffer(cells, "<u4") if len(cells) else slice(None)
+            total[at] += np.frombuffer(counts, dtype)
+        return pd.DataFrame({"part": [key[0]], "lane": [key[1]], "total": [total.astype(between).tobytes()]})
 
     def last(key: tuple, sent: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(t, "<f8") for t in sent["total"]).astype("<f4")
+        total = sum(np.frombuffer(t, between).astype("<f8") for t in sent.sort_values("lane")["total"]).astype("<f4")
         return pd.DataFrame({"part": [key[0]], "total": [total.tobytes()]})
 
-    sent = docs.select("text").mapInArrow(tasks, "task int, part int, cells binary, counts binary")
-    some = sent.groupBy("part", F.pmod("task", F.lit(LANES)).alias("lane")).applyInPandas(first, "part int, total binary")
+    lane = F.pmod("task", F.lit(lanes)).alias("lane")
+    some = sent.groupBy("part", lane).applyInPandas(first, "part int, lane int, total binary")
     table = np.zeros((PARTS, each), np.float32)
     for row in some.groupBy("part").applyInPandas(last, "part int, total binary").toLocalIterator():
         table[row["part"]] = np.frombuffer(row["total"], "<f4")
-    vocabulary.unpersist()
     return table.reshape(rows, CLASSES)
 
 
+def expected(docs: DataFrame, words: Words, weights: np.ndarray) -> np.ndarray:
+    """How often the model expects each class behind each feature in all texts: (rows, classes)."""
+    held = docs.sparkSession.sparkContext.broadcast((words, weights))
+    rows = len(weights)
+    # a task sends a table of a bounded size, however little it reads
+    fewer = 1 + words.tokens // TOKENS_A_TABLE
+    lanes = min(LANES, 1 + fewer // 64)
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, weights = held.value
+        start, cells, waiting, n = words.start(), np.zeros((rows, CLASSES), np.float32), [], 0
+        for batch in batches:
+            for history in _chunks(_texts(batch), words):
+                waiting.append(history.rows)
+                n += history.rows.shape[1]
+                if n >= HISTORIES:
+                    _expect(cells, start, weights, waiting)
+                    waiting, n = [], 0
+        if waiting:
+            _expect(cells, start, weights, waiting)
+        yield from _sent(cells.ravel())
+
+    table = _table(docs.select("text").coalesce(fewer).mapInArrow(tidied(tasks), CELLS), rows, "<f4", lanes, "<f4")
+    held.destroy()
+    return table
+
+
+def _expect(cells: np.ndarray, start: np.ndarray, weights: np.ndarray, waiting: list[np.ndarray]) -> None:
+    """Add the shares of the classes to the rows of some tokens' features, equal histories at once."""
+    rows = np.concatenate(waiting, axis=1).astype(np.int64)
+    codes = (rows[0] << 40) + (rows[1] << 20) + rows[2]  # a table has 2^18 rows at most
+    codes, times = np.unique(codes, return_counts=True)
+    low = (1 << 20) - 1
+    rows = np.stack([codes >> 40, codes >> 20 & low, codes & low])
+    for at in range(0, len(codes), 4 * TOKENS):
+        part = slice(at, at + 4 * TOKENS)
+        shares = np.exp(log_shares(start, weights, rows[:, part])) * times[part, None].astype(np.float32)
+        for kind in rows[:, part]:
+            order = np.argsort(kind, kind="stable")
+            first = np.flatnonzero(np.diff(kind[order], prepend=-1))
+            cells[kind[order[first]]] += np.add.reduceat(shares[order], first)
+
+
+def fitted(observed: np.ndarray, met: np.ndarray, weights: np.ndarray, start: np.ndarray) -> None:
+    """Move the weights by one update of iterative scaling."""
+    common = PRIOR * np.exp(start)
+    for at in range(0, len(weights), 4096):
+        part = slice(at, at + 4096)
+        weights[part] += np.log((observed[part] + common) / (met[part] + common)) / len(SHARES)
+
+
 def evidence(counts: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The weights that each feature would have by itself, and its band."""
     total, common = counts.sum(axis=1), np.exp(start)
@@ -336,7 +409,7 @@ def tuned(docs: DataFrame, words: Words, weights: np.ndarray, bands: np.ndarray)
                 names=["task", "part", "data"],
             )
 
-        return docs.select("text").mapInArrow(tasks, "task int, part int, data binary")
+        return docs.select("text").mapInArrow(tidied(tasks), "task int, part int, data binary")
 
     for _ in range(EPOCHS):
         sums = added(epoch(scales), "<f8")
@@ -346,17 +419,20 @@ def tuned(docs: DataFrame, words: Words, weights: np.ndarray, bands: np.ndarray)
         first = sums[0][:size] + TIE * (scales - SCALE)
         second = sums[0][size:].reshape(size, size) + TIE * np.eye(size)
         scales = scales - np.linalg.solve(second, first)
-    held.unpersist()
+    held.destroy()
     return scales.reshape(len(SHARES), BANDS)
 
 
-def train(docs: DataFrame, words: Words) -> np.ndarray:
-    """Class weights (rows, classes) of all features."""
+def train(docs: DataFrame, words: Words, fits: int = 0) -> np.ndarray:
+    """Class weights (rows, classes) of all features; ``fits`` updates of all weights together, none by default."""
     tuning = F.crc32(F.coalesce("text", F.lit(""))) % TUNING == 0
-    weights, bands = evidence(followed(docs.where(~tuning), words), words.start())
+    observed = followed(docs.where(~tuning), words)
+    weights, bands = evidence(observed, words.start())
     scales = tuned(docs.where(tuning), words, weights, bands)
     kinds = np.repeat(np.arange(len(SHARES)), np.diff(kind_starts(len(weights))))
     weights *= scales[kinds, bands][:, None].astype(np.float32)
+    for _ in range(fits):
+        fitted(observed, expected(docs.where(~tuning), words, weights), weights, words.start())
     return weights
 
 
@@ -407,16 +483,16 @@ def scored(docs: DataFrame, words: Words, weights: np.ndarray) -> DataFrame:
                 )
                 done, row = done + n, row + n
 
-    return docs.select(F.col("doc_id").cast("long"), "held_out", "text").mapInArrow(tasks, SCORED)
+    return docs.select(F.col("doc_id").cast("long"), "held_out", "text").mapInArrow(tidied(tasks), SCORED)
 
 
-def scores(docs: DataFrame, held_out: Column) -> DataFrame:
+def scores(docs: DataFrame, held_out: Column, fits: int = 0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     docs = docs.select("doc_id", "text", held_out.alias("held_out"))
     training = docs.where(~F.col("held_out"))
     vocabulary = stored(counted(training), "vocabulary")
     words = Words.of(vocabulary, training.count())
-    rows = stored(scored(docs, words, train(training, words)), "scored")
+    rows = stored(scored(docs, words, train(training, words, fits)), "scored")
     rare = rows.select("row", F.inline("rare"))
     # a rare word's count belongs to its texts; unknown words have none and add log10(0 + 1) = 0
     rare = rare.join(vocabulary, "word").groupBy("row").agg(

@@ -116,7 +116,7 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probabilities of all texts by counts and by the class model of six sevenths of them."""
     out = langid.held_out(F.col("doc_id"), 7, 2)
-    return maxent.scores(table(spark, sf_dir, "documents"), out)
+    return maxent.scores(table(spark, sf_dir, "documents"), out, maxent.FITS)
 
 
 @query

@@ -188,3 +188,30 @@ def test_edge_cases(spark):
     assert {r.train_tokens for r in everything} == {0} and {r.n_known for r in everything} == {0}
     assert {r.base_score for r in everything} == {0.0}
     assert maxent.scores(docs.where("false"), F.lit(False)).count() == 0
+
+
+def test_weights_are_fitted_together(spark, sf_dir, monkeypatch):
+    """What the model expects, against a plain sum; an update raises the likelihood of the texts it is fitted to."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(80).repartition(3).cache()
+    words = maxent.Words.of(maxent.counted(docs), docs.count())
+    monkeypatch.setattr(maxent, "HISTORIES", 3000)
+    texts = [(r.text or "").encode() for r in docs.collect()]
+    fitted_to = [t for t in texts if zlib.crc32(t) % maxent.TUNING]
+    history = maxent.History(words, [maxent.words_of(t) for t in fitted_to])
+    weights = [maxent.train(docs, words, fits) for fits in range(4)]
+    shares = [maxent.log_shares(words.start(), w, history.rows) for w in weights]
+    plain = np.zeros(weights[0].shape)
+    for kind in history.rows:
+        np.add.at(plain, kind, np.exp(shares[0]))
+    part = docs.where(F.crc32(F.coalesce("text", F.lit(""))) % maxent.TUNING != 0)
+    assert np.allclose(maxent.expected(part, words, weights[0]), plain, rtol=1e-3, atol=1e-3)
+    gained = [s[np.arange(len(s)), history.classes].sum() for s in shares]
+    assert gained[0] < gained[1] < gained[2] < gained[3]
+    assert [t for t in texts if not zlib.crc32(t) % maxent.TUNING]
+
+
+def test_the_query_fits_weights_together(spark, sf_dir, monkeypatch):
+    fits = []
+    monkeypatch.setattr(maxent, "fitted", lambda *given, fn=maxent.fitted: fits.append(fn(*given)))
+    queries.op6_maxent(spark, sf_dir)
+    assert len(fits) == maxent.FITS > 0
