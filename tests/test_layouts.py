@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridmart.operators import sketches
 from gridmart.plans import semantic, serving
+from gridmart.plans.warehouse import Warehouse
 from gridmart.sources import layouts
 from workload import domain
 from workload.model_queries import star
@@ -184,3 +185,29 @@ def test_sketches_of_nothing(spark):
         "rows", sketches.distinct_count("d"), sketches.quantile("q", 0.5), F.size(sketches.top("t", 3))).first()
     assert tuple(found)[:3] == (1, 0, None)
     assert sketches.daily(rows.filter("day > 1"), ["day"], KINDS).count() == 0
+
+
+def test_a_key_is_made_where_its_month_is(spark, tmp_path, rows):
+    df = spark.range(50).select(F.md5(F.col("id").cast("string")).alias("k_sk"), (F.col("id") + 20240100).alias("day"), "id")
+    table = layouts.write_by_month(df, str(tmp_path / "t"), "day", "k_sk", {"k_sk": F.md5(F.col("id").cast("string"))})
+    assert rows(table, *df.columns) == rows(df)
+
+
+def test_a_question_builds_only_what_it_names(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(domain, "_MARTS", {})
+    semantic.late_payments_by_method(star(spark, sf_dir), 1998, 1).collect()
+    built = set(domain.stored_marts(spark, sf_dir)._models)
+    assert "fct_payments" in built
+    assert not built & {"fct_invoices", "stg_oltp__invoice_line_items", "dim_product"}
+
+
+def test_staging_of_one_reader_is_not_written(spark, sf_dir, tmp_path, rows, monkeypatch):
+    written = []
+    monkeypatch.setattr(domain, "_MARTS", {})
+    monkeypatch.setattr(Warehouse, "_write", lambda wh, name, model, path: written.append(name) or model)
+    wh = domain.stored_marts(spark, sf_dir)
+    assert "invoices" in star(spark, sf_dir) and rows(wh["fct_payments"]) == rows(
+        domain.warehouse(spark, sf_dir)["fct_payments"])
+    wh["fct_invoices"]
+    assert {"fct_invoices", "fct_payments", "stg_oltp__invoices"} <= set(written)
+    assert not {"stg_oltp__invoice_line_items", "stg_oltp__payments"} & set(written)
