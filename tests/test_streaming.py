@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridmart.streaming import progress, sources, upserts
+from workload import domain, stream_queries
 
 RAW = "event_data string, device_id string, event_type string, event_timestamp timestamp_ntz, _loaded_at timestamp_ntz, _ingestion_date date"
 FIELDS = {"kwh": ("kwh", "double")}
@@ -275,3 +276,16 @@ def test_event_lines(spark, tmp_path, rows):
     stream.select("device_id", "event_timestamp", F.col("_loaded_at").isNotNull().alias("stamped")).writeStream.option(
         "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(out, format="parquet").awaitTermination()
     assert rows(spark.read.parquet(out)) == [(None, None, True), ("d", START, True)]
+
+
+def test_a_stream_of_many_files_has_no_more_batches_than_writes(spark, sf_dir, tmp_path, monkeypatch):
+    class ManyFiles(domain.RawFeeds):
+        def __missing__(self, name):
+            return super().__missing__(name).repartition(12)
+
+    monkeypatch.setattr(domain, "RawFeeds", ManyFiles)
+    seen = []
+    rows = stream_queries.stream(spark, sf_dir, "customers", "_source_ts", 2)
+    writer = rows.writeStream.foreachBatch(lambda batch, number: seen.append(batch.count()))
+    writer.option("checkpointLocation", str(tmp_path)).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) <= 2 and sum(seen) == ManyFiles(spark, sf_dir)["customers"].count()

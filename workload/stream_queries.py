@@ -41,10 +41,14 @@ def stream(spark, sf, feed, order, batches=BATCHES, late=None, stamped=False):
     first, last = rows.agg(F.min("_moment"), F.max("_moment")).first()
     cuts = [first + (last - first) * i / batches for i in range(1, batches)]
     part = sum([(F.col("_moment") > F.lit(c).cast("timestamp_ntz")).cast("int") for c in cuts], F.lit(0))
+    files = [0]
     for i in range(batches):
         rows.filter(part == i).drop("_moment").write.mode("append").parquet(path)
-    # Each write leaves a few files; older files are read first.
-    incoming = sources.table_stream(spark, path, schema, files_per_trigger=2)
+        files.append(len(spark.read.schema(schema).parquet(path).inputFiles()))
+    # Older files are read first. A write leaves more files the more rows it has; a trigger takes as many
+    # as the largest write left, so there are never more batches than writes.
+    most = max(after - before for before, after in zip(files, files[1:]))
+    incoming = sources.table_stream(spark, path, schema, files_per_trigger=max(1, most))
     if feed == "telemetry_events":
         incoming = incoming.withColumn("event_data", F.parse_json("event_data"))
     return incoming
