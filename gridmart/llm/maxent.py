@@ -33,7 +33,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -57,8 +57,9 @@ TUNING = 16  # one training text in so many teaches the scales, the others the w
 SCALE, TIE, EPOCHS = 0.4, 20.0, 3  # where scales start, how strongly they are held there, updates
 FITS = 1  # updates of all weights together, in the registered query
 TOKENS = 2_048
+LEAST_SUM = 1e-25  # of a token's products of factors in single precision; smaller ones are worked in double
 TOKENS_A_TABLE = 1 << 23  # in a task of such an update
-HISTORIES = 1 << 20  # tokens whose equal histories are worked once
+HISTORIES = 1 << 21  # tokens whose equal histories are worked once
 PARTS, LANES = 64, 16  # in which tables are added up: ranges of rows, and tasks in a first step
 HELD = 400_000  # distinct words that a counting task holds before it sends them on
 CELLS = "task int, part int, cells binary, counts binary"
@@ -131,8 +132,9 @@ class Words:
             least -= 1
             room -= bands.get(least, 0)
         often = F.floor(F.log2("c") * 8) >= least
-        frequent = [(bytes(r["word"]), r["c"]) for r in vocabulary.where(often).collect()]
-        frequent.sort(key=lambda r: (-r[1], r[0]))
+        frequent = vocabulary.where(often).select("word", "c").toArrow()
+        frequent = frequent.sort_by([("c", "descending"), ("word", "ascending")])
+        named, count = frequent["word"].to_pylist(), frequent["c"].to_numpy().astype(np.float64)
         rare = (
             vocabulary.where(~often)
             .groupBy(ending_of(F.col("word"), RARE).alias("class"))
@@ -143,16 +145,16 @@ class Words:
         for r in rare:
             total[r["class"]] += r["c"] + r["n"]
         classes = [
-            i if i < OWN else OWN + 1 + ending(w, SHARED) for i, (w, _) in enumerate(frequent)
+            i if i < OWN else OWN + 1 + ending(w, SHARED) for i, w in enumerate(named)
         ]
         return cls(
-            {w: i for i, (w, _) in enumerate(frequent)},
-            np.array([c for _, c in frequent], np.float64),
+            {w: i for i, w in enumerate(named)},
+            count,
             np.array(classes, np.int64),
             total,
             texts,
-            sum(c for _, c in frequent) + sum(r["c"] for r in rare) + texts,
-            len(frequent) + sum(r["n"] for r in rare) + (texts > 0),
+            int(count.sum()) + sum(r["c"] for r in rare) + texts,
+            len(named) + sum(r["n"] for r in rare) + (texts > 0),
         )
 
     def start(self) -> np.ndarray:
@@ -178,23 +180,28 @@ class History:
 
     def __init__(self, words: Words, texts: list[list[bytes]]):
         known, size = words.number.get, len(words.number)
-        ids, self.rare = [], []
-        for text in texts:
-            found = np.fromiter(map(known, text, repeat(-1)), np.int64, len(text))
-            self.rare.append([text[i] for i in np.flatnonzero(found < 0)])
-            found[found < 0] = [size + ending(w, RARE) for w in self.rare[-1]]
-            ids += [[-1, -1], found, [size + RARE]]
-        ids = np.concatenate(ids).astype(np.int64)
-        real = np.flatnonzero(ids >= 0)
-        first, second = ids[real - 1], ids[real - 2]
-        self.ids = ids[real]
-        self.text = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
-        self.classes = np.empty(len(self.ids), np.int64)
-        often, end = self.ids < size, self.ids == size + RARE
-        self.classes[often] = words.classes[self.ids[often]]
-        self.classes[~often] = END + 1 + SHARED + self.ids[~often] - size
-        self.classes[end] = END
-        self.often, self.is_rare = often, ~often & ~end
+        sizes = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(sizes + 1) - 1
+        flat = list(chain.from_iterable(texts))
+        found = np.fromiter(map(known, flat, repeat(-1)), np.int64, len(flat))
+        rare = np.flatnonzero(found < 0)
+        unknown = [flat[i] for i in rare]
+        found[rare] = [size + ending(w, RARE) for w in unknown]
+        cuts = np.searchsorted(rare, np.cumsum(sizes)).tolist()
+        self.rare = [unknown[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+        self.ids = np.full(len(flat) + len(texts), size + RARE, np.int64)
+        inner = np.ones(len(self.ids), bool)
+        inner[ends] = False
+        self.ids[inner] = found
+        first, second = np.roll(self.ids, 1), np.roll(self.ids, 2)
+        first[ends - sizes] = second[ends - sizes] = -1
+        second[(ends - sizes + 1)[sizes > 0]] = -1
+        self.text = np.repeat(np.arange(len(texts)), sizes + 1)
+        self.often = self.ids < size
+        self.is_rare = inner & ~self.often
+        self.classes = self.ids + (END + 1 + SHARED - size)
+        self.classes[self.often] = words.classes[self.ids[self.often]]
+        self.classes[ends] = END
         features, starts = (first, second, first * (1 << 21) + second), kind_starts(words.rows())
         self.rows = np.stack([_hashed(f, starts[k], starts[k + 1]) for k, f in enumerate(features)])
 
@@ -209,7 +216,7 @@ def _hashed(history: np.ndarray, first: int, end: int) -> np.ndarray:
     h = (history.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
-    return (h % np.uint64(end - first)).astype(np.int32) + np.int32(first)
+    return (h & np.uint64(end - first - 1)).astype(np.int32) + np.int32(first)  # a power of two of them
 
 
 def log_shares(start: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -222,6 +229,31 @@ def log_shares(start: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> np.n
     return z
 
 
+def factored(weights: np.ndarray) -> np.ndarray:
+    """The weights as factors of the classes' shares, those of a row by its largest."""
+    factors = np.empty_like(weights)
+    for at in range(0, len(weights), 4096):
+        part = weights[at : at + 4096]
+        np.exp(part - part.max(axis=1, keepdims=True), out=factors[at : at + 4096])
+    return factors
+
+
+def parted(common: np.ndarray, factors: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each token (column of ``rows``) the classes' products of factors, and their sum with ``common``. Last:
+    the tokens of too small a sum, whose features tell opposite things; their products are divided by it."""
+    parts = np.take(factors, rows[0], axis=0)
+    for feature in rows[1:]:
+        parts *= np.take(factors, feature, axis=0)
+    total = np.einsum("tc,c->t", parts, common)
+    low = np.flatnonzero(total < LEAST_SUM)
+    if len(low):
+        exact = factors[rows[:, low]].astype(np.float64).prod(axis=0)
+        total = total.astype(np.float64)
+        total[low] = exact @ common
+        parts[low] = exact / total[low, None]
+    return parts, total, low
+
+
 def _chunks(texts: Iterator[bytes], words: Words) -> Iterator[History]:
     """Histories of some texts at a time, a few batches of tokens."""
     held, tokens = [], 0
@@ -240,26 +272,27 @@ def _texts(batch: pa.RecordBatch, column: int = 0) -> Iterator[bytes]:
         yield from raw_texts(batch.column(column).slice(at, 256))
 
 
-def followed(docs: DataFrame, words: Words) -> np.ndarray:
-    """How often each class follows each feature in all texts: (rows, classes), single precision.
+def followed(docs: DataFrame, words: Words) -> Iterator[tuple[int, np.ndarray]]:
+    """How often each class follows each feature in all texts: ranges of rows, each with its first row.
 
     Tasks send the cells they have met; those are added in two levels, by ranges of rows. What the
-    driver gets is the table, of bounded size.
+    driver gets is the table, of bounded size, a range at a time.
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(words)
     rows = words.rows()
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, cells = vocabulary.value, np.zeros(rows * CLASSES, np.uint32)
+        words, cells, one = vocabulary.value, np.zeros(rows * CLASSES, np.uint32), np.uint32(1)
         for batch in batches:
             for history in _chunks(_texts(batch), words):
-                for kind in history.rows:
-                    np.add.at(cells, kind.astype(np.int64) * CLASSES + history.classes, 1)
+                at = history.rows.astype(np.int64)
+                at *= CLASSES
+                at += history.classes
+                np.add.at(cells, at.ravel(), one)
         yield from _sent(cells)
 
-    table = _table(docs.select("text").mapInArrow(tidied(tasks), CELLS), rows, "<u4")
-    vocabulary.unpersist()
-    return table
+    yield from _table(docs.select("text").mapInArrow(tidied(tasks), CELLS), rows, "<u4", between="<u4")
+    vocabulary.destroy()
 
 
 def _sent(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -279,8 +312,10 @@ def _sent(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _table(sent: DataFrame, rows: int, dtype: str, lanes: int = LANES, between: str = "<f8") -> np.ndarray:
-    """The sum of what tasks have sent, (rows, classes)."""
+def _table(
+    sent: DataFrame, rows: int, dtype: str, lanes: int = LANES, between: str = "<f4"
+) -> Iterator[tuple[int, np.ndarray]]:
+    """The sums of what tasks have sent, single precision: ranges of rows, each with its first row."""
     each = rows * CLASSES // PARTS
 
     def first(key: tuple, sent: pd.DataFrame) -> pd.DataFrame:
@@ -297,91 +332,125 @@ def _table(sent: DataFrame, rows: int, dtype: str, lanes: int = LANES, between:
 
     lane = F.pmod("task", F.lit(lanes)).alias("lane")
     some = sent.groupBy("part", lane).applyInPandas(first, "part int, lane int, total binary")
-    table = np.zeros((PARTS, each), np.float32)
     for row in some.groupBy("part").applyInPandas(last, "part int, total binary").toLocalIterator():
-        table[row["part"]] = np.frombuffer(row["total"], "<f4")
-    return table.reshape(rows, CLASSES)
+        yield row["part"] * (rows // PARTS), np.frombuffer(row["total"], "<f4").reshape(-1, CLASSES)
 
 
 def expected(docs: DataFrame, words: Words, weights: np.ndarray) -> np.ndarray:
     """How often the model expects each class behind each feature in all texts: (rows, classes)."""
-    held = docs.sparkSession.sparkContext.broadcast((words, weights))
-    rows = len(weights)
+    table = np.zeros_like(weights)
+    for at, part in _expected(docs, words, factored(weights)):
+        table[at : at + len(part)] = part
+    return table
+
+
+def _expected(docs: DataFrame, words: Words, factors: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The same by ranges of rows, each with its first row."""
+    held = docs.sparkSession.sparkContext.broadcast((words, factors))
+    rows = len(factors)
     # a task sends a table of a bounded size, however little it reads
     fewer = 1 + words.tokens // TOKENS_A_TABLE
     lanes = min(LANES, 1 + fewer // 64)
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, weights = held.value
-        start, cells, waiting, n = words.start(), np.zeros((rows, CLASSES), np.float32), [], 0
+        words, factors = held.value
+        common, cells, waiting, n = np.exp(words.start()), np.zeros((rows, CLASSES), np.float32), [], 0
         for batch in batches:
             for history in _chunks(_texts(batch), words):
-                waiting.append(history.rows)
-                n += history.rows.shape[1]
+                first, second, pair = history.rows.astype(np.int64)
+                waiting.append((first << 40) + (second << 20) + pair)  # a table has 2^18 rows at most
+                n += len(pair)
                 if n >= HISTORIES:
-                    _expect(cells, start, weights, waiting)
-                    waiting, n = [], 0
+                    _expect(cells, common, factors, waiting)
+                    n = 0
         if waiting:
-            _expect(cells, start, weights, waiting)
+            _expect(cells, common, factors, waiting)
+        cells *= common
         yield from _sent(cells.ravel())
 
-    table = _table(docs.select("text").coalesce(fewer).mapInArrow(tidied(tasks), CELLS), rows, "<f4", lanes, "<f4")
+    sent = docs.select("text").coalesce(fewer).mapInArrow(tidied(tasks), CELLS)
+    yield from _table(sent, rows, "<f4", lanes)
     held.destroy()
-    return table
 
 
-def _expect(cells: np.ndarray, start: np.ndarray, weights: np.ndarray, waiting: list[np.ndarray]) -> None:
-    """Add the shares of the classes to the rows of some tokens' features, equal histories at once."""
-    rows = np.concatenate(waiting, axis=1).astype(np.int64)
-    codes = (rows[0] << 40) + (rows[1] << 20) + rows[2]  # a table has 2^18 rows at most
-    codes, times = np.unique(codes, return_counts=True)
-    low = (1 << 20) - 1
-    rows = np.stack([codes >> 40, codes >> 20 & low, codes & low])
-    for at in range(0, len(codes), 4 * TOKENS):
-        part = slice(at, at + 4 * TOKENS)
-        shares = np.exp(log_shares(start, weights, rows[:, part])) * times[part, None].astype(np.float32)
-        for kind in rows[:, part]:
-            order = np.argsort(kind, kind="stable")
-            first = np.flatnonzero(np.diff(kind[order], prepend=-1))
-            cells[kind[order[first]]] += np.add.reduceat(shares[order], first)
-
-
-def fitted(observed: np.ndarray, met: np.ndarray, weights: np.ndarray, start: np.ndarray) -> None:
-    """Move the weights by one update of iterative scaling."""
-    common = PRIOR * np.exp(start)
-    for at in range(0, len(weights), 4096):
-        part = slice(at, at + 4096)
-        weights[part] += np.log((observed[part] + common) / (met[part] + common)) / len(SHARES)
+def _expect(cells: np.ndarray, common: np.ndarray, factors: np.ndarray, waiting: list[np.ndarray]) -> None:
+    """Add the classes' shares, less ``common``, to the rows of some tokens' features, equal histories at once."""
+    codes = np.concatenate(waiting)
+    waiting.clear()
+    codes.sort()
+    new = np.flatnonzero(np.diff(codes, prepend=-1))
+    times = np.diff(new, append=len(codes)).astype(np.float32)
+    codes, last = codes[new], (1 << 20) - 1
+    # two neighbours are added at once, as a complex number
+    flat, half = cells.reshape(-1).view(np.complex64), CLASSES // 2
+    each, cell = np.arange(half), np.empty((TOKENS, half), np.int64)
+    for at in range(0, len(codes), TOKENS):
+        some = codes[at : at + TOKENS]
+        rows = np.stack([some >> 40, some >> 20 & last, some & last])
+        parts, total, low = parted(common, factors, rows)
+        total[low] = 1
+        parts *= (times[at : at + TOKENS] / total).astype(np.float32)[:, None]
+        for kind in rows:
+            np.add(kind[:, None] * half, each, out=cell[: len(kind)])
+            np.add.at(flat, cell[: len(kind)].ravel(), parts.reshape(-1).view(np.complex64))
+
+
+def fitted(
+    observed: dict[int, bytes], met: Iterator[tuple[int, np.ndarray]], weights: np.ndarray, start: np.ndarray
+) -> None:
+    """Move the weights by one update of iterative scaling, by ranges of rows as they arrive."""
+    common, still = PRIOR * np.exp(start), dict(observed)
+
+    def update(at: int, seen: np.ndarray | float, size: int) -> None:
+        own = _unpacked(still.pop(at, None), size)
+        weights[at : at + size] += np.log((own + common) / (seen + common)) / len(SHARES)
+
+    size = len(weights) // PARTS
+    for at, part in met:
+        update(at, part, size)
+    for at in list(still):
+        update(at, 0.0, size)
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.tobytes(), 1)
+
+
+def _unpacked(data: bytes | None, size: int) -> np.ndarray:
+    if data is None:
+        return np.zeros((size, CLASSES), np.float32)
+    return np.frombuffer(zlib.decompress(data), np.float32).reshape(size, CLASSES)
 
 
 def evidence(counts: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The weights that each feature would have by itself, and its band."""
     total, common = counts.sum(axis=1), np.exp(start)
-    weights = np.empty_like(counts)
-    for at in range(0, len(counts), 4096):
-        part = slice(at, at + 4096)
-        share = (counts[part] + PRIOR * common) / (total[part, None] + PRIOR)
-        weights[part] = np.log(share) - start
-    return weights, np.minimum(np.log2(total + 1), BANDS - 1).astype(np.int8)
+    share = (counts + PRIOR * common) / (total[:, None] + PRIOR)
+    return np.log(share) - start, np.minimum(np.log2(total + 1), BANDS - 1).astype(np.int8)
 
 
 def slopes(
     start: np.ndarray, weights: np.ndarray, bands: np.ndarray, scales: np.ndarray, rows: np.ndarray, classes: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """First and second derivatives of some tokens' loss by the scales (kinds * bands)."""
-    own, band = weights[rows], bands[rows].astype(np.int64) + BANDS * np.arange(len(rows))[:, None]
-    z = start + np.einsum("kt,ktc->tc", scales[band], own)
+    own, band = np.take(weights, rows, axis=0), bands[rows].astype(np.int64) + BANDS * np.arange(len(rows))[:, None]
+    z = np.tile(start, (rows.shape[1], 1))
+    for scale, w in zip(scales[band].astype(np.float32), own, strict=True):
+        z += scale[:, None] * w
     z -= z.max(axis=1, keepdims=True)
-    shares = np.exp(z)
-    shares /= shares.sum(axis=1, keepdims=True)
-    mean = np.einsum("tc,ktc->kt", shares, own)
+    shares = np.exp(z, out=z)
+    shares /= np.einsum("tc->t", shares)[:, None]
+    mean = np.stack([np.einsum("tc,tc->t", shares, w) for w in own])
     met = own[:, np.arange(len(classes)), classes]
     first = np.bincount(band.ravel(), (mean - met).ravel(), len(scales))
     second = np.zeros(len(scales) ** 2)
     for i in range(len(rows)):
-        for j in range(len(rows)):
-            spread = np.einsum("tc,tc,tc->t", shares, own[i], own[j]) - mean[i] * mean[j]
+        weighed = shares * own[i]
+        for j in range(i, len(rows)):
+            spread = np.einsum("tc,tc->t", weighed, own[j]) - mean[i] * mean[j]
             second += np.bincount(band[i] * len(scales) + band[j], spread, len(second))
+            if i != j:
+                second += np.bincount(band[j] * len(scales) + band[i], spread, len(second))
     return first, second
 
 
@@ -426,26 +495,30 @@ def tuned(docs: DataFrame, words: Words, weights: np.ndarray, bands: np.ndarray)
 def train(docs: DataFrame, words: Words, fits: int = 0) -> np.ndarray:
     """Class weights (rows, classes) of all features; ``fits`` updates of all weights together, none by default."""
     tuning = F.crc32(F.coalesce("text", F.lit(""))) % TUNING == 0
-    observed = followed(docs.where(~tuning), words)
-    weights, bands = evidence(observed, words.start())
+    rows, start, observed = words.rows(), words.start(), {}
+    weights, bands = np.zeros((rows, CLASSES), np.float32), np.zeros(rows, np.int8)
+    for at, counts in followed(docs.where(~tuning), words):
+        part = slice(at, at + len(counts))
+        weights[part], bands[part] = evidence(counts, start)
+        observed[at] = _packed(counts)
     scales = tuned(docs.where(tuning), words, weights, bands)
     kinds = np.repeat(np.arange(len(SHARES)), np.diff(kind_starts(len(weights))))
     weights *= scales[kinds, bands][:, None].astype(np.float32)
     for _ in range(fits):
-        fitted(observed, expected(docs.where(~tuning), words, weights), weights, words.start())
+        fitted(observed, _expected(docs.where(~tuning), words, factored(weights)), weights, start)
     return weights
 
 
-def scored(docs: DataFrame, words: Words, weights: np.ndarray) -> DataFrame:
+def scored(docs: DataFrame, words: Words, factors: np.ndarray) -> DataFrame:
     """Per row of ``docs`` (doc_id, held_out, text) what the frequent words add to the scores (log10,
-    without the base's common divisor), and the rare words that still need their counts."""
-    held = docs.sparkSession.sparkContext.broadcast((words, weights))
+    without the base's common divisor), and the rare words that still need their counts. Stored."""
+    held = docs.sparkSession.sparkContext.broadcast((words, factors))
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words, weights = held.value
-        start, inside, often = words.start(), words.inside(), np.log10(words.count + 1)
+        words, factors = held.value
+        common, inside, often = np.exp(words.start()), words.inside(), np.log10(words.count + 1)
         outside, row = np.log10(words.rare_total), TaskContext.get().partitionId() << 33
         for batch in batches:
             done = 0
@@ -453,8 +526,10 @@ def scored(docs: DataFrame, words: Words, weights: np.ndarray) -> DataFrame:
                 shares = np.empty(len(h.ids))
                 for at in range(0, len(h.ids), TOKENS):
                     part = slice(at, at + TOKENS)
-                    found = log_shares(start, weights, h.rows[:, part])
-                    shares[part] = found[np.arange(len(found)), h.classes[part]] / np.log(10)
+                    kinds, own = h.rows[:, part], h.classes[part]
+                    _, total, _ = parted(common, factors, kinds)
+                    share = factors[kinds, own].astype(np.float64).prod(axis=0)
+                    shares[part] = np.log10(share * common[own] / total)
                 ids, rare = h.ids[h.often], h.is_rare
                 base = np.zeros(len(h.ids))
                 base[h.often] = often[ids]
@@ -483,7 +558,10 @@ def scored(docs: DataFrame, words: Words, weights: np.ndarray) -> DataFrame:
                 )
                 done, row = done + n, row + n
 
-    return docs.select(F.col("doc_id").cast("long"), "held_out", "text").mapInArrow(tidied(tasks), SCORED)
+    columns = docs.select(F.col("doc_id").cast("long"), "held_out", "text")
+    rows = stored(columns.mapInArrow(tidied(tasks), SCORED), "scored")
+    held.destroy()
+    return rows
 
 
 def scores(docs: DataFrame, held_out: Column, fits: int = 0) -> DataFrame:
@@ -492,7 +570,7 @@ def scores(docs: DataFrame, held_out: Column, fits: int = 0) -> DataFrame:
     training = docs.where(~F.col("held_out"))
     vocabulary = stored(counted(training), "vocabulary")
     words = Words.of(vocabulary, training.count())
-    rows = stored(scored(docs, words, train(training, words, fits)), "scored")
+    rows = scored(docs, words, factored(train(training, words, fits)))
     rare = rows.select("row", F.inline("rare"))
     # a rare word's count belongs to its texts; unknown words have none and add log10(0 + 1) = 0
     rare = rare.join(vocabulary, "word").groupBy("row").agg(

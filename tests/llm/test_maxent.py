@@ -215,3 +215,40 @@ def test_the_query_fits_weights_together(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(maxent, "fitted", lambda *given, fn=maxent.fitted: fits.append(fn(*given)))
     queries.op6_maxent(spark, sf_dir)
     assert len(fits) == maxent.FITS > 0
+
+
+def test_products_of_factors_are_the_shares(spark):
+    """Also of features that tell opposite things, whose products are none in single precision."""
+    docs = spark.createDataFrame([("a b c d e f g " * 40,)], "text string")
+    words = maxent.Words.of(maxent.counted(docs), 1)
+    start, rows = words.start(), np.array([[0, 1, 2, 9], [3, 4, 2, 9], [5, 4, 1, 9]])
+    weights = np.random.default_rng(1).normal(size=(10, maxent.CLASSES)).astype(np.float32)
+    weights[0] = np.where(np.arange(maxent.CLASSES) < 24, 40, -40)
+    weights[3] = -weights[0]
+    factors, common = maxent.factored(weights), np.exp(start)
+    parts, total, low = maxent.parted(common, factors, rows)
+    assert low.tolist() == [0]
+    total[low] = 1
+    want = np.exp(maxent.log_shares(start, weights, rows))
+    assert np.allclose(parts * common / total[:, None], want, rtol=1e-4, atol=1e-6)
+    cells = np.zeros_like(weights)
+    codes = (rows[0] << 40) + (rows[1] << 20) + rows[2]
+    maxent._expect(cells, common, factors, [codes, codes[1:2]])
+    plain = np.zeros_like(weights)
+    for kind in rows:
+        np.add.at(plain, np.append(kind, kind[1]), np.vstack([want, want[1:2]]))
+    assert np.allclose(cells * common, plain, rtol=1e-4, atol=1e-6)
+
+
+def test_the_driver_gets_tables_by_ranges(spark):
+    docs = spark.createDataFrame([("a b a c",), ("b a",)], "text string").repartition(2)
+    words = maxent.Words.of(maxent.counted(docs), 2)
+    table = np.zeros((words.rows(), maxent.CLASSES))
+    for at, counts in maxent.followed(docs, words):
+        assert counts.shape == (words.rows() // maxent.PARTS, maxent.CLASSES)
+        table[at : at + len(counts)] += counts
+    history = maxent.History(words, [[b"a", b"b", b"a", b"c"], [b"b", b"a"]])
+    plain = np.zeros_like(table)
+    for kind in history.rows:
+        np.add.at(plain, (kind, history.classes), 1)
+    assert (table == plain).all()
