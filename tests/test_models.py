@@ -11,6 +11,7 @@ from gridmart.operators.chunks import chunk_documents, chunk_tokens
 from gridmart.operators.joins import not_in
 from gridmart.plans import intermediate, marts, serving, staging
 from gridmart.sources.calendar import date_dimension, dates_over, time_dimension
+from workload import domain, model_queries, registry
 
 
 def frame(spark, data, schema):
@@ -247,3 +248,15 @@ def test_token_chunks_are_cuts_of_the_text(spark):
     assert set(found) == {0, 1, 2, 3, 7}
     assert found[0] == [(8, "Ein  Wort,\n(noch 12)")] and found[2] == [(1, "a" * 2000)]
     assert [n for n, _ in found[3]] == [10] * 13 + [9] and found[3][0][1] == "x" + "!" * 9
+
+
+def test_the_profile_stores_what_it_reads_more_than_once(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(model_queries, "scratch_path", lambda spark, purpose: str(tmp_path))
+    profile = registry.SPARK["c24_customer_360"](spark, sf_dir)
+    stored = {"int_customer__unified_profile", "int_service__ticket_enriched", "stg_crm__contacts"}
+    assert {p.name for p in (tmp_path / "shared").iterdir()} == stored
+    plain = domain.warehouse(spark, sf_dir)["customer_360"]
+    assert profile.exceptAll(plain).count() == plain.exceptAll(profile).count() == 0
+    wh = domain.warehouse(spark, sf_dir)
+    assert wh.read_often("bridge_service_ticket_customer") == {"stg_crm__contacts"}
+    assert "stg_iot__all_events" in wh.read_often("fct_energy_usage_daily")
