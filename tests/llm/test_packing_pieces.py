@@ -1,6 +1,9 @@
 """Packing and piece encoding against the libraries, on whole small tables and odd texts."""
 
+import itertools
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
 from gridmart.llm import packing, pieces, queries
-from gridmart.llm.tokens import ENTRY, Known, word_encoder
+from gridmart.llm.tokens import ENTRY, Known, WordEncoder, word_encoder
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -66,6 +69,43 @@ def test_plain_and_other_texts_are_cut_alike():
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)] == [e.ids for e in want]
 
 
+def test_contractions_are_cut_alike():
+    encoder = word_encoder(WORDS)
+    texts = ["".join(made) for n in range(1, 5) for made in itertools.product("'stdmrevlLé1! ", repeat=n)]
+    want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)] == [e.ids for e in want]
+
+
+def test_new_and_known_words_of_all_lots():
+    encoder, dice = WordEncoder(WORDS), random.Random(3)
+    letters = "aeinorstÀé日'"
+    words = ["".join(dice.choices(letters, weights=[9] * 8 + [1] * 4, k=dice.randint(1, 9))) for _ in range(9000)]
+    for _ in range(3):
+        texts = [" ".join(dice.choices(words, k=60)) for _ in range(200)] + ["", " ", "日本", "a" * 5000]
+        want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.ids([*texts, None])] == [*(e.ids for e in want), []]
+    assert encoder.ids([]) == [] and encoder.ids([None, "", "\n"]) == [b"", b"", b""]
+
+
+def test_known_words_cost_less_than_cutting_texts_word_by_word():
+    encoder, dice = word_encoder(WORDS), random.Random(4)
+    words = ["".join(dice.choices("aeinorst", k=dice.randint(2, 7))) for _ in range(2000)]
+    texts = [" ".join(dice.choices(words, k=3000)) for _ in range(300)]
+    look = dict(zip(words, encoder.ids(words), strict=True))
+
+    def word_by_word():
+        return [b"".join([look[w] for w in re.findall("[a-z]+", t)]) for t in texts]
+
+    def seconds(job):
+        begin = time.process_time()
+        job()
+        return time.process_time() - begin
+
+    assert encoder.ids(texts) == word_by_word()
+    ours, plain = (min(seconds(job) for _ in range(3)) for job in (lambda: encoder.ids(texts), word_by_word))
+    assert ours < plain
+
+
 def assert_packed(found, docs, tiers=packing.TIERS, padded=1):
     """Every id in one piece, sequences gapless and full but for ``padded`` per task."""
     encoder = word_encoder(WORDS)
