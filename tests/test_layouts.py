@@ -1,14 +1,16 @@
 """What layouts save: exchanges that are not planned, rows that are not read."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from gridmart.functions import surrogate_key
 from gridmart.operators import sketches
-from gridmart.plans import semantic, serving
+from gridmart.plans import marts, semantic, serving, warehouse
 from gridmart.plans.warehouse import Warehouse
-from gridmart.sources import layouts
+from gridmart.sources import layouts, sinks
 from workload import domain
 from workload.model_queries import star
 
@@ -211,3 +213,74 @@ def test_staging_of_one_reader_is_not_written(spark, sf_dir, tmp_path, rows, mon
     wh["fct_invoices"]
     assert {"fct_invoices", "fct_payments", "stg_oltp__invoices"} <= set(written)
     assert not {"stg_oltp__invoice_line_items", "stg_oltp__payments"} & set(written)
+
+
+def test_keys_of_facts_are_made_in_their_folder(spark, sf_dir, rows, monkeypatch):
+    """No key of 32 digits is sent there, and the rows are those of the lazy model."""
+    sent = {}
+
+    def write(df, path, date_key, *rest):
+        sent[date_key] = df.columns
+        return layouts.write_by_month(df, path, date_key, *rest)
+
+    monkeypatch.setattr(domain, "_MARTS", {})
+    monkeypatch.setattr(warehouse, "write_by_month", write)
+    stored, lazy = domain.stored_marts(spark, sf_dir), domain.warehouse(spark, sf_dir)
+    for name in ("fct_invoices", "fct_payments"):
+        assert rows(stored.mart(name)) == rows(lazy.mart(name))
+    assert set(sent) == {"invoice_date_key", "payment_date_key"}
+    assert not [c for columns in sent.values() for c in columns if c.endswith("_sk") or c == "net_amount"]
+
+
+def test_facts_of_unknown_parents_have_no_keys(spark, rows):
+    """A key is that of the dimension's row, so without one there is none; a version's start may be unknown."""
+    def frame(data, schema):
+        return spark.createDataFrame(data, schema)
+
+    customers = marts.dim_customer(frame([(1, None, None)], "customer_id bigint, dbt_valid_from timestamp_ntz, dbt_valid_to timestamp_ntz")
+        .select("*", *[F.lit("x").alias(c) for c in (
+            "email", "first_name", "last_name", "phone", "address", "postal_code", "municipality", "region", "country", "segment", "status")]))
+    homes = frame([(5, "h5")], "household_id bigint, household_sk string")
+    deals = frame([], "contract_id bigint, contract_sk string, valid_from timestamp_ntz, is_current boolean")
+    days = frame([], "full_date date, date_key int")
+    invoices = frame([(1, 5, 7, None)], "invoice_id bigint, household_id bigint, contract_id bigint, due_date date")
+    payments = frame(
+        [(10, 1, 1, None, None, "card", "done"), (11, 2, None, None, None, "card", "done")],
+        "payment_id bigint, invoice_id bigint, customer_id bigint, payment_date date, payment_amount decimal(12,2), payment_method string, status string")
+    want = customers.first()["customer_sk"]
+    for in_buckets in (False, True):
+        found = marts.fct_payments(payments, invoices, customers, homes, deals, days, in_buckets=in_buckets)
+        known = frame([(5,)], "k bigint").select(surrogate_key("k")).first()[0]
+        assert rows(found, "payment_id", "customer_sk", "household_sk", "contract_sk", "is_late_payment") == [
+            (10, want, known, None, False), (11, None, None, None, False)]
+
+
+def test_invoices_stored_without_their_lines_are_not_bucketed(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(domain, "_MARTS", {})
+    monkeypatch.setattr(warehouse, "write_bucketed", lambda *_: pytest.fail("nothing meets these buckets"))
+    assert domain.stored_marts(spark, sf_dir)["stg_oltp__invoices"].count() > 0
+
+
+def test_a_write_gives_back_its_shuffle_files(spark, numbers, tmp_path):
+    """Else the disk of a build holds those of every table written so far."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {f.getName(): f.length() for f in map(files.apply, range(files.size())) if f.getName().startswith("shuffle")}
+
+    rows = numbers.withColumn("day", F.lit(20240101)).repartition(3, "line")
+    kept = spark.conf.get(sinks.CLEANUP)
+    for write in (
+        lambda: sinks.write_table(rows, str(tmp_path / "a")),
+        lambda: sinks.write_clustered(rows, str(tmp_path / "b"), "line"),
+        lambda: layouts.write_lookup(rows, str(tmp_path / "c"), "line"),
+        lambda: layouts.write_by_month(rows, str(tmp_path / "d"), "day"),
+        lambda: layouts.write_bucketed(rows, str(tmp_path / "e"), "line", 4),
+    ):
+        before, deadline = shuffled(), time.time() + 10
+        table = write()
+        while (left := sum(n for f, n in shuffled().items() if f not in before)) > 1e6 and time.time() < deadline:
+            time.sleep(0.2)
+        assert left < 1e6 and table.count() == 400_000
+    assert spark.conf.get(sinks.CLEANUP) == kept
