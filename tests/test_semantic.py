@@ -93,3 +93,23 @@ def test_ratios_and_conditions(spark, rows):
 def test_facts_shrink_before_they_meet_a_dimension(star):
     plan = ask(star, ["revenue"], ["segment"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.rindex("Aggregate")
+
+
+def test_a_filtered_dimension_that_is_asked_for_is_joined_once(spark, star, rows):
+    """Its filter and its columns come in one join, and no fact's own key travels to be counted."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ask(star, ["invoice_count", "revenue"], ["segment", "category"], {"segment": lambda c: c == "home"})
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert rows(found, "segment", "category", "invoice_count", "total_revenue") == rows(
+            ask(star, ["invoice_count", "revenue"], ["segment", "category"]).filter("segment = 'home'"),
+            "segment", "category", "invoice_count", "total_revenue")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 2 and "LeftSemi" not in plan
+    assert not [line for line in plan.splitlines() if "Project [" in line and "invoice_line_sk" in line and "isnotnull" not in line]
+
+
+def test_calendar_columns_replace_days_before_the_fact_travels(star):
+    plan = ask(star, ["revenue"], ["segment", "yr"])._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not any("Exchange" in line and "date_key" in line and "Broadcast" not in line for line in plan)
