@@ -173,3 +173,24 @@ def test_other_read_errors_are_not_taken_for_a_missing_table(spark, tmp_path):
     (tmp_path / "t" / "broken.parquet").write_text("not parquet")
     with pytest.raises(Exception):
         sinks.read_if_exists(spark, str(tmp_path / "t")).count()
+
+
+def test_checks_of_one_model_run_after_those_of_another(spark, tmp_path, rows, monkeypatch):
+    """Their shuffle files do not lie beside one another; the table is that of all checks, however often it is written."""
+    written = []
+    monkeypatch.setattr(checks, "write_table", lambda df, path, mode: written.append(mode) or sinks.write_table(df, path, mode))
+    models = {
+        "customer_360": spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "customer_360_sk string, customer_id bigint"),
+        "dim_time": spark.createDataFrame([(None,), (5,)], "time_key int"),
+        "dim_product": spark.createDataFrame([("p", 1)], "product_sk string, product_id bigint"),
+    }
+    mine = tuple(c for c in checks.CHECKS if c.model in models)
+    path = str(tmp_path / "failing_rows")
+    want = rows(checks.failing_rows(models, mine), "model", "check", "failing_row")
+    assert {m for m, *_ in want} == {"customer_360", "dim_time"}
+    for _ in range(2):
+        assert rows(checks.write_failing_rows(models, path, mine), "model", "check", "failing_row") == want
+        assert rows(spark.read.parquet(path), "model", "check", "failing_row") == want
+    assert written == 2 * ["overwrite", "append", "append"]
+    few = tuple(c for c in mine if c.model == "dim_time")
+    assert rows(checks.write_failing_rows(models, path, few)) == rows(spark.read.parquet(path), "model", "check", "failing_row")
