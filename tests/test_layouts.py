@@ -11,7 +11,7 @@ from gridmart.operators import sketches
 from gridmart.plans import marts, semantic, serving, warehouse
 from gridmart.plans.warehouse import Warehouse
 from gridmart.sources import layouts, sinks
-from workload import domain
+from workload import domain, quality_queries
 from workload.model_queries import star
 
 
@@ -261,14 +261,14 @@ def test_invoices_stored_without_their_lines_are_not_bucketed(spark, sf_dir, mon
     assert domain.stored_marts(spark, sf_dir)["stg_oltp__invoices"].count() > 0
 
 
-def test_a_write_gives_back_its_shuffle_files(spark, numbers, tmp_path):
-    """Else the disk of a build holds those of every table written so far."""
-    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+def shuffled(spark):
+    """Shuffle files on disk and their bytes."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName(): f.length() for f in map(files.apply, range(files.size())) if f.getName().startswith("shuffle")}
 
-    def shuffled():
-        files = disk.getAllFiles()
-        return {f.getName(): f.length() for f in map(files.apply, range(files.size())) if f.getName().startswith("shuffle")}
 
+def test_a_write_gives_back_its_shuffle_files(spark, numbers, tmp_path):
+    """Else the disk of a build holds those of every table written so far."""
     rows = numbers.withColumn("day", F.lit(20240101)).repartition(3, "line")
     kept = spark.conf.get(sinks.CLEANUP)
     for write in (
@@ -278,9 +278,19 @@ def test_a_write_gives_back_its_shuffle_files(spark, numbers, tmp_path):
         lambda: layouts.write_by_month(rows, str(tmp_path / "d"), "day"),
         lambda: layouts.write_bucketed(rows, str(tmp_path / "e"), "line", 4),
     ):
-        before, deadline = shuffled(), time.time() + 10
+        before, deadline = shuffled(spark), time.time() + 10
         table = write()
-        while (left := sum(n for f, n in shuffled().items() if f not in before)) > 1e6 and time.time() < deadline:
+        while (left := sum(n for f, n in shuffled(spark).items() if f not in before)) > 1e6 and time.time() < deadline:
             time.sleep(0.2)
         assert left < 1e6 and table.count() == 400_000
     assert spark.conf.get(sinks.CLEANUP) == kept
+
+
+def test_marts_built_in_turn_leave_no_shuffle_files(spark, sf_dir, monkeypatch):
+    """What lies on disk while one is built is its own, not what all before it have sent."""
+    monkeypatch.setattr(domain, "_MARTS", {})
+    before, deadline = shuffled(spark), time.time() + 10
+    quality_queries.d13(spark, sf_dir)
+    while (left := sum(n for f, n in shuffled(spark).items() if f not in before)) > 1e4 and time.time() < deadline:
+        time.sleep(0.2)
+    assert left <= 1e4
